@@ -138,3 +138,65 @@ def duplicate_issues(items: DataFrame) -> DataFrame:
 
 def all_issues(items: DataFrame) -> DataFrame:
     return rule_issues(items).unionByName(duplicate_issues(items))
+
+
+def _lens(col: str) -> Column:
+    return F.transform(F.col(col), lambda x: F.length(x))
+
+
+def mcq_rules(items: DataFrame) -> DataFrame:
+    """MCQ checks: answer among options, 4 distinct options, no all/none of
+    the above, 1-2 sentence explanation, consistent option formatting."""
+    return items.where("qtype = 'MCQs'").select(
+        "chapter_id", "seq",
+        F.coalesce(F.array_contains(_arr("options"), F.col("answer")), F.lit(False)).alias("answer_in_options"),
+        (F.size(F.array_distinct(_arr("options"))) == 4).alias("four_distinct"),
+        F.exists(_arr("options"), lambda x: F.lower(x).rlike("(all|none) of the above")).alias("all_none_of_above"),
+        _n_sentences("explanation").cast("bigint").alias("explanation_sentences"),
+        (F.array_max(_lens("options")) - F.array_min(_lens("options"))).cast("bigint").alias("option_len_spread"),
+        (F.size(F.array_distinct(F.transform(_arr("options"), lambda x: x.rlike("[.!?]$")))) <= 1)
+        .alias("punctuation_uniform"),
+    )
+
+
+def fill_blank_rules(items: DataFrame) -> DataFrame:
+    """Blank marker present; answer of 1-3 words."""
+    n = _n_words("answer")
+    return items.where("qtype = 'fill_in_the_blanks'").select(
+        "chapter_id", "seq",
+        F.coalesce(F.col("question").contains("_____"), F.lit(False)).alias("has_marker"),
+        n.cast("bigint").alias("answer_words"), n.between(1, 3).alias("answer_ok"))
+
+
+def short_answer_rules(items: DataFrame) -> DataFrame:
+    """Reference answer of 2-4 sentences."""
+    n = _n_sentences("reference_answer")
+    return items.where("qtype = 'short_answer'").select(
+        "chapter_id", "seq", n.cast("bigint").alias("answer_sentences"), n.between(2, 4).alias("answer_ok"))
+
+
+def long_answer_points(items: DataFrame) -> DataFrame:
+    """Answer-outline normaliser (H6): points, cleared legacy text, reject flag."""
+    pts = normalized_points()
+    legacy_blank = F.length(tx.py_strip(F.coalesce(F.col("reference_answer"), F.lit("")))) == 0
+    has_points = F.size(F.filter(F.transform(_arr("reference_points"), tx.py_strip), lambda x: x != "")) > 0
+    return items.where("qtype = 'long_answer'").select(
+        "chapter_id", "seq",
+        F.array_join(pts, "\x1f").alias("points"),
+        F.size(pts).cast("bigint").alias("n_points"),
+        F.when(has_points | ~legacy_blank, F.lit("")).otherwise(F.coalesce(F.col("reference_answer"), F.lit("")))
+        .alias("reference_answer"),
+        (~has_points & legacy_blank).alias("rejected"),
+    )
+
+
+def long_answer_rules(items: DataFrame) -> DataFrame:
+    """3-6 points, each under 20 words, all distinct."""
+    df = items.where("qtype = 'long_answer'").withColumn("points", normalized_points())
+    n = F.size("points")
+    return df.select(
+        "chapter_id", "seq", n.cast("bigint").alias("n_points"), n.between(3, 6).alias("count_ok"),
+        F.coalesce(F.array_max(F.transform("points", lambda x: F.size(tx.words(x)))), F.lit(0))
+        .cast("bigint").alias("max_point_words"),
+        (F.size(F.array_distinct("points")) == n).alias("points_distinct"),
+    )

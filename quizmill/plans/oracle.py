@@ -138,3 +138,85 @@ FROM topic_q GROUP BY chapter_id"""
 ORACLE["combine_pages"] = """
 SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS content
 FROM conversations GROUP BY conv_id"""
+
+ORACLE["structural_violations"] = with_ctes(ITEMS, FLAGS) + f"""
+, v AS (
+  SELECT qtype, 'required_field_missing' AS rule FROM flags
+   WHERE (qtype = 'MCQs' AND (question IS NULL OR options IS NULL OR answer IS NULL OR explanation IS NULL))
+      OR (qtype = 'fill_in_the_blanks' AND (question IS NULL OR answer IS NULL))
+      OR (qtype = 'short_answer' AND (question IS NULL OR reference_answer IS NULL))
+      OR (qtype = 'long_answer' AND question IS NULL)
+  UNION ALL SELECT qtype, 'required_field_blank' FROM flags WHERE {RULES[-1][3]}
+  UNION ALL SELECT qtype, 'mcq_not_four_options' FROM flags WHERE qtype = 'MCQs' AND coalesce(len(options), 0) <> 4
+  UNION ALL SELECT qtype, 'unknown_level' FROM flags
+   WHERE NOT coalesce(bloom IN ('remember', 'understand', 'apply', 'analyze', 'evaluate', 'create'), false)
+  UNION ALL SELECT qtype, 'long_answer_without_points' FROM flags WHERE qtype = 'long_answer' AND len(points) = 0
+  UNION ALL SELECT qtype, 'section_not_six_levels' FROM
+   (SELECT chapter_id, topic_pos, qtype FROM items GROUP BY ALL HAVING count(DISTINCT bloom) <> 6))
+SELECT qtype, rule, count(*) AS n_violations FROM v GROUP BY ALL"""
+
+ORACLE["coverage_cube"] = with_ctes(ITEMS) + """
+SELECT chapter_id, qtype, bloom, count(*) AS n_items FROM items
+GROUP BY GROUPING SETS ((chapter_id, qtype, bloom), (chapter_id, qtype), (chapter_id, bloom), (chapter_id))"""
+
+ORACLE["issue_rollup"] = with_ctes(*ISSUES) + """
+SELECT severity, issue_type, count(*) AS n_issues, grouping(severity, issue_type) AS gid
+FROM issues GROUP BY ROLLUP (severity, issue_type)"""
+
+TOPIC_COUNTS = """chap AS (
+  SELECT chapter_id, count(*) AS n_topics, CASE WHEN count(*) < 5 THEN 8 ELSE 5 END AS qpl
+  FROM (SELECT DISTINCT chapter_id, topic_pos FROM items) GROUP BY chapter_id)"""
+
+ORACLE["coverage_gaps"] = with_ctes(ITEMS, TOPIC_COUNTS) + """
+, grid AS (
+  SELECT t.chapter_id, t.topic_pos, c.qpl, q.qtype, b.bloom
+  FROM (SELECT DISTINCT chapter_id, topic_pos FROM items) t JOIN chap c USING (chapter_id)
+  CROSS JOIN (SELECT unnest(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer']) AS qtype) q
+  CROSS JOIN (SELECT unnest(['remember', 'understand', 'apply', 'analyze', 'evaluate', 'create']) AS bloom) b)
+SELECT g.chapter_id, g.topic_pos, g.qtype, g.bloom, CAST(g.qpl AS BIGINT) AS expected,
+       coalesce(a.n, 0) AS actual
+FROM grid g LEFT JOIN (SELECT chapter_id, topic_pos, qtype, bloom, count(*) AS n FROM items GROUP BY ALL) a
+  USING (chapter_id, topic_pos, qtype, bloom)
+WHERE coalesce(a.n, 0) <> g.qpl"""
+
+ORACLE["expected_volume"] = with_ctes(ITEMS, TOPIC_COUNTS) + """
+SELECT chapter_id, n_topics, CAST(qpl AS BIGINT) AS questions_per_level, CAST(qpl * 6 AS BIGINT) AS per_type,
+       CAST(qpl * 24 AS BIGINT) AS per_topic, CAST(qpl * 24 * n_topics AS BIGINT) AS expected_items,
+       CAST(qpl * 24 * n_topics * 6 AS BIGINT) AS expected_with_variations, a.actual_items
+FROM chap JOIN (SELECT chapter_id, count(*) AS actual_items FROM items GROUP BY ALL) a USING (chapter_id)"""
+
+ORACLE["mcq_rules"] = with_ctes(ITEMS) + f"""
+SELECT chapter_id, seq,
+       coalesce(list_contains(coalesce(options, []), answer), false) AS answer_in_options,
+       len(list_distinct(coalesce(options, []))) = 4 AS four_distinct,
+       len(list_filter(coalesce(options, []), lambda x: regexp_matches(lower(x), '(all|none) of the above'))) > 0
+         AS all_none_of_above,
+       len({sents('explanation')}) AS explanation_sentences,
+       list_max(list_transform(options, lambda x: length(x))) - list_min(list_transform(options, lambda x: length(x)))
+         AS option_len_spread,
+       len(list_distinct(list_transform(coalesce(options, []), lambda x: regexp_matches(x, '[.!?]$')))) <= 1
+         AS punctuation_uniform
+FROM items WHERE qtype = 'MCQs'"""
+
+ORACLE["fill_blank_rules"] = with_ctes(ITEMS) + f"""
+SELECT chapter_id, seq, coalesce(contains(question, '_____'), false) AS has_marker,
+       len({words('answer')}) AS answer_words, len({words('answer')}) BETWEEN 1 AND 3 AS answer_ok
+FROM items WHERE qtype = 'fill_in_the_blanks'"""
+
+ORACLE["short_answer_rules"] = with_ctes(ITEMS) + f"""
+SELECT chapter_id, seq, len({sents('reference_answer')}) AS answer_sentences,
+       len({sents('reference_answer')}) BETWEEN 2 AND 4 AS answer_ok
+FROM items WHERE qtype = 'short_answer'"""
+
+ORACLE["long_answer_points"] = with_ctes(ITEMS, FLAGS) + f"""
+SELECT chapter_id, seq, array_to_string(points, chr(31)) AS points, len(points) AS n_points,
+       CASE WHEN len({_PTS}) > 0 OR length({strip("coalesce(reference_answer, '')")}) > 0 THEN ''
+            ELSE coalesce(reference_answer, '') END AS reference_answer,
+       (len({_PTS}) = 0 AND length({strip("coalesce(reference_answer, '')")}) = 0) AS rejected
+FROM flags WHERE qtype = 'long_answer'"""
+
+ORACLE["long_answer_rules"] = with_ctes(ITEMS, FLAGS) + f"""
+SELECT chapter_id, seq, len(points) AS n_points, len(points) BETWEEN 3 AND 6 AS count_ok,
+       coalesce(list_max(list_transform(points, lambda x: len({words('x')}))), 0) AS max_point_words,
+       len(list_distinct(points)) = len(points) AS points_distinct
+FROM flags WHERE qtype = 'long_answer'"""

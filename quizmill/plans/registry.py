@@ -79,3 +79,54 @@ def q_chapter_quality(spark, sf):
 def q_combine_pages(spark, sf):
     from ..operators import corpus
     return corpus.combine_pages(table(spark, sf, "conversations"), "conv_id", "turn", "text")
+
+
+@register("structural_violations")
+def q_structural_violations(spark, sf):
+    from ..operators import validate
+    return validate.structural_counts(_items(spark, sf))
+
+
+@register("coverage_cube")
+def q_coverage_cube(spark, sf):
+    return rollup.coverage_cube(_items(spark, sf))
+
+
+@register("issue_rollup")
+def q_issue_rollup(spark, sf):
+    return rollup.issue_rollup(quality.all_issues(_items(spark, sf)))
+
+
+@register("coverage_gaps")
+def q_coverage_gaps(spark, sf):
+    return rollup.coverage_gaps(_items(spark, sf))
+
+
+@register("expected_volume")
+def q_expected_volume(spark, sf):
+    return rollup.expected_volume(_items(spark, sf))
+
+
+@register("mcq_rules")
+def q_mcq_rules(spark, sf):
+    return quality.mcq_rules(_items(spark, sf))
+
+
+@register("fill_blank_rules")
+def q_fill_blank_rules(spark, sf):
+    return quality.fill_blank_rules(_items(spark, sf))
+
+
+@register("short_answer_rules")
+def q_short_answer_rules(spark, sf):
+    return quality.short_answer_rules(_items(spark, sf))
+
+
+@register("long_answer_rules")
+def q_long_answer_rules(spark, sf):
+    return quality.long_answer_rules(_items(spark, sf))
+
+
+@register("long_answer_points")
+def q_long_answer_points(spark, sf):
+    return quality.long_answer_points(_items(spark, sf))
