@@ -220,3 +220,134 @@ SELECT chapter_id, seq, len(points) AS n_points, len(points) BETWEEN 3 AND 6 AS
        coalesce(list_max(list_transform(points, lambda x: len({words('x')}))), 0) AS max_point_words,
        len(list_distinct(points)) = len(points) AS points_distinct
 FROM flags WHERE qtype = 'long_answer'"""
+
+# --- responses -------------------------------------------------------------
+PY_WS_RE2 = r"[\t\n\x0b\x0c\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def pystrip(x: str) -> str:
+    return f"regexp_replace({x}, '^{PY_WS_RE2}+|{PY_WS_RE2}+$', '', 'g')"
+
+
+def clean(x: str) -> str:
+    t = pystrip(x)
+    t = f"regexp_replace({t}, '^(?:```json)?(?:```)?', '')"
+    t = rf"regexp_replace({t}, '```\z', '')"
+    t = rf"regexp_replace({t}, '[\x00-\x08\x0b-\x1f\x7f-\x9f]', ' ', 'g')"
+    return pystrip(t)
+
+
+_A, _B, _C = "terms[1]", "array_to_string(list_slice(terms, 1, 2), ' ')", "array_to_string(list_slice(terms, 1, 3), ' ')"
+RAW = f"""raw_view AS (
+  SELECT chapter_id, topic_pos, seq, qtype, bloom, question, variations,
+         (CASE WHEN seq % 5 = 0 THEN chr(7) ELSE '' END)
+         || (CASE WHEN seq % 3 = 0 THEN '```json' || chr(10) || body1 || chr(10) || '```' ELSE body1 END)
+         || (CASE WHEN seq % 5 = 1 THEN chr(13) || chr(10) || '  ' ELSE '' END) AS raw
+  FROM (SELECT *, CASE WHEN seq % 11 = 10 THEN substring(body, 1, length(body) - 1) ELSE body END AS body1
+        FROM (SELECT *, CASE (seq + chapter_id) % 8
+          WHEN 0 THEN '["  ' || {_B} || '  ", "' || {_A} || '", " "]'
+          WHEN 1 THEN '{{"variations": [{{"variation_1": "' || {_C} || '", "variation_10": "' || {_A}
+                      || '", "variation_2": "  "}}, "' || {_B} || '"]}}'
+          WHEN 2 THEN '[{{"question": " ", "text": "' || {_C} || '"}}, {{"prompt": "' || {_A} || '"}}]'
+          WHEN 3 THEN '{{"question": "' || {_B} || '", "reference_points": ["' || {_A} || '", " ", "' || {_C} || '"]}}'
+          WHEN 4 THEN '[{{"answer": "' || {_C} || '", "options": ["' || {_A} || '", " ", "' || {_B} || '"]}}, {{"options": []}}]'
+          WHEN 5 THEN '{{"variations": [{{"reference_answer": "' || {_C} || '"}}, {{"question": "' || {_A}
+                      || '", "reference_answer": "' || {_B} || '"}}]}}'
+          WHEN 6 THEN '{{"other": 1}}'
+          ELSE '7' END AS body
+        FROM items WHERE len(terms) > 0)))"""
+
+PARSED = f"""parsed_view AS (
+  SELECT *, CASE WHEN json_valid(cleaned) THEN cleaned::JSON END AS parsed
+  FROM (SELECT *, {clean('raw')} AS cleaned FROM raw_view))"""
+
+
+def pystr(o: str) -> str:
+    o = f"({o})"
+    return (f"(CASE WHEN {o} IS NULL OR json_type({o}) = 'NULL' THEN 'None' "
+            f"WHEN json_type({o}) = 'BOOLEAN' THEN (CASE WHEN {o}::VARCHAR = 'true' THEN 'True' ELSE 'False' END) "
+            f"WHEN json_type({o}) IN ('OBJECT', 'ARRAY') THEN json_extract({o}, '$')::VARCHAR "
+            f"WHEN json_type({o}) = 'VARCHAR' THEN json_extract_string({o}, '$') ELSE {o}::VARCHAR END)")
+
+
+def str_field(x: str, k: str) -> str:
+    return (f"(CASE WHEN json_type({x}->'{k}') = 'VARCHAR' AND {pystrip(f'({x}->>' + repr(k) + ')')} <> '' "
+            f"THEN {pystrip(f'({x}->>' + repr(k) + ')')} END)")
+
+
+def joined_list(x: str, k: str) -> str:
+    inner = (f"array_to_string(list_filter(list_transform(from_json({x}->'{k}', '[\"json\"]'), "
+             f"lambda o: {pystrip(pystr('o'))}), lambda s: s <> ''), '; ')")
+    return f"(CASE WHEN json_type({x}->'{k}') = 'ARRAY' THEN nullif({inner}, '') END)"
+
+
+def normalize(x: str, is_mcq: str) -> str:
+    bundle_vals = (f"list_filter(list_transform(list_filter(list_sort(json_keys({x})), "
+                   f"lambda k: starts_with(k, 'variation_')), lambda k: {pystrip(pystr(x + '->k'))}), "
+                   "lambda s: s <> '')")
+    bundle = f"(CASE WHEN len({bundle_vals}) > 0 THEN array_to_string({bundle_vals}, ' | ') END)"
+    text = "coalesce(" + ", ".join(str_field(x, k) for k in
+                                   ["question", "variation_text", "variation", "text", "prompt"]) + ")"
+    head = (f"array_to_string(list_filter([{text}, CASE WHEN {is_mcq} THEN 'Options: ' || {joined_list(x, 'options')} END, "
+            f"CASE WHEN {is_mcq} THEN 'Answer: ' || {str_field(x, 'answer')} END, "
+            f"'Key points: ' || {joined_list(x, 'reference_points')}], lambda s: s IS NOT NULL), ' | ')")
+    ref = str_field(x, "reference_answer")
+    base = (f"list_transform([{head}], lambda h: CASE WHEN {ref} IS NULL THEN h WHEN h = '' THEN {ref} "
+            f"ELSE h || ' | Reference answer: ' || {ref} END)[1]")
+    return (f"(CASE WHEN json_type({x}) = 'VARCHAR' THEN {pystrip(f'json_extract_string({x}, {chr(39)}${chr(39)})')} "
+            f"WHEN json_type({x}) = 'OBJECT' AND {bundle} IS NOT NULL THEN {bundle} "
+            f"WHEN json_type({x}) = 'OBJECT' THEN list_transform([{base}], "
+            f"lambda b: CASE WHEN b <> '' THEN b ELSE json_extract({x}, '$')::VARCHAR END)[1] "
+            f"ELSE {pystrip(pystr(x))} END)")
+
+
+UNWRAP = """(CASE WHEN json_type(parsed) = 'OBJECT' AND list_contains(json_keys(parsed), 'variations')
+      THEN (CASE WHEN json_type(parsed->'variations') = 'ARRAY' THEN from_json(parsed->'variations', '["json"]')
+                 ELSE [parsed->'variations'] END)
+      WHEN json_type(parsed) = 'ARRAY' THEN from_json(parsed, '["json"]') ELSE [parsed] END)"""
+
+VAR_RESULTS = PARSED + f""",
+var_results AS (
+  SELECT *, CASE WHEN norm IS NULL THEN []::VARCHAR[]
+              ELSE list_slice(list_concat(norm, list_transform(range(greatest(5 - len(norm), 0)),
+                                                               lambda i: coalesce(norm[1], question))), 1, 5)
+            END AS new_variations
+  FROM (SELECT *, CASE WHEN parsed IS NOT NULL THEN
+                    list_filter(list_transform({UNWRAP}, lambda x: {normalize('x', "qtype = 'MCQs'")}),
+                                lambda s: s IS NOT NULL AND s <> '') END AS norm
+        FROM parsed_view))"""
+
+ORACLE["clean_responses"] = with_ctes(ITEMS, RAW, PARSED) + """
+SELECT chapter_id, seq, cleaned, parsed IS NOT NULL AS parsed_ok FROM parsed_view"""
+
+ORACLE["normalize_variations"] = with_ctes(ITEMS, RAW, VAR_RESULTS) + """
+SELECT chapter_id, seq, array_to_string(norm, chr(31)) AS normalized, len(norm) AS n_normalized FROM var_results"""
+
+ORACLE["pad_variations"] = with_ctes(ITEMS, RAW, VAR_RESULTS) + """
+SELECT chapter_id, seq, array_to_string(new_variations, chr(31)) AS variations FROM var_results"""
+
+ORACLE["variation_rules"] = with_ctes(ITEMS, RAW, VAR_RESULTS) + """
+SELECT chapter_id, seq, qtype, len(new_variations) AS n_variations,
+       len(list_distinct(new_variations)) AS n_unique,
+       list_contains(new_variations, question) AS repeats_original,
+       len(list_distinct(new_variations)) = 5 AND NOT list_contains(new_variations, question) AS five_unique,
+       CASE WHEN qtype = 'MCQs' THEN
+              coalesce(list_bool_and(list_transform(new_variations, lambda s:
+                len(string_split(coalesce(regexp_extract(s, 'Options: ([^|]*)', 1), ''), '; ')) = 4)), true)
+            WHEN qtype = 'fill_in_the_blanks' THEN
+              coalesce(list_bool_and(list_transform(new_variations, lambda s: contains(s, '_____'))), true)
+            ELSE true END AS shape_kept
+FROM var_results"""
+
+ORACLE["variation_tally"] = with_ctes(ITEMS, RAW, VAR_RESULTS) + """
+SELECT i.chapter_id, count(*) AS items_requested, count(*) FILTER (WHERE r.parsed IS NULL) AS calls_failed,
+       CAST(coalesce(sum(len(coalesce(r.new_variations, []))), 0) AS BIGINT) AS variations_obtained
+FROM items i LEFT JOIN var_results r USING (chapter_id, seq)
+WHERE len(coalesce(i.variations, [])) = 0
+GROUP BY i.chapter_id"""
+
+ORACLE["merge_variations"] = with_ctes(ITEMS, RAW, VAR_RESULTS) + """
+SELECT i.chapter_id, i.seq,
+       array_to_string(CASE WHEN len(coalesce(i.variations, [])) > 0 THEN i.variations
+                            ELSE coalesce(r.new_variations, []) END, chr(31)) AS variations
+FROM items i LEFT JOIN var_results r USING (chapter_id, seq)"""

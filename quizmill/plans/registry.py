@@ -130,3 +130,51 @@ def q_long_answer_rules(spark, sf):
 @register("long_answer_points")
 def q_long_answer_points(spark, sf):
     return quality.long_answer_points(_items(spark, sf))
+
+
+def _responses(spark, sf):
+    return views.raw_responses(_items(spark, sf))
+
+
+@register("clean_responses")
+def q_clean_responses(spark, sf):
+    from ..operators import responses
+    df = responses.clean_and_parse(_responses(spark, sf))
+    return df.select("chapter_id", "seq", "cleaned", F.col("parsed").isNotNull().alias("parsed_ok"))
+
+
+@register("normalize_variations")
+def q_normalize_variations(spark, sf):
+    from ..operators import responses
+    df = responses.variation_results(_responses(spark, sf))
+    return df.select("chapter_id", "seq", F.array_join("norm", SEP).alias("normalized"),
+                     F.size("norm").cast("bigint").alias("n_normalized"))
+
+
+@register("pad_variations")
+def q_pad_variations(spark, sf):
+    from ..operators import responses
+    df = responses.variation_results(_responses(spark, sf))
+    return df.select("chapter_id", "seq", joined("new_variations", "variations"))
+
+
+@register("variation_rules")
+def q_variation_rules(spark, sf):
+    from ..operators import responses
+    return responses.variation_rules(responses.variation_results(_responses(spark, sf)))
+
+
+@register("variation_tally")
+def q_variation_tally(spark, sf):
+    from ..operators import responses
+    it = _items(spark, sf)
+    return responses.variation_tally(it, responses.variation_results(views.raw_responses(it)))
+
+
+@register("merge_variations")
+def q_merge_variations(spark, sf):
+    from ..operators import responses
+    it = _items(spark, sf)
+    res = responses.variation_results(views.raw_responses(responses.needs_variations(it)))
+    m = responses.merge_variations(it, res)
+    return m.select("chapter_id", "seq", joined("variations"))

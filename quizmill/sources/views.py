@@ -70,3 +70,39 @@ def items(docs: DataFrame) -> DataFrame:
         "slice(w, 1, p % 7) AS variations",
         "w AS terms",
     )
+
+
+def raw_responses(items: DataFrame) -> DataFrame:
+    """Model-response view for the variation stage, one per item with words.
+
+    ``(seq + chapter_id) % 8`` picks the response shape: padded strings;
+    a ``variation_*`` bundle; text keys; question with points; options with
+    answer; reference answers; an unusable object; a bare number.  Some
+    responses are fenced, some carry a control character, some are cut
+    short (invalid JSON).  Object keys are written in sorted order.
+    """
+    a = "get(terms, 0)"
+    b = "array_join(slice(terms, 1, 2), ' ')"
+    c = "array_join(slice(terms, 1, 3), ' ')"
+    body = f"""CASE (seq + chapter_id) % 8
+      WHEN 0 THEN concat('["  ', {b}, '  ", "', {a}, '", " "]')
+      WHEN 1 THEN concat('{{"variations": [{{"variation_1": "', {c}, '", "variation_10": "', {a},
+                         '", "variation_2": "  "}}, "', {b}, '"]}}')
+      WHEN 2 THEN concat('[{{"question": " ", "text": "', {c}, '"}}, {{"prompt": "', {a}, '"}}]')
+      WHEN 3 THEN concat('{{"question": "', {b}, '", "reference_points": ["', {a}, '", " ", "', {c}, '"]}}')
+      WHEN 4 THEN concat('[{{"answer": "', {c}, '", "options": ["', {a}, '", " ", "', {b}, '"]}}, {{"options": []}}]')
+      WHEN 5 THEN concat('{{"variations": [{{"reference_answer": "', {c}, '"}}, {{"question": "', {a},
+                         '", "reference_answer": "', {b}, '"}}]}}')
+      WHEN 6 THEN '{{"other": 1}}'
+      ELSE '7' END"""
+    df = (items.where("size(terms) > 0")
+          .selectExpr("chapter_id", "topic_pos", "seq", "qtype", "bloom", "question", "variations",
+                      f"{body} AS body"))
+    return df.selectExpr(
+        "chapter_id", "topic_pos", "seq", "qtype", "bloom", "question", "variations",
+        "CASE WHEN seq % 11 = 10 THEN substring(body, 1, length(body) - 1) ELSE body END AS body1"
+    ).selectExpr(
+        "chapter_id", "topic_pos", "seq", "qtype", "bloom", "question", "variations",
+        "concat(CASE WHEN seq % 5 = 0 THEN char(7) ELSE '' END,"
+        " CASE WHEN seq % 3 = 0 THEN concat('```json', char(10), body1, char(10), '```') ELSE body1 END,"
+        " CASE WHEN seq % 5 = 1 THEN concat(char(13), char(10), '  ') ELSE '' END) AS raw")
