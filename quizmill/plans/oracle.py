@@ -351,3 +351,104 @@ SELECT i.chapter_id, i.seq,
        array_to_string(CASE WHEN len(coalesce(i.variations, [])) > 0 THEN i.variations
                             ELSE coalesce(r.new_variations, []) END, chr(31)) AS variations
 FROM items i LEFT JOIN var_results r USING (chapter_id, seq)"""
+
+# --- corpus preparation ------------------------------------------------------
+ORACLE["path_metadata"] = """
+WITH p AS (
+  SELECT doc_id AS chapter_id, CASE doc_id % 6
+        WHEN 0 THEN '/corpus/CBSE/' || lang || '/medium ' || lang || '/' || source || '/chapter ' || doc_id
+        WHEN 1 THEN '/corpus/Sample/' || lang || '/' || source || '/chapter ' || doc_id
+        WHEN 2 THEN '/corpus/Sample/CBSE/' || lang || '/x/' || source || '/chapter ' || doc_id
+        WHEN 3 THEN '/corpus/other/' || lang || '/' || source || '/chapter ' || doc_id
+        WHEN 4 THEN '/corpus/' || source || '/Sample/' || lang
+        ELSE '/corpus/Sample/' || lang || '/' || source || '/unit-' || doc_id || '-b' || (doc_id % 7) END AS path
+  FROM documents),
+q AS (SELECT *, string_split(path, '/') AS parts FROM p),
+r AS (SELECT *, coalesce(list_position(parts, 'CBSE'), 0) AS pc, coalesce(list_position(parts, 'Sample'), 0) AS ps FROM q),
+s AS (SELECT *, CASE WHEN pc > 0 THEN pc WHEN ps > 0 THEN ps END AS a FROM r)
+SELECT chapter_id, path,
+       CASE WHEN a IS NOT NULL THEN coalesce(parts[a + 1], 'Unknown') END AS class_name,
+       CASE WHEN a IS NOT NULL THEN coalesce(parts[a + CASE WHEN pc > 0 THEN 3 ELSE 2 END], 'Unknown') END AS subject_name,
+       CASE WHEN a IS NOT NULL THEN coalesce(parts[a + CASE WHEN pc > 0 THEN 4 ELSE 3 END], 'Unknown') END AS chapter_name,
+       parts[-1] AS dir_name,
+       nullif(regexp_extract(parts[-1], '[0-9]+', 0), '') AS chapter_number,
+       CASE WHEN a IS NULL THEN 'Could not find CBSE or Sample in path: ' || path END AS error
+FROM s"""
+
+TOPIC_TITLES = (r"list_transform(string_split(text, chr(10)), lambda x, i: CASE WHEN (i - 1) % 4 = 3 "
+                r"THEN doc_id || '.' || i || ' Zzq recap' ELSE doc_id || '.' || i || ' ' || "
+                r"coalesce(nullif(array_to_string(list_slice(" + words("x", "u") + r", 1, 3), ' '), ''), 'part') END)")
+
+ENTRIES = f"""ent AS (
+  SELECT source AS subject_key, -doc_id AS chapter_pos,
+         CASE doc_id % 3 WHEN 0 THEN 'Chapter ' || doc_id WHEN 1 THEN CAST(doc_id AS VARCHAR)
+              ELSE 'unit: chapter ' || doc_id || '!' END AS label,
+         CASE WHEN doc_id % 7 = 0 AND doc_id % 4 <> 0 THEN NULL ELSE 'Unit ' || doc_id END AS title,
+         CASE WHEN doc_id % 10 = 9 THEN []::VARCHAR[] ELSE {TOPIC_TITLES} END AS topics
+  FROM documents WHERE doc_id % 13 <> 12),
+ch AS (SELECT doc_id AS chapter_id, source AS subject_key, 'chapter ' || doc_id AS dir_name,
+              CAST(doc_id AS VARCHAR) AS chapter_number FROM documents),
+m AS (
+  SELECT c.chapter_id, min(e.chapter_pos) AS chapter_pos
+  FROM ch c JOIN ent e ON c.subject_key = e.subject_key
+   AND (lower(e.label) = lower(c.dir_name) OR contains(lower(e.label), lower(c.dir_name))
+        OR lower(e.label) = c.chapter_number)
+  GROUP BY c.chapter_id),
+matched AS (
+  SELECT m.chapter_id, m.chapter_pos, e.label, e.topics
+  FROM m JOIN ch USING (chapter_id) JOIN ent e ON e.subject_key = ch.subject_key AND e.chapter_pos = m.chapter_pos)"""
+
+ORACLE["syllabus_scan"] = with_ctes(ENTRIES) + """
+SELECT subject_key, chapter_pos, label, title, array_to_string(topics, chr(31)) AS topics, label AS shown_label FROM ent"""
+
+ORACLE["syllabus_match"] = with_ctes(ENTRIES) + """
+SELECT chapter_id, chapter_pos, label, len(topics) AS n_topics,
+       CAST(CASE WHEN len(topics) < 5 THEN 8 ELSE 5 END AS BIGINT) AS questions_per_level
+FROM matched"""
+
+ORACLE["chapter_rejects"] = with_ctes(ENTRIES) + """
+, avail AS (
+  SELECT subject_key, string_agg(label, ', ' ORDER BY chapter_pos) AS available
+  FROM (SELECT *, row_number() OVER (PARTITION BY subject_key ORDER BY chapter_pos) AS rn FROM ent) WHERE rn <= 5
+  GROUP BY subject_key),
+rej AS (
+  SELECT chapter_id, subject_key, 'not_in_syllabus' AS reason FROM ch WHERE chapter_id NOT IN (SELECT chapter_id FROM matched)
+  UNION ALL
+  SELECT chapter_id, subject_key, 'no_topics' FROM matched JOIN ch USING (chapter_id) WHERE len(topics) = 0)
+SELECT chapter_id, reason, coalesce(available, '') AS available FROM rej LEFT JOIN avail USING (subject_key)"""
+
+ORACLE["explode_topics"] = with_ctes(ENTRIES) + """
+SELECT chapter_id, CAST(i - 1 AS INTEGER) AS topic_pos, topics[i] AS topic, '[' || i || '/' || len(topics) || ']' AS progress
+FROM (SELECT *, unnest(range(1, len(topics) + 1)) AS i FROM matched)"""
+
+
+def _pos(s: str, pat: str) -> str:
+    return f"(CASE WHEN regexp_matches({s}, {pat}) THEN strpos({s}, regexp_extract({s}, {pat})) ELSE 0 END)"
+
+
+_P1 = _pos("content", r"'(?i)#+ \Q' || topic || '\E'")
+_P3 = _pos("content", r"'(?i)\Q' || topic || '\E'")
+_P4 = _pos("content", r"'(?i)\Q' || regexp_replace(topic, '^\d+\.\d+\s+', '') || '\E'")
+
+ORACLE["topic_sections"] = with_ctes(ENTRIES) + f"""
+, headed AS (
+  SELECT doc_id AS chapter_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i:
+           (CASE (i - 1) % 4 WHEN 0 THEN '# ' || tt[i] WHEN 1 THEN tt[i]
+                 WHEN 2 THEN '# ' || regexp_replace(tt[i], '^\\d+\\.\\d+\\s+', '')
+                 ELSE '# ' || doc_id || '.' || i || ' Section' END) || chr(10) || x), chr(10)) AS content
+  FROM (SELECT *, {TOPIC_TITLES} AS tt FROM documents)),
+t AS (SELECT chapter_id, CAST(i - 1 AS INTEGER) AS topic_pos, topics[i] AS topic
+      FROM (SELECT *, unnest(range(1, len(topics) + 1)) AS i FROM matched)),
+p AS (SELECT t.*, h.content, {_P1} AS p1, {_P3} AS p3, {_P4} AS p4 FROM t JOIN headed h USING (chapter_id)),
+s AS (SELECT *, CASE WHEN p1 > 0 THEN 1 WHEN p3 > 0 THEN 3 WHEN p4 > 0 THEN 4 END AS strategy,
+             CASE WHEN p1 > 0 THEN p1 WHEN p3 > 0 THEN p3 WHEN p4 > 0 THEN p4 END AS st FROM p),
+n AS (SELECT *, {_pos("substring(content, st + length(topic))", r"'\n#+ \d+\.\d+'")} AS nxt FROM s WHERE strategy IS NOT NULL),
+raw AS (SELECT *, substring(content, st, CASE WHEN nxt > 0 THEN length(topic) + nxt - 1 ELSE 3000 END) AS r FROM n)
+SELECT chapter_id, topic_pos, topic, strategy, CAST(st - 1 AS INTEGER) AS start, length(r) AS section_len,
+       length(r) > 3000 AS truncated,
+       CASE WHEN length(r) > 3000 THEN substring(r, 1, 3000) || chr(10) || chr(10) || '[Content truncated for API limits]'
+            ELSE r END AS section
+FROM raw
+UNION ALL
+SELECT chapter_id, topic_pos, topic, NULL, -1, length(substring(content, 1, 3000)), false, substring(content, 1, 3000)
+FROM s WHERE strategy IS NULL"""

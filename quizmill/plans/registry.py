@@ -178,3 +178,58 @@ def q_merge_variations(spark, sf):
     res = responses.variation_results(views.raw_responses(responses.needs_variations(it)))
     m = responses.merge_variations(it, res)
     return m.select("chapter_id", "seq", joined("variations"))
+
+
+# --- corpus preparation ------------------------------------------------------
+
+def _matched(spark, sf):
+    from ..operators import corpus
+    docs = _docs(spark, sf)
+    entries = corpus.parse_syllabus_entries(views.syllabus_entries(docs))
+    return docs, entries, corpus.match_syllabus(views.chapters(docs), entries)
+
+
+@register("path_metadata")
+def q_path_metadata(spark, sf):
+    from ..functions.paths import chapter_info
+    return views.chapter_paths(_docs(spark, sf)).select("chapter_id", "path", chapter_info(F.col("path")).alias("i")) \
+        .select("chapter_id", "path", "i.*")
+
+
+@register("syllabus_scan")
+def q_syllabus_scan(spark, sf):
+    from ..operators import corpus
+    e = corpus.parse_syllabus_entries(views.syllabus_entries(_docs(spark, sf)))
+    return e.select("subject_key", "chapter_pos", "label", "title", joined("topics"), "shown_label")
+
+
+@register("syllabus_match")
+def q_syllabus_match(spark, sf):
+    from ..operators import corpus
+    _, _, m = _matched(spark, sf)
+    n = F.size("topics")
+    return m.select("chapter_id", "chapter_pos", "label", n.cast("bigint").alias("n_topics"),
+                    corpus.questions_per_level(n).cast("bigint").alias("questions_per_level"))
+
+
+@register("chapter_rejects")
+def q_chapter_rejects(spark, sf):
+    from ..operators import corpus
+    docs, entries, m = _matched(spark, sf)
+    return corpus.chapter_rejects(views.chapters(docs), entries, m)
+
+
+@register("explode_topics")
+def q_explode_topics(spark, sf):
+    from ..operators import corpus
+    _, _, m = _matched(spark, sf)
+    return corpus.explode_topics(m)
+
+
+@register("topic_sections")
+def q_topic_sections(spark, sf):
+    from ..operators import corpus
+    docs, _, m = _matched(spark, sf)
+    s = corpus.topic_sections(views.headed_chapters(docs), m)
+    return s.select("chapter_id", "topic_pos", "topic", "strategy", "start",
+                    F.col("section_len").cast("bigint").alias("section_len"), "truncated", "section")

@@ -106,3 +106,77 @@ def raw_responses(items: DataFrame) -> DataFrame:
         "concat(CASE WHEN seq % 5 = 0 THEN char(7) ELSE '' END,"
         " CASE WHEN seq % 3 = 0 THEN concat('```json', char(10), body1, char(10), '```') ELSE body1 END,"
         " CASE WHEN seq % 5 = 1 THEN concat(char(13), char(10), '  ') ELSE '' END) AS raw")
+
+
+# ---------------------------------------------------------------------------
+# Chapter folders, syllabus entries and headed chapter content.
+# ---------------------------------------------------------------------------
+
+def chapter_paths(docs: DataFrame) -> DataFrame:
+    """(chapter_id, path): folder layouts by ``doc_id % 6`` -- CBSE with a
+    medium level, Sample, both anchors, no anchor, too short, and a folder
+    name whose number is embedded."""
+    return docs.selectExpr("doc_id AS chapter_id", """CASE doc_id % 6
+        WHEN 0 THEN concat('/corpus/CBSE/', lang, '/medium ', lang, '/', source, '/chapter ', doc_id)
+        WHEN 1 THEN concat('/corpus/Sample/', lang, '/', source, '/chapter ', doc_id)
+        WHEN 2 THEN concat('/corpus/Sample/CBSE/', lang, '/x/', source, '/chapter ', doc_id)
+        WHEN 3 THEN concat('/corpus/other/', lang, '/', source, '/chapter ', doc_id)
+        WHEN 4 THEN concat('/corpus/', source, '/Sample/', lang)
+        ELSE concat('/corpus/Sample/', lang, '/', source, '/unit-', doc_id, '-b', doc_id % 7) END AS path""")
+
+
+def chapters(docs: DataFrame) -> DataFrame:
+    """Standard-layout chapters: subject = source, folder ``chapter <doc_id>``."""
+    return docs.selectExpr("doc_id AS chapter_id", "source AS subject_key", "lang AS class_name",
+                           "concat('chapter ', doc_id) AS dir_name", "concat('chapter ', doc_id) AS chapter_name",
+                           "CAST(doc_id AS STRING) AS chapter_number", "text")
+
+
+def topic_titles_expr() -> str:
+    """SQL for the topic names of a document: one per line, numbered
+    ``<doc>.<line>``; every fourth names a section absent from the text."""
+    return """transform(split(text, '\\n'), (x, i) -> CASE WHEN i % 4 = 3
+                THEN concat(doc_id, '.', i + 1, ' Zzq recap')
+                ELSE concat(doc_id, '.', i + 1, ' ',
+                            coalesce(nullif(array_join(slice(filter(split(lower(x), '[^\\\\p{L}\\\\p{N}]+'),
+                                                                    t -> t <> ''), 1, 3), ' '), ''), 'part')) END)"""
+
+
+def syllabus_entries(docs: DataFrame) -> DataFrame:
+    """One JSON syllabus entry per document, listed in descending doc order.
+
+    Labels by ``doc_id % 3``: ``Chapter n`` / ``n`` / ``unit: chapter n!``;
+    keys are capitalised for ``doc_id % 4 = 0``; every seventh entry carries
+    an empty ``Chapter`` next to ``chapter``; every tenth has no topics;
+    every thirteenth is left out of the syllabus.
+    """
+    t = topic_titles_expr()
+    return docs.where("doc_id % 13 <> 12").selectExpr(
+        "source AS subject_key", "-doc_id AS chapter_pos",
+        f"""CASE doc_id % 3 WHEN 0 THEN concat('Chapter ', doc_id) WHEN 1 THEN CAST(doc_id AS STRING)
+             ELSE concat('unit: chapter ', doc_id, '!') END AS label""",
+        f"CASE WHEN doc_id % 10 = 9 THEN array() ELSE {t} END AS topics",
+        "doc_id % 4 = 0 AS upper_keys", "doc_id % 7 = 0 AS blank_upper", "doc_id",
+    ).selectExpr(
+        "subject_key", "chapter_pos",
+        """CASE WHEN upper_keys THEN to_json(named_struct('Chapter', label, 'Title', concat('Unit ', doc_id),
+                                                          'Topics', topics))
+                WHEN blank_upper THEN to_json(named_struct('Chapter', '', 'chapter', label, 'title', CAST(NULL AS STRING),
+                                                           'topics', topics))
+                ELSE to_json(named_struct('chapter', label, 'title', concat('Unit ', doc_id), 'topics', topics))
+           END AS entry_json""")
+
+
+def headed_chapters(docs: DataFrame) -> DataFrame:
+    """(chapter_id, content): each line preceded by a heading for its topic.
+
+    Line ``i``: ``# n.i title`` (i%4=0), plain ``n.i title`` (1), ``# title``
+    without number (2), ``# n.i Section`` that no topic names (3).
+    """
+    t = topic_titles_expr()
+    return docs.selectExpr("doc_id AS chapter_id", "split(text, '\\n') AS lines", f"{t} AS topics").selectExpr(
+        "chapter_id", """array_join(transform(lines, (x, i) -> concat(CASE i % 4
+              WHEN 0 THEN concat('# ', topics[i])
+              WHEN 1 THEN topics[i]
+              WHEN 2 THEN concat('# ', regexp_replace(topics[i], '^\\\\d+\\\\.\\\\d+\\\\s+', ''))
+              ELSE concat('# ', chapter_id, '.', i + 1, ' Section') END, '\\n', x)), '\\n') AS content""")
