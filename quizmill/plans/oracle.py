@@ -452,3 +452,41 @@ FROM raw
 UNION ALL
 SELECT chapter_id, topic_pos, topic, NULL, -1, length(substring(content, 1, 3000)), false, substring(content, 1, 3000)
 FROM s WHERE strategy IS NULL"""
+
+# --- run bookkeeping ---------------------------------------------------------
+ORACLE["skip_processed"] = """
+SELECT doc_id AS chapter_id, source AS subject_key FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+
+ORACLE["content_default"] = """
+SELECT d.doc_id AS chapter_id, length(coalesce(f.text, '')) AS content_len, f.text IS NULL AS missing_file
+FROM documents d LEFT JOIN (SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) f USING (doc_id)"""
+
+FAILED = """sec AS (
+  SELECT chapter_id, topic_pos, qtype, count(DISTINCT bloom) = 6 AS ok FROM items GROUP BY ALL),
+pt AS (SELECT chapter_id, topic_pos, count(*) FILTER (WHERE ok) AS sections_ok FROM sec GROUP BY ALL),
+failed AS (
+  SELECT pt.chapter_id, pt.topic_pos, pt.sections_ok,
+         coalesce((SELECT bool_or(p2.sections_ok = 4) FROM pt p2 WHERE p2.chapter_id = pt.chapter_id), false)
+           AS chapter_has_success
+  FROM pt WHERE sections_ok < 4)"""
+
+ORACLE["failed_topics"] = with_ctes(ITEMS, FAILED) + "SELECT * FROM failed"
+
+ORACLE["run_summary"] = with_ctes(ENTRIES, ITEMS, FAILED) + """
+, st AS (
+  SELECT d.doc_id AS chapter_id,
+         CASE WHEN l.doc_id IS NOT NULL THEN 'skipped'
+              WHEN d.doc_id NOT IN (SELECT chapter_id FROM matched)
+                OR d.doc_id IN (SELECT chapter_id FROM matched WHERE len(topics) = 0)
+                OR d.doc_id IN (SELECT chapter_id FROM failed WHERE NOT chapter_has_success)
+                OR d.doc_id NOT IN (SELECT chapter_id FROM items) THEN 'failed'
+              ELSE 'processed' END AS status,
+         l.quality = 0 AS output_empty
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT count(*) FILTER (WHERE status = 'processed') AS processed,
+       count(*) FILTER (WHERE status = 'skipped') AS skipped,
+       count(*) FILTER (WHERE status = 'failed') AS failed,
+       count(*) FILTER (WHERE status = 'processed' OR (status = 'skipped' AND NOT output_empty)) AS legacy_processed,
+       count(*) FILTER (WHERE status = 'skipped' AND output_empty) AS legacy_skipped
+FROM st"""

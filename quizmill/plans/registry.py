@@ -233,3 +233,47 @@ def q_topic_sections(spark, sf):
     s = corpus.topic_sections(views.headed_chapters(docs), m)
     return s.select("chapter_id", "topic_pos", "topic", "strategy", "start",
                     F.col("section_len").cast("bigint").alias("section_len"), "truncated", "section")
+
+
+# --- run bookkeeping ---------------------------------------------------------
+
+def _done(spark, sf):
+    """Chapters with an existing output: the ``labels`` table (an empty
+    output file where quality = 0)."""
+    return table(spark, sf, "labels").select(F.col("doc_id").alias("chapter_id"),
+                                             (F.col("quality") == 0).alias("output_empty"))
+
+
+@register("skip_processed")
+def q_skip_processed(spark, sf):
+    from ..operators import runs
+    ch = _docs(spark, sf).select(F.col("doc_id").alias("chapter_id"), F.col("source").alias("subject_key"))
+    return runs.skip_processed(ch, _done(spark, sf))
+
+
+@register("content_default")
+def q_content_default(spark, sf):
+    from ..operators import runs
+    docs = _docs(spark, sf)
+    folders = docs.select(F.col("doc_id").alias("chapter_id"))
+    files = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi") \
+        .select(F.col("doc_id").alias("chapter_id"), F.col("text").alias("content"))
+    return runs.content_default(folders, files).select(
+        "chapter_id", F.length("content").cast("bigint").alias("content_len"), "missing_file")
+
+
+@register("failed_topics")
+def q_failed_topics(spark, sf):
+    from ..operators import runs
+    return runs.failed_topics(_items(spark, sf))
+
+
+@register("run_summary")
+def q_run_summary(spark, sf):
+    from ..operators import corpus, runs
+    docs, entries, m = _matched(spark, sf)
+    chs = views.chapters(docs)
+    it = views.items(docs)
+    status = runs.chapter_status(chs, _done(spark, sf), corpus.chapter_rejects(chs, entries, m),
+                                 runs.failed_topics(it), it)
+    return runs.run_summary(status)
