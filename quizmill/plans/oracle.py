@@ -490,3 +490,71 @@ SELECT count(*) FILTER (WHERE status = 'processed') AS processed,
        count(*) FILTER (WHERE status = 'processed' OR (status = 'skipped' AND NOT output_empty)) AS legacy_processed,
        count(*) FILTER (WHERE status = 'skipped' AND output_empty) AS legacy_skipped
 FROM st"""
+
+# --- request tables ----------------------------------------------------------
+from ..functions import prompts as _pr  # noqa: E402
+
+_ts = ORACLE["topic_sections"]
+_cut = _ts.index("\nSELECT chapter_id, topic_pos, topic, strategy,")
+SECTIONS = _ts[len("WITH "):_cut] + ",\nsections AS (" + _ts[_cut:] + ")"
+
+
+def _section_prompt_sql(q: str) -> str:
+    label, fields, extra = _pr.SECTION_CONFIG[q]
+    user = _pr.render_sql(_pr.SECTION_TEMPLATE, n="CAST(qpl AS VARCHAR)", label=_pr._sql_lit(label), topic="topic",
+                          class_name="class_name", subject_name="subject_name", chapter_name="chapter_name",
+                          content="section", key=_pr._sql_lit(q), fields=_pr._sql_lit(fields))
+    if extra:
+        user = f"{user} || {_pr._sql_lit(_pr.SECTION_EXTRA.format(extra=extra))}"
+    return _pr.render_sql(_pr.TYPED_WRAP, system=_pr._sql_lit(_pr.SYSTEM_GENERATE), user=user,
+                          schema=_pr._sql_lit(_pr.schema_text(q)))
+
+
+ORACLE["section_requests"] = "WITH " + SECTIONS + f"""
+, meta AS (
+  SELECT d.doc_id AS chapter_id, d.lang AS class_name, d.source AS subject_name, 'chapter ' || d.doc_id AS chapter_name,
+         CASE WHEN len(m.topics) < 5 THEN 8 ELSE 5 END AS qpl
+  FROM documents d JOIN matched m ON m.chapter_id = d.doc_id),
+req AS (
+  SELECT s.chapter_id, s.topic_pos, q.qtype, s.topic, s.section, meta.*
+  FROM sections s JOIN meta USING (chapter_id)
+  CROSS JOIN (SELECT unnest(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer']) AS qtype) q),
+rp AS (SELECT *, CASE qtype {" ".join(f"WHEN '{q}' THEN {_section_prompt_sql(q)}" for q in _pr.SECTION_CONFIG)} END AS prompt
+      FROM req)
+SELECT 'generate:' || chapter_id || ':' || topic_pos || ':' || qtype AS request_id, chapter_id, topic_pos, qtype,
+       length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
+FROM rp"""
+
+_VERIFY_USER = _pr.render_sql(_pr.VERIFY_TEMPLATE, topic="chapter_id || '.' || (topic_pos + 1)", items_json="items_json")
+ORACLE["verification_requests"] = with_ctes(ITEMS) + f"""
+, g AS (
+  SELECT chapter_id, topic_pos, count(*) AS n_items,
+         to_json(list({{'qtype': qtype, 'bloom': bloom, 'question': question, 'options': options, 'answer': answer,
+                       'explanation': explanation, 'reference_answer': reference_answer,
+                       'reference_points': reference_points, 'variations': variations}}
+                      ORDER BY list_position(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer'], qtype),
+                               bloom_ord, seq))::VARCHAR AS items_json
+  FROM items GROUP BY chapter_id, topic_pos),
+p AS (SELECT *, {_pr.render_sql(_pr.TYPED_WRAP, system=_pr._sql_lit(_pr.SYSTEM_VERIFY), user=_VERIFY_USER,
+                                schema=_pr._sql_lit(_pr.schema_text("MCQs")))} AS prompt FROM g)
+SELECT 'verify:' || chapter_id || ':' || topic_pos AS request_id, chapter_id, topic_pos, n_items,
+       length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
+FROM p"""
+
+_BUL = "array_to_string(list_transform({x}, lambda b: '- ' || b), chr(10))"
+_DETAILS = f"""(CASE WHEN qtype = 'MCQs' THEN 'Options:' || chr(10) || {_BUL.format(x="coalesce(options, [])")}
+                   || chr(10) || chr(10) || 'Correct answer: ' || coalesce(answer, '')
+              WHEN qtype = 'fill_in_the_blanks' THEN 'Answer: ' || coalesce(answer, '')
+              WHEN qtype = 'short_answer' THEN 'Reference answer: ' || coalesce(reference_answer, '')
+              WHEN len(coalesce(points, [])) > 0 THEN 'Reference points:' || chr(10) || {_BUL.format(x="points")}
+              ELSE 'Legacy reference answer: ' || coalesce(reference_answer, '') END)"""
+_TYPE_NAME = ("(CASE qtype WHEN 'MCQs' THEN 'MCQ' WHEN 'fill_in_the_blanks' THEN 'Fill in the Blank' "
+              "WHEN 'short_answer' THEN 'Short Answer' ELSE 'Long Answer' END)")
+_VARY_USER = _pr.render_sql(_pr.VARY_TEMPLATE, type_name=_TYPE_NAME, bloom="bloom",
+                            topic="chapter_id || '.' || (topic_pos + 1)", question="question", details=_DETAILS)
+ORACLE["variation_requests"] = with_ctes(ITEMS, FLAGS) + f"""
+, p AS (SELECT *, {_pr.render_sql(_pr.FREE_WRAP, system=_pr._sql_lit(_pr.SYSTEM_VARY), user=_VARY_USER)} AS prompt
+        FROM flags WHERE len(coalesce(variations, [])) = 0)
+SELECT 'vary:' || chapter_id || ':' || seq AS request_id, chapter_id, seq, qtype,
+       length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
+FROM p"""

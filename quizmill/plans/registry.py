@@ -277,3 +277,35 @@ def q_run_summary(spark, sf):
     status = runs.chapter_status(chs, _done(spark, sf), corpus.chapter_rejects(chs, entries, m),
                                  runs.failed_topics(it), it)
     return runs.run_summary(status)
+
+
+# --- request tables ----------------------------------------------------------
+
+def _prompt_digest(df, *keys):
+    return df.select(*keys, F.length("prompt").cast("bigint").alias("prompt_len"),
+                     F.md5("prompt").alias("prompt_md5"))
+
+
+@register("section_requests")
+def q_section_requests(spark, sf):
+    from ..operators import corpus, requests
+    docs, _, m = _matched(spark, sf)
+    sections = corpus.topic_sections(views.headed_chapters(docs), m)
+    meta = (views.chapters(docs).select("chapter_id", "class_name", F.col("subject_key").alias("subject_name"),
+                                        "chapter_name")
+            .join(m.select("chapter_id", corpus.questions_per_level(F.size("topics")).alias("questions_per_level")),
+                  "chapter_id"))
+    return _prompt_digest(requests.section_requests(sections, meta), "request_id", "chapter_id", "topic_pos", "qtype")
+
+
+@register("verification_requests")
+def q_verification_requests(spark, sf):
+    from ..operators import requests
+    r = requests.verification_requests(_items(spark, sf))
+    return _prompt_digest(r, "request_id", "chapter_id", "topic_pos", "n_items")
+
+
+@register("variation_requests")
+def q_variation_requests(spark, sf):
+    from ..operators import requests
+    return _prompt_digest(requests.variation_requests(_items(spark, sf)), "request_id", "chapter_id", "seq", "qtype")
