@@ -74,3 +74,132 @@ def variation_tally(items: DataFrame, results: DataFrame) -> DataFrame:
         F.count_if(F.col("parsed").isNull()).cast("bigint").alias("calls_failed"),
         F.sum(F.size(F.coalesce("new_variations", F.array().cast("array<string>")))).cast("bigint")
         .alias("variations_obtained"))
+
+
+# ---------------------------------------------------------------------------
+# Typed section responses: nest, parse, flatten, combine, assemble
+# ---------------------------------------------------------------------------
+
+from ..schemas import BLOOMS, ITEM_FIELDS, QTYPES, TYPE_FIELDS  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+_ALL_ITEM = T.StructType(ITEM_FIELDS)
+_GROUP = T.StructType([T.StructField("bloom_taxonomy", T.StringType()),
+                       T.StructField("questions", T.ArrayType(_ALL_ITEM))])
+# One parse schema for every type; fields a type does not declare are
+# dropped afterwards, exactly as a typed record would ignore them.
+SECTION_ANY = T.StructType([T.StructField(q, T.ArrayType(_GROUP)) for q in QTYPES])
+
+
+def _item_struct():
+    return F.struct(*[F.col(f.name) for f in ITEM_FIELDS])
+
+
+def nest_sections(items: DataFrame) -> DataFrame:
+    """Items -> one typed JSON response per (chapter, topic, type):
+    ``{"<type>": [{"bloom_taxonomy": level, "questions": [...]}, ...]}`` with
+    levels in canonical order and items in position order (D2)."""
+    groups = (items.groupBy("chapter_id", "topic_pos", "qtype", "bloom_ord", "bloom")
+              .agg(F.array_sort(F.collect_list(F.struct("seq", _item_struct().alias("q")))).alias("qs")))
+    sec = (groups.groupBy("chapter_id", "topic_pos", "qtype")
+           .agg(F.array_sort(F.collect_list(F.struct(
+               "bloom_ord", F.col("bloom").alias("bloom_taxonomy"),
+               F.transform("qs", lambda x: x["q"]).alias("questions")))).alias("gs")))
+    body = F.transform("gs", lambda g: F.struct(g["bloom_taxonomy"].alias("bloom_taxonomy"),
+                                                g["questions"].alias("questions")))
+    raw = F.to_json(F.create_map(F.col("qtype"), body))
+    return sec.select("chapter_id", "topic_pos", "qtype", raw.alias("raw"))
+
+
+def parse_sections(responses: DataFrame, raw: str = "raw") -> DataFrame:
+    """Clean and parse typed responses; ``groups`` is null when the text is
+    not valid JSON or lacks the type's key (the call counts as failed)."""
+    parsed = F.from_json(tx.clean_response(raw), SECTION_ANY)
+    groups = F.when(F.col("qtype") == QTYPES[0], parsed[QTYPES[0]])
+    for q in QTYPES[1:]:
+        groups = groups.when(F.col("qtype") == q, parsed[q])
+    return responses.withColumn("groups", groups)
+
+
+def section_ok(groups) -> F.Column:
+    """Typed-section validity: six groups, each with at least one item,
+    each level one of the six (I3-I5)."""
+    return (F.coalesce(F.size(groups) == 6, F.lit(False))
+            & F.forall(groups, lambda g: (F.size(g["questions"]) >= 1) & g["bloom_taxonomy"].isin(*BLOOMS)))
+
+
+def flatten_sections(parsed: DataFrame) -> DataFrame:
+    """Parsed sections -> flat items (D1, G1): group position, item
+    position, and only the fields the item's type declares (B10)."""
+    g = parsed.select("chapter_id", "topic_pos", "qtype", F.posexplode("groups").alias("group_pos", "g"))
+    q = g.select("chapter_id", "topic_pos", "qtype", "group_pos", F.col("g.bloom_taxonomy").alias("bloom"),
+                 F.posexplode("g.questions").alias("q_pos", "it"))
+    cols = []
+    for f in ITEM_FIELDS:
+        declared = [t for t in QTYPES if f.name in TYPE_FIELDS[t]]
+        c = F.when(F.col("qtype").isin(*declared), F.col("it")[f.name])
+        if f.name == "variations":
+            c = F.coalesce(c, F.array().cast("array<string>"))
+        if f.name == "reference_answer":
+            c = F.when(F.col("qtype") == "long_answer", F.coalesce(c, F.lit(""))).otherwise(c)
+        cols.append(c.alias(f.name))
+    bloom_ord = F.array_position(F.array(*[F.lit(b) for b in BLOOMS]), F.col("bloom")).cast("int")
+    return q.select("chapter_id", "topic_pos", "qtype", "bloom", bloom_ord.alias("bloom_ord"),
+                    "group_pos", "q_pos", *cols)
+
+
+def combine_sections(parsed: DataFrame) -> DataFrame:
+    """Four section responses -> one topic row; any failed section fails the topic (D3)."""
+    ok = parsed.withColumn("ok", section_ok(F.col("groups")))
+    p = ok.groupBy("chapter_id", "topic_pos").pivot("qtype", QTYPES).agg(F.first("ok"))
+    all_ok = F.lit(True)
+    for q in QTYPES:
+        all_ok = all_ok & F.coalesce(F.col(q), F.lit(False))
+    return p.select("chapter_id", "topic_pos", *[F.coalesce(F.col(q), F.lit(False)).alias(q) for q in QTYPES],
+                    all_ok.alias("topic_ok"))
+
+
+def chapter_assembly(topics: DataFrame) -> DataFrame:
+    """total_topics = successful topics; a chapter with none fails."""
+    return topics.groupBy("chapter_id").agg(
+        F.count_if("topic_ok").cast("bigint").alias("total_topics"),
+        F.count("*").cast("bigint").alias("attempted_topics"),
+        (F.count_if("topic_ok") >= 1).alias("chapter_ok"))
+
+
+def _typed_section(groups, fields):
+    """Section groups with items narrowed to the declared ``fields``."""
+    def item(it):
+        return F.struct(*[it[f].alias(f) for f in fields])
+
+    def group(g):
+        return F.struct(g["bloom_taxonomy"].alias("bloom_taxonomy"), F.transform(g["questions"], item).alias("questions"))
+    return F.transform(groups, group)
+
+
+def bank_documents(items: DataFrame, chapters: DataFrame) -> DataFrame:
+    """Nested chapter banks as JSON: class, subject, chapter, total_topics,
+    topics[{topic, MCQs, fill_in_the_blanks, short_answer, long_answer}],
+    each section a list of {bloom_taxonomy, questions} whose items carry
+    exactly their type's declared fields.
+
+    Each type gets its own typed column (null on other types' rows), so a
+    topic row is one hash aggregate with ``first(ignorenulls)``; chapters
+    then collect their topic structs.  The largest group is one chapter's
+    bank, i.e. the document written.
+    """
+    parsed = parse_sections(nest_sections(items))
+    typed = []
+    for q in QTYPES:
+        typed.append(F.when(F.col("qtype") == q, _typed_section(F.col("groups"), TYPE_FIELDS[q])).alias(q))
+    s = parsed.select("chapter_id", "topic_pos", *typed)
+    t = s.groupBy("chapter_id", "topic_pos").agg(*[F.first(q, ignorenulls=True).alias(q) for q in QTYPES])
+    name = F.concat(F.col("chapter_id").cast("string"), F.lit("."), (F.col("topic_pos") + 1).cast("string"))
+    ch = (t.groupBy("chapter_id")
+          .agg(F.array_sort(F.collect_list(F.struct("topic_pos", F.struct(name.alias("topic"), *QTYPES).alias("t"))))
+               .alias("ts")))
+    j = ch.join(chapters, "chapter_id")
+    doc = F.struct("class_name", "subject_name", "chapter_name", F.size("ts").alias("total_topics"),
+                   F.transform("ts", lambda x: x["t"]).alias("topics"))
+    return j.select("chapter_id", "class_name", "subject_name",
+                    F.to_json(doc, {"ignoreNullFields": "false"}).alias("bank_json"))

@@ -558,3 +558,76 @@ ORACLE["variation_requests"] = with_ctes(ITEMS, FLAGS) + f"""
 SELECT 'vary:' || chapter_id || ':' || seq AS request_id, chapter_id, seq, qtype,
        length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
 FROM p"""
+
+# --- typed responses and banks ----------------------------------------------
+SECTIONS_FLAT = """sec AS (
+  SELECT chapter_id, topic_pos, qtype, count(DISTINCT bloom) AS n_groups FROM items GROUP BY ALL)"""
+
+ORACLE["parse_sections"] = with_ctes(ITEMS, SECTIONS_FLAT) + """
+SELECT chapter_id, topic_pos, qtype, n_groups, n_groups = 6 AS section_ok FROM sec"""
+
+ORACLE["flatten_bank"] = with_ctes(ITEMS) + """
+, f AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY chapter_id, topic_pos, qtype ORDER BY bloom_ord) - 1 AS INTEGER) AS group_pos,
+         CAST(row_number() OVER (PARTITION BY chapter_id, topic_pos, qtype, bloom ORDER BY seq) - 1 AS INTEGER) AS q_pos
+  FROM items)
+SELECT chapter_id, topic_pos, qtype, bloom, bloom_ord, group_pos, q_pos, question,
+       array_to_string(CASE WHEN qtype = 'MCQs' THEN options END, chr(31)) AS options,
+       CASE WHEN qtype IN ('MCQs', 'fill_in_the_blanks') THEN answer END AS answer,
+       CASE WHEN qtype = 'MCQs' THEN explanation END AS explanation,
+       CASE WHEN qtype = 'short_answer' THEN reference_answer
+            WHEN qtype = 'long_answer' THEN coalesce(reference_answer, '') END AS reference_answer,
+       array_to_string(CASE WHEN qtype = 'long_answer' THEN reference_points END, chr(31)) AS reference_points,
+       array_to_string(coalesce(variations, []), chr(31)) AS variations,
+       group_pos + 1 = bloom_ord AS level_order_ok
+FROM f"""
+
+COMBINED = """comb AS (
+  SELECT chapter_id, topic_pos,
+         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'MCQs'), false) AS "MCQs",
+         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'fill_in_the_blanks'), false) AS fill_in_the_blanks,
+         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'short_answer'), false) AS short_answer,
+         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'long_answer'), false) AS long_answer
+  FROM sec GROUP BY chapter_id, topic_pos)"""
+
+ORACLE["combine_sections"] = with_ctes(ITEMS, SECTIONS_FLAT, COMBINED) + """
+SELECT *, "MCQs" AND fill_in_the_blanks AND short_answer AND long_answer AS topic_ok FROM comb"""
+
+ORACLE["chapter_assembly"] = with_ctes(ITEMS, SECTIONS_FLAT, COMBINED) + """
+SELECT chapter_id, count(*) FILTER (WHERE ok) AS total_topics, count(*) AS attempted_topics,
+       count(*) FILTER (WHERE ok) >= 1 AS chapter_ok
+FROM (SELECT *, "MCQs" AND fill_in_the_blanks AND short_answer AND long_answer AS ok FROM comb)
+GROUP BY chapter_id"""
+
+
+def _typed_items(q: str) -> str:
+    from ..schemas import TYPE_FIELDS
+    fields = ", ".join(f"'{f}': {('coalesce(reference_answer, ' + chr(39) * 2 + ')') if (f == 'reference_answer' and q == 'long_answer') else f}"
+                       for f in TYPE_FIELDS[q])
+    return f"list({{{fields}}} ORDER BY seq)"
+
+
+ORACLE["bank_export"] = with_ctes(ITEMS) + f"""
+, grp AS (
+  SELECT chapter_id, topic_pos, qtype, bloom_ord, bloom,
+         CASE qtype {" ".join(f"WHEN '{q}' THEN to_json({_typed_items(q)})" for q in ['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer'])} END AS qs
+  FROM items GROUP BY chapter_id, topic_pos, qtype, bloom_ord, bloom),
+sec AS (
+  SELECT chapter_id, topic_pos, qtype,
+         '[' || string_agg('{{"bloom_taxonomy":' || to_json(bloom) || ',"questions":' || qs || '}}', ',' ORDER BY bloom_ord) || ']' AS s
+  FROM grp GROUP BY chapter_id, topic_pos, qtype),
+top AS (
+  SELECT chapter_id, topic_pos,
+         '{{"topic":' || to_json(chapter_id || '.' || (topic_pos + 1))
+         || ',"MCQs":' || coalesce(max(s) FILTER (WHERE qtype = 'MCQs'), 'null')
+         || ',"fill_in_the_blanks":' || coalesce(max(s) FILTER (WHERE qtype = 'fill_in_the_blanks'), 'null')
+         || ',"short_answer":' || coalesce(max(s) FILTER (WHERE qtype = 'short_answer'), 'null')
+         || ',"long_answer":' || coalesce(max(s) FILTER (WHERE qtype = 'long_answer'), 'null') || '}}' AS t
+  FROM sec GROUP BY chapter_id, topic_pos),
+doc AS (
+  SELECT t.chapter_id, d.lang AS class_name, d.source AS subject_name,
+         '{{"class_name":' || to_json(d.lang) || ',"subject_name":' || to_json(d.source)
+         || ',"chapter_name":' || to_json('chapter ' || d.doc_id) || ',"total_topics":' || count(*)
+         || ',"topics":[' || string_agg(t.t, ',' ORDER BY t.topic_pos) || ']}}' AS j
+  FROM top t JOIN documents d ON d.doc_id = t.chapter_id GROUP BY t.chapter_id, d.lang, d.source, d.doc_id)
+SELECT chapter_id, class_name, subject_name, length(j) AS json_len, md5(j) AS json_md5 FROM doc"""

@@ -309,3 +309,50 @@ def q_verification_requests(spark, sf):
 def q_variation_requests(spark, sf):
     from ..operators import requests
     return _prompt_digest(requests.variation_requests(_items(spark, sf)), "request_id", "chapter_id", "seq", "qtype")
+
+
+# --- typed responses and banks ----------------------------------------------
+
+def _parsed_sections(spark, sf):
+    from ..operators import responses
+    return responses.parse_sections(responses.nest_sections(_items(spark, sf)))
+
+
+@register("parse_sections")
+def q_parse_sections(spark, sf):
+    from ..operators import responses
+    p = _parsed_sections(spark, sf)
+    return p.select("chapter_id", "topic_pos", "qtype", F.size("groups").cast("bigint").alias("n_groups"),
+                    responses.section_ok(F.col("groups")).alias("section_ok"))
+
+
+@register("flatten_bank")
+def q_flatten_bank(spark, sf):
+    from ..operators import responses
+    f = responses.flatten_sections(_parsed_sections(spark, sf))
+    return f.select("chapter_id", "topic_pos", "qtype", "bloom", "bloom_ord", "group_pos", "q_pos", "question",
+                    joined("options"), "answer", "explanation", "reference_answer", joined("reference_points"),
+                    joined("variations"), (F.col("group_pos") + 1 == F.col("bloom_ord")).alias("level_order_ok"))
+
+
+@register("combine_sections")
+def q_combine_sections(spark, sf):
+    from ..operators import responses
+    return responses.combine_sections(_parsed_sections(spark, sf))
+
+
+@register("chapter_assembly")
+def q_chapter_assembly(spark, sf):
+    from ..operators import responses
+    return responses.chapter_assembly(responses.combine_sections(_parsed_sections(spark, sf)))
+
+
+@register("bank_export")
+def q_bank_export(spark, sf):
+    from ..operators import responses
+    docs = _docs(spark, sf)
+    meta = views.chapters(docs).select("chapter_id", "class_name", F.col("subject_key").alias("subject_name"),
+                                       "chapter_name")
+    b = responses.bank_documents(views.items(docs), meta)
+    return b.select("chapter_id", "class_name", "subject_name", F.length("bank_json").cast("bigint").alias("json_len"),
+                    F.md5("bank_json").alias("json_md5"))
