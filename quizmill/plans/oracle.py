@@ -631,3 +631,34 @@ doc AS (
          || ',"topics":[' || string_agg(t.t, ',' ORDER BY t.topic_pos) || ']}}' AS j
   FROM top t JOIN documents d ON d.doc_id = t.chapter_id GROUP BY t.chapter_id, d.lang, d.source, d.doc_id)
 SELECT chapter_id, class_name, subject_name, length(j) AS json_len, md5(j) AS json_md5 FROM doc"""
+
+# --- near duplicates ---------------------------------------------------------
+ORACLE["near_duplicates"] = f"""
+WITH tok AS (SELECT doc_id, {words('text')} AS w FROM documents),
+sh AS (SELECT doc_id, CASE WHEN len(w) >= 5
+                 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+                 ELSE [array_to_string(w, ' ')] END AS s
+       FROM tok WHERE len(w) > 0),
+sets AS (SELECT doc_id, list_sort(list_distinct(s)) AS st FROM sh),
+cls AS (SELECT doc_id, st, len(st) AS n, min(doc_id) OVER (PARTITION BY st) AS rep FROM sets),
+ex AS (SELECT doc_id, n, unnest(st) AS sh FROM cls WHERE doc_id = rep),
+pairs AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS inter, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM ex a JOIN ex b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2)
+SELECT doc_a, doc_b, 'near' AS kind, round(inter / (na + nb - inter), 6) AS jaccard
+FROM pairs WHERE inter * 5 >= (na + nb - inter) * 4
+UNION ALL
+SELECT rep, doc_id, 'copy', 1.0 FROM cls WHERE doc_id <> rep"""
+
+ORACLE["near_duplicate_items"] = with_ctes(ITEMS) + """
+, sets AS (SELECT chapter_id, topic_pos, seq, list_sort(list_distinct(terms)) AS st FROM items WHERE len(terms) > 0),
+cls AS (SELECT *, len(st) AS n, min(seq) OVER (PARTITION BY chapter_id, topic_pos, st) AS rep FROM sets),
+ex AS (SELECT chapter_id, topic_pos, seq, n, unnest(st) AS w FROM cls WHERE seq = rep),
+pairs AS (SELECT a.chapter_id, a.topic_pos, a.seq AS seq_a, b.seq AS seq_b, count(*) AS inter,
+                 any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM ex a JOIN ex b ON a.chapter_id = b.chapter_id AND a.topic_pos = b.topic_pos AND a.w = b.w
+                              AND a.seq < b.seq
+          GROUP BY 1, 2, 3, 4)
+SELECT chapter_id, topic_pos, seq_a, seq_b, 'near' AS kind, round(inter / (na + nb - inter), 6) AS jaccard
+FROM pairs WHERE inter * 5 >= (na + nb - inter) * 4
+UNION ALL
+SELECT chapter_id, topic_pos, rep, seq, 'copy', 1.0 FROM cls WHERE seq <> rep"""

@@ -356,3 +356,17 @@ def q_bank_export(spark, sf):
     b = responses.bank_documents(views.items(docs), meta)
     return b.select("chapter_id", "class_name", "subject_name", F.length("bank_json").cast("bigint").alias("json_len"),
                     F.md5("bank_json").alias("json_md5"))
+
+
+# --- near duplicates ---------------------------------------------------------
+
+@register("near_duplicates")
+def q_near_duplicates(spark, sf):
+    from ..operators import similarity
+    return similarity.near_duplicate_documents(_docs(spark, sf))
+
+
+@register("near_duplicate_items")
+def q_near_duplicate_items(spark, sf):
+    from ..operators import similarity
+    return similarity.near_duplicate_items(_items(spark, sf))
