@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, rollup
 from ..sources import views
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 SEP = "\x1f"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,7 @@ def joined(col: str, alias: str | None = None):
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def _items(spark, sf):
