@@ -200,3 +200,41 @@ def long_answer_rules(items: DataFrame) -> DataFrame:
         .cast("bigint").alias("max_point_words"),
         (F.size(F.array_distinct("points")) == n).alias("points_distinct"),
     )
+
+
+def bloom_alignment(items: DataFrame, keywords: DataFrame) -> DataFrame:
+    """Level alignment by keyword list.
+
+    Distinct question words meet the fixed keyword dimension in a broadcast
+    join (36 rows, fixed size); an item is misaligned when it uses level
+    keywords but none of its assigned level.  A keyword may name two levels.
+    """
+    toks = items.select("chapter_id", "seq", "bloom", F.explode(F.array_distinct("terms")).alias("keyword"))
+    hits = toks.join(F.broadcast(keywords.select("keyword", F.col("bloom").alias("kw_bloom"))), "keyword")
+    return hits.groupBy("chapter_id", "seq", "bloom").agg(
+        F.array_join(F.array_sort(F.collect_set("kw_bloom")), ",").alias("keyword_levels"),
+        F.array_join(F.array_sort(F.collect_set("keyword")), ",").alias("keywords"),
+        F.max(F.col("kw_bloom") == F.col("bloom")).alias("aligned"))
+
+
+def question_index(items: DataFrame) -> DataFrame:
+    """0-based index of an item inside its section (E1): level order, then
+    position.  A section is one model call's output, so the window
+    partition is bounded by the per-section item budget."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("chapter_id", "topic_pos", "qtype").orderBy("bloom_ord", "seq")
+    return items.select("chapter_id", "topic_pos", "qtype", "seq",
+                        (F.row_number().over(w) - 1).alias("question_index"))
+
+
+def item_verdicts(items: DataFrame, issues: DataFrame) -> DataFrame:
+    """Per item: issue count, worst severity and validity (no critical or
+    high issue) joined back by item key (C5, J23)."""
+    agg = issues.groupBy("chapter_id", "seq").agg(
+        F.count("*").cast("bigint").alias("n_issues"),
+        F.max(F.expr("CASE severity WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 "
+                     "WHEN 'critical' THEN 4 END")).alias("worst"))
+    j = question_index(items).join(agg, ["chapter_id", "seq"], "left")
+    return j.select("chapter_id", "topic_pos", "qtype", "seq", "question_index",
+                    F.coalesce("n_issues", F.lit(0)).cast("bigint").alias("n_issues"),
+                    (F.coalesce("worst", F.lit(0)) < 3).alias("is_valid"))

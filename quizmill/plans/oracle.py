@@ -662,3 +662,42 @@ SELECT chapter_id, topic_pos, seq_a, seq_b, 'near' AS kind, round(inter / (na +
 FROM pairs WHERE inter * 5 >= (na + nb - inter) * 4
 UNION ALL
 SELECT chapter_id, topic_pos, rep, seq, 'copy', 1.0 FROM cls WHERE seq <> rep"""
+
+
+# --- alignment, verdicts, template variations --------------------------------
+KEYWORDS_SQL = """SELECT * FROM (VALUES ('define', 'remember'), ('list', 'remember'), ('identify', 'remember'), ('name', 'remember'), ('state', 'remember'), ('describe', 'remember'), ('recognize', 'remember'), ('explain', 'understand'), ('summarize', 'understand'), ('paraphrase', 'understand'), ('classify', 'understand'), ('compare', 'understand'), ('interpret', 'understand'), ('apply', 'apply'), ('demonstrate', 'apply'), ('solve', 'apply'), ('use', 'apply'), ('illustrate', 'apply'), ('calculate', 'apply'), ('analyze', 'analyze'), ('compare', 'analyze'), ('contrast', 'analyze'), ('distinguish', 'analyze'), ('examine', 'analyze'), ('categorize', 'analyze'), ('evaluate', 'evaluate'), ('judge', 'evaluate'), ('critique', 'evaluate'), ('defend', 'evaluate'), ('assess', 'evaluate'), ('prioritize', 'evaluate'), ('create', 'create'), ('design', 'create'), ('construct', 'create'), ('develop', 'create'), ('formulate', 'create'), ('propose', 'create')) t(keyword, kw_bloom)"""
+STEMS_SQL = """CASE bloom WHEN 'remember' THEN ['Define the idea in: {q}', 'List the facts stated in: {q}', 'Identify the key term in: {q}', 'Name the concept behind: {q}', 'State what is said in: {q}'] WHEN 'understand' THEN ['Explain in your words: {q}', 'Summarize the point of: {q}', 'Paraphrase: {q}', 'Classify the idea in: {q}', 'Interpret the meaning of: {q}'] WHEN 'apply' THEN ['Apply this idea to a new case: {q}', 'Demonstrate with an example: {q}', 'Solve using: {q}', 'Use this to decide: {q}', 'Illustrate with a case: {q}'] WHEN 'analyze' THEN ['Analyze the parts of: {q}', 'Contrast two readings of: {q}', 'Distinguish the causes in: {q}', 'Examine the reasons for: {q}', 'Categorize the elements of: {q}'] WHEN 'evaluate' THEN ['Evaluate the claim: {q}', 'Judge how sound this is: {q}', 'Critique: {q}', 'Defend or reject: {q}', 'Assess the strength of: {q}'] WHEN 'create' THEN ['Design a task based on: {q}', 'Construct an example of: {q}', 'Develop a plan from: {q}', 'Formulate a question about: {q}', 'Propose a change to: {q}'] END"""
+
+ORACLE["bloom_alignment"] = with_ctes(ITEMS) + f"""
+, kw AS ({KEYWORDS_SQL}),
+st AS (SELECT chapter_id, seq, bloom,
+              replace(list_transform([['remember', 'understand', 'apply', 'analyze', 'evaluate', 'create']
+                                       [((bloom_ord - 1 + CASE WHEN seq % 5 = 0 THEN 1 ELSE 0 END) % 6) + 1]],
+                                     lambda bloom: {STEMS_SQL})[1][seq % 5 + 1], '{{q}}', question) AS text
+       FROM items),
+hits AS (SELECT i.chapter_id, i.seq, i.bloom, k.keyword, k.kw_bloom
+         FROM (SELECT chapter_id, seq, bloom, unnest(list_distinct({words('text')})) AS keyword FROM st) i
+         JOIN kw k USING (keyword))
+SELECT chapter_id, seq, bloom, array_to_string(list_sort(list_distinct(list(kw_bloom))), ',') AS keyword_levels,
+       array_to_string(list_sort(list_distinct(list(keyword))), ',') AS keywords, bool_or(kw_bloom = bloom) AS aligned
+FROM hits GROUP BY chapter_id, seq, bloom"""
+
+QINDEX = """qi AS (
+  SELECT chapter_id, topic_pos, qtype, seq,
+         CAST(row_number() OVER (PARTITION BY chapter_id, topic_pos, qtype ORDER BY bloom_ord, seq) - 1 AS INTEGER)
+           AS question_index
+  FROM items)"""
+
+ORACLE["question_index"] = with_ctes(ITEMS, QINDEX) + "SELECT * FROM qi"
+
+ORACLE["item_verdicts"] = with_ctes(*ISSUES, QINDEX) + """
+SELECT q.chapter_id, q.topic_pos, q.qtype, q.seq, q.question_index, coalesce(a.n, 0) AS n_issues,
+       coalesce(a.worst, 0) < 3 AS is_valid
+FROM qi q LEFT JOIN (SELECT chapter_id, seq, count(*) AS n,
+                            max(CASE severity WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 ELSE 4 END) AS worst
+                     FROM issues GROUP BY ALL) a USING (chapter_id, seq)"""
+
+ORACLE["template_variations"] = with_ctes(ITEMS) + f"""
+SELECT chapter_id, seq, array_to_string(list_transform({STEMS_SQL}, lambda s: replace(s, '{{q}}', question)), chr(31))
+       AS variations
+FROM items"""

@@ -370,3 +370,38 @@ def q_near_duplicates(spark, sf):
 def q_near_duplicate_items(spark, sf):
     from ..operators import similarity
     return similarity.near_duplicate_items(_items(spark, sf))
+
+
+# --- alignment, verdicts, template variations --------------------------------
+
+@register("bloom_alignment")
+def q_bloom_alignment(spark, sf):
+    """Alignment of stem-templated items; every fifth item takes its stem
+    from the next level (planted misalignment)."""
+    from ..functions import text as tx
+    from ..operators import extractive
+    from ..schemas import BLOOMS, bloom_keywords_df
+    it = _items(spark, sf)
+    lvl = F.element_at(F.array(*[F.lit(b) for b in BLOOMS]),
+                       ((F.col("bloom_ord") - 1 + F.when(F.col("seq") % 5 == 0, 1).otherwise(0)) % 6 + 1).cast("int"))
+    stem = F.element_at(extractive.stems_for(lvl), (F.col("seq") % 5 + 1).cast("int"))
+    t = it.select("chapter_id", "seq", "bloom", F.replace(stem, F.lit("{q}"), F.col("question")).alias("text"))
+    return quality.bloom_alignment(t.withColumn("terms", tx.words("text")), bloom_keywords_df(spark))
+
+
+@register("question_index")
+def q_question_index(spark, sf):
+    return quality.question_index(_items(spark, sf))
+
+
+@register("item_verdicts")
+def q_item_verdicts(spark, sf):
+    it = _items(spark, sf)
+    return quality.item_verdicts(it, quality.all_issues(it))
+
+
+@register("template_variations")
+def q_template_variations(spark, sf):
+    from ..operators import extractive
+    t = extractive.template_variations(_items(spark, sf))
+    return t.select("chapter_id", "seq", joined("variations"))
