@@ -701,3 +701,12 @@ ORACLE["template_variations"] = with_ctes(ITEMS) + f"""
 SELECT chapter_id, seq, array_to_string(list_transform({STEMS_SQL}, lambda s: replace(s, '{{q}}', question)), chr(31))
        AS variations
 FROM items"""
+
+ORACLE["batch_vary"] = with_ctes(ITEMS) + f"""
+SELECT chapter_id, seq,
+       CAST(CASE WHEN (chapter_id + seq) % 17 = 0 THEN 3 ELSE seq % 3 + 1 END AS INTEGER) AS attempt_count,
+       (chapter_id + seq) % 17 = 0 AS failed,
+       CASE WHEN (chapter_id + seq) % 17 = 0 THEN ''
+            ELSE array_to_string(list_transform({STEMS_SQL}, lambda s: replace(s, '{{q}}', question)), chr(31)) END
+         AS variations
+FROM items WHERE len(coalesce(variations, [])) = 0"""
