@@ -710,3 +710,14 @@ SELECT chapter_id, seq,
             ELSE array_to_string(list_transform({STEMS_SQL}, lambda s: replace(s, '{{q}}', question)), chr(31)) END
          AS variations
 FROM items WHERE len(coalesce(variations, [])) = 0"""
+
+ORACLE["snapshot_rows"] = """
+WITH ch AS (SELECT lang AS class_name, source AS subject_name, 'chapter ' || doc_id AS chapter_name FROM documents),
+st AS (SELECT unnest(['generated', 'verified', 'varied']) AS stage)
+SELECT chapter_name AS chapter_id, stage, strftime(TIMESTAMP '2024-01-02 03:04:05', '%Y%m%d_%H%M%S') AS run_ts,
+       replace(class_name, ' ', '_') || '_' || replace(subject_name, ' ', '_') || '_' || replace(chapter_name, ' ', '_')
+         || '_' || stage || '_' || strftime(TIMESTAMP '2024-01-02 03:04:05', '%Y%m%d_%H%M%S') || '.txt' AS file_name,
+       'Backup: ' || class_name || ' - ' || subject_name || ' - ' || chapter_name || chr(10) || 'Stage: ' || stage
+         || chr(10) || 'Timestamp: ' || strftime(TIMESTAMP '2024-01-02 03:04:05', '%Y%m%d_%H%M%S') || chr(10)
+         || repeat('=', 80) || chr(10) || chr(10) AS header
+FROM ch CROSS JOIN st"""

@@ -449,3 +449,24 @@ def q_batch_generate(spark, sf):
         F.count("*").cast("bigint").alias("n_items"),
         F.count_distinct("bloom").cast("bigint").alias("n_levels"),
         F.sum(F.xxhash64("bloom", "q_pos", "question")).alias("digest"))
+
+
+# --- snapshots ---------------------------------------------------------------
+
+RUN_TS = "2024-01-02 03:04:05"
+
+
+@register("snapshot_rows")
+def q_snapshot_rows(spark, sf):
+    from ..schemas import STAGES
+    from ..sinks import writers
+    ch = _docs(spark, sf).select(F.col("doc_id").alias("chapter_id"), F.col("lang").alias("class_name"),
+                                 F.col("source").alias("subject_name"),
+                                 F.concat(F.lit("chapter "), F.col("doc_id")).alias("chapter_name"),
+                                 F.lit("").alias("bank_json"))
+    ts = F.to_timestamp(F.lit(RUN_TS))
+    rows = None
+    for st in STAGES:
+        r = writers.snapshot_rows(ch, st, ts).withColumn("chapter_id", F.col("chapter_name"))
+        rows = r if rows is None else rows.unionByName(r)
+    return rows.select("chapter_id", "stage", "run_ts", "file_name", "header")
