@@ -238,3 +238,42 @@ def item_verdicts(items: DataFrame, issues: DataFrame) -> DataFrame:
     return j.select("chapter_id", "topic_pos", "qtype", "seq", "question_index",
                     F.coalesce("n_issues", F.lit(0)).cast("bigint").alias("n_issues"),
                     (F.coalesce("worst", F.lit(0)) < 3).alias("is_valid"))
+
+
+def content_coverage(items: DataFrame) -> DataFrame:
+    """Share of a topic's distinct content terms that its answer keys test
+    (options, answers, reference points) (J18).  Both sides are distinct
+    (topic, term) sets joined on the key; no per-topic collection."""
+    content = (items.select("chapter_id", "topic_pos", F.explode(F.array_distinct("terms")).alias("term"))
+               .distinct())
+    keyed = F.array_distinct(F.concat(
+        F.coalesce(F.col("options"), F.array().cast("array<string>")),
+        tx.words(F.coalesce(F.col("answer"), F.lit(""))),
+        F.flatten(F.transform(F.coalesce(F.col("reference_points"), F.array().cast("array<string>")), tx.words))))
+    tested = items.select("chapter_id", "topic_pos", F.explode(keyed).alias("term")).distinct()
+    covered = tested.join(content, ["chapter_id", "topic_pos", "term"], "left_semi")
+    n_c = content.groupBy("chapter_id", "topic_pos").agg(F.count("*").alias("n_content_terms"))
+    n_t = covered.groupBy("chapter_id", "topic_pos").agg(F.count("*").alias("n_covered"))
+    j = n_c.join(n_t, ["chapter_id", "topic_pos"], "left")
+    return j.select("chapter_id", "topic_pos", F.col("n_content_terms").cast("bigint"),
+                    F.coalesce("n_covered", F.lit(0)).cast("bigint").alias("n_covered"),
+                    F.round(F.coalesce("n_covered", F.lit(0)) / F.col("n_content_terms"), 6).alias("coverage"))
+
+
+def grounding(passages: DataFrame, corpus_docs: DataFrame, k: int = 5) -> DataFrame:
+    """Share of each passage's k-word shingles found anywhere in the corpus.
+
+    Corpus shingles are deduplicated by a hash aggregate and the passage side
+    is semi-joined against them; hot shingles cost one row each.
+    """
+    from .similarity import shingle_hashes
+    p = (passages.select("item_id", tx.words("text").alias("w")).where(F.size("w") > 0)
+         .select("item_id", F.explode(shingle_hashes("w", k)).alias("h")))
+    c = (corpus_docs.select(tx.words("text").alias("w")).where(F.size("w") > 0)
+         .select(F.explode(shingle_hashes("w", k)).alias("h")).distinct())
+    found = p.join(c, "h", "left_semi").groupBy("item_id").agg(F.count("*").alias("n_found"))
+    tot = p.groupBy("item_id").agg(F.count("*").alias("n_shingles"))
+    j = tot.join(found, "item_id", "left")
+    return j.select("item_id", F.col("n_shingles").cast("bigint"),
+                    F.coalesce("n_found", F.lit(0)).cast("bigint").alias("n_found"),
+                    F.round(F.coalesce("n_found", F.lit(0)) / F.col("n_shingles"), 6).alias("grounded_share"))

@@ -721,3 +721,26 @@ SELECT chapter_name AS chapter_id, stage, strftime(TIMESTAMP '2024-01-02 03:04:0
          || chr(10) || 'Timestamp: ' || strftime(TIMESTAMP '2024-01-02 03:04:05', '%Y%m%d_%H%M%S') || chr(10)
          || repeat('=', 80) || chr(10) || chr(10) AS header
 FROM ch CROSS JOIN st"""
+
+ORACLE["content_coverage"] = with_ctes(ITEMS) + f"""
+, content AS (SELECT DISTINCT chapter_id, topic_pos, unnest(list_distinct(terms)) AS term FROM items),
+tested AS (SELECT DISTINCT chapter_id, topic_pos, unnest(list_distinct(list_concat(coalesce(options, []),
+              {words('answer')}, flatten(list_transform(coalesce(reference_points, []), lambda p: {words('p', 'v')}))))) AS term
+           FROM items),
+nc AS (SELECT chapter_id, topic_pos, count(*) AS n FROM content GROUP BY ALL),
+nt AS (SELECT chapter_id, topic_pos, count(*) AS n FROM tested SEMI JOIN content USING (chapter_id, topic_pos, term)
+       GROUP BY ALL)
+SELECT nc.chapter_id, nc.topic_pos, nc.n AS n_content_terms, coalesce(nt.n, 0) AS n_covered,
+       round(coalesce(nt.n, 0) / nc.n, 6) AS coverage
+FROM nc LEFT JOIN nt USING (chapter_id, topic_pos)"""
+
+_SH = ("list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), "
+       "lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) ELSE [array_to_string(w, ' ')] END)")
+ORACLE["grounding"] = f"""
+WITH p AS (SELECT item_id, unnest({_SH}) AS sh
+           FROM (SELECT item_id, {words('text')} AS w FROM benchmark) WHERE len(w) > 0),
+c AS (SELECT DISTINCT unnest({_SH}) AS sh FROM (SELECT {words('text')} AS w FROM documents) WHERE len(w) > 0),
+tot AS (SELECT item_id, count(*) AS n FROM p GROUP BY item_id),
+fnd AS (SELECT item_id, count(*) AS n FROM p SEMI JOIN c USING (sh) GROUP BY item_id)
+SELECT tot.item_id, tot.n AS n_shingles, coalesce(fnd.n, 0) AS n_found, round(coalesce(fnd.n, 0) / tot.n, 6) AS grounded_share
+FROM tot LEFT JOIN fnd USING (item_id)"""

@@ -470,3 +470,13 @@ def q_snapshot_rows(spark, sf):
         r = writers.snapshot_rows(ch, st, ts).withColumn("chapter_id", F.col("chapter_name"))
         rows = r if rows is None else rows.unionByName(r)
     return rows.select("chapter_id", "stage", "run_ts", "file_name", "header")
+
+
+@register("content_coverage")
+def q_content_coverage(spark, sf):
+    return quality.content_coverage(_items(spark, sf))
+
+
+@register("grounding")
+def q_grounding(spark, sf):
+    return quality.grounding(table(spark, sf, "benchmark"), _docs(spark, sf))
