@@ -29,9 +29,21 @@ Backend = Callable[[pd.DataFrame, int], list]
 
 def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
                  validator: Callable[[str], None] | None = None, max_attempts: int = MAX_ATTEMPTS,
-                 partitions: int | None = None) -> DataFrame:
-    """Run every request through the backend; returns request_id,
-    attempt_count, raw (last good response) and error (last failure)."""
+                 partitions: int | None = None, keep: list[str] | None = None,
+                 materialize: bool = True) -> DataFrame:
+    """Run every request through the backend; returns request_id, the
+    ``keep`` columns, attempt_count, raw (last good response) and error
+    (last failure).
+
+    With ``materialize`` (default) the responses are written once to the
+    shared checkpoint folder before anything reads them, so downstream
+    joins never call the backend twice and a lost executor does not replay
+    model calls.
+    """
+    keep = list(keep or [])
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in requests.schema.fields if f.name in keep)
+    schema = "request_id string, " + (kept + ", " if kept else "") + "attempt_count int, raw string, error string"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = backend_factory()
         for pdf in batches:
@@ -57,11 +69,21 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
                         err[i] = f"{type(e).__name__}: {e}"
                         left.append(i)
                 todo = left
-            yield pd.DataFrame({"request_id": pdf["request_id"], "attempt_count": tries,
-                                "raw": [r if e is None else None for r, e in zip(raw, err)], "error": err})
-
-    src = requests.repartition(partitions, "request_id") if partitions else requests
-    return src.mapInPandas(run, RESULT_SCHEMA)
+            cols = {"request_id": pdf["request_id"]}
+            cols.update({k: pdf[k] for k in keep})
+            cols.update({"attempt_count": tries, "raw": [r if e is None else None for r, e in zip(raw, err)],
+                         "error": err})
+            yield pd.DataFrame(cols)
+
+    # Requests are small in bytes but expensive to serve: AQE would coalesce
+    # them into a few tasks, so they are spread by id over the cluster
+    # explicitly (an explicit count is never coalesced).
+    n = partitions or requests.sparkSession.sparkContext.defaultParallelism * 2
+    out = requests.repartition(n, "request_id").mapInPandas(run, schema)
+    if materialize:
+        from .similarity import materialize as _materialize
+        out = _materialize(out)
+    return out
 
 
 # ---------------------------------------------------------------------------

@@ -34,7 +34,7 @@ def section_requests(sections: DataFrame, meta: DataFrame) -> DataFrame:
         prompt = F.when(F.col("qtype") == q, p) if prompt is None else prompt.when(F.col("qtype") == q, p)
     return df.select(_rid("generate", "chapter_id", "topic_pos", "qtype").alias("request_id"),
                      F.lit("generate").alias("stage"), "chapter_id", "topic_pos", "qtype",
-                     prompt.alias("prompt"))
+                     prompt.alias("prompt"), "topic", "section", "questions_per_level")
 
 
 ITEM_JSON_FIELDS = ["qtype", "bloom", "question", "options", "answer", "explanation",
@@ -72,5 +72,5 @@ def variation_requests(items: DataFrame) -> DataFrame:
     user = pr.render(pr.VARY_TEMPLATE, type_name=type_name, bloom=F.col("bloom"), topic=topic,
                      question=F.col("question"), details=details)
     return df.select(_rid("vary", "chapter_id", "seq").alias("request_id"), F.lit("vary").alias("stage"),
-                     "chapter_id", "topic_pos", "seq", "qtype", "question",
+                     "chapter_id", "topic_pos", "seq", "qtype", "bloom", "question",
                      pr.wrap_free(pr.SYSTEM_VARY, user).alias("prompt"))

@@ -30,12 +30,11 @@ def build_banks(chapters: DataFrame, entries: DataFrame, done: DataFrame | None
     meta = todo.select("chapter_id", "class_name", "subject_name", "chapter_name").join(
         usable.select("chapter_id", corpus.questions_per_level(F.size("topics")).alias("questions_per_level")),
         "chapter_id")
-    reqs = (requests.section_requests(sections, meta)
-            .join(sections.select("chapter_id", "topic_pos", "topic", "section"), ["chapter_id", "topic_pos"])
-            .join(meta.select("chapter_id", "questions_per_level"), "chapter_id"))
-    res = infer.run_requests(reqs.select("request_id", "prompt", "qtype", "topic", "section", "questions_per_level"),
-                             generate_backend, partitions=partitions)
-    parsed = responses.parse_sections(reqs.select("request_id", "chapter_id", "topic_pos", "qtype").join(res, "request_id"))
+    reqs = requests.section_requests(sections, meta)
+    res = infer.run_requests(reqs.select("request_id", "chapter_id", "topic_pos", "prompt", "qtype", "topic",
+                                         "section", "questions_per_level"),
+                             generate_backend, partitions=partitions, keep=["chapter_id", "topic_pos", "qtype"])
+    parsed = responses.parse_sections(res)
     topics = responses.combine_sections(parsed)
     good = parsed.join(topics.where("topic_ok").select("chapter_id", "topic_pos"), ["chapter_id", "topic_pos"])
     flat = responses.flatten_sections(good)
@@ -46,10 +45,11 @@ def build_banks(chapters: DataFrame, entries: DataFrame, done: DataFrame | None
     issues = quality.all_issues(items)
     topic_q = rollup.topic_quality(items, issues)
     chapter_q = rollup.chapter_quality(topic_q)
-    vreqs = requests.variation_requests(items).join(items.select("chapter_id", "seq", "bloom"), ["chapter_id", "seq"])
-    vres = infer.run_requests(vreqs.select("request_id", "prompt", "question", "bloom"), vary_backend,
-                              validator=infer.json_validator, partitions=partitions)
-    varied = responses.merge_variations(items, responses.variation_results(vreqs.join(vres, "request_id")))
+    vreqs = requests.variation_requests(items)
+    vres = infer.run_requests(vreqs.select("request_id", "chapter_id", "seq", "qtype", "prompt", "question", "bloom"),
+                              vary_backend, validator=infer.json_validator, partitions=partitions,
+                              keep=["chapter_id", "seq", "qtype", "question"])
+    varied = responses.merge_variations(items, responses.variation_results(vres))
     banks = responses.bank_documents(varied, meta)
     return {"matched": matched, "rejects": rejects, "sections": sections, "responses": res, "items": varied,
             "issues": issues, "topic_quality": topic_q, "chapter_quality": chapter_q, "banks": banks,

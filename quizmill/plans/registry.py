@@ -418,11 +418,11 @@ def vary_failures(b):
 @register("batch_vary")
 def q_batch_vary(spark, sf):
     from ..operators import infer, requests, responses
-    reqs = requests.variation_requests(_items(spark, sf)).join(
-        _items(spark, sf).select("chapter_id", "seq", "bloom"), ["chapter_id", "seq"])
-    res = infer.run_requests(reqs.select("request_id", "chapter_id", "seq", "question", "bloom"),
-                             infer.flaky(infer.template_backend, vary_failures), validator=infer.json_validator)
-    out = responses.variation_results(reqs.join(res, "request_id"))
+    reqs = requests.variation_requests(_items(spark, sf))
+    res = infer.run_requests(reqs.select("request_id", "chapter_id", "seq", "qtype", "question", "bloom"),
+                             infer.flaky(infer.template_backend, vary_failures), validator=infer.json_validator,
+                             keep=["chapter_id", "seq", "qtype", "question"])
+    out = responses.variation_results(res)
     return out.select("chapter_id", "seq", "attempt_count", F.col("error").isNotNull().alias("failed"),
                       joined("new_variations", "variations"))
 
@@ -436,19 +436,17 @@ def q_batch_generate(spark, sf):
                                         "chapter_name")
             .join(m.select("chapter_id", corpus.questions_per_level(F.size("topics")).alias("questions_per_level")),
                   "chapter_id"))
-    reqs = requests.section_requests(sections, meta).join(
-        sections.select("chapter_id", "topic_pos", "topic", "section"), ["chapter_id", "topic_pos"]).join(
-        meta.select("chapter_id", "questions_per_level"), "chapter_id")
-    res = infer.run_requests(reqs.select("request_id", "qtype", "topic", "section", "questions_per_level"),
-                             infer.extractive_backend)
-    parsed = responses.parse_sections(reqs.select("request_id", "chapter_id", "topic_pos", "qtype")
-                                      .join(res, "request_id"))
+    reqs = requests.section_requests(sections, meta)
+    res = infer.run_requests(reqs.select("request_id", "chapter_id", "topic_pos", "qtype", "topic", "section",
+                                         "questions_per_level"),
+                             infer.extractive_backend, keep=["chapter_id", "topic_pos", "qtype"])
+    parsed = responses.parse_sections(res)
     flat = responses.flatten_sections(parsed.where(responses.section_ok(F.col("groups"))))
     # one row per generated section: item count and an order-free digest
     return flat.groupBy("chapter_id", "topic_pos", "qtype").agg(
         F.count("*").cast("bigint").alias("n_items"),
         F.count_distinct("bloom").cast("bigint").alias("n_levels"),
-        F.sum(F.xxhash64("bloom", "q_pos", "question")).alias("digest"))
+        F.bit_xor(F.xxhash64("bloom", "q_pos", "question")).alias("digest"))
 
 
 # --- snapshots ---------------------------------------------------------------
