@@ -189,3 +189,42 @@ def flaky(factory: Callable[[], Backend], fails: Callable[[pd.DataFrame], pd.Ser
             return [RuntimeError(f"injected failure {attempt}") if attempt <= k else r for r, k in zip(out, n)]
         return call
     return make
+
+
+def rule_verdict(topic: str, items_json: str) -> str:
+    """Verification backend: a typed topic verdict from simple checks
+    (MCQ answer among options, blank marker present, repeated question text
+    within the topic).  Entries exist only for items with issues."""
+    from ..schemas import QTYPES, VERIFICATION_KEYS
+    items = json.loads(items_json)
+    seen: set[str] = set()
+    out = {k: [] for k in VERIFICATION_KEYS.values()}
+    worst = 0
+    dup = False
+    rank = {"low": 1, "medium": 2, "high": 3, "critical": 4}
+    idx = {q: 0 for q in QTYPES}
+    for it in items:
+        q = it["qtype"]
+        issues = []
+        norm = (it.get("question") or "").strip().lower()
+        if norm in seen:
+            issues.append({"issue_type": "duplicate", "description": "repeated question", "severity": "critical"})
+            dup = True
+        seen.add(norm)
+        if q == "MCQs" and it.get("answer") not in (it.get("options") or []):
+            issues.append({"issue_type": "incorrect", "description": "answer not among options", "severity": "critical"})
+        if q == "fill_in_the_blanks" and "_____" not in (it.get("question") or ""):
+            issues.append({"issue_type": "incorrect", "description": "no blank marker", "severity": "critical"})
+        if issues:
+            out[VERIFICATION_KEYS[q]].append({"question_index": idx[q], "is_valid": False, "issues": issues,
+                                              "suggestion": None})
+            worst = max(worst, *(rank[i["severity"]] for i in issues))
+        idx[q] += 1
+    quality = "excellent" if worst == 0 else "good" if worst <= 2 else "fair" if worst == 3 else "poor"
+    return json.dumps({"topic": topic, **out, "overall_quality": quality, "has_duplicates": dup})
+
+
+def verdict_backend() -> Backend:
+    def call(batch: pd.DataFrame, attempt: int) -> list:
+        return [rule_verdict(t, j) for t, j in zip(batch["topic"], batch["items_json"])]
+    return call

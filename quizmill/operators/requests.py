@@ -56,7 +56,8 @@ def verification_requests(items: DataFrame) -> DataFrame:
     user = pr.render(pr.VERIFY_TEMPLATE, topic=topic, items_json=items_json)
     return g.select(_rid("verify", "chapter_id", "topic_pos").alias("request_id"), F.lit("verify").alias("stage"),
                     "chapter_id", "topic_pos", F.size("xs").cast("bigint").alias("n_items"),
-                    pr.wrap_typed(pr.SYSTEM_VERIFY, user, "MCQs").alias("prompt"))
+                    pr.wrap_typed(pr.SYSTEM_VERIFY, user, "MCQs").alias("prompt"),
+                    topic.alias("topic"), items_json.alias("items_json"))
 
 
 def variation_requests(items: DataFrame) -> DataFrame:

@@ -744,3 +744,29 @@ tot AS (SELECT item_id, count(*) AS n FROM p GROUP BY item_id),
 fnd AS (SELECT item_id, count(*) AS n FROM p SEMI JOIN c USING (sh) GROUP BY item_id)
 SELECT tot.item_id, tot.n AS n_shingles, coalesce(fnd.n, 0) AS n_found, round(coalesce(fnd.n, 0) / tot.n, 6) AS grounded_share
 FROM tot LEFT JOIN fnd USING (item_id)"""
+
+ORACLE["batch_verify"] = with_ctes(ITEMS) + """
+, f AS (
+  SELECT *, row_number() OVER (PARTITION BY chapter_id, topic_pos, lower(trim(question))
+                               ORDER BY list_position(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer'], qtype),
+                                        bloom_ord, seq) > 1 AS is_dup,
+         qtype = 'MCQs' AND NOT coalesce(list_contains(coalesce(options, []), answer), false) AS bad_answer,
+         qtype = 'fill_in_the_blanks' AND NOT contains(question, '_____') AS no_marker
+  FROM items),
+t AS (
+  SELECT chapter_id, topic_pos,
+         count(*) FILTER (WHERE is_dup OR bad_answer OR no_marker) AS n_entries,
+         sum(CAST(is_dup AS INT) + CAST(bad_answer AS INT) + CAST(no_marker AS INT)) AS n_issues,
+         bool_or(is_dup) AS has_dup, bool_or(is_dup OR bad_answer OR no_marker) AS any_issue
+  FROM f GROUP BY chapter_id, topic_pos),
+v AS (
+  SELECT chapter_id, topic_pos,
+         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN 0 ELSE n_entries END AS n_entries,
+         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN 0 ELSE n_issues END AS n_issues,
+         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN 'poor' WHEN any_issue THEN 'poor' ELSE 'excellent' END AS q,
+         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN false ELSE has_dup END AS has_duplicates
+  FROM t)
+SELECT chapter_id, count(*) AS n_topics, CAST(sum(n_entries) AS BIGINT) AS n_entries,
+       CAST(sum(n_issues) AS BIGINT) AS total_issues,
+       bool_and(q NOT IN ('poor', 'fair') AND NOT has_duplicates) AS overall_pass
+FROM v GROUP BY chapter_id"""

@@ -449,6 +449,25 @@ def q_batch_generate(spark, sf):
         F.bit_xor(F.xxhash64("bloom", "q_pos", "question")).alias("digest"))
 
 
+def verify_failures(b):
+    """Injected failures: topics with (chapter + topic) % 13 == 0 never answer."""
+    return ((b["chapter_id"] + b["topic_pos"]) % 13 == 0) * 99
+
+
+@register("batch_verify")
+def q_batch_verify(spark, sf):
+    from ..operators import infer, requests
+    reqs = requests.verification_requests(_items(spark, sf))
+    res = infer.run_requests(reqs.select("request_id", "chapter_id", "topic_pos", "topic", "items_json"),
+                             infer.flaky(infer.verdict_backend, verify_failures), validator=infer.json_validator)
+    tq = rollup.verification_quality(reqs, res)
+    return tq.groupBy("chapter_id").agg(
+        F.count("*").cast("bigint").alias("n_topics"),
+        F.sum("n_entries").cast("bigint").alias("n_entries"),
+        F.sum("n_issues").cast("bigint").alias("total_issues"),
+        F.bool_and(~F.col("overall_quality").isin("poor", "fair") & ~F.col("has_duplicates")).alias("overall_pass"))
+
+
 # --- snapshots ---------------------------------------------------------------
 
 RUN_TS = "2024-01-02 03:04:05"
