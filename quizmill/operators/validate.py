@@ -56,3 +56,58 @@ def structural_counts(items: DataFrame) -> DataFrame:
     v = item_violations(items).unionByName(section_violations(items).withColumn("seq", F.lit(None).cast("int")))
     return (v.select("qtype", F.explode("violations").alias("rule"))
             .groupBy("qtype", "rule").agg(F.count("*").cast("bigint").alias("n_violations")))
+
+
+def verdict_enum_violations(verdicts: DataFrame, raw: str = "raw") -> DataFrame:
+    """Verification responses whose values leave the declared enums (I7, I8):
+    issue type (5), severity (4), overall quality (4)."""
+    from ..functions.text import clean_response
+    from ..schemas import ISSUE_TYPES, QUALITY_RATINGS, SEVERITIES, TOPIC_VERIFICATION, VERIFICATION_KEYS
+    v = F.from_json(clean_response(F.col(raw)), TOPIC_VERIFICATION)
+    entries = F.concat(*[F.coalesce(v[k], F.array().cast(TOPIC_VERIFICATION[k].dataType))
+                         for k in VERIFICATION_KEYS.values()])
+    issues = F.flatten(F.transform(entries, lambda e: F.coalesce(e["issues"], F.array().cast(
+        TOPIC_VERIFICATION["mcq_verifications"].dataType.elementType["issues"].dataType))))
+    return verdicts.select(
+        "request_id",
+        F.size(F.filter(issues, lambda i: ~F.coalesce(i["issue_type"].isin(*ISSUE_TYPES), F.lit(False))))
+        .alias("bad_issue_types"),
+        F.size(F.filter(issues, lambda i: ~F.coalesce(i["severity"].isin(*SEVERITIES), F.lit(False))))
+        .alias("bad_severities"),
+        (~F.coalesce(v["overall_quality"].isin(*QUALITY_RATINGS), F.lit(False))).alias("bad_quality"))
+
+
+def strict_type_violations(responses: DataFrame, raw: str = "raw") -> DataFrame:
+    """Typed sections whose JSON values have the wrong runtime type.
+
+    ``from_json`` casts a number to a string silently, so the raw text is
+    also parsed to VARIANT and every declared field's runtime type checked:
+    strings must be strings, lists must be lists of strings.
+    """
+    from ..functions.text import clean_response
+    from ..schemas import QTYPES, TYPE_FIELDS
+    v = F.try_parse_json(clean_response(F.col(raw)))
+    lists = {"options", "reference_points", "variations"}
+
+    def bad_fields(q, qt):
+        errs = F.lit(0)
+        for f in TYPE_FIELDS[qt]:
+            fv = F.try_variant_get(q, f"$.{f}", "variant")
+            t = F.schema_of_variant(fv)
+            if f in lists:
+                ok = fv.isNull() | (t == "ARRAY<STRING>") | (t == "ARRAY<VOID>") | (t == "ARRAY<UNKNOWN>")
+            else:
+                ok = fv.isNull() | (t == "STRING")
+            errs = errs + F.when(ok, 0).otherwise(1)
+        return errs
+
+    total = None
+    for qt in QTYPES:
+        groups = F.try_variant_get(v, f"$.{qt}", "array<variant>")
+        n = F.aggregate(F.coalesce(groups, F.array().cast("array<variant>")), F.lit(0), lambda acc, g: acc + F.aggregate(
+            F.coalesce(F.try_variant_get(g, "$.questions", "array<variant>"), F.array().cast("array<variant>")),
+            F.lit(0), lambda a2, q: a2 + bad_fields(q, qt)) + F.when(
+            F.schema_of_variant(F.try_variant_get(g, "$.bloom_taxonomy", "variant")) == "STRING", 0).otherwise(1))
+        expr = F.when(F.col("qtype") == qt, n)
+        total = expr if total is None else total.when(F.col("qtype") == qt, n)
+    return responses.select("*", total.alias("type_errors"))

@@ -46,8 +46,9 @@ def find_chapters(spark: SparkSession, root: str) -> DataFrame:
     flag = df.agg(F.max(F.col("chapter_dir") == F.lit(root_dir)).alias("root_is_chapter")).withColumn("k", F.lit(1))
     out = (df.withColumn("k", F.lit(1)).join(F.broadcast(flag), "k")
            .where(~F.col("root_is_chapter") | (F.col("chapter_dir") == F.lit(root_dir))))
+    # sorted by folder (F1): a global sort is a range shuffle, no single task
     return out.select("chapter_dir", "chapter_name", F.coalesce("content", F.lit("")).alias("content"),
-                      F.col(CORRUPT).isNotNull().alias("corrupt"))
+                      F.col(CORRUPT).isNotNull().alias("corrupt")).orderBy("chapter_dir")
 
 
 def read_pages(spark: SparkSession, root: str) -> DataFrame:

@@ -74,3 +74,28 @@ def test_topic_rating_from_worst_severity(spark):
 
 def test_item_fields_declared():
     assert [f.name for f in ITEM_FIELDS][:3] == ["question", "options", "answer"]
+
+
+def test_enum_and_strict_type_checks(spark):
+    import json
+
+    from quizmill.operators import validate
+    good = {"topic": "t", "mcq_verifications": [{"question_index": 0, "is_valid": False, "suggestion": None,
+            "issues": [{"issue_type": "duplicate", "description": "d", "severity": "critical"}]}],
+            "overall_quality": "good", "has_duplicates": True}
+    bad = {"topic": "t", "fill_blank_verifications": [{"question_index": 1, "is_valid": False,
+           "issues": [{"issue_type": "typo", "description": "d", "severity": "severe"}]}],
+           "overall_quality": "fine", "has_duplicates": False}
+    df = spark.createDataFrame([("a", json.dumps(good)), ("b", json.dumps(bad))], "request_id string, raw string")
+    got = {r["request_id"]: (r["bad_issue_types"], r["bad_severities"], r["bad_quality"])
+           for r in validate.verdict_enum_violations(df).collect()}
+    assert got == {"a": (0, 0, False), "b": (1, 1, True)}
+
+    ok = {"MCQs": [{"bloom_taxonomy": "remember", "questions": [
+        {"question": "q", "options": ["a", "b", "c", "d"], "answer": "a", "explanation": "e", "variations": []}]}]}
+    wrong = {"MCQs": [{"bloom_taxonomy": 3, "questions": [
+        {"question": 12, "options": ["a", 2], "answer": "a", "explanation": "e"}]}]}
+    sec = spark.createDataFrame([("ok", "MCQs", json.dumps(ok)), ("wrong", "MCQs", json.dumps(wrong))],
+                                "request_id string, qtype string, raw string")
+    got = {r["request_id"]: r["type_errors"] for r in validate.strict_type_violations(sec).collect()}
+    assert got == {"ok": 0, "wrong": 3}
