@@ -78,7 +78,10 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
     # Requests are small in bytes but expensive to serve: AQE would coalesce
     # them into a few tasks, so they are spread by id over the cluster
     # explicitly (an explicit count is never coalesced).
-    n = partitions or requests.sparkSession.sparkContext.defaultParallelism * 2
+    try:
+        n = partitions or requests.sparkSession.sparkContext.defaultParallelism * 2
+    except Exception:  # noqa: BLE001 - remote session: use the shuffle partition count
+        n = partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = requests.repartition(n, "request_id").mapInPandas(run, schema)
     if materialize:
         from .similarity import materialize as _materialize

@@ -22,7 +22,10 @@ def spread(df: DataFrame, key: str | None = None, per_core: int = 2) -> DataFram
     tasks; it is hash-partitioned on ``key`` (deterministic under task
     retries) into ``per_core`` x the default parallelism.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism * per_core
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * per_core
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave planning to AQE
         return df
     return df.repartition(target, key) if key else df.repartition(target)
