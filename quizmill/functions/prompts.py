@@ -38,6 +38,12 @@ SECTION_TEMPLATE = (
     "Each item has: {fields}. Leave \"variations\" empty."
 )
 SECTION_EXTRA = "\nExtra rules: {extra}\n"
+COMBINED_TEMPLATE = (
+    "Write a question bank for the topic below: {n} items per level for each of the four item types "
+    "({total} items in all).\n\nTopic: {topic}\nClass: {class_name}\nSubject: {subject_name}\n"
+    "Chapter: {chapter_name}\nText:\n{content}\n"
+)
+PREVIOUS_BLOCK = "\n\nAlready asked (do not repeat or paraphrase):\n{previous}\n\nCover new ideas only.\n"
 VERIFY_TEMPLATE = "Review the items of this topic.\n\nTopic: {topic}\n\nItems:\n{items_json}\n"
 VARY_TEMPLATE = (
     "Write 5 rewrites of this item.\n\nType: {type_name}\nLevel: {bloom}\nTopic: {topic}\n\n"

@@ -75,3 +75,30 @@ def variation_requests(items: DataFrame) -> DataFrame:
     return df.select(_rid("vary", "chapter_id", "seq").alias("request_id"), F.lit("vary").alias("stage"),
                      "chapter_id", "topic_pos", "seq", "qtype", "bloom", "question",
                      pr.wrap_free(pr.SYSTEM_VARY, user).alias("prompt"))
+
+
+def combined_requests(topics: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """One combined prompt per topic (H11), with an optional block listing
+    questions already asked for that topic.
+
+    ``topics``: chapter_id, topic_pos, topic, content, class_name,
+    subject_name, chapter_name, questions_per_level.  ``previous``:
+    chapter_id, topic_pos, question, seq -- collected per topic, i.e. one
+    model call's worth of text.
+    """
+    n = F.col("questions_per_level")
+    df = topics
+    if previous is not None:
+        prev = previous.groupBy("chapter_id", "topic_pos").agg(
+            pr.bullet_list(F.transform(F.array_sort(F.collect_list(F.struct("seq", "question"))),
+                                       lambda x: x["question"])).alias("previous"))
+        df = df.join(prev, ["chapter_id", "topic_pos"], "left")
+    else:
+        df = df.withColumn("previous", F.lit(None).cast("string"))
+    body = pr.render(pr.COMBINED_TEMPLATE, n=n.cast("string"), total=(n * 24).cast("string"), topic=F.col("topic"),
+                     class_name=F.col("class_name"), subject_name=F.col("subject_name"),
+                     chapter_name=F.col("chapter_name"), content=F.col("content"))
+    user = F.when(F.coalesce(F.col("previous"), F.lit("")) != "",
+                  F.concat(body, pr.render(pr.PREVIOUS_BLOCK, previous=F.col("previous")))).otherwise(body)
+    return df.select(_rid("combined", "chapter_id", "topic_pos").alias("request_id"), "chapter_id", "topic_pos",
+                     pr.wrap_free(pr.SYSTEM_GENERATE, user).alias("prompt"))

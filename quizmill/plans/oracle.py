@@ -770,3 +770,18 @@ SELECT chapter_id, count(*) AS n_topics, CAST(sum(n_entries) AS BIGINT) AS n_ent
        CAST(sum(n_issues) AS BIGINT) AS total_issues,
        bool_and(q NOT IN ('poor', 'fair') AND NOT has_duplicates) AS overall_pass
 FROM v GROUP BY chapter_id"""
+
+_COMB_BODY = _pr.render_sql(_pr.COMBINED_TEMPLATE, n="'5'", total="'120'", topic="chapter_id || '.' || (topic_pos + 1)",
+                            class_name="lang", subject_name="source", chapter_name="'chapter ' || chapter_id",
+                            content="content")
+_COMB_USER = (f"CASE WHEN coalesce(previous, '') <> '' THEN {_COMB_BODY} || "
+              f"{_pr.render_sql(_pr.PREVIOUS_BLOCK, previous='previous')} ELSE {_COMB_BODY} END")
+ORACLE["combined_requests"] = with_ctes(ITEMS) + f"""
+, t AS (SELECT chapter_id, topic_pos, any_value(lang) AS lang, any_value(source) AS source,
+               string_agg(question, ' ' ORDER BY seq) AS content,
+               CASE WHEN topic_pos % 2 = 1 THEN string_agg('- ' || question, chr(10) ORDER BY seq) END AS previous
+        FROM items GROUP BY chapter_id, topic_pos),
+p AS (SELECT *, {_pr.render_sql(_pr.FREE_WRAP, system=_pr._sql_lit(_pr.SYSTEM_GENERATE), user=_COMB_USER)} AS prompt FROM t)
+SELECT 'combined:' || chapter_id || ':' || topic_pos AS request_id, chapter_id, topic_pos,
+       length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
+FROM p"""

@@ -468,6 +468,26 @@ def q_batch_verify(spark, sf):
         F.bool_and(~F.col("overall_quality").isin("poor", "fair") & ~F.col("has_duplicates")).alias("overall_pass"))
 
 
+@register("combined_requests")
+def q_combined_requests(spark, sf):
+    """Combined per-topic prompts; topics are the item view's blocks, their
+    sentences the content, and earlier questions of every other topic
+    (odd topic positions) the do-not-repeat list."""
+    from ..operators import requests
+    it = _items(spark, sf)
+    topics = (it.groupBy("chapter_id", "topic_pos", "source", "lang")
+              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "question"))),
+                                            lambda x: x["question"]), " ").alias("content"))
+              .select("chapter_id", "topic_pos",
+                      F.concat(F.col("chapter_id").cast("string"), F.lit("."), (F.col("topic_pos") + 1).cast("string"))
+                      .alias("topic"), "content", F.col("lang").alias("class_name"),
+                      F.col("source").alias("subject_name"),
+                      F.concat(F.lit("chapter "), F.col("chapter_id").cast("string")).alias("chapter_name"),
+                      F.lit(5).alias("questions_per_level")))
+    prev = it.where(F.col("topic_pos") % 2 == 1).select("chapter_id", "topic_pos", "seq", "question")
+    return _prompt_digest(requests.combined_requests(topics, prev), "request_id", "chapter_id", "topic_pos")
+
+
 # --- snapshots ---------------------------------------------------------------
 
 RUN_TS = "2024-01-02 03:04:05"
