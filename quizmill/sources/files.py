@@ -34,21 +34,32 @@ def _json_files(spark: SparkSession, root: str, name: str, schema: T.StructType)
     return df.withColumn("path", local_path(F.col("_metadata.file_path"))).withColumn("chapter_dir", parent(F.col("path")))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Metadata check through the Hadoop file system (like a file listing)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def find_chapters(spark: SparkSession, root: str) -> DataFrame:
     """Chapter folders = folders holding ``chapter_content.json`` (A1, A2, F1).
 
-    When the root itself holds one, only the root is a chapter.  That check
-    is a one-row aggregate joined back on a constant key (size bound: 1 row).
-    Missing ``content`` -> '' (B3).
+    When the root itself holds one, only the root is a chapter (decided by
+    one existence check, then only that file is read); otherwise the tree
+    is scanned recursively.  Missing ``content`` -> '' (B3).
     """
     root_dir = root.rstrip("/")
-    df = _json_files(spark, root_dir, "chapter_content.json", CHAPTER_CONTENT)
-    flag = df.agg(F.max(F.col("chapter_dir") == F.lit(root_dir)).alias("root_is_chapter")).withColumn("k", F.lit(1))
-    out = (df.withColumn("k", F.lit(1)).join(F.broadcast(flag), "k")
-           .where(~F.col("root_is_chapter") | (F.col("chapter_dir") == F.lit(root_dir))))
+    own = f"{root_dir}/chapter_content.json"
+    if _exists(spark, own):
+        with_corrupt = T.StructType(list(CHAPTER_CONTENT.fields) + [T.StructField(CORRUPT, T.StringType())])
+        df = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).schema(with_corrupt).json(own)
+              .withColumn("chapter_dir", parent(local_path(F.col("_metadata.file_path")))))
+    else:
+        df = _json_files(spark, root_dir, "chapter_content.json", CHAPTER_CONTENT)
     # sorted by folder (F1): a global sort is a range shuffle, no single task
-    return out.select("chapter_dir", "chapter_name", F.coalesce("content", F.lit("")).alias("content"),
-                      F.col(CORRUPT).isNotNull().alias("corrupt")).orderBy("chapter_dir")
+    return df.select("chapter_dir", "chapter_name", F.coalesce("content", F.lit("")).alias("content"),
+                     F.col(CORRUPT).isNotNull().alias("corrupt")).orderBy("chapter_dir")
 
 
 def read_pages(spark: SparkSession, root: str) -> DataFrame:
