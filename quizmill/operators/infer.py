@@ -40,6 +40,8 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
     joins never call the backend twice and a lost executor does not replay
     model calls.
     """
+    from ..session import ship_package
+    ship_package(requests.sparkSession)
     keep = list(keep or [])
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in requests.schema.fields if f.name in keep)
     schema = "request_id string, " + (kept + ", " if kept else "") + "attempt_count int, raw string, error string"

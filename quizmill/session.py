@@ -53,3 +53,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - remote sessions take the directory from the conf alone
         pass
     return current
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quizmill`` importable on every Python worker (once per application).
+
+    Functions handed to ``mapInPandas`` are pickled by reference, so workers
+    must be able to import the package.  The package folder is zipped and
+    added with ``addPyFile``; Spark copies it to each executor.
+    """
+    import os
+    import zipfile
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - remote sessions ship code by their own means
+        return
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="quizmill-code-"), "quizmill.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
