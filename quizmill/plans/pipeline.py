@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import corpus, infer, quality, requests, responses, rollup
+from ..operators.similarity import materialize
 from ..schemas import QTYPES
 
 
@@ -23,7 +24,8 @@ def build_banks(chapters: DataFrame, entries: DataFrame, done: DataFrame | None
     chapter_name, dir_name, chapter_number, content.  ``entries``: parsed
     syllabus entries.  ``done``: chapter_id of chapters already built."""
     todo = chapters if done is None else chapters.join(done.select("chapter_id"), "chapter_id", "left_anti")
-    matched = corpus.match_syllabus(todo, entries)
+    # small (one row per chapter) and reused by four branches: written once
+    matched = materialize(corpus.match_syllabus(todo, entries))
     rejects = corpus.chapter_rejects(todo, entries, matched)
     usable = matched.where(F.size("topics") > 0)
     sections = corpus.topic_sections(todo.select("chapter_id", "content"), usable)

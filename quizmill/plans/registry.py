@@ -183,10 +183,12 @@ def q_merge_variations(spark, sf):
 # --- corpus preparation ------------------------------------------------------
 
 def _matched(spark, sf):
-    from ..operators import corpus
+    """Matched syllabus entries, written once (small: one row per chapter)
+    so the branches that reuse them do not redo the syllabus joins."""
+    from ..operators import corpus, similarity
     docs = _docs(spark, sf)
     entries = corpus.parse_syllabus_entries(views.syllabus_entries(docs))
-    return docs, entries, corpus.match_syllabus(views.chapters(docs), entries)
+    return docs, entries, similarity.materialize(corpus.match_syllabus(views.chapters(docs), entries))
 
 
 @register("path_metadata")
