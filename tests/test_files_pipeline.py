@@ -126,3 +126,14 @@ def test_incremental_equals_batch(spark):
     assert got.count() == 2 and got.select("batch_id").distinct().count() == 2
     batch = process(files.find_chapters(spark, root)).collect()
     assert sorted(r["chapter_dir"] for r in got.collect()) == sorted(r["chapter_dir"] for r in batch)
+
+
+def test_end_to_end_skips_done_chapters(spark):
+    root = tempfile.mkdtemp(prefix="qm-skip-")
+    make_tree(root)
+    ch = chapters_from_files(spark, root)
+    entries = corpus.parse_syllabus_entries(files.read_syllabus_files(spark, root))
+    done = ch.where(F.col("dir_name") == "chapter 8").select("chapter_id")
+    out = build_banks(ch, entries, done=done)
+    names = {json.loads(r["bank_json"])["chapter_name"] for r in out["banks"].collect()}
+    assert names == {"chapter 9"}
