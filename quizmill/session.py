@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -30,29 +32,45 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("QUIZMILL_DRIVER_MEM", "16g"))
+        .config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="quizmill-ckpt-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+def shared_root(spark: SparkSession) -> str:
+    """Folder every executor can read: the session's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) do we pick a fresh
-    scratch folder of our own.
+    Order: ``spark.checkpoint.dir`` as the session names it, the folder the
+    context was given by ``setCheckpointDir``, and only when neither is set a
+    folder inside the warehouse, which is shared by definition.  Nothing the
+    user has set is ever replaced.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="quizmill-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - remote sessions take the directory from the conf alone
-        pass
-    return current
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quizmill"
+    return root.rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Give the context a checkpoint folder if it has none; return the folder in use."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_root(spark))
+    return sc.getCheckpointDir()
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder (created by whoever writes to it first)."""
+    return f"{shared_root(spark)}/quizmill/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back (cuts lineage)."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
@@ -65,8 +83,6 @@ def ship_package(spark: SparkSession) -> None:
     must be able to import the package.  The package folder is zipped and
     added with ``addPyFile``; Spark copies it to each executor.
     """
-    import os
-    import zipfile
     try:
         sc = spark.sparkContext
         app = sc.applicationId
