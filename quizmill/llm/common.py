@@ -77,3 +77,31 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
                 now.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
         seen = total
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+
+
+def add_columns(df: DataFrame, columns: list[str], func: Callable[[dict], dict], added: str) -> DataFrame:
+    """All columns of ``df`` as they are, plus those of the DDL string ``added``.
+
+    ``func`` gets the named columns of an Arrow batch as Python lists and
+    returns lists for the added ones.  Works on Arrow batches, so other columns
+    pass through unread, whatever their type.  Added names must be new.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    ship_package(df.sparkSession)
+    extra = StructType.fromDDL(added)
+    types = [(f.name, f.type) for f in to_arrow_schema(extra)]
+
+    def run(batches):
+        for whole in batches:
+            first = whole.column(columns[0])
+            sizes = pc.fill_null(pc.binary_length(first), 0).to_pylist() if pa.types.is_string(first.type) else [64] * whole.num_rows
+            for part in slices(sizes, 4 << 20):
+                b = whole.slice(part.start, part.stop - part.start)
+                out = func({c: b.column(c).to_pylist() for c in columns})
+                yield pa.RecordBatch.from_arrays(b.columns + [pa.array(out[n], t) for n, t in types],
+                                                 names=b.schema.names + [n for n, _ in types])
+
+    return df.mapInArrow(run, StructType(df.schema.fields + extra.fields))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from .decontaminate import op5_suffix_automaton_decontamination
 from .token_files import op2_simple8b_token_files
 
-QUERIES = {f.__name__: f for f in (op2_simple8b_token_files,)}
+QUERIES = {f.__name__: f for f in (op2_simple8b_token_files, op5_suffix_automaton_decontamination)}
 
 ORACLE: dict[str, str] = {}
