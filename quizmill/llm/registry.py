@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .decontaminate import op5_suffix_automaton_decontamination
+from .language import op8_mixture_language_id
+from .personal_data import op10_semi_markov_personal_data
 from .token_files import op2_simple8b_token_files
 
-QUERIES = {f.__name__: f for f in (op2_simple8b_token_files, op5_suffix_automaton_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_simple8b_token_files, op5_suffix_automaton_decontamination, op8_mixture_language_id, op10_semi_markov_personal_data)}
 
 ORACLE: dict[str, str] = {}
