@@ -5,9 +5,10 @@ from __future__ import annotations
 from .decontaminate import op5_suffix_automaton_decontamination
 from .language import op8_mixture_language_id
 from .line_dedup import OP4_SQL, op4_site_spread_line_dedup
+from .packing import op1_best_fit_packing
 from .personal_data import op10_semi_markov_personal_data
 from .token_files import op2_simple8b_token_files
 
-QUERIES = {f.__name__: f for f in (op2_simple8b_token_files, op4_site_spread_line_dedup, op5_suffix_automaton_decontamination, op8_mixture_language_id, op10_semi_markov_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_simple8b_token_files, op4_site_spread_line_dedup, op5_suffix_automaton_decontamination, op8_mixture_language_id, op10_semi_markov_personal_data)}
 
 ORACLE: dict[str, str] = {"op4_site_spread_line_dedup": OP4_SQL}
