@@ -22,18 +22,15 @@ texts are linked.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, map_frames, slices, staged, table
-from .shingles import SIGNATURE, checked, full_sets, least_agreement, shingle_sets, signatures
+from .common import map_frames, slices, staged, table
+from .near_nodes import linked, sig_value
+from .shingles import SIGNATURE, full_sets, shingle_sets, signatures
 
 TREES = 8
-SMALL = 24
-DEPTH = 6
-PIVOTS = 6
 
 
 def described(docs: DataFrame, width: int) -> DataFrame:
@@ -56,69 +53,7 @@ def described(docs: DataFrame, width: int) -> DataFrame:
     return map_frames(docs.select("doc_id", "text"), run, "doc_id long, n long, d1 long, d2 long, sig binary")
 
 
-def _value(j):
-    """The j-th value of a signature."""
-    return F.substring(F.col("sig"), (j * 4 + 1).cast("int") if not isinstance(j, int) else j * 4 + 1, 4)
-
-
-def _pairs_in_nodes(nodes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (a, b) within nodes (members: id, n, sig), all compared with all."""
-    least = least_agreement(percent / 100)
-
-    def run(frames):
-        for frame in frames:
-            out = [np.empty((2, 0), np.int64)]
-            for members in frame["members"]:
-                ids = np.array([m["id"] for m in members], np.int64)
-                n = np.array([m["n"] for m in members], np.int64)
-                sig = np.frombuffer(b"".join(bytes(m["sig"]) for m in members), np.uint32).reshape(len(ids), -1)
-                i, j = np.triu_indices(len(ids), 1)
-                close = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-                i, j = i[close], j[close]
-                like = ((sig[i] == sig[j]).sum(axis=1) >= least) & (ids[i] != ids[j])
-                i, j = ids[i[like]], ids[j[like]]
-                out.append(np.array([np.minimum(i, j), np.maximum(i, j)]))
-            a, b = np.unique(np.concatenate(out, axis=1), axis=1)
-            yield pd.DataFrame({"a": a, "b": b})
-
-    return map_frames(nodes, run, "a long, b long").distinct()
-
-
-def _like_pivot(rows: DataFrame, percent: int) -> DataFrame:
-    """Of rows (a, n, sig, b, bn, bsig), the pairs that may reach the threshold."""
-    least = least_agreement(percent / 100)
-
-    def run(frames):
-        for f in frames:
-            if len(f):
-                x = np.frombuffer(b"".join(map(bytes, f["sig"])), np.uint32).reshape(len(f), -1)
-                y = np.frombuffer(b"".join(map(bytes, f["bsig"])), np.uint32).reshape(len(f), -1)
-                f = f[(x == y).sum(axis=1) >= least]
-                yield pd.DataFrame({"a": np.minimum(f["a"], f["b"]), "b": np.maximum(f["a"], f["b"])})
-
-    near = rows.where(100 * F.least("n", "bn") >= percent * F.greatest("n", "bn"))
-    return map_frames(near, run, "a long, b long").distinct()
-
-
-def tree_nodes(members: DataFrame, trees: int, small: int, depth: int) -> tuple[list[DataFrame], DataFrame | None]:
-    """(frames of small nodes (key, id), large nodes (key, id) that are left at the last level)."""
-    level = members.select("id", "sig", F.explode(F.array(*(F.struct(F.xxhash64(F.lit(r), _value(r)).alias("key")) for r in range(trees)))).alias("k")).select("id", F.col("k.key").alias("key"))
-    found = []
-    for d in range(depth + 1):
-        counts = level.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        level = staged(level.join(counts, "key"), f"tree-{d}")
-        found.append(level.where(F.col("size") <= small).select("key", "id"))
-        large = level.where(F.col("size") > small).select("key", "id")
-        if not large.take(1):
-            return found, None
-        if d < depth:
-            choice = [F.pmod(F.xxhash64("key", F.lit(c)), F.lit(SIGNATURE - trees)) + trees for c in range(2)]
-            level = large.join(members.select("id", "sig"), "id").select(
-                "id", F.explode(F.array_distinct(F.array(*(F.xxhash64("key", j, _value(j)) for j in choice)))).alias("key"))
-    return found, large
-
-
-def links(docs: DataFrame, described_docs: DataFrame, same: DataFrame, width: int, percent: int, trees: int = TREES, small: int = SMALL, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
+def links(docs: DataFrame, described_docs: DataFrame, same: DataFrame, width: int, percent: int, trees: int = TREES, **limits) -> DataFrame:
     """(id, component) of the documents that are linked with another one with a different set.
 
     ``docs``: doc_id, text; one document stands for all with an equal set.
@@ -126,39 +61,9 @@ def links(docs: DataFrame, described_docs: DataFrame, same: DataFrame, width: in
     """
     members = staged(described_docs.where("sig is not null and doc_id is not null").groupBy("d1", "d2")
                      .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")).select("id", "n", "sig"), "members")
-    found, large = tree_nodes(members, trees, small, depth)
-    nodes = found[0]
-    for f in found[1:]:
-        nodes = nodes.union(f)
-    grouped = nodes.join(members, "id").groupBy("key").agg(F.collect_list(F.struct("id", "n", "sig")).alias("members"))
-    pairs = staged(_pairs_in_nodes(grouped, percent), "likely-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    if large is not None:
-        large = staged(large.join(members, "id"), "large-nodes")
-        ids = ids.union(large.select("id"))
-    sets = staged(full_sets(docs, staged(ids.distinct(), "compared"), width), "full-sets")
-    edges = staged(checked(pairs, sets, percent).union(same), "links")
-    if large is None:
-        return components(edges, "near-copies")
-
-    done = None  # pivots so far, by node
-    while True:
-        now = large.join(components(edges, "near-copies"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        now = staged(now, "node-components")
-        shares = now.groupBy("key", "component").agg(F.count("*").alias("rows"))
-        largest = shares.groupBy("key").agg(F.max(F.struct("rows", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("top.component").alias("top"))
-        open_ = now.join(largest, "key").where("component <> top")
-        if done is not None:
-            open_ = open_.join(done, ["key", "id"], "left_anti")
-        by = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-        chosen = staged(open_.withColumn("place", F.row_number().over(by)).where(F.col("place") <= pivots)
-                        .select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("sig").alias("bsig"), F.col("component").alias("own")), "pivots")
-        if not chosen.take(1):
-            return now.select("id", "component").union(components(edges, "near-copies").select("id", "component")).distinct()
-        compared = now.withColumnRenamed("id", "a").join(chosen, "key").where("component <> own").select("a", "n", "sig", "b", "bn", "bsig")
-        edges = staged(edges.union(checked(staged(_like_pivot(compared, percent), "pivot-pairs"), sets, percent)).distinct(), "links")
-        key = chosen.select("key", F.col("b").alias("id"))
-        done = staged(key if done is None else done.union(key), "pivots-done")
+    roots = F.array(*(F.xxhash64(F.lit(r), sig_value(r)) for r in range(trees)))
+    level = members.select("id", F.explode(roots).alias("key"))
+    return linked(level, members, lambda ids: full_sets(docs, ids, width), percent, range(trees, SIGNATURE), same, **limits)
 
 
 def classes(docs: DataFrame, width: int, percent: int, **limits) -> DataFrame:

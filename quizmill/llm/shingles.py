@@ -90,7 +90,7 @@ def signatures(sets: list[np.ndarray], size: int = SIGNATURE) -> np.ndarray:
     return out
 
 
-def least_agreement(threshold: float, size: int = SIGNATURE) -> int:
+def least_agreement(threshold: float, size: int) -> int:
     """Equal min-wise values that a pair at the threshold reaches but for about one in ten million."""
     return max(1, int(threshold * size - 5.3 * (size * threshold * (1 - threshold)) ** 0.5))
 
