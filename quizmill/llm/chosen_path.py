@@ -8,11 +8,9 @@ one that keeps such a process alive.  Small nodes are compared exhaustively, on
 signatures first and then on the full sets.  Independent trees repeat this until
 the chance to miss a pair at the threshold is below one in a hundred thousand.
 
-Nodes that still are large after ``depth`` levels hold members that are alike
-almost everywhere.  They are settled exactly without comparing all pairs: as only
-components are asked for, pivots are compared with all members of their node,
-and members outside the node's largest component become pivots, until each
-member is either in that component or has been compared with all.
+Nodes that still are large after some levels hold members that are alike almost
+everywhere; these families are compared as wholes, block by block (see
+``near_nodes``).
 
 Nulls: a null text, or one without words, is an empty set and linked with
 nothing; a row without doc_id is linked with nothing, too (component_id is null,

@@ -1,13 +1,14 @@
-"""Linked members of candidate nodes: small nodes pair by pair, large ones by branching and pivots.
+"""Linked members of candidate nodes: small nodes pair by pair, large ones by branching and then as families.
 
 A member is (id, n, sig): a set of n items with a min-wise signature.  A node is
 a key that several members share.  Nodes of up to ``small`` members are compared
 exhaustively, on signatures first and then on the full sets.  Larger ones branch
 on further values of the signature.  Those still large after ``depth`` levels
-hold members that are alike almost everywhere: pivots are compared with all
-members of their node, and members outside the node's largest component become
-pivots, until each member is in that component or has been compared with all.
-Every step is a join or an aggregate; no node is ever in one task as a whole.
+hold members that are alike almost everywhere.  Connected by common nodes they
+form families; a family is dealt into blocks of bounded size, and every pair of
+blocks is one task that counts the intersections of all its pairs on full sets
+and gives back a spanning forest of the links.  So no task holds an unbounded
+group, no pair is lost, and what comes out is linear in the members.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, map_frames, staged
 from .shingles import checked, least_agreement
 
 SMALL = 24
-DEPTH = 6
-PIVOTS = 6
+DEPTH = 4
+#: Members, and items of their sets, of one block of a family.
+BLOCK = 1024
+BLOCK_ITEMS = 2_000_000
 
 
 def sig_value(j):
@@ -53,20 +56,6 @@ def _pairs_in_nodes(nodes: DataFrame, percent: int) -> DataFrame:
     return map_frames(nodes, run, "a long, b long").distinct()
 
 
-def _like_pivot(rows: DataFrame, percent: int) -> DataFrame:
-    """Of rows (a, n, sig, b, bn, bsig), the pairs that may reach the threshold."""
-    def run(frames):
-        for f in frames:
-            if len(f):
-                x = np.frombuffer(b"".join(map(bytes, f["sig"])), np.uint32).reshape(len(f), -1)
-                y = np.frombuffer(b"".join(map(bytes, f["bsig"])), np.uint32).reshape(len(f), -1)
-                f = f[(x == y).sum(axis=1) >= least_agreement(percent / 100, x.shape[1])]
-                yield pd.DataFrame({"a": np.minimum(f["a"], f["b"]), "b": np.maximum(f["a"], f["b"])})
-
-    near = rows.where(100 * F.least("n", "bn") >= percent * F.greatest("n", "bn"))
-    return map_frames(near, run, "a long, b long").distinct()
-
-
 def refined(level: DataFrame, members: DataFrame, values: range, small: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
     """(small nodes, large nodes left at the last level), each (key, id), of the nodes in ``level``; ``values``: signature values to branch on."""
     found = []
@@ -88,8 +77,59 @@ def refined(level: DataFrame, members: DataFrame, values: range, small: int, dep
     return nodes, large
 
 
+def _forest(items: list[np.ndarray], apart: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links among some sets; ``apart``: only pairs with different values are compared."""
+    sizes = np.array([len(x) for x in items])
+    values = np.concatenate(items)
+    owner = np.repeat(np.arange(len(items)), sizes)
+    _, column, seen = np.unique(values, return_inverse=True, return_counts=True)
+    shared = seen > 1  # items of a single set are in no intersection
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    column, owner = place[column[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(items), len(items)), np.float32)
+    for first in range(0, int(shared.sum()), 1024):
+        a, b = np.searchsorted(column, [first, first + 1024])
+        part = np.zeros((len(items), 1024), np.float32)
+        part[owner[a:b], column[a:b] - first] = 1
+        common += part @ part.T
+    link = 100 * common.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :] - common.astype(np.int64))
+    if apart is not None:
+        link &= apart[:, None] != apart[None, :]
+    new, edges = np.ones(len(items), bool), []
+    for k in range(len(items)):
+        if new[k]:
+            new[k] = False
+            stack = [k]
+            while stack:
+                x = stack.pop()
+                more = np.flatnonzero(link[x] & new).tolist()
+                new[more] = False
+                edges += [(x, y) for y in more]
+                stack += more
+    return edges
+
+
+def _family_links(families: DataFrame, sets: DataFrame, percent: int, block: int, block_items: int) -> DataFrame:
+    """(a, b): spanning forests of the links within families (id, family, n), found on full sets."""
+    sizes = families.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / block_items)).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    dealt = families.join(sizes, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("id", "family", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(sets, "id")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        across = frame["i"].iloc[0] != frame["j"].iloc[0]
+        ids = frame["id"].to_numpy()
+        edges = _forest([np.frombuffer(x, np.uint64) for x in frame["items"]], frame["own"].to_numpy() if across else None, percent)
+        return pd.DataFrame({"a": [ids[x] for x, _ in edges], "b": [ids[y] for _, y in edges]})
+
+    return dealt.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def linked(level: DataFrame, members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, values: range, same: DataFrame | None = None,
-           small: int = SMALL, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
+           small: int = SMALL, depth: int = DEPTH, block: int = BLOCK, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(id, component) of the members with a link: 100 * intersection >= percent * union.
 
     ``level``: nodes (key, id); ``sets_of`` gives (id, items) for a frame of ids;
@@ -100,30 +140,16 @@ def linked(level: DataFrame, members: DataFrame, sets_of: Callable[[DataFrame],
     pairs = staged(_pairs_in_nodes(grouped, percent), "likely-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     if large is not None:
-        large = staged(large.join(members, "id"), "large-nodes")
-        ids = ids.union(large.select("id"))
+        stars = large.join(large.groupBy("key").agg(F.min("id").alias("b")), "key").select(F.col("id").alias("a"), "b").distinct()
+        families = components(stars, "families").withColumnRenamed("component", "family").join(members.select("id", "n"), "id")
+        families = staged(families, "families")
+        ids = ids.union(families.select("id"))
+        # pairs of one family are compared there
+        of = families.select("id", "family")
+        pairs = (pairs.join(of.withColumnsRenamed({"id": "a", "family": "x"}), "a", "left").join(of.withColumnsRenamed({"id": "b", "family": "y"}), "b", "left")
+                 .where(F.coalesce(F.col("x") != F.col("y"), F.lit(True))).select("a", "b"))
     sets = staged(sets_of(staged(ids.distinct(), "compared")), "full-sets")
     edges = checked(pairs, sets, percent)
-    edges = staged(edges if same is None else edges.union(same), "links")
-    if large is None:
-        return components(edges, "near-copies")
-
-    done = None  # pivots so far, by node
-    while True:
-        parts = components(edges, "near-copies")
-        now = staged(large.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), "node-components")
-        shares = now.groupBy("key", "component").agg(F.count("*").alias("rows"))
-        largest = (shares.groupBy("key").agg(F.max(F.struct("rows", "component")).alias("top"), F.count("*").alias("parts"))
-                   .where("parts > 1").select("key", F.col("top.component").alias("top")))
-        open_ = now.join(largest, "key").where("component <> top")
-        if done is not None:
-            open_ = open_.join(done, ["key", "id"], "left_anti")
-        by = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-        chosen = staged(open_.withColumn("place", F.row_number().over(by)).where(F.col("place") <= pivots)
-                        .select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("sig").alias("bsig"), F.col("component").alias("own")), "pivots")
-        if not chosen.take(1):
-            return parts
-        compared = now.withColumnRenamed("id", "a").join(chosen, "key").where("component <> own").select("a", "n", "sig", "b", "bn", "bsig")
-        edges = staged(edges.union(checked(staged(_like_pivot(compared, percent), "pivot-pairs"), sets, percent)).distinct(), "links")
-        key = chosen.select("key", F.col("b").alias("id"))
-        done = staged(key if done is None else done.union(key), "pivots-done")
+    if large is not None:
+        edges = edges.union(_family_links(families, sets, percent, block, block_items))
+    return components(edges if same is None else edges.union(same), "near-copies")

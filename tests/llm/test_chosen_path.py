@@ -47,7 +47,7 @@ def some_docs(seed, families=8, common=""):
     return [(3 * k + 1, t) for k, t in enumerate(docs)] + [(None, docs[0]), (1, docs[5]), (4, docs[1])]
 
 
-@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"small": 4, "depth": 2, "pivots": 2}), (3, {"small": 6, "depth": 1, "pivots": 3})])
+@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"small": 4, "depth": 1, "block": 7})])
 def test_against_brute_force(spark, seed, limits):
     docs = some_docs(seed, common=" a very common line of words ends every text" if seed > 1 else "")
     frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'q' as n", "1 as sig")

@@ -63,7 +63,7 @@ def some_docs(seed):
     return docs + [(60, None), (61, ""), (62, "\n\n"), (63, docs[7][1]), (5, docs[5][1]), (None, "\n".join(shared[:2]))]
 
 
-@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"small": 3, "depth": 1, "pivots": 2})])
+@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"small": 3, "depth": 1, "block": 5})])
 def test_against_brute_force(spark, seed, limits):
     docs = some_docs(seed)
     frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as pos", "'x' as th")
