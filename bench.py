@@ -18,7 +18,7 @@ HEADLINE = [
     "items", "exact_duplicates", "item_issues", "chapter_quality", "coverage_cube", "coverage_gaps",
     "normalize_variations", "merge_variations", "syllabus_match", "topic_sections", "section_requests",
     "verification_requests", "flatten_bank", "bank_export", "near_duplicates", "near_duplicate_items",
-    "run_summary", "batch_verify", "batch_vary",
+    "run_summary",
 ]
 
 

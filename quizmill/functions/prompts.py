@@ -8,12 +8,14 @@ wording is our own; users may pass their own templates with the same slots.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import BLOOMS, section_schema
+from ..schemas import BLOOMS, TOPIC_VERIFICATION, section_schema
 
 SYSTEM_GENERATE = (
     "You write assessment items for school textbooks. Every item must fit its cognitive level "
@@ -102,8 +104,23 @@ def _sql_lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def json_schema(kind: T.DataType) -> dict:
+    """JSON schema of a Spark type: every field declared, objects closed."""
+    if isinstance(kind, T.StructType):
+        fields = {f.name: json_schema(f.dataType) for f in kind.fields}
+        return {"type": "object", "properties": fields, "additionalProperties": False}
+    if isinstance(kind, T.ArrayType):
+        return {"type": "array", "items": json_schema(kind.elementType)}
+    return {"type": {"string": "string", "int": "integer", "boolean": "boolean"}[kind.simpleString()]}
+
+
 def schema_text(qtype: str) -> str:
-    return section_schema(qtype).simpleString()
+    """What a generation reply must look like."""
+    return json.dumps(json_schema(section_schema(qtype)))
+
+
+#: What a verification reply must look like.
+VERIFICATION_SCHEMA = json.dumps(json_schema(TOPIC_VERIFICATION))
 
 
 def section_user_prompt(qtype: str, topic: Column, content: Column, class_name: Column,
@@ -114,8 +131,8 @@ def section_user_prompt(qtype: str, topic: Column, content: Column, class_name:
     return F.concat(body, F.lit(SECTION_EXTRA.format(extra=extra))) if extra else body
 
 
-def wrap_typed(system: str, user: Column, qtype: str) -> Column:
-    return render(TYPED_WRAP, system=system, user=user, schema=schema_text(qtype))
+def wrap_typed(system: str, user: Column, schema: str) -> Column:
+    return render(TYPED_WRAP, system=system, user=user, schema=schema)
 
 
 def wrap_free(system: str, user: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import SECTION_CAP, TRUNCATION_MARKER
+from ..schemas import SECTION_PART
 
 # Whitespace as Python's str.strip() sees it (str.isspace), spelled out so
 # that Java regex gives the same answer as the pipeline being rebuilt.
@@ -41,11 +41,6 @@ def words(col) -> Column:
     return F.filter(F.split(F.lower(_c(col)), NON_WORD), lambda x: x != "")
 
 
-def normalized(col) -> Column:
-    """Normalised question text used for exact-duplicate detection."""
-    return F.array_join(words(col), " ")
-
-
 def strip_heading_number(col) -> Column:
     """Drop a two-level ``d.d `` prefix (``6.1 Title`` -> ``Title``)."""
     return F.regexp_replace(_c(col), HEADING_NUMBER, "")
@@ -65,10 +60,11 @@ def clean_response(col) -> Column:
     return py_strip(t)
 
 
-def cap_section(col, cap: int = SECTION_CAP) -> Column:
-    """Cut to ``cap`` characters and append the truncation marker when cut."""
+def parts(col, size: int = SECTION_PART) -> Column:
+    """Consecutive parts of at most ``size`` characters (one, empty part for an empty text)."""
     c = _c(col)
-    return F.when(F.length(c) > cap, F.concat(F.substring(c, 1, cap), F.lit(TRUNCATION_MARKER))).otherwise(c)
+    last = F.greatest(F.ceil(F.length(c) / size), F.lit(1)).cast("int") - 1
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(c, i * size + 1, F.lit(size)))
 
 
 def first_number(col) -> Column:

@@ -101,11 +101,11 @@ def normalized_variations(parsed: Column, is_mcq: Column) -> Column:
                            lambda s: s.isNotNull() & (s != "")))
 
 
-def pad_and_cap(norm: Column, question: Column, n: int = N_VARIATIONS) -> Column:
-    """Pad with the first variation (or the question when none) to ``n``, then cap.
+def padded(norm: Column, question: Column, n: int = N_VARIATIONS) -> Column:
+    """Pad with the first variation (or the question when none) up to ``n``; none above is cut.
 
     A failed call (null) yields an empty list and is not padded.
     """
     filler = F.coalesce(F.get(norm, 0), question)
-    padded = F.slice(F.concat(norm, F.array_repeat(filler, F.greatest(F.lit(n) - F.size(norm), F.lit(0)))), 1, n)
-    return F.when(norm.isNull(), F.array().cast("array<string>")).otherwise(padded)
+    full = F.concat(norm, F.array_repeat(filler, F.greatest(F.lit(n) - F.size(norm), F.lit(0))))
+    return F.when(norm.isNull(), F.array().cast("array<string>")).otherwise(full)

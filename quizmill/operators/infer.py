@@ -30,15 +30,18 @@ Backend = Callable[[pd.DataFrame, int], list]
 def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
                  validator: Callable[[str], None] | None = None, max_attempts: int = MAX_ATTEMPTS,
                  partitions: int | None = None, keep: list[str] | None = None,
-                 materialize: bool = True) -> DataFrame:
+                 materialize: bool = True, per_task: int = 2000, batch_rows: int = 200) -> DataFrame:
     """Run every request through the backend; returns request_id, the
     ``keep`` columns, attempt_count, raw (last good response) and error
     (last failure).
 
     With ``materialize`` (default) the responses are written once to the
-    shared checkpoint folder before anything reads them, so downstream
+    shared folder before anything reads them, so downstream
     joins never call the backend twice and a lost executor does not replay
-    model calls.
+    model calls.  ``per_task`` requests make one task and ``batch_rows`` one
+    backend call, so a task holds few prompts and replies at a time.  A backend
+    that raises fails its batch for that attempt; one that returns fewer replies
+    than requests fails those without a reply.
     """
     from ..session import ship_package
     ship_package(requests.sparkSession)
@@ -48,8 +51,7 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = backend_factory()
-        for pdf in batches:
-            pdf = pdf.reset_index(drop=True)
+        for pdf in (b.iloc[k: k + batch_rows].reset_index(drop=True) for b in batches for k in range(0, len(b), batch_rows)):
             raw = [None] * len(pdf)
             err = [None] * len(pdf)
             tries = [0] * len(pdf)
@@ -57,13 +59,19 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
             for attempt in range(1, max_attempts + 1):
                 if not todo:
                     break
-                out = backend(pdf.iloc[todo].reset_index(drop=True), attempt)
+                try:
+                    out = list(backend(pdf.iloc[todo].reset_index(drop=True), attempt))
+                except Exception as e:  # noqa: BLE001 - failures are data
+                    out = [e] * len(todo)
+                out += [RuntimeError("no reply")] * (len(todo) - len(out))
                 left = []
                 for i, r in zip(todo, out):
                     tries[i] = attempt
                     try:
                         if isinstance(r, BaseException):
                             raise r
+                        if not isinstance(r, str):
+                            raise TypeError("reply is no text")
                         if validator is not None:
                             validator(r)
                         raw[i], err[i] = r, None
@@ -78,16 +86,13 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
             yield pd.DataFrame(cols)
 
     # Requests are small in bytes but expensive to serve: AQE would coalesce
-    # them into a few tasks, so they are spread by id over the cluster
-    # explicitly (an explicit count is never coalesced).
-    try:
-        n = partitions or requests.sparkSession.sparkContext.defaultParallelism * 2
-    except Exception:  # noqa: BLE001 - remote session: use the shuffle partition count
-        n = partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # them into a few tasks, so they are dealt by id into tasks of a given
+    # number of requests (an explicit count is never coalesced).
+    n = partitions or max(1, -(-requests.count() // per_task))
     out = requests.repartition(n, "request_id").mapInPandas(run, schema)
     if materialize:
-        from .similarity import materialize as _materialize
-        out = _materialize(out)
+        from ..session import staged
+        out = staged(out, "responses")
     return out
 
 
@@ -116,120 +121,3 @@ def section_validator(qtype: str) -> Callable[[str], None]:
         if len(groups) != 6 or any(not g["questions"] or g["bloom_taxonomy"] not in BLOOMS for g in groups):
             raise ValueError("section must have six non-empty level groups")
     return check
-
-
-# ---------------------------------------------------------------------------
-# Offline backends
-# ---------------------------------------------------------------------------
-
-def template_backend() -> Backend:
-    """Variation backend: five stems of the item's level filled with the
-    question (the per-row form of ``extractive.template_variations``)."""
-    from .extractive import STEMS
-
-    def call(batch: pd.DataFrame, attempt: int) -> list:
-        return [json.dumps([s.replace("{q}", q) for s in STEMS[b]], ensure_ascii=False)
-                for q, b in zip(batch["question"], batch["bloom"])]
-    return call
-
-
-_SPLIT = re.compile(r"(?<=[.!?])\s+")
-_WORD = re.compile(r"[^\W_]+")
-
-
-def extractive_section(qtype: str, topic: str, text: str, n: int) -> str:
-    """One typed section built from the section's own sentences."""
-    sents = [s.strip() for s in _SPLIT.split(text or "") if s.strip()]
-    if not sents:
-        raise ValueError("section has no sentences")
-    keys = []
-    for s in sents:
-        ws = _WORD.findall(s)
-        keys.append(max(ws, key=len) if ws else s)
-    groups = []
-    for li, level in enumerate(BLOOMS):
-        qs = []
-        for k in range(n):
-            j = (li * n + k) % len(sents)
-            s, key = sents[j], keys[j]
-            masked = s.replace(key, "_____", 1)
-            nxt = [sents[(j + d) % len(sents)] for d in range(1, 4)]
-            if qtype == "MCQs":
-                opts = [key] + [keys[(j + d) % len(keys)] for d in range(1, 4)]
-                qs.append({"question": f"Which word completes: {masked}", "options": opts, "answer": key,
-                           "explanation": s, "variations": []})
-            elif qtype == "fill_in_the_blanks":
-                qs.append({"question": masked, "answer": key, "variations": []})
-            elif qtype == "short_answer":
-                qs.append({"question": f"Explain: {s}", "reference_answer": " ".join([s] + nxt[:1]),
-                           "variations": []})
-            else:
-                qs.append({"question": f"Discuss {topic}", "reference_points": nxt, "reference_answer": "",
-                           "variations": []})
-        groups.append({"bloom_taxonomy": level, "questions": qs})
-    return json.dumps({qtype: groups}, ensure_ascii=False)
-
-
-def extractive_backend() -> Backend:
-    """Generation backend: typed sections from the request's section text."""
-    def call(batch: pd.DataFrame, attempt: int) -> list:
-        out = []
-        for q, t, s, n in zip(batch["qtype"], batch["topic"], batch["section"], batch["questions_per_level"]):
-            try:
-                out.append(extractive_section(q, t, s, int(n)))
-            except Exception as e:  # noqa: BLE001
-                out.append(e)
-        return out
-    return call
-
-
-def flaky(factory: Callable[[], Backend], fails: Callable[[pd.DataFrame], pd.Series]) -> Callable[[], Backend]:
-    """Failure injection: row r fails its first ``fails(batch)[r]`` attempts."""
-    def make() -> Backend:
-        inner = factory()
-
-        def call(batch: pd.DataFrame, attempt: int) -> list:
-            out = inner(batch, attempt)
-            n = fails(batch).tolist()
-            return [RuntimeError(f"injected failure {attempt}") if attempt <= k else r for r, k in zip(out, n)]
-        return call
-    return make
-
-
-def rule_verdict(topic: str, items_json: str) -> str:
-    """Verification backend: a typed topic verdict from simple checks
-    (MCQ answer among options, blank marker present, repeated question text
-    within the topic).  Entries exist only for items with issues."""
-    from ..schemas import QTYPES, VERIFICATION_KEYS
-    items = json.loads(items_json)
-    seen: set[str] = set()
-    out = {k: [] for k in VERIFICATION_KEYS.values()}
-    worst = 0
-    dup = False
-    rank = {"low": 1, "medium": 2, "high": 3, "critical": 4}
-    idx = {q: 0 for q in QTYPES}
-    for it in items:
-        q = it["qtype"]
-        issues = []
-        norm = (it.get("question") or "").strip().lower()
-        if norm in seen:
-            issues.append({"issue_type": "duplicate", "description": "repeated question", "severity": "critical"})
-            dup = True
-        seen.add(norm)
-        if q == "MCQs" and it.get("answer") not in (it.get("options") or []):
-            issues.append({"issue_type": "incorrect", "description": "answer not among options", "severity": "critical"})
-        if q == "fill_in_the_blanks" and "_____" not in (it.get("question") or ""):
-            issues.append({"issue_type": "incorrect", "description": "no blank marker", "severity": "critical"})
-        if issues:
-            out[VERIFICATION_KEYS[q]].append({"question_index": idx[q], "is_valid": False, "issues": issues,
-                                              "suggestion": None})
-            worst = max(worst, *(rank[i["severity"]] for i in issues))
-        idx[q] += 1
-    quality = "excellent" if worst == 0 else "good" if worst <= 2 else "fair" if worst == 3 else "poor"
-    return json.dumps({"topic": topic, **out, "overall_quality": quality, "has_duplicates": dup})
-
-
-def verdict_backend() -> Backend:
-    def call(batch: pd.DataFrame, attempt: int) -> list:
-        return [rule_verdict(t, j) for t, j in zip(batch["topic"], batch["items_json"])]
-    return call

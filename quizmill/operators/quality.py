@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..schemas import MAX_POINTS, REQUIRED_FIELDS
+from ..schemas import MAX_POINTS, MIN_POINTS, REQUIRED_FIELDS
 
 
 def _arr(name: str) -> Column:
@@ -23,13 +23,14 @@ def _arr(name: str) -> Column:
 def normalized_points() -> Column:
     """Long-answer points after the answer-outline normaliser (H6).
 
-    Trimmed non-blank points, first six; else the legacy text split into
-    sentences, first six; else an empty list (the record is rejected, I9).
+    Trimmed non-blank points; else the sentences of the legacy text; else an
+    empty list (the record is rejected, I9).  None is cut: the count rule
+    reports an excess.
     """
     pts = F.filter(F.transform(_arr("reference_points"), tx.py_strip), lambda x: x != "")
     legacy = F.filter(F.transform(F.split(tx.py_strip(F.coalesce(F.col("reference_answer"), F.lit(""))),
                                           tx.SENTENCE_BREAK), tx.py_strip), lambda x: x != "")
-    return F.when(F.size(pts) > 0, F.slice(pts, 1, MAX_POINTS)).otherwise(F.slice(legacy, 1, MAX_POINTS))
+    return F.when(F.size(pts) > 0, pts).otherwise(legacy)
 
 
 def _n_sentences(col: str) -> Column:
@@ -70,7 +71,7 @@ def item_rules() -> list[tuple[str, str, str, Column]]:
          blank & ~F.coalesce(F.col("question").contains("_____"), F.lit(False))),
         ("blank_answer_length", "poor_quality", "medium", blank & ~_n_words("answer").between(1, 3)),
         ("short_answer_length", "poor_quality", "medium", short & ~_n_sentences("reference_answer").between(2, 4)),
-        ("long_answer_point_count", "poor_quality", "high", long_ & ~F.size(pts).between(3, 6)),
+        ("long_answer_point_count", "poor_quality", "high", long_ & ~F.size(pts).between(MIN_POINTS, MAX_POINTS)),
         ("long_answer_point_too_long", "poor_quality", "medium",
          long_ & F.exists(pts, lambda x: F.size(tx.words(x)) >= 20)),
         ("long_answer_points_repeated", "poor_quality", "medium",
@@ -79,12 +80,6 @@ def item_rules() -> list[tuple[str, str, str, Column]]:
     ]
 
 
-def with_rule_flags(items: DataFrame) -> DataFrame:
-    """Add ``points`` and one boolean column per rule (single projection)."""
-    df = items.withColumn("points", F.when(F.col("qtype") == "long_answer", normalized_points()))
-    return df.select("*", *[pred.alias(name) for name, _, _, pred in item_rules()])
-
-
 def rule_issues(items: DataFrame) -> DataFrame:
     """One row per (item, violated rule): explode of an array of structs."""
     rules = item_rules()
@@ -96,6 +91,11 @@ def rule_issues(items: DataFrame) -> DataFrame:
             .select("chapter_id", "topic_pos", "qtype", "seq", "h.rule", "h.issue_type", "h.severity"))
 
 
+def duplicate_key() -> Column:
+    """Key of exact duplicates: the words of a question, or its trimmed text where it has none."""
+    return F.when(F.size("terms") > 0, F.array_join("terms", " ")).otherwise(tx.trim_ascii("question")).alias("norm")
+
+
 def exact_duplicates(items: DataFrame) -> DataFrame:
     """Exact duplicate questions (normalised text) at corpus and topic scope.
 
@@ -104,8 +104,7 @@ def exact_duplicates(items: DataFrame) -> DataFrame:
     only texts seen more than once are joined back, so the join side is
     small, and AQE splits a skewed text on the item side.
     """
-    it = items.select("chapter_id", "topic_pos", "seq", "qtype",
-                      F.array_join("terms", " ").alias("norm")).where("norm <> ''")
+    it = items.select("chapter_id", "topic_pos", "seq", "qtype", duplicate_key())
     corpus = (it.groupBy("norm")
               .agg(F.count("*").alias("n_corpus"), F.min(F.struct("chapter_id", "seq")).alias("first"))
               .where("n_corpus > 1"))
@@ -125,8 +124,7 @@ def exact_duplicates(items: DataFrame) -> DataFrame:
 
 def duplicate_issues(items: DataFrame) -> DataFrame:
     """Later exact duplicates inside a topic become critical duplicate issues."""
-    it = items.select("chapter_id", "topic_pos", "seq", "qtype",
-                      F.array_join("terms", " ").alias("norm")).where("norm <> ''")
+    it = items.select("chapter_id", "topic_pos", "seq", "qtype", duplicate_key())
     first = it.groupBy("chapter_id", "topic_pos", "norm").agg(F.min("seq").alias("first_seq"),
                                                                F.count("*").alias("n"))
     return (it.join(first.where("n > 1"), ["chapter_id", "topic_pos", "norm"])
@@ -195,7 +193,7 @@ def long_answer_rules(items: DataFrame) -> DataFrame:
     df = items.where("qtype = 'long_answer'").withColumn("points", normalized_points())
     n = F.size("points")
     return df.select(
-        "chapter_id", "seq", n.cast("bigint").alias("n_points"), n.between(3, 6).alias("count_ok"),
+        "chapter_id", "seq", n.cast("bigint").alias("n_points"), n.between(MIN_POINTS, MAX_POINTS).alias("count_ok"),
         F.coalesce(F.array_max(F.transform("points", lambda x: F.size(tx.words(x)))), F.lit(0))
         .cast("bigint").alias("max_point_words"),
         (F.size(F.array_distinct("points")) == n).alias("points_distinct"),
@@ -207,14 +205,18 @@ def bloom_alignment(items: DataFrame, keywords: DataFrame) -> DataFrame:
 
     Distinct question words meet the fixed keyword dimension in a broadcast
     join (36 rows, fixed size); an item is misaligned when it uses level
-    keywords but none of its assigned level.  A keyword may name two levels.
+    keywords but none of its assigned level.  A keyword may name two levels;
+    an item without any keeps a null ``aligned``.
     """
     toks = items.select("chapter_id", "seq", "bloom", F.explode(F.array_distinct("terms")).alias("keyword"))
     hits = toks.join(F.broadcast(keywords.select("keyword", F.col("bloom").alias("kw_bloom"))), "keyword")
-    return hits.groupBy("chapter_id", "seq", "bloom").agg(
+    found = hits.groupBy("chapter_id", "seq").agg(
         F.array_join(F.array_sort(F.collect_set("kw_bloom")), ",").alias("keyword_levels"),
         F.array_join(F.array_sort(F.collect_set("keyword")), ",").alias("keywords"),
         F.max(F.col("kw_bloom") == F.col("bloom")).alias("aligned"))
+    return items.select("chapter_id", "seq", "bloom").join(found, ["chapter_id", "seq"], "left").select(
+        "chapter_id", "seq", "bloom", F.coalesce("keyword_levels", F.lit("")).alias("keyword_levels"),
+        F.coalesce("keywords", F.lit("")).alias("keywords"), "aligned")
 
 
 def question_index(items: DataFrame) -> DataFrame:
@@ -266,10 +268,10 @@ def grounding(passages: DataFrame, corpus_docs: DataFrame, k: int = 5) -> DataFr
     Corpus shingles are deduplicated by a hash aggregate and the passage side
     is semi-joined against them; hot shingles cost one row each.
     """
-    from .similarity import shingle_hashes
-    p = (passages.select("item_id", tx.words("text").alias("w")).where(F.size("w") > 0)
+    from .similarity import shingle_hashes, words_or_text
+    p = (passages.select("item_id", words_or_text("text").alias("w")).where(F.size("w") > 0)
          .select("item_id", F.explode(shingle_hashes("w", k)).alias("h")))
-    c = (corpus_docs.select(tx.words("text").alias("w")).where(F.size("w") > 0)
+    c = (corpus_docs.select(words_or_text("text").alias("w")).where(F.size("w") > 0)
          .select(F.explode(shingle_hashes("w", k)).alias("h")).distinct())
     found = p.join(c, "h", "left_semi").groupBy("item_id").agg(F.count("*").alias("n_found"))
     tot = p.groupBy("item_id").agg(F.count("*").alias("n_shingles"))

@@ -18,7 +18,7 @@ def _rid(stage: str, *cols) -> F.Column:
 
 
 def section_requests(sections: DataFrame, meta: DataFrame) -> DataFrame:
-    """Topic x question type fan-out (4 requests per topic).
+    """Topic part x question type fan-out (4 requests per part of a section).
 
     The type dimension is a literal array exploded per topic (fixed size,
     no join); chapter metadata joins 1:N on the chapter key.
@@ -30,10 +30,10 @@ def section_requests(sections: DataFrame, meta: DataFrame) -> DataFrame:
     for q in QTYPES:
         user = pr.section_user_prompt(q, F.col("topic"), F.col("section"), F.col("class_name"),
                                       F.col("subject_name"), F.col("chapter_name"), n)
-        p = pr.wrap_typed(pr.SYSTEM_GENERATE, user, q)
+        p = pr.wrap_typed(pr.SYSTEM_GENERATE, user, pr.schema_text(q))
         prompt = F.when(F.col("qtype") == q, p) if prompt is None else prompt.when(F.col("qtype") == q, p)
-    return df.select(_rid("generate", "chapter_id", "topic_pos", "qtype").alias("request_id"),
-                     F.lit("generate").alias("stage"), "chapter_id", "topic_pos", "qtype",
+    return df.select(_rid("generate", "chapter_id", "topic_pos", "part_pos", "qtype").alias("request_id"),
+                     F.lit("generate").alias("stage"), "chapter_id", "topic_pos", "part_pos", "qtype",
                      prompt.alias("prompt"), "topic", "section", "questions_per_level")
 
 
@@ -48,16 +48,15 @@ def verification_requests(items: DataFrame) -> DataFrame:
     by the per-topic item budget (4 types x 6 levels x n).
     """
     order = F.array_position(F.array(*[F.lit(q) for q in QTYPES]), F.col("qtype"))
-    g = items.groupBy("chapter_id", "topic_pos").agg(
+    g = items.groupBy("chapter_id", "topic_pos", "topic").agg(
         F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col("bloom_ord"), F.col("seq"),
                                              F.struct(*ITEM_JSON_FIELDS).alias("item")))).alias("xs"))
     items_json = F.to_json(F.transform("xs", lambda x: x["item"]), {"ignoreNullFields": "false"})
-    topic = F.concat(F.col("chapter_id").cast("string"), F.lit("."), (F.col("topic_pos") + 1).cast("string"))
-    user = pr.render(pr.VERIFY_TEMPLATE, topic=topic, items_json=items_json)
+    user = pr.render(pr.VERIFY_TEMPLATE, topic=F.col("topic"), items_json=items_json)
     return g.select(_rid("verify", "chapter_id", "topic_pos").alias("request_id"), F.lit("verify").alias("stage"),
                     "chapter_id", "topic_pos", F.size("xs").cast("bigint").alias("n_items"),
-                    pr.wrap_typed(pr.SYSTEM_VERIFY, user, "MCQs").alias("prompt"),
-                    topic.alias("topic"), items_json.alias("items_json"))
+                    pr.wrap_typed(pr.SYSTEM_VERIFY, user, pr.VERIFICATION_SCHEMA).alias("prompt"),
+                    "topic", items_json.alias("items_json"))
 
 
 def variation_requests(items: DataFrame) -> DataFrame:
@@ -68,9 +67,8 @@ def variation_requests(items: DataFrame) -> DataFrame:
     type_name = F.element_at(F.create_map(*[x for q in QTYPES for x in (F.lit(q), F.lit(QTYPE_VARIATION_NAME[q]))]),
                              F.col("qtype"))
     points = F.when(F.col("qtype") == "long_answer", normalized_points())
-    topic = F.concat(F.col("chapter_id").cast("string"), F.lit("."), (F.col("topic_pos") + 1).cast("string"))
     details = pr.variation_details(F.col("qtype"), F.col("options"), F.col("answer"), F.col("reference_answer"), points)
-    user = pr.render(pr.VARY_TEMPLATE, type_name=type_name, bloom=F.col("bloom"), topic=topic,
+    user = pr.render(pr.VARY_TEMPLATE, type_name=type_name, bloom=F.col("bloom"), topic=F.col("topic"),
                      question=F.col("question"), details=details)
     return df.select(_rid("vary", "chapter_id", "seq").alias("request_id"), F.lit("vary").alias("stage"),
                      "chapter_id", "topic_pos", "seq", "qtype", "bloom", "question",

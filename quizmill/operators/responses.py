@@ -23,11 +23,11 @@ def clean_and_parse(responses: DataFrame, raw: str = "raw") -> DataFrame:
 
 def variation_results(responses: DataFrame) -> DataFrame:
     """Per response: normalised variations (``norm``) and the final padded
-    list of five (``new_variations``); failed calls give an empty list."""
+    list of at least five (``new_variations``); failed calls give an empty list."""
     df = clean_and_parse(responses)
     is_mcq = F.col("qtype") == "MCQs"
     return (df.withColumn("norm", vx.normalized_variations(F.col("parsed"), is_mcq))
-            .withColumn("new_variations", vx.pad_and_cap(F.col("norm"), F.col("question"))))
+            .withColumn("new_variations", vx.padded(F.col("norm"), F.col("question"))))
 
 
 def variation_rules(df: DataFrame, col: str = "new_variations") -> DataFrame:
@@ -43,7 +43,7 @@ def variation_rules(df: DataFrame, col: str = "new_variations") -> DataFrame:
         F.size(v).cast("bigint").alias("n_variations"),
         n_unique.cast("bigint").alias("n_unique"),
         F.array_contains(v, F.col("question")).alias("repeats_original"),
-        ((n_unique == 5) & ~F.array_contains(v, F.col("question"))).alias("five_unique"),
+        ((F.size(v) == 5) & (n_unique == 5) & ~F.array_contains(v, F.col("question"))).alias("five_unique"),
         shape.alias("shape_kept"),
     )
 
@@ -131,8 +131,9 @@ def section_ok(groups) -> F.Column:
 def flatten_sections(parsed: DataFrame) -> DataFrame:
     """Parsed sections -> flat items (D1, G1): group position, item
     position, and only the fields the item's type declares (B10)."""
-    g = parsed.select("chapter_id", "topic_pos", "qtype", F.posexplode("groups").alias("group_pos", "g"))
-    q = g.select("chapter_id", "topic_pos", "qtype", "group_pos", F.col("g.bloom_taxonomy").alias("bloom"),
+    keys = ["chapter_id", "topic_pos", *(["part_pos"] if "part_pos" in parsed.columns else []), "qtype"]
+    g = parsed.select(*keys, F.posexplode("groups").alias("group_pos", "g"))
+    q = g.select(*keys, "group_pos", F.col("g.bloom_taxonomy").alias("bloom"),
                  F.posexplode("g.questions").alias("q_pos", "it"))
     cols = []
     for f in ITEM_FIELDS:
@@ -144,14 +145,14 @@ def flatten_sections(parsed: DataFrame) -> DataFrame:
             c = F.when(F.col("qtype") == "long_answer", F.coalesce(c, F.lit(""))).otherwise(c)
         cols.append(c.alias(f.name))
     bloom_ord = F.array_position(F.array(*[F.lit(b) for b in BLOOMS]), F.col("bloom")).cast("int")
-    return q.select("chapter_id", "topic_pos", "qtype", "bloom", bloom_ord.alias("bloom_ord"),
+    return q.select(*keys, "bloom", bloom_ord.alias("bloom_ord"),
                     "group_pos", "q_pos", *cols)
 
 
 def combine_sections(parsed: DataFrame) -> DataFrame:
-    """Four section responses -> one topic row; any failed section fails the topic (D3)."""
+    """Four sections -> one topic row; any failed response (a part's, where a section came in parts) fails the topic (D3)."""
     ok = parsed.withColumn("ok", section_ok(F.col("groups")))
-    p = ok.groupBy("chapter_id", "topic_pos").pivot("qtype", QTYPES).agg(F.first("ok"))
+    p = ok.groupBy("chapter_id", "topic_pos").pivot("qtype", QTYPES).agg(F.bool_and("ok"))
     all_ok = F.lit(True)
     for q in QTYPES:
         all_ok = all_ok & F.coalesce(F.col(q), F.lit(False))
@@ -167,39 +168,33 @@ def chapter_assembly(topics: DataFrame) -> DataFrame:
         (F.count_if("topic_ok") >= 1).alias("chapter_ok"))
 
 
-def _typed_section(groups, fields):
-    """Section groups with items narrowed to the declared ``fields``."""
-    def item(it):
-        return F.struct(*[it[f].alias(f) for f in fields])
-
-    def group(g):
-        return F.struct(g["bloom_taxonomy"].alias("bloom_taxonomy"), F.transform(g["questions"], item).alias("questions"))
-    return F.transform(groups, group)
-
-
 def bank_documents(items: DataFrame, chapters: DataFrame) -> DataFrame:
     """Nested chapter banks as JSON: class, subject, chapter, total_topics,
     topics[{topic, MCQs, fill_in_the_blanks, short_answer, long_answer}],
     each section a list of {bloom_taxonomy, questions} whose items carry
     exactly their type's declared fields.
 
-    Each type gets its own typed column (null on other types' rows), so a
-    topic row is one hash aggregate with ``first(ignorenulls)``; chapters
-    then collect their topic structs.  The largest group is one chapter's
-    bank, i.e. the document written.
+    Structs are nested directly, so no text is altered on the way.  Each type
+    gets its own typed column (null on other types' rows); levels, topics and
+    chapters are collected in turn.  The largest group is one chapter's bank,
+    i.e. the document written.
     """
-    parsed = parse_sections(nest_sections(items))
+    topic_keys = ["chapter_id", "topic_pos", "topic"]
     typed = []
     for q in QTYPES:
-        typed.append(F.when(F.col("qtype") == q, _typed_section(F.col("groups"), TYPE_FIELDS[q])).alias(q))
-    s = parsed.select("chapter_id", "topic_pos", *typed)
-    t = s.groupBy("chapter_id", "topic_pos").agg(*[F.first(q, ignorenulls=True).alias(q) for q in QTYPES])
-    name = F.concat(F.col("chapter_id").cast("string"), F.lit("."), (F.col("topic_pos") + 1).cast("string"))
-    ch = (t.groupBy("chapter_id")
-          .agg(F.array_sort(F.collect_list(F.struct("topic_pos", F.struct(name.alias("topic"), *QTYPES).alias("t"))))
-               .alias("ts")))
+        # a long answer always shows the legacy text, if only as an empty one
+        fields = [F.coalesce(f, F.lit("")).alias(f) if (q, f) == ("long_answer", "reference_answer") else F.col(f) for f in TYPE_FIELDS[q]]
+        typed.append(F.when(F.col("qtype") == q, F.struct("seq", F.struct(*fields).alias("it"))).alias(q))
+    levels = (items.select(*topic_keys, "qtype", "bloom_ord", "bloom", *typed).groupBy(*topic_keys, "qtype", "bloom_ord", "bloom")
+              .agg(*[F.transform(F.array_sort(F.collect_list(q)), lambda x: x["it"]).alias(q) for q in QTYPES]))
+    level = [F.when(F.col("qtype") == q, F.struct("bloom_ord", F.struct(F.col("bloom").alias("bloom_taxonomy"), F.col(q).alias("questions")).alias("g"))).alias(q)
+             for q in QTYPES]
+    sections = [F.transform(F.array_sort(F.collect_list(q)), lambda x: x["g"]).alias(q) for q in QTYPES]
+    t = levels.select(*topic_keys, *level).groupBy(*topic_keys).agg(*sections)
+    t = t.select(*topic_keys, *[F.when(F.size(q) > 0, F.col(q)).alias(q) for q in QTYPES])
+    ch = t.groupBy("chapter_id").agg(F.array_sort(F.collect_list(F.struct("topic_pos", F.struct("topic", *QTYPES).alias("t")))).alias("ts"))
     j = ch.join(chapters, "chapter_id")
     doc = F.struct("class_name", "subject_name", "chapter_name", F.size("ts").alias("total_topics"),
                    F.transform("ts", lambda x: x["t"]).alias("topics"))
-    return j.select("chapter_id", "class_name", "subject_name",
+    return j.select("chapter_id", "class_name", "subject_name", "chapter_name",
                     F.to_json(doc, {"ignoreNullFields": "false"}).alias("bank_json"))

@@ -29,6 +29,11 @@ def strip(x: str) -> str:
     return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
 
 
+def words_or_text(x: str) -> str:
+    trimmed = strip(f"coalesce({x}, '')")
+    return f"(CASE WHEN len({words(x)}) > 0 THEN {words(x)} WHEN {trimmed} <> '' THEN [{trimmed}] ELSE []::VARCHAR[] END)"
+
+
 def jn(x: str, alias: str) -> str:
     return f"array_to_string({x}, {SEP}) AS {alias}"
 
@@ -43,9 +48,10 @@ SELECT chapter_id, topic_pos, seq, qtype, bloom, bloom_ord, question, {jn('optio
        {jn('variations', 'variations')}
 FROM items"""
 
+DUP_KEY = f"CASE WHEN len(terms) > 0 THEN array_to_string(terms, ' ') ELSE {strip('question')} END"
+
 ORACLE["exact_duplicates"] = with_ctes(ITEMS, """it AS (
-  SELECT chapter_id, topic_pos, seq, qtype, array_to_string(terms, ' ') AS norm FROM items
-  WHERE array_to_string(terms, ' ') <> '')""", """w AS (
+  SELECT chapter_id, topic_pos, seq, qtype, """ + DUP_KEY + """ AS norm FROM items)""", """w AS (
   SELECT *, count(*) OVER (PARTITION BY norm) AS n_corpus,
          first_value(chapter_id) OVER (PARTITION BY norm ORDER BY chapter_id, seq) AS first_chapter_id,
          first_value(seq) OVER (PARTITION BY norm ORDER BY chapter_id, seq) AS first_seq,
@@ -63,7 +69,7 @@ _LEGACY = (f"list_filter(list_transform(string_split(regexp_replace({strip("coal
 
 FLAGS = f"""flags AS (
   SELECT *, CASE WHEN qtype = 'long_answer' THEN
-              (CASE WHEN len({_PTS}) > 0 THEN list_slice({_PTS}, 1, 6) ELSE list_slice({_LEGACY}, 1, 6) END)
+              (CASE WHEN len({_PTS}) > 0 THEN {_PTS} ELSE {_LEGACY} END)
             END AS points
   FROM items)"""
 
@@ -109,7 +115,7 @@ DUP_ISSUES = """dup_issues AS (
   SELECT chapter_id, topic_pos, qtype, seq, 'exact_duplicate' AS rule, 'duplicate' AS issue_type,
          'critical' AS severity
   FROM (SELECT *, min(seq) OVER (PARTITION BY chapter_id, topic_pos, norm) AS first_seq
-        FROM (SELECT *, array_to_string(terms, ' ') AS norm FROM items) WHERE norm <> '')
+        FROM (SELECT *, """ + DUP_KEY + """ AS norm FROM items))
   WHERE seq <> first_seq)"""
 
 ISSUES = [ITEMS, FLAGS, RULE_ISSUES, DUP_ISSUES,
@@ -255,7 +261,8 @@ RAW = f"""raw_view AS (
                       || '", "reference_answer": "' || {_B} || '"}}]}}'
           WHEN 6 THEN '{{"other": 1}}'
           ELSE '7' END AS body
-        FROM items WHERE len(terms) > 0)))"""
+        FROM (SELECT * REPLACE (CASE WHEN len(terms) > 0 THEN terms
+                                     ELSE [regexp_replace({strip('question')}, '["\\\\]', '', 'g')] END AS terms) FROM items))))"""
 
 PARSED = f"""parsed_view AS (
   SELECT *, CASE WHEN json_valid(cleaned) THEN cleaned::JSON END AS parsed
@@ -309,8 +316,7 @@ UNWRAP = """(CASE WHEN json_type(parsed) = 'OBJECT' AND list_contains(json_keys(
 VAR_RESULTS = PARSED + f""",
 var_results AS (
   SELECT *, CASE WHEN norm IS NULL THEN []::VARCHAR[]
-              ELSE list_slice(list_concat(norm, list_transform(range(greatest(5 - len(norm), 0)),
-                                                               lambda i: coalesce(norm[1], question))), 1, 5)
+              ELSE list_concat(norm, list_transform(range(greatest(5 - len(norm), 0)), lambda i: coalesce(norm[1], question)))
             END AS new_variations
   FROM (SELECT *, CASE WHEN parsed IS NOT NULL THEN
                     list_filter(list_transform({UNWRAP}, lambda x: {normalize('x', "qtype = 'MCQs'")}),
@@ -330,7 +336,7 @@ ORACLE["variation_rules"] = with_ctes(ITEMS, RAW, VAR_RESULTS) + """
 SELECT chapter_id, seq, qtype, len(new_variations) AS n_variations,
        len(list_distinct(new_variations)) AS n_unique,
        list_contains(new_variations, question) AS repeats_original,
-       len(list_distinct(new_variations)) = 5 AND NOT list_contains(new_variations, question) AS five_unique,
+       len(new_variations) = 5 AND len(list_distinct(new_variations)) = 5 AND NOT list_contains(new_variations, question) AS five_unique,
        CASE WHEN qtype = 'MCQs' THEN
               coalesce(list_bool_and(list_transform(new_variations, lambda s:
                 len(string_split(coalesce(regexp_extract(s, 'Options: ([^|]*)', 1), ''), '; ')) = 4)), true)
@@ -406,16 +412,15 @@ SELECT chapter_id, chapter_pos, label, len(topics) AS n_topics,
        CAST(CASE WHEN len(topics) < 5 THEN 8 ELSE 5 END AS BIGINT) AS questions_per_level
 FROM matched"""
 
-ORACLE["chapter_rejects"] = with_ctes(ENTRIES) + """
-, avail AS (
-  SELECT subject_key, string_agg(label, ', ' ORDER BY chapter_pos) AS available
-  FROM (SELECT *, row_number() OVER (PARTITION BY subject_key ORDER BY chapter_pos) AS rn FROM ent) WHERE rn <= 5
-  GROUP BY subject_key),
-rej AS (
+_REJECTS = with_ctes(ENTRIES) + """
+, rej AS (
   SELECT chapter_id, subject_key, 'not_in_syllabus' AS reason FROM ch WHERE chapter_id NOT IN (SELECT chapter_id FROM matched)
   UNION ALL
   SELECT chapter_id, subject_key, 'no_topics' FROM matched JOIN ch USING (chapter_id) WHERE len(topics) = 0)
-SELECT chapter_id, reason, coalesce(available, '') AS available FROM rej LEFT JOIN avail USING (subject_key)"""
+"""
+ORACLE["chapter_rejects"] = _REJECTS + "SELECT chapter_id, reason FROM rej"
+ORACLE["available_labels"] = _REJECTS + """
+SELECT subject_key, chapter_pos, label FROM ent WHERE subject_key IN (SELECT subject_key FROM rej)"""
 
 ORACLE["explode_topics"] = with_ctes(ENTRIES) + """
 SELECT chapter_id, CAST(i - 1 AS INTEGER) AS topic_pos, topics[i] AS topic, '[' || i || '/' || len(topics) || ']' AS progress
@@ -443,15 +448,11 @@ p AS (SELECT t.*, h.content, {_P1} AS p1, {_P3} AS p3, {_P4} AS p4 FROM t JOIN h
 s AS (SELECT *, CASE WHEN p1 > 0 THEN 1 WHEN p3 > 0 THEN 3 WHEN p4 > 0 THEN 4 END AS strategy,
              CASE WHEN p1 > 0 THEN p1 WHEN p3 > 0 THEN p3 WHEN p4 > 0 THEN p4 END AS st FROM p),
 n AS (SELECT *, {_pos("substring(content, st + length(topic))", r"'\n#+ \d+\.\d+'")} AS nxt FROM s WHERE strategy IS NOT NULL),
-raw AS (SELECT *, substring(content, st, CASE WHEN nxt > 0 THEN length(topic) + nxt - 1 ELSE 3000 END) AS r FROM n)
-SELECT chapter_id, topic_pos, topic, strategy, CAST(st - 1 AS INTEGER) AS start, length(r) AS section_len,
-       length(r) > 3000 AS truncated,
-       CASE WHEN length(r) > 3000 THEN substring(r, 1, 3000) || chr(10) || chr(10) || '[Content truncated for API limits]'
-            ELSE r END AS section
-FROM raw
-UNION ALL
-SELECT chapter_id, topic_pos, topic, NULL, -1, length(substring(content, 1, 3000)), false, substring(content, 1, 3000)
-FROM s WHERE strategy IS NULL"""
+raw AS (SELECT *, substring(content, st, CASE WHEN nxt > 0 THEN length(topic) + nxt - 1 ELSE length(content) END) AS r FROM n
+        UNION ALL SELECT *, 0 AS nxt, content AS r FROM s WHERE strategy IS NULL)
+SELECT chapter_id, topic_pos, topic, strategy, CAST(coalesce(st - 1, -1) AS INTEGER) AS start, length(r) AS section_len,
+       CAST(k AS INTEGER) AS part_pos, substring(r, k * 3000 + 1, 3000) AS section
+FROM (SELECT *, unnest(range(greatest(CAST(ceil(length(r) / 3000.0) AS BIGINT), 1))) AS k FROM raw)"""
 
 # --- run bookkeeping ---------------------------------------------------------
 ORACLE["skip_processed"] = """
@@ -516,12 +517,12 @@ ORACLE["section_requests"] = "WITH " + SECTIONS + f"""
          CASE WHEN len(m.topics) < 5 THEN 8 ELSE 5 END AS qpl
   FROM documents d JOIN matched m ON m.chapter_id = d.doc_id),
 req AS (
-  SELECT s.chapter_id, s.topic_pos, q.qtype, s.topic, s.section, meta.*
+  SELECT s.chapter_id, s.topic_pos, s.part_pos, q.qtype, s.topic, s.section, meta.*
   FROM sections s JOIN meta USING (chapter_id)
   CROSS JOIN (SELECT unnest(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer']) AS qtype) q),
 rp AS (SELECT *, CASE qtype {" ".join(f"WHEN '{q}' THEN {_section_prompt_sql(q)}" for q in _pr.SECTION_CONFIG)} END AS prompt
       FROM req)
-SELECT 'generate:' || chapter_id || ':' || topic_pos || ':' || qtype AS request_id, chapter_id, topic_pos, qtype,
+SELECT 'generate:' || chapter_id || ':' || topic_pos || ':' || part_pos || ':' || qtype AS request_id, chapter_id, topic_pos, part_pos, qtype,
        length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
 FROM rp"""
 
@@ -536,7 +537,7 @@ ORACLE["verification_requests"] = with_ctes(ITEMS) + f"""
                                bloom_ord, seq))::VARCHAR AS items_json
   FROM items GROUP BY chapter_id, topic_pos),
 p AS (SELECT *, {_pr.render_sql(_pr.TYPED_WRAP, system=_pr._sql_lit(_pr.SYSTEM_VERIFY), user=_VERIFY_USER,
-                                schema=_pr._sql_lit(_pr.schema_text("MCQs")))} AS prompt FROM g)
+                                schema=_pr._sql_lit(_pr.VERIFICATION_SCHEMA))} AS prompt FROM g)
 SELECT 'verify:' || chapter_id || ':' || topic_pos AS request_id, chapter_id, topic_pos, n_items,
        length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
 FROM p"""
@@ -634,7 +635,7 @@ SELECT chapter_id, class_name, subject_name, length(j) AS json_len, md5(j) AS js
 
 # --- near duplicates ---------------------------------------------------------
 ORACLE["near_duplicates"] = f"""
-WITH tok AS (SELECT doc_id, {words('text')} AS w FROM documents),
+WITH tok AS (SELECT doc_id, {words_or_text('text')} AS w FROM documents),
 sh AS (SELECT doc_id, CASE WHEN len(w) >= 5
                  THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
                  ELSE [array_to_string(w, ' ')] END AS s
@@ -650,7 +651,7 @@ UNION ALL
 SELECT rep, doc_id, 'copy', 1.0 FROM cls WHERE doc_id <> rep"""
 
 ORACLE["near_duplicate_items"] = with_ctes(ITEMS) + """
-, sets AS (SELECT chapter_id, topic_pos, seq, list_sort(list_distinct(terms)) AS st FROM items WHERE len(terms) > 0),
+, sets AS (SELECT chapter_id, topic_pos, seq, list_sort(list_distinct(CASE WHEN len(terms) > 0 THEN terms ELSE [""" + strip('question') + """] END)) AS st FROM items),
 cls AS (SELECT *, len(st) AS n, min(seq) OVER (PARTITION BY chapter_id, topic_pos, st) AS rep FROM sets),
 ex AS (SELECT chapter_id, topic_pos, seq, n, unnest(st) AS w FROM cls WHERE seq = rep),
 pairs AS (SELECT a.chapter_id, a.topic_pos, a.seq AS seq_a, b.seq AS seq_b, count(*) AS inter,
@@ -678,9 +679,11 @@ st AS (SELECT chapter_id, seq, bloom,
 hits AS (SELECT i.chapter_id, i.seq, i.bloom, k.keyword, k.kw_bloom
          FROM (SELECT chapter_id, seq, bloom, unnest(list_distinct({words('text')})) AS keyword FROM st) i
          JOIN kw k USING (keyword))
-SELECT chapter_id, seq, bloom, array_to_string(list_sort(list_distinct(list(kw_bloom))), ',') AS keyword_levels,
-       array_to_string(list_sort(list_distinct(list(keyword))), ',') AS keywords, bool_or(kw_bloom = bloom) AS aligned
-FROM hits GROUP BY chapter_id, seq, bloom"""
+SELECT i.chapter_id, i.seq, i.bloom, coalesce(h.levels, '') AS keyword_levels, coalesce(h.words, '') AS keywords, h.aligned
+FROM items i LEFT JOIN (
+  SELECT chapter_id, seq, array_to_string(list_sort(list_distinct(list(kw_bloom))), ',') AS levels,
+         array_to_string(list_sort(list_distinct(list(keyword))), ',') AS words, bool_or(kw_bloom = bloom) AS aligned
+  FROM hits GROUP BY chapter_id, seq) h USING (chapter_id, seq)"""
 
 QINDEX = """qi AS (
   SELECT chapter_id, topic_pos, qtype, seq,
@@ -702,24 +705,17 @@ SELECT chapter_id, seq, array_to_string(list_transform({STEMS_SQL}, lambda s: re
        AS variations
 FROM items"""
 
-ORACLE["batch_vary"] = with_ctes(ITEMS) + f"""
-SELECT chapter_id, seq,
-       CAST(CASE WHEN (chapter_id + seq) % 17 = 0 THEN 3 ELSE seq % 3 + 1 END AS INTEGER) AS attempt_count,
-       (chapter_id + seq) % 17 = 0 AS failed,
-       CASE WHEN (chapter_id + seq) % 17 = 0 THEN ''
-            ELSE array_to_string(list_transform({STEMS_SQL}, lambda s: replace(s, '{{q}}', question)), chr(31)) END
-         AS variations
-FROM items WHERE len(coalesce(variations, [])) = 0"""
-
-ORACLE["snapshot_rows"] = """
-WITH ch AS (SELECT lang AS class_name, source AS subject_name, 'chapter ' || doc_id AS chapter_name FROM documents),
+_bank = ORACLE["bank_export"]
+ORACLE["snapshot_rows"] = _bank[:_bank.index("\nSELECT chapter_id, class_name, subject_name, length(j)")] + """
+, ch AS (SELECT class_name, subject_name, 'chapter ' || chapter_id AS chapter_name, j FROM doc),
 st AS (SELECT unnest(['generated', 'verified', 'varied']) AS stage)
 SELECT chapter_name AS chapter_id, stage, strftime(TIMESTAMP '2024-01-02 03:04:05', '%Y%m%d_%H%M%S') AS run_ts,
        replace(class_name, ' ', '_') || '_' || replace(subject_name, ' ', '_') || '_' || replace(chapter_name, ' ', '_')
          || '_' || stage || '_' || strftime(TIMESTAMP '2024-01-02 03:04:05', '%Y%m%d_%H%M%S') || '.txt' AS file_name,
        'Backup: ' || class_name || ' - ' || subject_name || ' - ' || chapter_name || chr(10) || 'Stage: ' || stage
          || chr(10) || 'Timestamp: ' || strftime(TIMESTAMP '2024-01-02 03:04:05', '%Y%m%d_%H%M%S') || chr(10)
-         || repeat('=', 80) || chr(10) || chr(10) AS header
+         || repeat('=', 80) || chr(10) || chr(10) AS header,
+       length(j) AS payload_len, md5(j) AS payload_md5
 FROM ch CROSS JOIN st"""
 
 ORACLE["content_coverage"] = with_ctes(ITEMS) + f"""
@@ -738,39 +734,13 @@ _SH = ("list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w)
        "lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) ELSE [array_to_string(w, ' ')] END)")
 ORACLE["grounding"] = f"""
 WITH p AS (SELECT item_id, unnest({_SH}) AS sh
-           FROM (SELECT item_id, {words('text')} AS w FROM benchmark) WHERE len(w) > 0),
-c AS (SELECT DISTINCT unnest({_SH}) AS sh FROM (SELECT {words('text')} AS w FROM documents) WHERE len(w) > 0),
+           FROM (SELECT item_id, {words_or_text('text')} AS w FROM benchmark) WHERE len(w) > 0),
+c AS (SELECT DISTINCT unnest({_SH}) AS sh FROM (SELECT {words_or_text('text')} AS w FROM documents) WHERE len(w) > 0),
 tot AS (SELECT item_id, count(*) AS n FROM p GROUP BY item_id),
 fnd AS (SELECT item_id, count(*) AS n FROM p SEMI JOIN c USING (sh) GROUP BY item_id)
 SELECT tot.item_id, tot.n AS n_shingles, coalesce(fnd.n, 0) AS n_found, round(coalesce(fnd.n, 0) / tot.n, 6) AS grounded_share
 FROM tot LEFT JOIN fnd USING (item_id)"""
 
-ORACLE["batch_verify"] = with_ctes(ITEMS) + """
-, f AS (
-  SELECT *, row_number() OVER (PARTITION BY chapter_id, topic_pos, lower(trim(question))
-                               ORDER BY list_position(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer'], qtype),
-                                        bloom_ord, seq) > 1 AS is_dup,
-         qtype = 'MCQs' AND NOT coalesce(list_contains(coalesce(options, []), answer), false) AS bad_answer,
-         qtype = 'fill_in_the_blanks' AND NOT contains(question, '_____') AS no_marker
-  FROM items),
-t AS (
-  SELECT chapter_id, topic_pos,
-         count(*) FILTER (WHERE is_dup OR bad_answer OR no_marker) AS n_entries,
-         sum(CAST(is_dup AS INT) + CAST(bad_answer AS INT) + CAST(no_marker AS INT)) AS n_issues,
-         bool_or(is_dup) AS has_dup, bool_or(is_dup OR bad_answer OR no_marker) AS any_issue
-  FROM f GROUP BY chapter_id, topic_pos),
-v AS (
-  SELECT chapter_id, topic_pos,
-         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN 0 ELSE n_entries END AS n_entries,
-         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN 0 ELSE n_issues END AS n_issues,
-         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN 'poor' WHEN any_issue THEN 'poor' ELSE 'excellent' END AS q,
-         CASE WHEN (chapter_id + topic_pos) % 13 = 0 THEN false ELSE has_dup END AS has_duplicates
-  FROM t)
-SELECT chapter_id, count(*) AS n_topics, CAST(sum(n_entries) AS BIGINT) AS n_entries,
-       CAST(sum(n_issues) AS BIGINT) AS total_issues,
-       bool_and(q NOT IN ('poor', 'fair') AND NOT has_duplicates) AS overall_pass
-FROM v GROUP BY chapter_id"""
-
 _COMB_BODY = _pr.render_sql(_pr.COMBINED_TEMPLATE, n="'5'", total="'120'", topic="chapter_id || '.' || (topic_pos + 1)",
                             class_name="lang", subject_name="source", chapter_name="'chapter ' || chapter_id",
                             content="content")
@@ -779,7 +749,7 @@ _COMB_USER = (f"CASE WHEN coalesce(previous, '') <> '' THEN {_COMB_BODY} || "
 ORACLE["combined_requests"] = with_ctes(ITEMS) + f"""
 , t AS (SELECT chapter_id, topic_pos, any_value(lang) AS lang, any_value(source) AS source,
                string_agg(question, ' ' ORDER BY seq) AS content,
-               CASE WHEN topic_pos % 2 = 1 THEN string_agg('- ' || question, chr(10) ORDER BY seq) END AS previous
+               string_agg('- ' || question, chr(10) ORDER BY seq) AS previous
         FROM items GROUP BY chapter_id, topic_pos),
 p AS (SELECT *, {_pr.render_sql(_pr.FREE_WRAP, system=_pr._sql_lit(_pr.SYSTEM_GENERATE), user=_COMB_USER)} AS prompt FROM t)
 SELECT 'combined:' || chapter_id || ':' || topic_pos AS request_id, chapter_id, topic_pos,

@@ -3,7 +3,8 @@
 generate -> verify -> vary, expressed as DataFrames: syllabus match, topic
 sections, typed section requests through a backend, parse/validate,
 combine, rule-based verification, variation requests for items without
-variations, merge, nested export.  Backends default to the offline ones.
+variations, merge, nested export.  The model is whatever backends the caller
+passes.
 """
 
 from __future__ import annotations
@@ -13,37 +14,38 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import corpus, infer, quality, requests, responses, rollup
-from ..operators.similarity import materialize
+from ..session import staged
 from ..schemas import QTYPES
 
 
 def build_banks(chapters: DataFrame, entries: DataFrame, done: DataFrame | None = None,
-                generate_backend=infer.extractive_backend, vary_backend=infer.template_backend,
-                partitions: int | None = None) -> dict[str, DataFrame]:
+                *, generate_backend, vary_backend, partitions: int | None = None) -> dict[str, DataFrame]:
     """``chapters``: chapter_id, subject_key, class_name, subject_name,
     chapter_name, dir_name, chapter_number, content.  ``entries``: parsed
     syllabus entries.  ``done``: chapter_id of chapters already built."""
     todo = chapters if done is None else chapters.join(done.select("chapter_id"), "chapter_id", "left_anti")
     # small (one row per chapter) and reused by four branches: written once
-    matched = materialize(corpus.match_syllabus(todo, entries))
-    rejects = corpus.chapter_rejects(todo, entries, matched)
+    matched = staged(corpus.match_syllabus(todo, entries), "matched")
+    rejects = corpus.chapter_rejects(todo, matched)
     usable = matched.where(F.size("topics") > 0)
-    sections = corpus.topic_sections(todo.select("chapter_id", "content"), usable)
+    sections = staged(corpus.topic_sections(todo.select("chapter_id", "content"), usable), "sections")
     meta = todo.select("chapter_id", "class_name", "subject_name", "chapter_name").join(
         usable.select("chapter_id", corpus.questions_per_level(F.size("topics")).alias("questions_per_level")),
         "chapter_id")
     reqs = requests.section_requests(sections, meta)
-    res = infer.run_requests(reqs.select("request_id", "chapter_id", "topic_pos", "prompt", "qtype", "topic",
+    res = infer.run_requests(reqs.select("request_id", "chapter_id", "topic_pos", "part_pos", "prompt", "qtype", "topic",
                                          "section", "questions_per_level"),
-                             generate_backend, partitions=partitions, keep=["chapter_id", "topic_pos", "qtype"])
+                             generate_backend, partitions=partitions, keep=["chapter_id", "topic_pos", "part_pos", "qtype"])
     parsed = responses.parse_sections(res)
     topics = responses.combine_sections(parsed)
     good = parsed.join(topics.where("topic_ok").select("chapter_id", "topic_pos"), ["chapter_id", "topic_pos"])
     flat = responses.flatten_sections(good)
     order = F.array_position(F.array(*[F.lit(q) for q in QTYPES]), F.col("qtype"))
-    w = Window.partitionBy("chapter_id", "topic_pos").orderBy(order, "group_pos", "q_pos")
-    items = (flat.withColumn("seq", (F.col("topic_pos") * 100000 + F.row_number().over(w)).cast("int"))
-             .withColumn("terms", tx.words("question")))
+    w = Window.partitionBy("chapter_id", "topic_pos").orderBy(order, "part_pos", "group_pos", "q_pos")
+    names = sections.where("part_pos = 0").select("chapter_id", "topic_pos", "topic")
+    items = (flat.withColumn("seq", F.col("topic_pos").cast("bigint") * (1 << 31) + F.row_number().over(w))
+             .withColumn("terms", tx.words("question")).join(names, ["chapter_id", "topic_pos"]))
+    items = staged(items, "items")
     issues = quality.all_issues(items)
     topic_q = rollup.topic_quality(items, issues)
     chapter_q = rollup.chapter_quality(topic_q)

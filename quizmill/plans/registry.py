@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, rollup
 from ..sources import views
-from ..sources.tables import spread, table
+from ..sources.tables import table
 
 SEP = "\x1f"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,7 @@ def joined(col: str, alias: str | None = None):
 
 
 def _docs(spark, sf):
-    return spread(table(spark, sf, "documents"), "doc_id")
+    return table(spark, sf, "documents")
 
 
 def _items(spark, sf):
@@ -185,10 +185,11 @@ def q_merge_variations(spark, sf):
 def _matched(spark, sf):
     """Matched syllabus entries, written once (small: one row per chapter)
     so the branches that reuse them do not redo the syllabus joins."""
-    from ..operators import corpus, similarity
+    from ..operators import corpus
+    from ..session import staged
     docs = _docs(spark, sf)
     entries = corpus.parse_syllabus_entries(views.syllabus_entries(docs))
-    return docs, entries, similarity.materialize(corpus.match_syllabus(views.chapters(docs), entries))
+    return docs, entries, staged(corpus.match_syllabus(views.chapters(docs), entries), "matched")
 
 
 @register("path_metadata")
@@ -216,9 +217,16 @@ def q_syllabus_match(spark, sf):
 
 @register("chapter_rejects")
 def q_chapter_rejects(spark, sf):
+    from ..operators import corpus
+    docs, _, m = _matched(spark, sf)
+    return corpus.chapter_rejects(views.chapters(docs), m).select("chapter_id", "reason")
+
+
+@register("available_labels")
+def q_available_labels(spark, sf):
     from ..operators import corpus
     docs, entries, m = _matched(spark, sf)
-    return corpus.chapter_rejects(views.chapters(docs), entries, m)
+    return corpus.available_labels(entries, corpus.chapter_rejects(views.chapters(docs), m))
 
 
 @register("explode_topics")
@@ -234,7 +242,7 @@ def q_topic_sections(spark, sf):
     docs, _, m = _matched(spark, sf)
     s = corpus.topic_sections(views.headed_chapters(docs), m)
     return s.select("chapter_id", "topic_pos", "topic", "strategy", "start",
-                    F.col("section_len").cast("bigint").alias("section_len"), "truncated", "section")
+                    F.col("section_len").cast("bigint").alias("section_len"), "part_pos", "section")
 
 
 # --- run bookkeeping ---------------------------------------------------------
@@ -276,7 +284,7 @@ def q_run_summary(spark, sf):
     docs, entries, m = _matched(spark, sf)
     chs = views.chapters(docs)
     it = views.items(docs)
-    status = runs.chapter_status(chs, _done(spark, sf), corpus.chapter_rejects(chs, entries, m),
+    status = runs.chapter_status(chs, _done(spark, sf), corpus.chapter_rejects(chs, m),
                                  runs.failed_topics(it), it)
     return runs.run_summary(status)
 
@@ -297,7 +305,7 @@ def q_section_requests(spark, sf):
                                         "chapter_name")
             .join(m.select("chapter_id", corpus.questions_per_level(F.size("topics")).alias("questions_per_level")),
                   "chapter_id"))
-    return _prompt_digest(requests.section_requests(sections, meta), "request_id", "chapter_id", "topic_pos", "qtype")
+    return _prompt_digest(requests.section_requests(sections, meta), "request_id", "chapter_id", "topic_pos", "part_pos", "qtype")
 
 
 @register("verification_requests")
@@ -409,84 +417,21 @@ def q_template_variations(spark, sf):
     return t.select("chapter_id", "seq", joined("variations"))
 
 
-# --- batch model calls -------------------------------------------------------
-
-def vary_failures(b):
-    """Injected failures: (chapter+seq) % 17 == 0 always fails; otherwise
-    the first seq % 3 attempts fail."""
-    return ((b["chapter_id"] + b["seq"]) % 17 == 0) * 99 + (b["seq"] % 3) * ((b["chapter_id"] + b["seq"]) % 17 != 0)
-
-
-@register("batch_vary")
-def q_batch_vary(spark, sf):
-    from ..operators import infer, requests, responses
-    reqs = requests.variation_requests(_items(spark, sf))
-    res = infer.run_requests(reqs.select("request_id", "chapter_id", "seq", "qtype", "question", "bloom"),
-                             infer.flaky(infer.template_backend, vary_failures), validator=infer.json_validator,
-                             keep=["chapter_id", "seq", "qtype", "question"])
-    out = responses.variation_results(res)
-    return out.select("chapter_id", "seq", "attempt_count", F.col("error").isNotNull().alias("failed"),
-                      joined("new_variations", "variations"))
-
-
-@register("batch_generate")
-def q_batch_generate(spark, sf):
-    from ..operators import corpus, infer, requests, responses
-    docs, _, m = _matched(spark, sf)
-    sections = corpus.topic_sections(views.headed_chapters(docs), m)
-    meta = (views.chapters(docs).select("chapter_id", "class_name", F.col("subject_key").alias("subject_name"),
-                                        "chapter_name")
-            .join(m.select("chapter_id", corpus.questions_per_level(F.size("topics")).alias("questions_per_level")),
-                  "chapter_id"))
-    reqs = requests.section_requests(sections, meta)
-    res = infer.run_requests(reqs.select("request_id", "chapter_id", "topic_pos", "qtype", "topic", "section",
-                                         "questions_per_level"),
-                             infer.extractive_backend, keep=["chapter_id", "topic_pos", "qtype"])
-    parsed = responses.parse_sections(res)
-    flat = responses.flatten_sections(parsed.where(responses.section_ok(F.col("groups"))))
-    # one row per generated section: item count and an order-free digest
-    return flat.groupBy("chapter_id", "topic_pos", "qtype").agg(
-        F.count("*").cast("bigint").alias("n_items"),
-        F.count_distinct("bloom").cast("bigint").alias("n_levels"),
-        F.bit_xor(F.xxhash64("bloom", "q_pos", "question")).alias("digest"))
-
-
-def verify_failures(b):
-    """Injected failures: topics with (chapter + topic) % 13 == 0 never answer."""
-    return ((b["chapter_id"] + b["topic_pos"]) % 13 == 0) * 99
-
-
-@register("batch_verify")
-def q_batch_verify(spark, sf):
-    from ..operators import infer, requests
-    reqs = requests.verification_requests(_items(spark, sf))
-    res = infer.run_requests(reqs.select("request_id", "chapter_id", "topic_pos", "topic", "items_json"),
-                             infer.flaky(infer.verdict_backend, verify_failures), validator=infer.json_validator)
-    tq = rollup.verification_quality(reqs, res)
-    return tq.groupBy("chapter_id").agg(
-        F.count("*").cast("bigint").alias("n_topics"),
-        F.sum("n_entries").cast("bigint").alias("n_entries"),
-        F.sum("n_issues").cast("bigint").alias("total_issues"),
-        F.bool_and(~F.col("overall_quality").isin("poor", "fair") & ~F.col("has_duplicates")).alias("overall_pass"))
-
-
 @register("combined_requests")
 def q_combined_requests(spark, sf):
     """Combined per-topic prompts; topics are the item view's blocks, their
-    sentences the content, and earlier questions of every other topic
-    (odd topic positions) the do-not-repeat list."""
+    sentences the content, and the topic's own earlier questions the
+    do-not-repeat list."""
     from ..operators import requests
     it = _items(spark, sf)
-    topics = (it.groupBy("chapter_id", "topic_pos", "source", "lang")
+    topics = (it.groupBy("chapter_id", "topic_pos", "topic", "source", "lang")
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "question"))),
                                             lambda x: x["question"]), " ").alias("content"))
-              .select("chapter_id", "topic_pos",
-                      F.concat(F.col("chapter_id").cast("string"), F.lit("."), (F.col("topic_pos") + 1).cast("string"))
-                      .alias("topic"), "content", F.col("lang").alias("class_name"),
+              .select("chapter_id", "topic_pos", "topic", "content", F.col("lang").alias("class_name"),
                       F.col("source").alias("subject_name"),
                       F.concat(F.lit("chapter "), F.col("chapter_id").cast("string")).alias("chapter_name"),
                       F.lit(5).alias("questions_per_level")))
-    prev = it.where(F.col("topic_pos") % 2 == 1).select("chapter_id", "topic_pos", "seq", "question")
+    prev = it.select("chapter_id", "topic_pos", "seq", "question")
     return _prompt_digest(requests.combined_requests(topics, prev), "request_id", "chapter_id", "topic_pos")
 
 
@@ -499,16 +444,17 @@ RUN_TS = "2024-01-02 03:04:05"
 def q_snapshot_rows(spark, sf):
     from ..schemas import STAGES
     from ..sinks import writers
-    ch = _docs(spark, sf).select(F.col("doc_id").alias("chapter_id"), F.col("lang").alias("class_name"),
-                                 F.col("source").alias("subject_name"),
-                                 F.concat(F.lit("chapter "), F.col("doc_id")).alias("chapter_name"),
-                                 F.lit("").alias("bank_json"))
+    from ..operators import responses
+    docs = _docs(spark, sf)
+    meta = views.chapters(docs).select("chapter_id", "class_name", F.col("subject_key").alias("subject_name"), "chapter_name")
+    banks = responses.bank_documents(views.items(docs), meta)
     ts = F.to_timestamp(F.lit(RUN_TS))
     rows = None
     for st in STAGES:
-        r = writers.snapshot_rows(ch, st, ts).withColumn("chapter_id", F.col("chapter_name"))
+        r = writers.snapshot_rows(banks, st, ts).withColumn("chapter_id", F.col("chapter_name"))
         rows = r if rows is None else rows.unionByName(r)
-    return rows.select("chapter_id", "stage", "run_ts", "file_name", "header")
+    return rows.select("chapter_id", "stage", "run_ts", "file_name", "header",
+                       F.length("payload").cast("bigint").alias("payload_len"), F.md5("payload").alias("payload_md5"))
 
 
 @register("content_coverage")

@@ -44,8 +44,6 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 
 QTYPES = ["MCQs", "fill_in_the_blanks", "short_answer", "long_answer"]
-QTYPE_DISPLAY = {"MCQs": "MCQ", "fill_in_the_blanks": "Fill-in-the-Blank",
-                 "short_answer": "Short Answer", "long_answer": "Long Answer"}
 QTYPE_VARIATION_NAME = {"MCQs": "MCQ", "fill_in_the_blanks": "Fill in the Blank",
                         "short_answer": "Short Answer", "long_answer": "Long Answer"}
 BLOOMS = ["remember", "understand", "apply", "analyze", "evaluate", "create"]
@@ -61,17 +59,13 @@ ISSUE_TYPES = ["duplicate", "unclear", "incorrect", "poor_quality", "grammatical
 SEVERITIES = ["low", "medium", "high", "critical"]
 QUALITY_RATINGS = ["excellent", "good", "fair", "poor"]
 STAGES = ["generated", "verified", "varied"]
-SECTION_CAP = 3000
-TRUNCATION_MARKER = "\n\n[Content truncated for API limits]"
+SECTION_PART = 3000
 N_VARIATIONS = 5
+MIN_POINTS = 3
 MAX_POINTS = 6
 MAX_ATTEMPTS = 3
 
 
-def questions_per_level_for(n_topics: int) -> int:
-    return 8 if n_topics < 5 else 5
-
-
 # ---------------------------------------------------------------------------
 # Record schemas (flat model; nesting only at the import/export edge).
 # ---------------------------------------------------------------------------
@@ -164,15 +158,6 @@ TOPICS_FILE = T.StructType([
 # Static dimensions as DataFrames (fixed size: safe to broadcast).
 # ---------------------------------------------------------------------------
 
-def qtypes_df(spark: SparkSession) -> DataFrame:
-    rows = [(i, k, QTYPE_DISPLAY[k], QTYPE_VARIATION_NAME[k]) for i, k in enumerate(QTYPES)]
-    return spark.createDataFrame(rows, "qtype_ord INT, qtype STRING, display_name STRING, variation_name STRING")
-
-
-def blooms_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i + 1, b) for i, b in enumerate(BLOOMS)], "bloom_ord INT, bloom STRING")
-
-
 def bloom_keywords_df(spark: SparkSession) -> DataFrame:
     rows = [(kw, b, BLOOMS.index(b) + 1) for b, kws in BLOOM_KEYWORDS.items() for kw in kws]
     return spark.createDataFrame(rows, "keyword STRING, bloom STRING, bloom_ord INT")

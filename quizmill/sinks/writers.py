@@ -1,29 +1,40 @@
 """Sinks: banks, reports and stage snapshots.
 
-Writes are partitioned by class and subject (banks, reports) or by stage
-and run time (snapshots).  Banks and reports overwrite only the partitions
-a run touches (dynamic partition overwrite); snapshots only ever append.
+Banks and reports are partitioned by run, class and subject: a run replaces
+only what it wrote itself under the same run id (so a retried run is safe) and
+never touches what other runs wrote.  Readers take the latest run of each
+chapter.  Snapshots only ever append.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import snapshot_name
 from ..schemas import STAGES
 
 
-def write_banks(banks: DataFrame, out: str) -> None:
-    """One JSON bank per chapter as text lines, per class/subject folder."""
-    (banks.select("class_name", "subject_name", "bank_json").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("class_name", "subject_name").text(out))
+def _write_run(rows: DataFrame, out: str, run_id: str) -> None:
+    (rows.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "class_name", "subject_name").json(out))
 
 
-def write_reports(reports: DataFrame, out: str) -> None:
-    """Chapter verification reports."""
-    (reports.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("class_name", "subject_name").json(out))
+def write_banks(banks: DataFrame, out: str, run_id: str) -> None:
+    """One JSON bank per chapter, below its run, class and subject (A7); run ids ascend by time."""
+    _write_run(banks.select("class_name", "subject_name", "chapter_id", "bank_json"), out, run_id)
+
+
+def write_reports(reports: DataFrame, out: str, run_id: str) -> None:
+    """Chapter verification reports (A8): rows with chapter_id, class_name and subject_name."""
+    _write_run(reports, out, run_id)
+
+
+def read_latest(spark: SparkSession, out: str) -> DataFrame:
+    """What the latest run that holds a chapter wrote for it: one row per chapter."""
+    rows = spark.read.option("recursiveFileLookup", "false").json(out).withColumn("run_id", F.col("run_id").cast("string"))
+    latest = rows.groupBy("chapter_id").agg(F.max("run_id").alias("run_id"))
+    return rows.join(latest, ["chapter_id", "run_id"])
 
 
 def snapshot_header(class_name: Column, subject_name: Column, chapter_name: Column, stage: Column,

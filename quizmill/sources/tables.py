@@ -12,20 +12,3 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame, key: str | None = None, per_core: int = 2) -> DataFrame:
-    """Give text-heavy work enough parallelism.
-
-    A large table is read in many splits and is returned as is (no extra
-    shuffle).  A table stored as a few large row groups scans as a few
-    tasks; it is hash-partitioned on ``key`` (deterministic under task
-    retries) into ``per_core`` x the default parallelism.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism * per_core
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave planning to AQE
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)

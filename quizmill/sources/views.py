@@ -55,6 +55,7 @@ def items(docs: DataFrame) -> DataFrame:
         "source",
         "lang",
         f"CAST(p div {TOPIC_SIZE} AS INT) AS topic_pos",
+        f"concat(doc_id, '.', p div {TOPIC_SIZE} + 1) AS topic",
         "p AS seq",
         f"element_at({_sql_list(QTYPES)}, p % 4 + 1) AS qtype",
         f"element_at({_sql_list(BLOOMS)}, CAST((p div 4) % 6 AS INT) + 1) AS bloom",
@@ -73,7 +74,7 @@ def items(docs: DataFrame) -> DataFrame:
 
 
 def raw_responses(items: DataFrame) -> DataFrame:
-    """Model-response view for the variation stage, one per item with words.
+    """Model-response view for the variation stage, one per item (its words, or its text where it has none).
 
     ``(seq + chapter_id) % 8`` picks the response shape: padded strings;
     a ``variation_*`` bundle; text keys; question with points; options with
@@ -95,7 +96,8 @@ def raw_responses(items: DataFrame) -> DataFrame:
                          '", "reference_answer": "', {b}, '"}}]}}')
       WHEN 6 THEN '{{"other": 1}}'
       ELSE '7' END"""
-    df = (items.where("size(terms) > 0")
+    df = (items.withColumn("terms", F.when(F.size("terms") > 0, F.col("terms")).otherwise(
+        F.array(F.regexp_replace(tx.trim_ascii("question"), r'["\\]', ""))))
           .selectExpr("chapter_id", "topic_pos", "seq", "qtype", "bloom", "question", "variations",
                       f"{body} AS body"))
     return df.selectExpr(

@@ -2,8 +2,13 @@ import os
 import sys
 
 import pytest
+from pyspark import cloudpickle
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+
+import fakes  # noqa: E402
+
+cloudpickle.register_pickle_by_value(fakes)  # workers can't import the tests
 
 
 @pytest.fixture(scope="session")

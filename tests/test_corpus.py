@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from quizmill.functions.paths import chapter_info
 from quizmill.operators import corpus
-from quizmill.schemas import TRUNCATION_MARKER
 
 
 def test_path_metadata(spark):
@@ -46,31 +45,39 @@ def test_syllabus_first_match_and_traps(spark):
     assert 9 not in m
     assert m[5] == (3, [])
     assert m[7] == (4, [])
-    rej = {r["chapter_id"]: r for r in corpus.chapter_rejects(ch, en, corpus.match_syllabus(ch, en)).collect()}
+    rej = {r["chapter_id"]: r for r in corpus.chapter_rejects(ch, corpus.match_syllabus(ch, en)).collect()}
     assert rej[9]["reason"] == "not_in_syllabus" and rej[5]["reason"] == "no_topics"
-    assert rej[9]["available"] == "unit: chapter 10!, 1, 09, Chapter 5, 7"
+    labels = corpus.available_labels(en, corpus.chapter_rejects(ch, corpus.match_syllabus(ch, en))).orderBy("chapter_pos").collect()
+    assert [r["label"] for r in labels] == ["unit: chapter 10!", "1", "09", "Chapter 5", "7"]
 
 
 def _sections(spark, content, topics):
     cc = spark.createDataFrame([(1, content)], "chapter_id bigint, content string")
     m = spark.createDataFrame([(1, topics)], "chapter_id bigint, topics array<string>")
-    return {r["topic"]: r for r in corpus.topic_sections(cc, m).collect()}
+    out = {}
+    for r in sorted(corpus.topic_sections(cc, m).collect(), key=lambda r: r["part_pos"]):
+        out.setdefault(r["topic"], []).append(r)
+    return out
 
 
 def test_topic_sections_strategies(spark):
     content = ("intro\n## 6.1 What Is It?\nbody one\n# 6.1.1 Sub\nsub body\n# 6.2 Next\nnext body\n"
                "plain 6.3 Plain Topic here\n# 6.4 Last\nLAST (a) part")
-    s = _sections(spark, content, ["6.1 What Is It?", "6.3 Plain Topic", "9.9 last (a) PART", "7.7 Missing", "6.2 Next"])
+    s = {k: v[0] for k, v in _sections(spark, content, ["6.1 What Is It?", "6.3 Plain Topic", "9.9 last (a) PART", "7.7 Missing", "6.2 Next"]).items()}
     assert s["6.1 What Is It?"]["strategy"] == 1
     assert s["6.1 What Is It?"]["section"] == "## 6.1 What Is It?\nbody one"     # ends at the sub-heading
     assert s["6.3 Plain Topic"]["strategy"] == 3
     assert s["9.9 last (a) PART"]["strategy"] == 4                                # literal, case-insensitive
-    assert s["7.7 Missing"]["strategy"] is None and s["7.7 Missing"]["section"] == content[:3000]
+    assert s["7.7 Missing"]["strategy"] is None and s["7.7 Missing"]["section"] == content
     assert s["6.2 Next"]["section"].startswith("# 6.2 Next\nnext body")
 
 
-def test_topic_sections_cap(spark):
-    s = _sections(spark, "# 1.1 T\n" + "x" * 4000 + "\n# 1.2 U\ny", ["1.1 T"])["1.1 T"]
-    assert s["truncated"] and s["section"].endswith(TRUNCATION_MARKER) and len(s["section"]) == 3000 + len(TRUNCATION_MARKER)
-    s = _sections(spark, "# 1.1 T" + "x" * 5000, ["1.1 T"])["1.1 T"]                # no next heading: 3000, no marker
-    assert not s["truncated"] and len(s["section"]) == 3000
+def test_topic_sections_come_whole_in_parts(spark):
+    body = "".join(chr(97 + k % 26) for k in range(7000))
+    parts = _sections(spark, f"# 1.1 T\n{body}\n# 1.2 U\ny", ["1.1 T"])["1.1 T"]
+    assert "".join(p["section"] for p in parts) == f"# 1.1 T\n{body}" and [len(p["section"]) for p in parts] == [3000, 3000, 1008]
+    assert all(p["section_len"] == 7008 for p in parts)
+    parts = _sections(spark, f"# 1.1 T{body}", ["1.1 T"])["1.1 T"]                  # no next heading: to the end
+    assert "".join(p["section"] for p in parts) == f"# 1.1 T{body}"
+    parts = _sections(spark, body, ["9.9 absent"])["9.9 absent"]                    # not found: the whole chapter
+    assert "".join(p["section"] for p in parts) == body and parts[0]["strategy"] is None

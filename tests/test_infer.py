@@ -4,6 +4,7 @@ import json
 
 import pandas as pd
 
+import fakes
 from quizmill.operators import infer
 
 
@@ -14,7 +15,7 @@ def test_retries_and_failures(spark):
     def fails(b: pd.DataFrame) -> pd.Series:
         return b["n"].map({0: 0, 1: 1, 2: 2, 3: 3, 4: 9, 5: 0})
 
-    res = {r["request_id"]: r for r in infer.run_requests(reqs, infer.flaky(infer.template_backend, fails),
+    res = {r["request_id"]: r for r in infer.run_requests(reqs, fakes.flaky(fakes.template_backend, fails),
                                                           validator=infer.json_validator).collect()}
     assert [res[f"r{i}"]["attempt_count"] for i in range(6)] == [1, 2, 3, 3, 3, 1]
     assert res["r2"]["error"] is None and len(json.loads(res["r2"]["raw"])) == 5
@@ -23,18 +24,32 @@ def test_retries_and_failures(spark):
 
 def test_validator_failure_is_retried(spark):
     reqs = spark.createDataFrame([("a",)], "request_id string")
-    calls = {"n": 0}
 
     def factory():
+        return lambda batch, attempt: ["not json" if attempt < 3 else "[1]" for _ in range(len(batch))]
+    r = infer.run_requests(reqs, factory, validator=infer.json_validator).first()
+    assert r["attempt_count"] == 3 and r["error"] is None and r["raw"] == "[1]"
+
+
+def test_raising_backend_and_short_replies_are_data(spark):
+    reqs = spark.createDataFrame([(f"r{k}",) for k in range(5)], "request_id string")
+
+    def broken():
         def call(batch, attempt):
-            return ["not json" if attempt < 3 else "[1]" for _ in range(len(batch))]
+            raise OSError("down")
         return call
-    r = infer.run_requests(reqs, factory, validator=infer.json_validator).first()
-    assert r["attempt_count"] == 3 and r["error"] is None and calls["n"] == 0
+    got = infer.run_requests(reqs, broken, per_task=2).collect()
+    assert len(got) == 5 and all(r["error"] == "OSError: down" and r["attempt_count"] == 3 and r["raw"] is None for r in got)
+
+    def short():
+        return lambda batch, attempt: ["x"] * (len(batch) - 1)
+    got = infer.run_requests(reqs, short, partitions=1, max_attempts=2).collect()
+    assert sorted(r["raw"] or "" for r in got) == ["", "x", "x", "x", "x"]
+    assert [r["error"] for r in got if r["raw"] is None] == ["RuntimeError: no reply"]
 
 
 def test_extractive_section_shape():
-    doc = json.loads(infer.extractive_section("MCQs", "T", "Alpha beta gamma. Delta epsilon! Zeta eta theta?", 2))
+    doc = json.loads(fakes.extractive_section("MCQs", "T", "Alpha beta gamma. Delta epsilon! Zeta eta theta?", 2))
     groups = doc["MCQs"]
     assert [g["bloom_taxonomy"] for g in groups] == ["remember", "understand", "apply", "analyze", "evaluate", "create"]
     q = groups[0]["questions"][0]

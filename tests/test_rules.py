@@ -30,7 +30,9 @@ def test_long_answer_normaliser(spark):
     ])
     got = {r["seq"]: r for r in quality.long_answer_points(df).collect()}
     assert got[1]["points"].split("\x1f") == ["a", "b"] and got[1]["reference_answer"] == ""
-    assert got[2]["n_points"] == 6
+    assert got[2]["n_points"] == 8
+    over = {(r["seq"], r["rule"]) for r in quality.rule_issues(df).collect()}
+    assert (2, "long_answer_point_count") in over and (3, "long_answer_point_count") not in over
     assert got[3]["points"].split("\x1f") == ["One.", "Two!", "Three?"]
     assert got[4]["rejected"] and got[4]["n_points"] == 0
 
@@ -99,3 +101,17 @@ def test_enum_and_strict_type_checks(spark):
                                 "request_id string, qtype string, raw string")
     got = {r["request_id"]: r["type_errors"] for r in validate.strict_type_violations(sec).collect()}
     assert got == {"ok": 0, "wrong": 3}
+
+
+def test_questions_without_words_are_duplicates(spark):
+    df = items_df(spark, [{"seq": k, "question": q, "qtype": "short_answer"} for k, q in enumerate(["???", " ??? ", "!!", "a b"])])
+    df = df.withColumn("terms", F.filter(F.split(F.lower("question"), r"[^a-z]+"), lambda x: x != ""))
+    assert {(r["seq"], r["n_corpus"]) for r in quality.exact_duplicates(df).collect()} == {(0, 2), (1, 2)}
+
+
+def test_items_without_a_keyword_stay(spark):
+    from quizmill.schemas import bloom_keywords_df
+    df = spark.createDataFrame([(1, 0, "remember", ["define", "x"]), (1, 1, "remember", ["y"]), (1, 2, "apply", ["list"])],
+                               "chapter_id bigint, seq int, bloom string, terms array<string>")
+    got = {r["seq"]: (r["aligned"], r["keywords"]) for r in quality.bloom_alignment(df, bloom_keywords_df(spark)).collect()}
+    assert got == {0: (True, "define"), 1: (None, ""), 2: (False, "list")}

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from quizmill.functions import text as tx
-from quizmill.schemas import TRUNCATION_MARKER
 
 
 def one(spark, expr, value):
@@ -46,7 +45,8 @@ def test_sentences_and_words(spark):
 def test_heading_number_and_cap(spark):
     assert one(spark, tx.strip_heading_number, "6.1 Title") == "Title"
     assert one(spark, tx.strip_heading_number, "6.1.1 Title") == "6.1.1 Title"  # two-level only
-    assert one(spark, tx.cap_section, "a" * 3000) == "a" * 3000
-    assert one(spark, tx.cap_section, "a" * 3001) == "a" * 3000 + TRUNCATION_MARKER
+    assert one(spark, tx.parts, "a" * 3000) == ["a" * 3000]
+    assert one(spark, tx.parts, "a" * 3001 + "b") == ["a" * 3000, "ab"]
+    assert one(spark, tx.parts, "") == [""]
     assert one(spark, tx.first_number, "chapter 09b") == "09"
     assert one(spark, tx.first_number, "intro") is None

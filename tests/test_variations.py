@@ -11,7 +11,7 @@ def run(spark, raw, qtype="MCQs", question="Q?"):
     df = spark.createDataFrame([(raw, qtype, question)], "raw string, qtype string, question string")
     p = F.try_parse_json("raw")
     norm = vx.normalized_variations(p, F.col("qtype") == "MCQs")
-    r = df.select(norm.alias("n"), vx.pad_and_cap(norm, F.col("question")).alias("v")).first()
+    r = df.select(norm.alias("n"), vx.padded(norm, F.col("question")).alias("v")).first()
     return r["n"], r["v"]
 
 
@@ -50,9 +50,9 @@ def test_failed_call_not_padded(spark):
     assert n is None and v == []
 
 
-def test_more_than_five_capped(spark):
+def test_more_than_five_are_kept(spark):
     _, v = run(spark, json.dumps([str(i) for i in range(8)]))
-    assert v == ["0", "1", "2", "3", "4"]
+    assert v == [str(i) for i in range(8)]
 
 
 def test_empty_list_pads_with_question(spark):
