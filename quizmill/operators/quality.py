@@ -27,10 +27,16 @@ def normalized_points() -> Column:
     empty list (the record is rejected, I9).  None is cut: the count rule
     reports an excess.
     """
-    pts = F.filter(F.transform(_arr("reference_points"), tx.py_strip), lambda x: x != "")
-    legacy = F.filter(F.transform(F.split(tx.py_strip(F.coalesce(F.col("reference_answer"), F.lit(""))),
-                                          tx.SENTENCE_BREAK), tx.py_strip), lambda x: x != "")
-    return F.when(F.size(pts) > 0, pts).otherwise(legacy)
+    return normalized(F.col("reference_points"), F.col("reference_answer"))[0]
+
+
+def normalized(points: Column, answer: Column) -> tuple[Column, Column]:
+    """(points, legacy text) after the normaliser: the text is cleared once it gave or gave way to points."""
+    pts = F.filter(F.transform(F.coalesce(points, F.array().cast("array<string>")), tx.py_strip), lambda x: x != "")
+    text = F.coalesce(answer, F.lit(""))
+    legacy = F.filter(F.transform(F.split(tx.py_strip(text), tx.SENTENCE_BREAK), tx.py_strip), lambda x: x != "")
+    out = F.when(F.size(pts) > 0, pts).otherwise(legacy)
+    return out, F.when(F.size(out) > 0, F.lit("")).otherwise(text)
 
 
 def _n_sentences(col: str) -> Column:

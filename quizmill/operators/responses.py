@@ -80,7 +80,7 @@ def variation_tally(items: DataFrame, results: DataFrame) -> DataFrame:
 # Typed section responses: nest, parse, flatten, combine, assemble
 # ---------------------------------------------------------------------------
 
-from ..schemas import BLOOMS, ITEM_FIELDS, QTYPES, TYPE_FIELDS  # noqa: E402
+from ..schemas import BLOOMS, ITEM_FIELDS, QTYPES, REQUIRED_FIELDS, TYPE_FIELDS  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 _ALL_ITEM = T.StructType(ITEM_FIELDS)
@@ -112,20 +112,49 @@ def nest_sections(items: DataFrame) -> DataFrame:
 
 
 def parse_sections(responses: DataFrame, raw: str = "raw") -> DataFrame:
-    """Clean and parse typed responses; ``groups`` is null when the text is
-    not valid JSON or lacks the type's key (the call counts as failed)."""
+    """Clean, parse and validate typed responses: adds ``groups`` and ``reason``.
+
+    ``groups`` is null when the text is not valid JSON or lacks the type's key.
+    ``reason`` is null for a valid section, else the first rule it breaks:
+    ``no_json``, ``no_section``, ``wrong_type`` (I10), ``unknown_level`` (I3),
+    ``group_count`` (I4), ``empty_group`` (I5), ``required_field`` (I1),
+    ``options`` (I2) or ``no_points`` (I9).  Points of long answers are
+    normalised here (H6); a section with a reason counts as a failed call.
+    """
+    from .quality import normalized
+    from .validate import strict_type_violations
+    typed = strict_type_violations(responses.withColumn("_json", F.try_parse_json(tx.clean_response(raw)).isNotNull()), raw)
     parsed = F.from_json(tx.clean_response(raw), SECTION_ANY)
     groups = F.when(F.col("qtype") == QTYPES[0], parsed[QTYPES[0]])
     for q in QTYPES[1:]:
         groups = groups.when(F.col("qtype") == q, parsed[q])
-    return responses.withColumn("groups", groups)
-
-
-def section_ok(groups) -> F.Column:
-    """Typed-section validity: six groups, each with at least one item,
-    each level one of the six (I3-I5)."""
-    return (F.coalesce(F.size(groups) == 6, F.lit(False))
-            & F.forall(groups, lambda g: (F.size(g["questions"]) >= 1) & g["bloom_taxonomy"].isin(*BLOOMS)))
+    df = typed.withColumn("groups", F.when(F.col("_json"), groups))
+    long_ = F.col("qtype") == "long_answer"
+
+    def question(it):
+        points, legacy = normalized(it["reference_points"], it["reference_answer"])
+        changed = {"reference_points": F.when(long_, points).otherwise(it["reference_points"]),
+                   "reference_answer": F.when(long_, legacy).otherwise(it["reference_answer"])}
+        return F.struct(*[changed.get(f.name, it[f.name]).alias(f.name) for f in ITEM_FIELDS])
+
+    df = df.withColumn("groups", F.transform("groups", lambda g: F.struct(
+        g["bloom_taxonomy"].alias("bloom_taxonomy"), F.transform(g["questions"], question).alias("questions"))))
+    items = F.flatten(F.transform("groups", lambda g: F.coalesce(g["questions"], F.array().cast(T.ArrayType(_ALL_ITEM)))))
+
+    def missing(it):
+        out = F.lit(False)
+        for q, fields in REQUIRED_FIELDS.items():
+            out = out | ((F.col("qtype") == q) & F.array_contains(F.array(*[it[f].isNull() for f in fields]), True))
+        return out
+
+    reason = (F.when(~F.col("_json"), "no_json").when(F.col("groups").isNull(), "no_section").when(F.col("type_errors") > 0, "wrong_type")
+              .when(F.exists("groups", lambda g: ~F.coalesce(g["bloom_taxonomy"].isin(*BLOOMS), F.lit(False))), "unknown_level")
+              .when(F.size("groups") != len(BLOOMS), "group_count")
+              .when(F.exists("groups", lambda g: F.coalesce(F.size(g["questions"]), F.lit(0)) < 1), "empty_group")
+              .when(F.exists(items, missing), "required_field")
+              .when((F.col("qtype") == "MCQs") & F.exists(items, lambda it: F.size(it["options"]) != 4), "options")
+              .when(long_ & F.exists(items, lambda it: F.size(it["reference_points"]) == 0), "no_points"))
+    return df.withColumn("reason", reason).drop("_json", "type_errors")
 
 
 def flatten_sections(parsed: DataFrame) -> DataFrame:
@@ -151,7 +180,7 @@ def flatten_sections(parsed: DataFrame) -> DataFrame:
 
 def combine_sections(parsed: DataFrame) -> DataFrame:
     """Four sections -> one topic row; any failed response (a part's, where a section came in parts) fails the topic (D3)."""
-    ok = parsed.withColumn("ok", section_ok(F.col("groups")))
+    ok = parsed.withColumn("ok", F.col("reason").isNull())
     p = ok.groupBy("chapter_id", "topic_pos").pivot("qtype", QTYPES).agg(F.bool_and("ok"))
     all_ok = F.lit(True)
     for q in QTYPES:

@@ -561,34 +561,46 @@ SELECT 'vary:' || chapter_id || ':' || seq AS request_id, chapter_id, seq, qtype
 FROM p"""
 
 # --- typed responses and banks ----------------------------------------------
-SECTIONS_FLAT = """sec AS (
-  SELECT chapter_id, topic_pos, qtype, count(DISTINCT bloom) AS n_groups FROM items GROUP BY ALL)"""
+SECTIONS_FLAT = FLAGS + """,
+kinds AS (
+  SELECT *, (chapter_id * 4 + topic_pos + list_position(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer'], qtype) - 1) % 9 AS k
+  FROM flags),
+sec AS (
+  SELECT chapter_id, topic_pos, qtype, CASE WHEN any_value(k) IN (1, 2) THEN 0 ELSE count(DISTINCT bloom) END AS n_groups,
+         CASE any_value(k) WHEN 1 THEN 'no_json' WHEN 2 THEN 'no_section' WHEN 3 THEN 'wrong_type' WHEN 4 THEN 'unknown_level' ELSE
+           CASE WHEN count(DISTINCT bloom) <> 6 THEN 'group_count'
+                WHEN bool_or(question IS NULL OR (qtype = 'MCQs' AND (options IS NULL OR answer IS NULL OR explanation IS NULL))
+                             OR (qtype = 'fill_in_the_blanks' AND answer IS NULL) OR (qtype = 'short_answer' AND reference_answer IS NULL))
+                  THEN 'required_field'
+                WHEN bool_or(qtype = 'MCQs' AND len(options) <> 4) THEN 'options'
+                WHEN bool_or(qtype = 'long_answer' AND len(points) = 0) THEN 'no_points' ELSE '' END END AS reason
+  FROM kinds GROUP BY chapter_id, topic_pos, qtype)"""
 
 ORACLE["parse_sections"] = with_ctes(ITEMS, SECTIONS_FLAT) + """
-SELECT chapter_id, topic_pos, qtype, n_groups, n_groups = 6 AS section_ok FROM sec"""
+SELECT chapter_id, topic_pos, qtype, n_groups, reason FROM sec"""
 
-ORACLE["flatten_bank"] = with_ctes(ITEMS) + """
+ORACLE["flatten_bank"] = with_ctes(ITEMS, SECTIONS_FLAT) + """
 , f AS (
   SELECT *, CAST(dense_rank() OVER (PARTITION BY chapter_id, topic_pos, qtype ORDER BY bloom_ord) - 1 AS INTEGER) AS group_pos,
          CAST(row_number() OVER (PARTITION BY chapter_id, topic_pos, qtype, bloom ORDER BY seq) - 1 AS INTEGER) AS q_pos
-  FROM items)
+  FROM kinds WHERE k NOT IN (1, 2, 3, 4))
 SELECT chapter_id, topic_pos, qtype, bloom, bloom_ord, group_pos, q_pos, question,
        array_to_string(CASE WHEN qtype = 'MCQs' THEN options END, chr(31)) AS options,
        CASE WHEN qtype IN ('MCQs', 'fill_in_the_blanks') THEN answer END AS answer,
        CASE WHEN qtype = 'MCQs' THEN explanation END AS explanation,
        CASE WHEN qtype = 'short_answer' THEN reference_answer
-            WHEN qtype = 'long_answer' THEN coalesce(reference_answer, '') END AS reference_answer,
-       array_to_string(CASE WHEN qtype = 'long_answer' THEN reference_points END, chr(31)) AS reference_points,
+            WHEN qtype = 'long_answer' THEN CASE WHEN len(points) > 0 THEN '' ELSE coalesce(reference_answer, '') END END AS reference_answer,
+       array_to_string(CASE WHEN qtype = 'long_answer' THEN points END, chr(31)) AS reference_points,
        array_to_string(coalesce(variations, []), chr(31)) AS variations,
        group_pos + 1 = bloom_ord AS level_order_ok
 FROM f"""
 
 COMBINED = """comb AS (
   SELECT chapter_id, topic_pos,
-         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'MCQs'), false) AS "MCQs",
-         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'fill_in_the_blanks'), false) AS fill_in_the_blanks,
-         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'short_answer'), false) AS short_answer,
-         coalesce(bool_or(n_groups = 6) FILTER (WHERE qtype = 'long_answer'), false) AS long_answer
+         coalesce(bool_or(reason = '') FILTER (WHERE qtype = 'MCQs'), false) AS "MCQs",
+         coalesce(bool_or(reason = '') FILTER (WHERE qtype = 'fill_in_the_blanks'), false) AS fill_in_the_blanks,
+         coalesce(bool_or(reason = '') FILTER (WHERE qtype = 'short_answer'), false) AS short_answer,
+         coalesce(bool_or(reason = '') FILTER (WHERE qtype = 'long_answer'), false) AS long_answer
   FROM sec GROUP BY chapter_id, topic_pos)"""
 
 ORACLE["combine_sections"] = with_ctes(ITEMS, SECTIONS_FLAT, COMBINED) + """

@@ -325,21 +325,22 @@ def q_variation_requests(spark, sf):
 
 def _parsed_sections(spark, sf):
     from ..operators import responses
-    return responses.parse_sections(responses.nest_sections(_items(spark, sf)))
+    return responses.parse_sections(views.typed_responses(responses.nest_sections(_items(spark, sf))))
 
 
 @register("parse_sections")
 def q_parse_sections(spark, sf):
-    from ..operators import responses
     p = _parsed_sections(spark, sf)
-    return p.select("chapter_id", "topic_pos", "qtype", F.size("groups").cast("bigint").alias("n_groups"),
-                    responses.section_ok(F.col("groups")).alias("section_ok"))
+    return p.select("chapter_id", "topic_pos", "qtype", F.coalesce(F.size("groups"), F.lit(0)).cast("bigint").alias("n_groups"),
+                    F.coalesce("reason", F.lit("")).alias("reason"))
 
 
 @register("flatten_bank")
 def q_flatten_bank(spark, sf):
     from ..operators import responses
-    f = responses.flatten_sections(_parsed_sections(spark, sf))
+    # sections that are no typed record at all have no items
+    typed = F.coalesce("reason", F.lit("")).isin("no_json", "no_section", "wrong_type", "unknown_level")
+    f = responses.flatten_sections(_parsed_sections(spark, sf).where(~typed))
     return f.select("chapter_id", "topic_pos", "qtype", "bloom", "bloom_ord", "group_pos", "q_pos", "question",
                     joined("options"), "answer", "explanation", "reference_answer", joined("reference_points"),
                     joined("variations"), (F.col("group_pos") + 1 == F.col("bloom_ord")).alias("level_order_ok"))

@@ -110,6 +110,23 @@ def raw_responses(items: DataFrame) -> DataFrame:
         " CASE WHEN seq % 5 = 1 THEN concat(char(13), char(10), '  ') ELSE '' END) AS raw")
 
 
+def typed_responses(sections: DataFrame) -> DataFrame:
+    """Typed section responses as a model might send them, by
+    ``(4 * chapter + topic + type) % 9``: fenced (0), cut short (1), under
+    another key (2), a number for a question (3), an unknown level (4), with a
+    control character (5); the others as they are."""
+    kind = F.array_position(F.array(*[F.lit(q) for q in QTYPES]), F.col("qtype")) - 1
+    return sections.withColumn("k", F.pmod(F.col("chapter_id") * 4 + F.col("topic_pos") + kind, F.lit(9))).selectExpr(
+        "chapter_id", "topic_pos", "qtype", r"""CASE k
+          WHEN 0 THEN concat('```json', char(10), raw, char(10), '```')
+          WHEN 1 THEN substring(raw, 1, length(raw) - 1)
+          WHEN 2 THEN regexp_replace(raw, concat('^\\{"', qtype, '"'), '{"other"')
+          WHEN 3 THEN regexp_replace(raw, '^(.*?)"question":"', '$1"question":1,"x":"')
+          WHEN 4 THEN regexp_replace(raw, '^(.*?)"bloom_taxonomy":"', '$1"bloom_taxonomy":"un')
+          WHEN 5 THEN concat(char(7), raw)
+          ELSE raw END AS raw""")
+
+
 # ---------------------------------------------------------------------------
 # Chapter folders, syllabus entries and headed chapter content.
 # ---------------------------------------------------------------------------
