@@ -576,6 +576,16 @@ sec AS (
                 WHEN bool_or(qtype = 'long_answer' AND len(points) = 0) THEN 'no_points' ELSE '' END END AS reason
   FROM kinds GROUP BY chapter_id, topic_pos, qtype)"""
 
+ORACLE["strict_types"] = with_ctes(ITEMS, SECTIONS_FLAT) + """
+SELECT chapter_id, topic_pos, qtype, CAST(CASE WHEN reason = 'wrong_type' THEN 1 ELSE 0 END AS BIGINT) AS type_errors FROM sec"""
+
+ORACLE["verdict_enums"] = with_ctes(ITEMS) + """
+, t AS (SELECT chapter_id, topic_pos, (chapter_id + topic_pos) % 6 AS k FROM items GROUP BY ALL)
+SELECT 'verify:' || chapter_id || ':' || topic_pos AS request_id,
+       CAST(CASE WHEN k IN (1, 5) THEN 1 ELSE 0 END AS BIGINT) AS bad_issue_types,
+       CAST(CASE WHEN k IN (2, 5) THEN 1 ELSE 0 END AS BIGINT) AS bad_severities, k IN (3, 4) AS bad_quality
+FROM t"""
+
 ORACLE["parse_sections"] = with_ctes(ITEMS, SECTIONS_FLAT) + """
 SELECT chapter_id, topic_pos, qtype, n_groups, reason FROM sec"""
 

@@ -328,6 +328,21 @@ def _parsed_sections(spark, sf):
     return responses.parse_sections(views.typed_responses(responses.nest_sections(_items(spark, sf))))
 
 
+@register("strict_types")
+def q_strict_types(spark, sf):
+    from ..operators import responses, validate
+    r = views.typed_responses(responses.nest_sections(_items(spark, sf)))
+    return validate.strict_type_violations(r).select("chapter_id", "topic_pos", "qtype", F.col("type_errors").cast("bigint").alias("type_errors"))
+
+
+@register("verdict_enums")
+def q_verdict_enums(spark, sf):
+    from ..operators import validate
+    v = validate.verdict_enum_violations(views.verdict_responses(_items(spark, sf)))
+    return v.select("request_id", F.col("bad_issue_types").cast("bigint").alias("bad_issue_types"),
+                    F.col("bad_severities").cast("bigint").alias("bad_severities"), "bad_quality")
+
+
 @register("parse_sections")
 def q_parse_sections(spark, sf):
     p = _parsed_sections(spark, sf)

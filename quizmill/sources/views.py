@@ -127,6 +127,20 @@ def typed_responses(sections: DataFrame) -> DataFrame:
           ELSE raw END AS raw""")
 
 
+def verdict_responses(items: DataFrame) -> DataFrame:
+    """One verification response per topic, by ``(chapter + topic) % 6``: an
+    undeclared issue type (1), severity (2) or quality (3), no JSON (4), two
+    bad issues in two lists (5), all as declared (0)."""
+    topics = items.groupBy("chapter_id", "topic_pos").agg(F.count("*").alias("n"))
+    return topics.withColumn("k", F.pmod(F.col("chapter_id") + F.col("topic_pos"), F.lit(6))).selectExpr(
+        "concat('verify:', chapter_id, ':', topic_pos) AS request_id", """CASE k WHEN 4 THEN '{"topic": ' ELSE concat(
+          '{"topic": "t", "mcq_verifications": [{"question_index": 0, "is_valid": false, "issues": [{"issue_type": "',
+          CASE WHEN k IN (1, 5) THEN 'typo' ELSE 'duplicate' END, '", "description": "d", "severity": "',
+          CASE k WHEN 2 THEN 'severe' ELSE 'high' END, '"}]}], "long_answer_verifications": [{"question_index": 1, "is_valid": true, "issues": [',
+          CASE k WHEN 5 THEN '{"issue_type": "unclear", "description": "d", "severity": "dire"}' ELSE '' END,
+          ']}], "overall_quality": "', CASE k WHEN 3 THEN 'fine' ELSE 'good' END, '", "has_duplicates": false}') END AS raw""")
+
+
 # ---------------------------------------------------------------------------
 # Chapter folders, syllabus entries and headed chapter content.
 # ---------------------------------------------------------------------------
