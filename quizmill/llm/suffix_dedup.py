@@ -213,7 +213,7 @@ def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, most_segments: int = MOST_SEGMENTS) -> DataFrame:
     """(doc_id, th, a, b): byte ranges of the texts of ``keyed`` documents to remove; they may overlap."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    often = anchors(docs, length, gram, True).groupBy("h").agg(F.count("*").alias("seen")).where("seen > 1").select("h")
+    often = staged(anchors(docs, length, gram, True).groupBy("h").agg(F.count("*").alias("seen")).where("seen > 1").select("h"), "anchors-seen-again")
     repeated = staged(anchors(docs, length, gram, False).join(often, "h", "left_semi"), "repeated-anchors")
     classes = staged(repeated.groupBy("h", "g").agg(F.count("*").alias("cnt"), F.min(F.struct("doc_id", "th", "s", "n")).alias("one")), "segment-classes")
     copies = repeated.join(classes.where("cnt > 1").select("h", "g"), ["h", "g"], "left_semi").select(
