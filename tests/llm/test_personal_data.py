@@ -42,7 +42,8 @@ def test_query_and_model(spark, tmp_path):
     weights = train(spark.read.parquet(f"{tmp_path}/documents.parquet"))
     found = wanted = 0
     for k in range(100, 130):  # forms that no base pattern takes
-        t, moved = rewritten(text(k), base_spans(text(k)), r)
+        plain_text = text(k)
+        t, moved = rewritten(plain_text, base_spans(plain_text), r)
         want = {s for s in moved if s not in plain(t)}
         found += len(want & set(spans_of(t, weights)[1]))
         wanted += len(want)
