@@ -50,9 +50,11 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def learn(docs: DataFrame, most_rows: int = MOST_ROWS, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
     """(languages, log probability of each bucket by language) from the rows to learn from."""
     rows = docs.select("text", "lang", F.crc32(F.col("doc_id").cast("string")).alias("crc")).where("text is not null and lang is not null and crc % 5 <> 0")
-    per_lang = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    share = F.least(F.lit(1.0), F.lit(float(most_rows)) / F.col("rows"))
-    taken = rows.join(per_lang, "lang").where(F.pmod(F.xxhash64("crc"), F.lit(1_000_003)) < share * 1_000_003).select("lang", "text")
+    per_lang = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one number a language
+    share = F.lit(0.0)
+    for lang, n in per_lang.items():
+        share = F.when(F.col("lang") == lang, min(1.0, most_rows / n)).otherwise(share)
+    taken = rows.where(F.pmod(F.xxhash64("crc"), F.lit(1_000_003)) < share * 1_000_003).select("lang", "text")
 
     def count(frames):
         import pandas as pd
