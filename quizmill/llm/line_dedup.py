@@ -46,7 +46,7 @@ def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_spread: f
     """(line): the hashes of the lines to remove."""
     lines = document_lines(docs)
     # a line on so many sites stands there so many times: a summed count leaves out the rare ones for good
-    frequent = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= least_sites)
+    frequent = staged(lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= least_sites), "line-counts")
     seen = staged(lines.join(frequent, "line").select("line", "site", "around", "n"), "frequent-lines")
     estimate = seen.groupBy("line").agg(
         F.max("n").alias("n"), F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("sites"),
