@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..schemas import MAX_POINTS, MIN_POINTS, REQUIRED_FIELDS
+from ..schemas import BLOOM_KEYWORDS, MAX_POINTS, MIN_POINTS, N_VARIATIONS, REQUIRED_FIELDS
 
 
 def _arr(name: str) -> Column:
@@ -51,6 +51,10 @@ def _blank(col: str) -> Column:
     return F.coalesce(F.length(tx.trim_ascii(F.col(col))) == 0, F.lit(True))
 
 
+def _words(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words]).cast("array<string>")
+
+
 # rule name, issue type, severity, predicate (True = violated), qtype scope
 def item_rules() -> list[tuple[str, str, str, Column]]:
     mcq = F.col("qtype") == "MCQs"
@@ -58,6 +62,10 @@ def item_rules() -> list[tuple[str, str, str, Column]]:
     short = F.col("qtype") == "short_answer"
     long_ = F.col("qtype") == "long_answer"
     pts = F.col("points")
+    varied = _arr("variations")
+    own_words = _words([])
+    for level, ws in BLOOM_KEYWORDS.items():
+        own_words = F.when(F.col("bloom") == level, _words(ws)).otherwise(own_words)
     required_blank = F.lit(False)
     for qt, fields in REQUIRED_FIELDS.items():
         cond = F.lit(False)
@@ -83,6 +91,16 @@ def item_rules() -> list[tuple[str, str, str, Column]]:
         ("long_answer_points_repeated", "poor_quality", "medium",
          long_ & (F.size(F.array_distinct(pts)) < F.size(pts))),
         ("required_field_blank", "unclear", "high", required_blank),
+        ("mcq_options_not_uniform", "poor_quality", "low",
+         mcq & (F.size(F.array_distinct(F.transform(_arr("options"), lambda x: x.rlike("[.!?]$")))) > 1)),
+        ("level_keyword_mismatch", "poor_quality", "medium",
+         F.arrays_overlap(F.col("terms"), _words([w for ws in BLOOM_KEYWORDS.values() for w in ws])) & ~F.arrays_overlap(F.col("terms"), own_words)),
+        ("variations_not_five_unique", "poor_quality", "medium",
+         (F.size(varied) > 0) & ((F.size(varied) != N_VARIATIONS) | (F.size(F.array_distinct(varied)) < F.size(varied))
+                                 | F.coalesce(F.array_contains(varied, F.col("question")), F.lit(False)))),
+        ("variation_shape_lost", "poor_quality", "medium",
+         (blank & F.exists(varied, lambda x: ~x.contains("_____")))
+         | (mcq & F.exists(varied, lambda x: F.size(F.split(F.regexp_extract(x, r"Options: ([^|]*)", 1), "; ")) != 4))),
     ]
 
 

@@ -6,6 +6,7 @@ Spark plan is clever) so the driver can compare results value by value.
 
 from __future__ import annotations
 
+from ..schemas import BLOOM_KEYWORDS
 from .oracle_views import ITEMS, SENT, with_ctes
 
 SEP = "chr(31)"
@@ -78,6 +79,9 @@ def _blank(f: str) -> str:
     return f"coalesce(length({strip(f)}) = 0, true)"
 
 
+KEYWORDS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{b}')" for b, ks in BLOOM_KEYWORDS.items() for k in ks) + ") t(keyword, kw_bloom)"
+
+
 RULES = [
     ("mcq_answer_not_in_options", "incorrect", "critical",
      "qtype = 'MCQs' AND NOT coalesce(list_contains(coalesce(options, []), answer), false)"),
@@ -105,9 +109,21 @@ RULES = [
      f"OR {_blank('explanation')})) OR (qtype = 'fill_in_the_blanks' AND ({_blank('question')} OR {_blank('answer')}))"
      f" OR (qtype = 'short_answer' AND ({_blank('question')} OR {_blank('reference_answer')}))"
      f" OR (qtype = 'long_answer' AND {_blank('question')}))"),
+    ("mcq_options_not_uniform", "poor_quality", "low",
+     "qtype = 'MCQs' AND len(list_distinct(list_transform(coalesce(options, []), lambda x: regexp_matches(x, '[.!?]$')))) > 1"),
+    ("level_keyword_mismatch", "poor_quality", "medium",
+     "list_has_any(terms, (SELECT list(keyword) FROM kw)) AND NOT list_has_any(terms, "
+     "coalesce((SELECT list(keyword) FROM kw WHERE kw_bloom = bloom), []))"),
+    ("variations_not_five_unique", "poor_quality", "medium",
+     "len(coalesce(variations, [])) > 0 AND (len(variations) <> 5 OR len(list_distinct(variations)) < len(variations) "
+     "OR coalesce(list_contains(variations, question), false))"),
+    ("variation_shape_lost", "poor_quality", "medium",
+     "(qtype = 'fill_in_the_blanks' AND len(list_filter(coalesce(variations, []), lambda x: NOT contains(x, '_____'))) > 0) "
+     "OR (qtype = 'MCQs' AND len(list_filter(coalesce(variations, []), lambda x: "
+     "len(string_split(coalesce(regexp_extract(x, 'Options: ([^|]*)', 1), ''), '; ')) <> 4)) > 0)"),
 ]
 
-RULE_ISSUES = "rule_issues AS (\n" + "\n  UNION ALL\n".join(
+RULE_ISSUES = f"kw AS ({KEYWORDS_SQL}),\nrule_issues AS (\n" + "\n  UNION ALL\n".join(
     f"  SELECT chapter_id, topic_pos, qtype, seq, '{n}' AS rule, '{t}' AS issue_type, '{s}' AS severity "
     f"FROM flags WHERE {c}" for n, t, s, c in RULES) + ")"
 
@@ -688,7 +704,6 @@ SELECT chapter_id, topic_pos, rep, seq, 'copy', 1.0 FROM cls WHERE seq <> rep"""
 
 
 # --- alignment, verdicts, template variations --------------------------------
-KEYWORDS_SQL = """SELECT * FROM (VALUES ('define', 'remember'), ('list', 'remember'), ('identify', 'remember'), ('name', 'remember'), ('state', 'remember'), ('describe', 'remember'), ('recognize', 'remember'), ('explain', 'understand'), ('summarize', 'understand'), ('paraphrase', 'understand'), ('classify', 'understand'), ('compare', 'understand'), ('interpret', 'understand'), ('apply', 'apply'), ('demonstrate', 'apply'), ('solve', 'apply'), ('use', 'apply'), ('illustrate', 'apply'), ('calculate', 'apply'), ('analyze', 'analyze'), ('compare', 'analyze'), ('contrast', 'analyze'), ('distinguish', 'analyze'), ('examine', 'analyze'), ('categorize', 'analyze'), ('evaluate', 'evaluate'), ('judge', 'evaluate'), ('critique', 'evaluate'), ('defend', 'evaluate'), ('assess', 'evaluate'), ('prioritize', 'evaluate'), ('create', 'create'), ('design', 'create'), ('construct', 'create'), ('develop', 'create'), ('formulate', 'create'), ('propose', 'create')) t(keyword, kw_bloom)"""
 STEMS_SQL = """CASE bloom WHEN 'remember' THEN ['Define the idea in: {q}', 'List the facts stated in: {q}', 'Identify the key term in: {q}', 'Name the concept behind: {q}', 'State what is said in: {q}'] WHEN 'understand' THEN ['Explain in your words: {q}', 'Summarize the point of: {q}', 'Paraphrase: {q}', 'Classify the idea in: {q}', 'Interpret the meaning of: {q}'] WHEN 'apply' THEN ['Apply this idea to a new case: {q}', 'Demonstrate with an example: {q}', 'Solve using: {q}', 'Use this to decide: {q}', 'Illustrate with a case: {q}'] WHEN 'analyze' THEN ['Analyze the parts of: {q}', 'Contrast two readings of: {q}', 'Distinguish the causes in: {q}', 'Examine the reasons for: {q}', 'Categorize the elements of: {q}'] WHEN 'evaluate' THEN ['Evaluate the claim: {q}', 'Judge how sound this is: {q}', 'Critique: {q}', 'Defend or reject: {q}', 'Assess the strength of: {q}'] WHEN 'create' THEN ['Design a task based on: {q}', 'Construct an example of: {q}', 'Develop a plan from: {q}', 'Formulate a question about: {q}', 'Propose a change to: {q}'] END"""
 
 ORACLE["bloom_alignment"] = with_ctes(ITEMS) + f"""
