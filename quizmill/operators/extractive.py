@@ -1,4 +1,5 @@
-"""Offline backends expressed as Columns: stem-template variations (K7).
+"""Offline backends expressed as Columns: stem-template variations (K7) and
+items cut from the text itself (K6).
 
 Five stems per level; each stem carries that level's keyword so the result
 passes the keyword-alignment rule.  The stems are our own wording.
@@ -36,3 +37,31 @@ def template_variations(items: DataFrame) -> DataFrame:
     """Five variations per item: the level's stems with the question filled in."""
     v = F.transform(stems_for(F.col("bloom")), lambda s: F.replace(s, F.lit("{q}"), F.col("question")))
     return items.select("chapter_id", "seq", "qtype", "bloom", "question", v.alias("variations"))
+
+
+#: Following sentences whose key words may serve as options.
+OPTION_SPAN = 8
+
+
+def extractive_items(chapters: DataFrame) -> DataFrame:
+    """Blank and choice items from every sentence of a chapter (K6).
+
+    ``chapters``: chapter_id, l (its sentences).  The longest word of a
+    sentence, the first of several, is its answer and is masked in the
+    question; choices are the answer and the next three different answers of
+    the ``OPTION_SPAN`` sentences behind it (null where there are fewer).
+    Equal questions of a chapter come once, at their first sentence; sentences
+    without a word give none.  Per-row arrays and one aggregate, no window.
+    """
+    found = F.transform("l", lambda x: F.get(F.array_sort(F.transform(
+        F.regexp_extract_all(x, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w, i: F.struct((-F.length(w)).alias("size"), i.alias("i"), w.alias("w")))), F.lit(0))["w"])
+    keyed = chapters.select("chapter_id", "l", found.alias("keys"))
+    rows = keyed.select("chapter_id", F.inline(F.transform("l", lambda x, i: F.struct(
+        i.alias("seq"), x.alias("sentence"), F.get("keys", i).alias("answer"), F.slice("keys", i + 2, OPTION_SPAN).alias("others")))))
+    rows = rows.where("answer is not null")
+    at = F.instr(F.col("sentence"), F.col("answer"))
+    question = F.concat(F.substring("sentence", F.lit(1), at - 1), F.lit("_____"), F.substring("sentence", at + F.length("answer"), F.length("sentence")))
+    choices = F.slice(F.array_distinct(F.concat(F.array("answer"), F.filter("others", lambda w: w.isNotNull()))), 1, 4)
+    made = rows.select("chapter_id", "seq", question.alias("question"), "answer", F.when(F.size(choices) == 4, choices).alias("options"))
+    return (made.groupBy("chapter_id", "question").agg(F.min(F.struct("seq", "answer", "options")).alias("one"))
+            .select("chapter_id", "one.seq", "question", "one.answer", "one.options"))

@@ -742,6 +742,22 @@ SELECT chapter_id, seq, array_to_string(list_transform({STEMS_SQL}, lambda s: re
        AS variations
 FROM items"""
 
+_KEY = ("list_sort(list_transform(regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}]+'), "
+        "lambda w, i: {{'size': -length(w), 'i': i, 'w': w}}))[1].w")
+ORACLE["extractive_items"] = with_ctes(SENT) + f"""
+, k AS (SELECT doc_id AS chapter_id, l, list_transform(l, lambda x: {_KEY.format(x="x")}) AS keys FROM sent),
+r AS (SELECT chapter_id, CAST(p AS INTEGER) AS seq, l[p + 1] AS sentence, keys[p + 1] AS answer,
+             list_filter(list_slice(keys, p + 2, p + 9), lambda w: w IS NOT NULL) AS others
+      FROM (SELECT *, unnest(range(len(l))) AS p FROM k)),
+q AS (SELECT *, substring(sentence, 1, strpos(sentence, answer) - 1) || '_____'
+                || substring(sentence, strpos(sentence, answer) + length(answer)) AS question,
+             list_concat([answer], others) AS c
+      FROM r WHERE answer IS NOT NULL),
+o AS (SELECT *, list_filter(c, lambda w, i: list_position(c, w) = i) AS d FROM q),
+n AS (SELECT *, row_number() OVER (PARTITION BY chapter_id, question ORDER BY seq) AS rn FROM o)
+SELECT chapter_id, seq, question, answer, CASE WHEN len(d) >= 4 THEN array_to_string(list_slice(d, 1, 4), chr(31)) END AS options
+FROM n WHERE rn = 1"""
+
 _bank = ORACLE["bank_export"]
 ORACLE["snapshot_rows"] = _bank[:_bank.index("\nSELECT chapter_id, class_name, subject_name, length(j)")] + """
 , ch AS (SELECT class_name, subject_name, 'chapter ' || chapter_id AS chapter_name, j FROM doc),

@@ -433,6 +433,13 @@ def q_template_variations(spark, sf):
     return t.select("chapter_id", "seq", joined("variations"))
 
 
+@register("extractive_items")
+def q_extractive_items(spark, sf):
+    from ..operators import extractive
+    chapters = views.sentence_lists(_docs(spark, sf)).select(F.col("doc_id").alias("chapter_id"), "l")
+    return extractive.extractive_items(chapters).select("chapter_id", "seq", "question", "answer", joined("options"))
+
+
 @register("combined_requests")
 def q_combined_requests(spark, sf):
     """Combined per-topic prompts; topics are the item view's blocks, their
