@@ -3,9 +3,9 @@
 A member is (id, n, sig): a set of n items with a min-wise signature.  A node is
 a key that several members share.  Nodes of up to ``small`` members are compared
 exhaustively, on signatures first and then on the full sets.  Larger ones branch
-on further values of the signature.  Those still large after ``depth`` levels
-hold members that are alike almost everywhere.  Connected by common nodes they
-form families; a family is dealt into blocks of bounded size, and every pair of
+on further values of the signature while their members differ.  Those whose
+members are alike, and those still large after ``depth`` levels, form families,
+connected by common members; a family is dealt into blocks of bounded size, and every pair of
 blocks is one task that counts the intersections of all its pairs on full sets
 and gives back a spanning forest of the links.  So no task holds an unbounded
 group, no pair is lost, and what comes out is linear in the members.
@@ -56,25 +56,32 @@ def _pairs_in_nodes(nodes: DataFrame, percent: int) -> DataFrame:
     return map_frames(nodes, run, "a long, b long").distinct()
 
 
-def refined(level: DataFrame, members: DataFrame, values: range, small: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
-    """(small nodes, large nodes left at the last level), each (key, id), of the nodes in ``level``; ``values``: signature values to branch on."""
-    found = []
+def refined(level: DataFrame, members: DataFrame, values: range, small: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """(small nodes, large nodes to compare as families), each (key, id), of the nodes in ``level``; ``values``: signature values to branch on.
+
+    A large node branches only while it is sparse: where few of its members
+    agree on the probed values of their signatures, further values part them.
+    """
+    nodes = dense = None
+    probes = [values.start + k * len(values) // 4 for k in range(4)]
     for d in range(depth + 1):
         counts = level.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
         level = staged(level.join(counts, "key"), f"nodes-{d}")
-        found.append(level.where(F.col("size") <= small).select("key", "id"))
-        large = level.where(F.col("size") > small).select("key", "id")
+        found = level.where(F.col("size") <= small).select("key", "id")
+        nodes = found if nodes is None else nodes.union(found)
+        large = level.where(F.col("size") > small).select("key", "id", "size")
         if not large.take(1):
-            large = None
             break
-        if d < depth:
-            choice = [F.pmod(F.xxhash64("key", F.lit(c)), F.lit(len(values))) + values.start for c in range(2)]
-            level = large.join(members.select("id", "sig"), "id").select(
-                "id", F.explode(F.array_distinct(F.array(*(F.xxhash64("key", j, sig_value(j)) for j in choice)))).alias("key"))
-    nodes = found[0]
-    for f in found[1:]:
-        nodes = nodes.union(f)
-    return nodes, large
+        large = staged(large.join(members.select("id", "sig"), "id"), f"large-{d}")
+        kinds = sum(F.approx_count_distinct(sig_value(j)) for j in probes)
+        alike = large.groupBy("key").agg((kinds < 0.5 * len(probes) * F.max("size")).alias("alike"))
+        large = large.join(staged(alike, f"alike-{d}"), "key")
+        family = (large if d == depth else large.where("alike")).select("key", "id")
+        dense = family if dense is None else dense.union(family)
+        choice = [F.pmod(F.xxhash64("key", F.lit(c)), F.lit(len(values))) + values.start for c in range(2)]
+        level = large.where(~F.col("alike")).select(
+            "id", F.explode(F.array_distinct(F.array(*(F.xxhash64("key", j, sig_value(j)) for j in choice)))).alias("key"))
+    return nodes, dense
 
 
 def _forest(items: list[np.ndarray], apart: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
