@@ -20,7 +20,6 @@ come; ties in doc_id are ordered by text.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,10 +38,8 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], dtype=np.
 BITS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], dtype=np.uint64)
 BLOCK_IDS = 65536
 END_ID = 2
-#: Spaces next to other white space: there a text isn't cut for the piece cache.
-_ODD_SPACE = re.compile(r"\s | \s")
 #: Pieces kept by a worker; beyond that the cache starts anew.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 900_000
 
 
 def encode_block(ids: np.ndarray) -> bytes:
@@ -169,40 +166,65 @@ def read_part(path: str) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
 
 
 _CACHE: dict[str, bytes] = {}
-_TOKENIZER: list = [None, None]
+_TOKENIZER: list = [None, None, None]
+
+
+def _encode_pieces(pieces: list[str]) -> list[bytes]:
+    """Ids of pieces that follow a blank and neither start nor end with white space.
+
+    They are encoded as one text; each token stands for a known number of bytes,
+    so the ids are cut where the pieces end.
+    """
+    text = " " + " ".join(pieces)
+    ids = np.array(_TOKENIZER[1].encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    ends = np.cumsum(_TOKENIZER[2][ids])
+    cut = np.searchsorted(ends, np.cumsum([len(p.encode()) + 1 for p in pieces])) + 1
+    data, cuts = ids.tobytes(), [0, *(4 * cut).tolist()]
+    return [data[i:j] for i, j in zip(cuts, cuts[1:])]
 
 
 def encode_texts(texts: list[str], tokenizer_json: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit bytes, as the tokenizers library gives them.
 
-    Byte-level pre-tokenization always cuts before a single space between two
-    characters that aren't white space.  So a text is cut there, each different
+    Byte-level pre-tokenization always cuts before a blank that stands between
+    two characters that aren't white space, and between a letter and the comma or
+    stop that ends such a piece.  So a text is cut at its blanks, each different
     piece is encoded once by the library, and the ids of the pieces are joined.
-    Texts with other white space next to a space are encoded whole.
+    Texts with white space next to a blank are encoded whole.
     """
     from tokenizers import Tokenizer
     if _TOKENIZER[0] != tokenizer_json:
-        _TOKENIZER[:] = tokenizer_json, Tokenizer.from_str(tokenizer_json)
+        tokenizer = Tokenizer.from_str(tokenizer_json)
+        sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        added = tokenizer.get_added_tokens_decoder()
+        for token, i in tokenizer.get_vocab().items():
+            sizes[i] = len(token.encode()) if i in added else len(token)  # one character of the vocabulary is one byte
+        _TOKENIZER[:] = tokenizer_json, tokenizer, sizes
         _CACHE.clear()
     encode = lambda xs: [np.array(e.ids, "<u4").tobytes() for e in _TOKENIZER[1].encode_batch_fast(xs, add_special_tokens=False)]
     if len(_CACHE) > CACHE_PIECES:
         _CACHE.clear()
-    cut, whole, fresh = {}, [], set()
-    for i, t in enumerate(texts):
-        if _ODD_SPACE.search(t):
-            whole.append(i)
-        else:
-            pieces = t.split(" ")
-            pieces[0] = "\0" + pieces[0]  # starts the text: no space before it
-            cut[i] = pieces
-            fresh.update(p for p in pieces if p not in _CACHE)
-    fresh = list(fresh)
-    for part in slices([len(p) for p in fresh], 1 << 20):
-        xs = fresh[part]
-        _CACHE.update(zip(xs, encode([p[1:] if p[:1] == "\0" else " " + p for p in xs])))
-    out = dict(zip(whole, encode([texts[i] for i in whole])))
-    out.update((i, b"".join(map(_CACHE.__getitem__, pieces))) for i, pieces in cut.items())
-    return [out[i] for i in range(len(texts))]
+    lists, seen = [t.split(" ") for t in texts], set()
+    firsts = [pieces.pop(0) for pieces in lists]
+    for pieces in lists:
+        seen.update(pieces)
+    missing = seen.difference(_CACHE)
+    unclean = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+    missing -= unclean
+    stems = {p[:-1] if p[-1] in ",." and p[-2:-1].isalpha() else p for p in missing}.difference(_CACHE)
+    stems = list(stems)
+    for k in range(0, len(stems), 1000):
+        _CACHE.update(zip(stems[k: k + 1000], _encode_pieces(stems[k: k + 1000])))
+    ends = dict(zip(",.", encode([",", "."])))
+    for p in missing.difference(_CACHE):
+        _CACHE[p] = _CACHE[p[:-1]] + ends[p[-1]]
+    whole = [i for i, pieces in enumerate(lists) if pieces and (not firsts[i] or firsts[i][-1].isspace() or not unclean.isdisjoint(pieces))]
+    for i, ids in zip(whole, encode([texts[i] for i in whole])):
+        firsts[i], lists[i] = ids, []
+    cut = [i for i, f in enumerate(firsts) if isinstance(f, str)]
+    for i, ids in zip(cut, encode([firsts[i] for i in cut])):
+        firsts[i] = ids
+    return [first + b"".join(map(_CACHE.__getitem__, pieces)) for first, pieces in zip(firsts, lists)]
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
