@@ -1,12 +1,20 @@
-"""Cross-site boilerplate: lines that many sites show among unrelated neighbours.
+"""Cross-site boilerplate: lines that many sites show among unrelated contents.
 
 A line (blanks at its ends cut off; empty lines don't count) is boilerplate if
-it stands on at least ``least_sites`` distinct sites (``source``) and its
-distinct surroundings (the lines before and behind it) are at least
-``least_spread`` of its occurrences.  The second condition tells boilerplate
-from the lines of copied documents, whose surroundings repeat with them.
+it stands on at least ``least_sites`` distinct sites (``source``), in documents
+that differ otherwise.  Two rules say what that is.
 
-Both numbers are estimated by HyperLogLog sketches, one per line hash, which
+``widespread`` (the pipeline's): at least ``least_sites`` different contents
+beside lines of many sites.  Exact copies have one content.  Copies that were
+each changed in another line count as different: from eight of them on, on
+eight sites, the lines that they share go.
+
+``boilerplate`` (the query op4, whose SQL fixes it): the distinct pairs of
+neighbouring lines are at least ``least_spread`` of its places.  It misses
+lines between blank lines, the inner lines of blocks, and lines that many
+copies of one document hold, too.
+
+All numbers are estimated by HyperLogLog sketches, one per line hash, which
 merge by aggregation.  Lines whose estimate lies near a threshold get exact
 distinct counts.  Boilerplate goes from every document; other lines stay, in
 order, and so do documents that lose all their lines.
@@ -63,9 +71,44 @@ def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_spread: f
     return both.where((F.col("sites") >= least_sites) & (F.col("arounds") >= want)).select("line")
 
 
-def without_boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_spread: float = LEAST_SPREAD) -> DataFrame:
-    """``docs`` with _kept (text without boilerplate), _lines (not blank) and _removed (lines gone)."""
-    flagged = staged(boilerplate(docs, least_sites, least_spread), "boilerplate")
+def widespread(docs: DataFrame, least_sites: int = LEAST_SITES) -> DataFrame:
+    """(line): the hashes of the lines to remove, decided on distinct sites.
+
+    The line stands on ``least_sites`` distinct sites or more, in documents with
+    ``least_sites`` or more different contents.  A document's content is the set
+    of its lines that stand on fewer sites: blank lines and whole blocks of
+    boilerplate aren't part of it, wherever they stand.  Both numbers are
+    absolute, so copies of a document add nothing and take nothing away.
+    """
+    hashes = F.filter(F.transform(F.split("text", "\n"), lambda x: F.when(F.trim(x) != "", line_hash(x))), lambda h: h.isNotNull())
+    texts = docs.where("text is not null").select(F.xxhash64("text").alias("th"), F.col("source").cast("string").alias("site"), F.array_distinct(hashes).alias("h"))
+    part = lambda h: F.shiftright(h, 24)  # noqa: E731  sums of 2**23 of them fit a long
+    sized = texts.select("th", "site", "h", F.size("h").alias("n_all"), F.aggregate("h", F.lit(0).cast("long"), lambda a, h: a + part(h)).alias("sum_all"))
+    lines = sized.select("th", "site", "n_all", "sum_all", F.explode("h").alias("line"))
+    # a line on so many sites is in so many rows: a summed count leaves out the rare ones for good
+    frequent = staged(lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= least_sites).select("line"), "row-counts")
+    seen = staged(lines.join(frequent, "line", "left_semi"), "lines-of-many-rows")
+    sites = staged(at_least(seen, "site", least_sites), "lines-of-many-sites")
+    # what a text holds beside such lines: its sums less theirs, one row a text
+    shown = seen.join(sites, "line", "left_semi").select("line", "th", "n_all", "sum_all").distinct().groupBy("th", "n_all", "sum_all").agg(F.collect_list("line").alias("lines"))
+    rest = shown.select("lines", (F.col("n_all") - F.size("lines")).alias("n"), F.aggregate("lines", F.col("sum_all"), lambda a, h: a - part(h)).alias("sum"))
+    contents = staged(rest.where("n > 0").select(F.explode("lines").alias("line"), F.xxhash64("n", "sum").alias("content")), "contents-beside")
+    return at_least(contents, "content", least_sites)
+
+
+def at_least(pairs: DataFrame, column: str, least: int) -> DataFrame:
+    """(line): lines with ``least`` distinct values or more, by sketches; those near the threshold are counted exactly."""
+    estimate = staged(pairs.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg(column, SKETCH_BITS)).alias("n")), f"{column}-estimates")
+    close = F.abs(F.col("n") - least) <= max(1.0, least * NEAR)
+    # distinct (line, value) pairs are summed first, so that no line's rows meet in one task
+    some = pairs.where(f"{column} is not null").join(estimate.where(close).select("line"), "line", "left_semi").select("line", column).distinct()
+    exact = some.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return estimate.where(~close & (F.col("n") >= least)).select("line").unionByName(exact.select("line"))
+
+
+def without_boilerplate(docs: DataFrame, flagged: DataFrame) -> DataFrame:
+    """``docs`` with _kept (text without the lines ``flagged``), _lines (not blank) and _removed (lines gone)."""
+    flagged = staged(flagged, "boilerplate")
     key = F.struct("doc_id", F.xxhash64("text").alias("text"))  # rows with the same id and text share their lines
     hashes = F.filter(F.transform(F.split("text", "\n"), lambda x: F.when(F.trim(x) != "", line_hash(x))), lambda h: h.isNotNull())
     gone = (docs.where(F.col("text").isNotNull()).select(key.alias("_key"), F.explode(F.array_distinct(hashes)).alias("line"))
@@ -81,8 +124,8 @@ def without_boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_s
 
 
 def remove_boilerplate(docs: DataFrame) -> DataFrame:
-    """``docs`` with boilerplate lines cut from ``text`` (``n_chars`` follows, where there is one); same columns, same rows."""
-    out = without_boilerplate(docs)
+    """``docs`` with ``widespread`` lines cut from ``text`` (``n_chars`` follows, where there is one); same columns, same rows."""
+    out = without_boilerplate(docs, widespread(docs))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("_kept").cast("long")).otherwise(F.col("n_chars")))
     return out.withColumn("text", F.col("_kept")).select(*docs.columns)
@@ -90,7 +133,8 @@ def remove_boilerplate(docs: DataFrame) -> DataFrame:
 
 def op4_site_spread_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines that aren't blank, lines removed, and the checksum of the text kept."""
-    out = without_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = without_boilerplate(docs, boilerplate(docs))
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"),
                       F.sha2(F.coalesce("_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
