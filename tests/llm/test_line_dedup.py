@@ -15,6 +15,12 @@ def test_blocks_and_blank_lines(spark):
     assert all(got[d] == t for d, t, _ in rows if d >= 100)
 
 
+def test_copies_switch_nothing_off(spark):
+    rows = [(k, f"head {k}\nterms", f"s{k}") for k in range(12)] + [(1000 + k, "copied\n\nterms\nend", f"s{k % 30}") for k in range(200)]
+    got = cleaned(spark, rows)
+    assert got[3] == "head 3" and got[1007] == "copied\n\nend"
+
+
 def test_copies_alone_stay(spark):
     rows = [(k, f"copy {k % 7}\nshared\nby all\n\nof them", f"s{k % 30}") for k in range(210)]
     assert cleaned(spark, rows) == {d: t for d, t, _ in rows}
