@@ -8,6 +8,14 @@ on their full sets (Jaccard similarity of 0.8 or more).  Of each component of
 links, with all its copies, the first paragraph stays (smallest doc_id, then
 place in the text); the others are removed with their line ends.
 
+``without_repeats(.., inside=True)``, as the query op9 has it, goes on to what
+lines of enough words don't show: exact copies (but for the case of A-Z and for
+white space) of shorter lines, and of pieces of ten words or more that begin and
+end at places chosen by content, across lines or inside them (``units``).  The
+first place that the step above left stays; the others go, so every word that
+goes is still there in a copy.  Any run of ``REACH`` words that two texts share
+holds a whole piece.  A character of a script written without blanks is a word.
+
 Nulls: a null text has no paragraph; a null doc_id comes before all others.
 Repeated rows (same doc_id and text) are one document and get the same result.
 An empty table gives no rows.
@@ -15,21 +23,30 @@ An empty table gives no rows.
 
 from __future__ import annotations
 
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import add_columns, map_frames, slices, staged, table
 from .near_nodes import linked
-from .shingles import shingle_sets, signatures
-from .suffix_dedup import keyed
+from .shingles import _LOWER, _WHITE, _mix, shingle_sets, signatures
+from .suffix_dedup import _VALUES, _powers, keyed
 
 WIDTH = 5
 PERCENT = 80
 LEAST_WORDS = 10
 VALUES = 24
 MISS = 1e-5
+#: Of ``WINDOW`` consecutive runs of ``GRAM`` words the least hashed one is a place where a piece may begin or end.
+WINDOW = 16
+GRAM = 3
+#: Words of a shared run that surely hold a piece: a window, up to its second end a piece and a window, and the last run.
+REACH = 2 * WINDOW + LEAST_WORDS + GRAM
+#: First bytes of characters in U+3000 to U+9FFF, and first two bytes of Thai, Lao, Burmese and Khmer.
+_ALONE = np.zeros(256, bool)
+_ALONE[0xE3:0xEA] = True
+_ALONE_TWO = np.array([0xE0B8, 0xE0B9, 0xE0BA, 0xE0BB, 0xE180, 0xE181, 0xE182, 0xE19E, 0xE19F], np.uint16)
 
 
 def tuned(threshold: float, values: int = VALUES, miss: float = MISS) -> tuple[int, int]:
@@ -98,29 +115,168 @@ def repeats(rows: DataFrame, width: int = WIDTH, percent: int = PERCENT, least_w
         "doc_id", "th", "pos", "component", (place == F.col("first")).alias("first"))
 
 
-def without_repeats(docs: DataFrame, **limits) -> DataFrame:
-    """doc_id, text, _bytes, _removed (bytes), _spans (paragraphs gone), _repeated (paragraphs with a copy) and _kept (text left)."""
+def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first byte, byte behind) of all words; characters of scripts without blanks are words, A-Z count as a-z."""
+    a = np.frombuffer(raw.translate(_LOWER) + b" ", np.uint8)
+    white = _WHITE[a]
+    alone = _ALONE[a]
+    if (a >= 0xE0).any():
+        alone |= np.isin(np.append((a[:-1].astype(np.uint16) << 8) | a[1:], np.uint16(0)), _ALONE_TWO)
+    after = np.zeros(len(a), bool)  # a character alone has three bytes; what follows begins a word
+    after[3:] = alone[:-3]
+    begin = ~white & (np.concatenate([[True], white[:-1]]) | alone | after)
+    starts = np.flatnonzero(begin)
+    ends = np.flatnonzero(np.concatenate([[False], ~white[:-1]]) & (white | begin))
+    up, down = _powers(len(a))
+    sums = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum(_VALUES[a] * up[: len(a)], out=sums[1:])
+    return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
+
+
+def units(texts: list[bytes], least_words: int) -> tuple[np.ndarray, ...]:
+    """(text, first byte, byte behind, first line, last line, d1, d2) of the short lines and the pieces of texts.
+
+    A short line has fewer than ``least_words`` words in the sense of
+    ``paragraphs``; its unit takes the line end along.
+    """
+    blob = b"\n".join(texts)
+    sizes = np.array([len(t) + 1 for t in texts])
+    text_at = np.cumsum(sizes) - sizes
+    h, first, behind = words(blob)
+    raw = np.frombuffer(blob + b"\n", np.uint8)
+    line_ends = np.flatnonzero(raw == 10)
+    line = np.searchsorted(line_ends, first)  # over all texts; the break between two texts ends a line, too
+    own = np.searchsorted(text_at, first, side="right") - 1
+    n = len(h)
+    up, down = _powers(n + 1)
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up[:n], dtype=np.uint64)]) for x in (h, _mix(h + np.uint64(1)))]
+    digest = lambda a, b, kind: [_mix(_mix((x[b] - x[a]) * down[a]) + (b - a).astype(np.uint64) * np.uint64(2) + np.uint64(kind)).view(np.int64) for x in sums]
+
+    # short lines: fewer words between blanks than asked for
+    a = np.flatnonzero(np.diff(line, prepend=-1))
+    b = np.append(a[1:], n)
+    blanks = np.concatenate([[0], np.cumsum(_WHITE[raw[np.maximum(first - 1, 0)]] | (first == 0))])
+    short = blanks[b] - blanks[a] < least_words
+    a, b = a[short], b[short]
+    ends = line_ends[line[a]] + 1
+    lines = [own[a], np.append(-1, line_ends)[line[a]] + 1, ends, line[a], line[a], *digest(a, b, 0)]
+
+    # pieces: from each chosen place to the first one at least so many words on
+    pieces = [np.empty(0, np.int64)] * 7
+    if n >= WINDOW + GRAM:
+        grams = _mix(sum(h[j: n - GRAM + 1 + j] * np.uint64(2 * j + 3) for j in range(GRAM)))
+        views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
+        place = np.arange(len(views)) + views.argmin(axis=1)
+        place = np.unique(place[own[: len(views)] == own[WINDOW + GRAM - 2:]])
+        to = np.searchsorted(place, place + least_words)
+        a, b = place[to < len(place)], place[to[to < len(place)]]
+        inside = own[a] == own[b]
+        a, b = a[inside], b[inside]
+        pieces = [own[a], first[a], behind[b - 1], line[a], line[b - 1], *digest(a, b, 1)]
+    out = [np.concatenate(x) for x in zip(lines, pieces)]
+    for k in (1, 2):
+        out[k] = out[k] - text_at[out[0]]
+    out[2] = np.minimum(out[2], sizes[out[0]] - 1)
+    before = np.searchsorted(line_ends, text_at)
+    for k in (3, 4):
+        out[k] = out[k] - before[out[0]]
+    return tuple(out)
+
+
+def unit_rows(rows: DataFrame, least_words: int, only_digest: bool) -> DataFrame:
+    """d1, d2 of all ``units``, and with it doc_id, th, start, stop (bytes), l0 and l1 (lines)."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(frames):
+        for frame in frames:
+            raw = [t.encode() for t in frame["text"]]
+            for part in slices([len(t) for t in raw], 1 << 20):
+                text, start, stop, l0, l1, d1, d2 = units(raw[part], least_words)
+                out = pd.DataFrame({"d1": d1, "d2": d2})
+                if not only_digest:
+                    out["doc_id"] = frame["doc_id"][part].astype("Int64").take(text).array
+                    out["th"] = frame["th"][part].to_numpy()[text]
+                    out["start"], out["stop"], out["l0"], out["l1"] = start, stop, l0, l1
+                yield out
+
+    return map_frames(rows, run, "d1 long, d2 long" + f", doc_id {kind}, th long, start int, stop int, l0 int, l1 int" * (not only_digest))
+
+
+def inner_repeats(rows: DataFrame, found: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """_id, _th, _cuts (start, stop of the bytes to cut) and _units (with a copy) of the documents with repeated ``units``.
+
+    ``found``: _id, _th, _gone (numbers of the lines that go already); units that touch those don't count.
+    """
+    often = staged(unit_rows(rows, least_words, True).groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2"), "repeated-digests")
+    # rows with the same id and text are one document
+    places = unit_rows(rows.dropDuplicates(["doc_id", "th"]), least_words, False).join(often, ["d1", "d2"], "left_semi")
+    gone = found.where(F.size("_gone") > 0).select("_id", "_th", "_gone")
+    left = places.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").where(
+        F.col("_gone").isNull() | ~F.exists("_gone", lambda x: (x >= F.col("l0")) & (x <= F.col("l1")))).select("d1", "d2", "doc_id", "th", "start", "stop")
+    left = staged(left, "unit-places")
+    place = F.struct("doc_id", "th", "start")
+    groups = left.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last")
+    cut = F.when(place > F.col("first"), F.struct("start", "stop"))
+    return left.join(groups, ["d1", "d2"]).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
+        F.collect_list(cut).alias("_cuts"), F.count("*").alias("_units"))
+
+
+def spliced(raw: bytes, cuts: list) -> tuple[bytes, int]:
+    """``raw`` without the stretches (start, stop), each with the blanks behind it; and how many stretches they make."""
+    out, at, n = [], 0, 0
+    for start, stop in sorted((c["start"], c["stop"]) for c in cuts):
+        while stop < len(raw) and raw[stop] == 32 and raw[stop - 1] != 10:
+            stop += 1
+        n += start > at or not n
+        if start > at:
+            out.append(raw[at:start])
+        at = max(at, stop)
+    kept = b"".join([*out, raw[at:]])
+    if at == len(raw) and n and not raw.endswith(b"\n") and kept.endswith(b"\n"):
+        kept = kept[:-1]  # the last line is gone, and so is the break before it
+    return kept, n
+
+
+def without_repeats(docs: DataFrame, inside: bool = False, **limits) -> DataFrame:
+    """doc_id, text, _bytes, _removed (bytes), _spans (paragraphs gone), _repeated (paragraphs with a copy) and _kept (text left).
+
+    ``inside``: short lines and pieces, too; stretches of them that go count as spans, those with a copy as repeated.
+    """
     rows = keyed(docs)
     found = repeats(rows, **limits).groupBy("doc_id", "th").agg(F.collect_list(F.when(~F.col("first"), F.col("pos"))).alias("_gone"), F.size(F.collect_set("pos")).cast("long").alias("_repeated"))
     found = staged(found.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "repeated-paragraphs")
+    if inside:
+        inner = inner_repeats(rows, found).withColumnsRenamed({"_id": "_id2", "_th": "_th2"})
+        both = found.join(inner, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_th") == F.col("_th2")), "full")
+        found = staged(both.select(
+            F.when(F.col("_th").isNull(), F.col("_id2")).otherwise(F.col("_id")).alias("_id"), F.coalesce("_th", "_th2").alias("_th"), "_gone", "_cuts",
+            (F.coalesce("_repeated", F.lit(0)) + F.coalesce("_units", F.lit(0))).cast("long").alias("_repeated")), "repeated-in-all")
+    else:
+        found = found.withColumn("_cuts", F.lit(None).cast("array<struct<start: int, stop: int>>"))
     joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select(
-        "doc_id", "text", "_gone", F.coalesce("_repeated", F.lit(0).cast("long")).alias("_repeated"))
+        "doc_id", "text", "_gone", "_cuts", F.coalesce("_repeated", F.lit(0).cast("long")).alias("_repeated"))
 
     def cut(cols):
         out = {"_bytes": [], "_removed": [], "_spans": [], "_kept": []}
-        for text, gone in zip(cols["text"], cols["_gone"]):
-            skip = set(gone or ())
-            kept = text if not skip else "\n".join(line for k, line in enumerate(text.split("\n")) if k not in skip)
-            sizes = len(text.encode()), len(kept.encode())
-            for name, value in (("_bytes", sizes[0]), ("_removed", sizes[0] - sizes[1]), ("_spans", len(skip)), ("_kept", kept)):
+        for text, gone, cuts in zip(cols["text"], cols["_gone"], cols["_cuts"]):
+            skip, raw = set(gone or ()), text.encode()
+            spans = len(skip)
+            if cuts:
+                at = np.cumsum([0, *(len(line) + 1 for line in raw.split(b"\n"))]).tolist()
+                kept, spans = spliced(raw, cuts + [{"start": at[k], "stop": min(at[k + 1], len(raw))} for k in skip])
+                kept = kept.decode()
+            else:
+                kept = text if not skip else "\n".join(line for k, line in enumerate(text.split("\n")) if k not in skip)
+            sizes = len(raw), len(kept.encode())
+            for name, value in (("_bytes", sizes[0]), ("_removed", sizes[0] - sizes[1]), ("_spans", spans), ("_kept", kept)):
                 out[name].append(value)
         return out
 
-    return add_columns(joined, ["text", "_gone"], cut, "_bytes long, _removed long, _spans long, _kept string").drop("_gone")
+    return add_columns(joined, ["text", "_gone", "_cuts"], cut, "_bytes long, _removed long, _spans long, _kept string").drop("_gone", "_cuts")
 
 
 def op9_banded_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes and paragraphs of each document of ``documents`` that repeat an earlier paragraph, and the checksum of the rest."""
-    out = without_repeats(table(spark, sf_dir, "documents"))
+    """Bytes, and paragraphs or stretches, of each document of ``documents`` that repeat an earlier one, and the checksum of the rest."""
+    out = without_repeats(table(spark, sf_dir, "documents"), inside=True)
     return out.select("doc_id", F.col("_bytes").alias("n_bytes"), F.col("_removed").alias("n_removed"), F.col("_spans").alias("n_spans"),
                       F.col("_repeated").alias("n_repeated"), F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
