@@ -20,7 +20,7 @@ from quizmill.sources.tables import table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents without a letter, or without a language that most of their words agree on, go."""
+    """Operator 8: documents without a letter, or whose trigrams don't fit the learned languages found in them, go."""
     return language.keep_identified(docs)
 
 

@@ -29,6 +29,8 @@ from .common import add_columns, map_frames, table
 BUCKETS = 1 << 15
 MOST_ROWS = 4000
 UNKNOWN = "und"
+#: Between trigrams drawn at random (0) and learned texts (1).
+LEAST_FIT = 0.5
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII characters that are no letters become blanks.
 _BLANKS = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
@@ -72,12 +74,13 @@ def learn(docs: DataFrame, most_rows: int = MOST_ROWS, smoothing: float = 0.5) -
     return langs, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32)
 
 
-def mixtures(texts: list[str], model: np.ndarray, steps: int = 6, penalty: float = 4.0) -> np.ndarray:
-    """Shares of the languages (rows sum to 1) of texts that hold a letter."""
+def mixtures(texts: list[str], model: np.ndarray, steps: int = 6, penalty: float = 4.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that hold a letter: shares of the languages (rows sum to 1), mean log likelihood of a trigram, and number of trigrams."""
     n_docs, n_langs = len(texts), model.shape[1]
     bucket, first, doc = trigrams(texts)
     like = np.add.reduceat(model[bucket], first, axis=0)
-    like -= like.max(axis=1, keepdims=True)
+    top = like.max(axis=1)
+    like -= top[:, None]
     like = np.exp(np.maximum(like, -30))  # a word's likelihood, relative to its best language
     doc_first = np.flatnonzero(np.diff(doc, prepend=-1))
     words = np.diff(np.append(doc_first, len(doc)))
@@ -119,32 +122,48 @@ def mixtures(texts: list[str], model: np.ndarray, steps: int = 6, penalty: float
         chosen[took], shares[took], value[took] = more[took], pi[better], total[better]
         active[:] = False
         active[took] = True
-    return shares
+    n = np.add.reduceat(np.diff(np.append(first, len(bucket))), doc_first)
+    return shares, (np.add.reduceat(top.astype(np.float64), doc_first) + value) / n, n
+
+
+def fits(shares: np.ndarray, mean: np.ndarray, n: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """How well texts fit the languages found in them: about 1 as learned texts do, 0 as trigrams drawn at random.
+
+    Both ends are expectations under the model.  Two standard errors of a mean
+    of ``n`` trigrams are granted, so that short texts aren't judged by chance.
+    """
+    x = model.astype(np.float64)
+    p = np.exp(x)
+    own, any_, square = (p * x).sum(axis=0), x.mean(axis=0), (p * x * x).sum(axis=0)
+    spread = np.sqrt(np.maximum(square - own * own, 0))
+    return (mean + 2 * (shares @ spread) / np.sqrt(n) - shares @ any_) / np.maximum(shares @ (own - any_), 1e-9)
 
 
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray, penalty: float = 4.0) -> DataFrame:
-    """``docs`` with _lang (largest share, or ``und``), _score (that share) and _langs (languages found)."""
+    """``docs`` with _lang (largest share, or ``und``), _score (that share), _langs (languages found) and _fit (see ``fits``)."""
     names = np.array(langs, object)
 
     def run(cols):
         texts = cols["text"]
-        out = {"_lang": [UNKNOWN] * len(texts), "_score": [0.0] * len(texts), "_langs": [[] for _ in texts]}
+        out = {"_lang": [UNKNOWN] * len(texts), "_score": [0.0] * len(texts), "_langs": [[] for _ in texts], "_fit": [0.0] * len(texts)}
         at = [i for i, t in enumerate(texts) if t and langs and _LETTER.search(t)]
         if at:
-            shares = mixtures([texts[i] for i in at], model, penalty=penalty)
+            shares, mean, n = mixtures([texts[i] for i in at], model, penalty=penalty)
+            fit = fits(shares, mean, n, model)
             best = shares.argmax(axis=1)
-            for i, row, b in zip(at, shares, best):
+            for i, row, b, f in zip(at, shares, best, fit):
+                out["_fit"][i] = float(f)
                 out["_lang"][i], out["_score"][i] = names[b], float(min(1.0, row[b]))
                 out["_langs"][i] = sorted(names[row > 0])
         return out
 
-    return add_columns(docs, ["text"], run, "_lang string, _score double, _langs array<string>")
+    return add_columns(docs, ["text"], run, "_lang string, _score double, _langs array<string>, _fit double")
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.4) -> DataFrame:
-    """The rows of ``docs`` whose language is found with at least ``least_score`` of the words; same columns."""
+def keep_identified(docs: DataFrame, least_fit: float = LEAST_FIT) -> DataFrame:
+    """The rows of ``docs`` that fit the languages found in them, be it one or several; same columns."""
     langs, model = learn(docs)
-    return identify(docs, langs, model).where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least_score)).select(*docs.columns)
+    return identify(docs, langs, model).where((F.col("_lang") != UNKNOWN) & (F.col("_fit") >= least_fit)).select(*docs.columns)
 
 
 def op8_mixture_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
