@@ -5,8 +5,8 @@ decisions take effect.  All but the last return the columns of ``documents``;
 the last gives one row per packed piece.
 
 Nulls and odd rows pass by the rules of the operators: a document without a
-letter is rejected by the first stage; rows without doc_id are never near
-copies; texts that lose all lines stay as empty texts and are packed as an end
+letter is rejected by the first stage; of near copies without doc_id one stays
+beside the one with the smallest doc_id; texts that lose all lines stay as empty texts and are packed as an end
 token.
 """
 

@@ -80,9 +80,26 @@ def classes(docs: DataFrame, width: int, percent: int, **limits) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near copies (the smallest doc_id); same columns."""
-    gone = classes(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group of near copies (the smallest doc_id); same columns.
+
+    A node is a pair of doc_id and text, so each text of a doc_id is judged by
+    itself.  Of rows with the same pair one stays.  Of the rows of a group that
+    have no doc_id one stays, too, beside that of the smallest doc_id.  Rows
+    without words are linked with nothing and all stay.
+    """
+    th = F.xxhash64("text")
+    rows = docs.withColumn("_node", F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), th))
+    found = staged(classes(rows.select(F.col("_node").alias("doc_id"), "text"), width, percent).where("n_shingles > 0")
+                   .groupBy("doc_id", "component_id").agg(F.count("*").alias("times")), "nodes")
+    joint = found.where("doc_id <> component_id").select("component_id").distinct()
+    members = found.join(joint, "component_id", "left_semi").select(F.col("doc_id").alias("_node"), "component_id")
+    named = members.join(rows.select("_node", "doc_id").distinct(), "_node")
+    firsts = named.groupBy("component_id", F.col("doc_id").isNull()).agg(F.min(F.struct("doc_id", "_node"))["_node"].alias("_node"))
+    gone = staged(members.join(firsts, "_node", "left_anti").select("_node"), "near-copies")
+    left = rows.join(gone, "_node", "left_anti")
+    often = found.where("times > 1").select(F.col("doc_id").alias("_node"))
+    once = left.join(often, "_node", "left_anti").unionByName(left.join(often, "_node", "left_semi").dropDuplicates(["_node"]))
+    return once.select(*docs.columns)
 
 
 def op7_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
