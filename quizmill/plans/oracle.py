@@ -123,6 +123,8 @@ RULES = [
      "len(string_split(coalesce(regexp_extract(x, 'Options: ([^|]*)', 1), ''), '; ')) <> 4)) > 0)"),
 ]
 
+RULE_CONDITION = {name: condition for name, _, _, condition in RULES}
+
 RULE_ISSUES = f"kw AS ({KEYWORDS_SQL}),\nrule_issues AS (\n" + "\n  UNION ALL\n".join(
     f"  SELECT chapter_id, topic_pos, qtype, seq, '{n}' AS rule, '{t}' AS issue_type, '{s}' AS severity "
     f"FROM flags WHERE {c}" for n, t, s, c in RULES) + ")"
@@ -168,7 +170,7 @@ ORACLE["structural_violations"] = with_ctes(ITEMS, FLAGS) + f"""
       OR (qtype = 'fill_in_the_blanks' AND (question IS NULL OR answer IS NULL))
       OR (qtype = 'short_answer' AND (question IS NULL OR reference_answer IS NULL))
       OR (qtype = 'long_answer' AND question IS NULL)
-  UNION ALL SELECT qtype, 'required_field_blank' FROM flags WHERE {RULES[-1][3]}
+  UNION ALL SELECT qtype, 'required_field_blank' FROM flags WHERE {RULE_CONDITION['required_field_blank']}
   UNION ALL SELECT qtype, 'mcq_not_four_options' FROM flags WHERE qtype = 'MCQs' AND coalesce(len(options), 0) <> 4
   UNION ALL SELECT qtype, 'unknown_level' FROM flags
    WHERE NOT coalesce(bloom IN ('remember', 'understand', 'apply', 'analyze', 'evaluate', 'create'), false)

@@ -58,3 +58,11 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "overall_pass" in df.columns
+
+
+def test_structural_rules_all_have_rows_on_both_sides(spark, con):
+    """Each named rule counts something, and the same, so that no rule can stand in for another."""
+    found = {(r.qtype, r.rule): r.n_violations for r in QUERIES["structural_violations"](spark, SF).collect()}
+    wanted = {(q, r): n for q, r, n in con.execute(ORACLE["structural_violations"]).fetchall()}
+    assert found == wanted
+    assert {r for _, r in found} >= {"required_field_blank", "mcq_not_four_options", "long_answer_without_points"}
