@@ -27,10 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_frames, open_fs, slices, table, text_bytes, work_dir
+from .common import map_frames, open_fs, slices, staged, table, text_bytes, work_dir
+from .encoding import encoder, read_tokenizer
 
 MAGIC = b"S8BTOK01"
 #: Fixed values of the coding: ids per word and bits per id by selector.
@@ -38,8 +39,8 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], dtype=np.
 BITS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], dtype=np.uint64)
 BLOCK_IDS = 65536
 END_ID = 2
-#: Pieces kept by a worker; beyond that the cache starts anew.
-CACHE_PIECES = 900_000
+#: Characters of text that a task encodes at a time.
+BATCH_CHARS = 8 << 20
 
 
 def encode_block(ids: np.ndarray) -> bytes:
@@ -61,11 +62,12 @@ def encode_block(ids: np.ndarray) -> bytes:
         widest = np.maximum(m[: n - c + 1], m[c - p: n - p + 1])
         fits = np.flatnonzero(widest <= BITS[s])
         take[fits], chosen[fits] = c, s
-    starts, i, step = [], 0, take.tolist()
-    while i < n:
-        starts.append(i)
-        i += step[i]
-    at = np.array(starts, np.int64)
+    # words begin at 0 and wherever the word before ends: reached from there by jumps of doubling length
+    at, jump = np.zeros(1 if n else 0, np.int64), np.append(np.minimum(np.arange(n) + take, n), n)
+    while len(at) and jump[0] < n:
+        at, jump = np.concatenate([at, jump[at]]), jump[jump]
+    at = np.unique(at)
+    at = at[at < n]
     sel = chosen[at]
     words = np.zeros(len(at), np.uint64)
     escapes = ids[at[sel == 0]]
@@ -132,7 +134,12 @@ class TokenWriter:
                            counts.astype("<i8").tobytes(), np.array(self.offsets, "<u8").tobytes(), np.array(self.firsts, "<u8").tobytes()))
         self.out.write(footer + struct.pack("<Q", len(footer)) + MAGIC)
         self.out.close()
-        self.fs.move(self.tmp, self.path)
+        try:
+            self.fs.move(self.tmp, self.path)
+        except OSError:  # some stores don't replace: another attempt's file has the same bytes
+            if self.fs.get_file_info(self.path).type.name != "File":
+                raise
+            self.fs.delete_file(self.tmp)
         return len(null), self.ids
 
 
@@ -165,106 +172,43 @@ def read_part(path: str) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
             yield [None if z else int(d) for d, z in zip(doc_ids[part], null[part])], counts[part], ids[:need]
 
 
-_CACHE: dict[str, bytes] = {}
-_TOKENIZER: list = [None, None, None]
-
-
-def _encode_pieces(pieces: list[str]) -> list[bytes]:
-    """Ids of pieces that follow a blank and neither start nor end with white space.
-
-    They are encoded as one text; each token stands for a known number of bytes,
-    so the ids are cut where the pieces end.
-    """
-    text = " " + " ".join(pieces)
-    ids = np.array(_TOKENIZER[1].encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-    ends = np.cumsum(_TOKENIZER[2][ids])
-    cut = np.searchsorted(ends, np.cumsum([len(p.encode()) + 1 for p in pieces])) + 1
-    data, cuts = ids.tobytes(), [0, *(4 * cut).tolist()]
-    return [data[i:j] for i, j in zip(cuts, cuts[1:])]
-
-
-def encode_texts(texts: list[str], tokenizer_json: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit bytes, as the tokenizers library gives them.
-
-    Byte-level pre-tokenization always cuts before a blank that stands between
-    two characters that aren't white space, and between a letter and the comma or
-    stop that ends such a piece.  So a text is cut at its blanks, each different
-    piece is encoded once by the library, and the ids of the pieces are joined.
-    Texts with white space next to a blank are encoded whole.
-    """
-    from tokenizers import Tokenizer
-    if _TOKENIZER[0] != tokenizer_json:
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
-        added = tokenizer.get_added_tokens_decoder()
-        for token, i in tokenizer.get_vocab().items():
-            sizes[i] = len(token.encode()) if i in added else len(token)  # one character of the vocabulary is one byte
-        _TOKENIZER[:] = tokenizer_json, tokenizer, sizes
-        _CACHE.clear()
-    encode = lambda xs: [np.array(e.ids, "<u4").tobytes() for e in _TOKENIZER[1].encode_batch_fast(xs, add_special_tokens=False)]
-    if len(_CACHE) > CACHE_PIECES:
-        _CACHE.clear()
-    lists, seen = [t.split(" ") for t in texts], set()
-    firsts = [pieces.pop(0) for pieces in lists]
-    for pieces in lists:
-        seen.update(pieces)
-    missing = seen.difference(_CACHE)
-    unclean = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
-    missing -= unclean
-    stems = {p[:-1] if p[-1] in ",." and p[-2:-1].isalpha() else p for p in missing}.difference(_CACHE)
-    stems = list(stems)
-    for k in range(0, len(stems), 1000):
-        _CACHE.update(zip(stems[k: k + 1000], _encode_pieces(stems[k: k + 1000])))
-    ends = dict(zip(",.", encode([",", "."])))
-    for p in missing.difference(_CACHE):
-        _CACHE[p] = _CACHE[p[:-1]] + ends[p[-1]]
-    whole = [i for i, pieces in enumerate(lists) if pieces and (not firsts[i] or firsts[i][-1].isspace() or not unclean.isdisjoint(pieces))]
-    for i, ids in zip(whole, encode([texts[i] for i in whole])):
-        firsts[i], lists[i] = ids, []
-    cut = [i for i, f in enumerate(firsts) if isinstance(f, str)]
-    for i, ids in zip(cut, encode([firsts[i] for i in cut])):
-        firsts[i] = ids
-    return [first + b"".join(map(_CACHE.__getitem__, pieces)) for first, pieces in zip(firsts, lists)]
-
-
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
-                      part_bytes: int = 32 << 20) -> list[tuple[int, int, int]]:
+                      part_bytes: int = 32 << 20) -> DataFrame:
     """Encode every text and write part files below ``path`` in ascending doc_id order.
 
     Documents are range partitioned by (doc_id, hash of text), one file a
     partition, ``part_bytes`` of text a file on average.  A task that runs again
-    writes the same bytes and puts them in place by a rename.  Returns
-    (part, documents, ids) of each file: two numbers a file, whatever the file holds.
+    writes the same bytes and puts them in place by a rename.  Returns the
+    staged table of (part, n_docs, n_ids), a row a file.
     """
-    with open(tokenizer_path, encoding="utf-8") as f:
-        tokenizer_json = f.read()
+    kind, content = read_tokenizer(tokenizer_path)
     parts = max(1, -(-text_bytes(docs) // part_bytes))
 
     def write(frames):
         task = TaskContext.get()
         writer = TokenWriter(f"{path}/part-{task.partitionId():06d}.s8b", task.taskAttemptId())
-        end = np.array([end_id], "<u4").tobytes()
+        encode = encoder(kind, content)
         for frame in frames:
-            for part in slices(frame["text"].str.len().tolist(), 2 << 20):
-                coded = [b + end for b in encode_texts(frame["text"][part].tolist(), tokenizer_json)]
-                ids = [None if pd.isna(d) else int(d) for d in frame["doc_id"][part]]
-                writer.add(ids, np.array([len(b) // 4 for b in coded], np.int64), np.frombuffer(b"".join(coded), "<u4").astype(np.uint64))
+            for part in slices(frame["text"].str.len().tolist(), BATCH_CHARS):
+                counts, ids = encode.ids_of(frame["text"][part].tolist())
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype(np.uint64)
+                writer.add([None if pd.isna(d) else int(d) for d in frame["doc_id"][part]], counts + 1, ids)
         n_docs, n_ids = writer.close()
         yield pd.DataFrame({"part": [task.partitionId()], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     ranged = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
               .repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     written = map_frames(ranged, write, "part int, n_docs long, n_ids long")
-    return sorted((r.part, r.n_docs, r.n_ids) for r in written.collect())
+    return staged(written, "token-parts")
 
 
-def read_token_files(spark: SparkSession, path: str, parts: list[tuple[int, int, int]]) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document in the files, one task a file."""
-    first, files = 0, []
-    for part, n_docs, n_ids in parts:
-        if n_docs:
-            files.append((part, first))
-        first += n_ids
+def read_token_files(path: str, parts: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document in the files, one task a file.
+
+    ``parts`` is what ``write_token_files`` gave; a file starts where the ids of
+    the files before it end.
+    """
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
 
     def read(frames):
         for frame in frames:
@@ -276,7 +220,8 @@ def read_token_files(spark: SparkSession, path: str, parts: list[tuple[int, int,
                     yield pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "start": start + ends - counts, "n_tokens": counts, "ids_crc32": crc})
                     start += int(ends[-1])
 
-    listed = spark.createDataFrame(files, "part int, first long").repartition(max(1, len(files)))
+    listed = (parts.select("part", "n_docs", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
+              .where("n_docs > 0").repartition(max(1, parts.count())))
     return map_frames(listed, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -285,4 +230,4 @@ def op2_simple8b_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = work_dir(spark, "tokens")
     parts = write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_token_files(spark, path, parts)
+    return read_token_files(path, parts)
