@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import BLOOMS, TOPIC_VERIFICATION, section_schema
+from ..schemas import BLANK, BLOOMS, MAX_POINTS, MIN_POINTS, N_OPTIONS, POINT_WORDS, TOPIC_VERIFICATION, TYPE_FIELDS, known_types, section_schema
 
 SYSTEM_GENERATE = (
     "You write assessment items for school textbooks. Every item must fit its cognitive level "
@@ -39,7 +39,6 @@ SECTION_TEMPLATE = (
     + ", ".join(BLOOMS) + ". Each group has \"bloom_taxonomy\" and \"questions\" ({n} items). "
     "Each item has: {fields}. Leave \"variations\" empty."
 )
-SECTION_EXTRA = "\nExtra rules: {extra}\n"
 COMBINED_TEMPLATE = (
     "Write a question bank for the topic below: {n} items per level for each of the four item types "
     "({total} items in all).\n\nTopic: {topic}\nClass: {class_name}\nSubject: {subject_name}\n"
@@ -54,19 +53,21 @@ VARY_TEMPLATE = (
 TYPED_WRAP = "{system}\n\n{user}\n\nReturn JSON only, matching this schema:\n{schema}"
 FREE_WRAP = "{system}\n\n{user}\n\nReturn JSON only."
 
-# Per question type: label, requested fields, extra rules (our wording).
-SECTION_CONFIG = {
-    "MCQs": ("multiple-choice questions",
-             "question, options (4 distinct strings), answer (equal to one option), explanation (1-2 sentences)",
-             None),
-    "fill_in_the_blanks": ("fill-in-the-blank questions",
-                           "question with _____ for the blank, answer (1-3 words), explanation (1-2 sentences)",
-                           None),
-    "short_answer": ("short-answer questions", "question, reference_answer (2-4 sentences)", None),
-    "long_answer": ("long-answer questions",
-                    "question, reference_points (3-6 short points), reference_answer (empty string)",
-                    "each point under 20 words; no prose in reference_answer."),
-}
+
+
+def requested(qtype: str) -> tuple[str, str]:
+    """(name of the type, what each item must hold), made from the declared fields and limits of a type."""
+    known_types([qtype])
+    fields = [f for f in TYPE_FIELDS[qtype] if f != "variations"]
+    notes = {
+        "question": f"with {BLANK} in place of the answer" if fields == ["question", "answer"] else "",
+        "options": f"list of {N_OPTIONS} different texts",
+        "answer": "one of the options" if "options" in fields else "what the blank hides",
+        "reference_points": f"list of {MIN_POINTS} to {MAX_POINTS} texts, each below {POINT_WORDS} words",
+        "reference_answer": "empty text" if "reference_points" in fields else "",
+    }
+    return f"{qtype.replace('_', ' ')} items", "; ".join(f"{f} ({notes[f]})" if notes.get(f) else f for f in fields)
+
 
 _SLOT = re.compile(r"\{(\w+)\}")
 
@@ -125,10 +126,9 @@ VERIFICATION_SCHEMA = json.dumps(json_schema(TOPIC_VERIFICATION))
 
 def section_user_prompt(qtype: str, topic: Column, content: Column, class_name: Column,
                         subject_name: Column, chapter_name: Column, n: Column) -> Column:
-    label, fields, extra = SECTION_CONFIG[qtype]
-    body = render(SECTION_TEMPLATE, n=n.cast("string"), label=label, topic=topic, class_name=class_name,
+    label, fields = requested(qtype)
+    return render(SECTION_TEMPLATE, n=n.cast("string"), label=label, topic=topic, class_name=class_name,
                   subject_name=subject_name, chapter_name=chapter_name, content=content, key=qtype, fields=fields)
-    return F.concat(body, F.lit(SECTION_EXTRA.format(extra=extra))) if extra else body
 
 
 def wrap_typed(system: str, user: Column, schema: str) -> Column:

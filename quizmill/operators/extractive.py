@@ -7,7 +7,7 @@ passes the keyword-alignment rule.  The stems are our own wording.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import BLOOMS
@@ -39,29 +39,66 @@ def template_variations(items: DataFrame) -> DataFrame:
     return items.select("chapter_id", "seq", "qtype", "bloom", "question", v.alias("variations"))
 
 
-#: Following sentences whose key words may serve as options.
-OPTION_SPAN = 8
+def _keyed_sentences(chapters: DataFrame) -> DataFrame:
+    """(chapter_id, seq, sentence, answer): every sentence that holds a word, with its longest word, the first of several."""
+    rows = chapters.select("chapter_id", F.posexplode("l").alias("seq", "sentence")).select("*", F.regexp_extract_all(
+        "sentence", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("ws"))
+    longest = F.array_min(F.transform("ws", lambda w, i: F.struct((-F.length(w)).alias("size"), i.alias("i"), w.alias("w"))))["w"]
+    return rows.select("chapter_id", "seq", "sentence", longest.alias("answer")).where("answer is not null")
 
 
 def extractive_items(chapters: DataFrame) -> DataFrame:
     """Blank and choice items from every sentence of a chapter (K6).
 
-    ``chapters``: chapter_id, l (its sentences).  The longest word of a
-    sentence, the first of several, is its answer and is masked in the
-    question; choices are the answer and the next three different answers of
-    the ``OPTION_SPAN`` sentences behind it (null where there are fewer).
-    Equal questions of a chapter come once, at their first sentence; sentences
-    without a word give none.  Per-row arrays and one aggregate, no window.
+    ``chapters``: chapter_id, l (its sentences).  The key word of a sentence is
+    its answer and is masked in the question.  The different key words of a
+    chapter, by first appearance, form a ring; choices are the answer and the
+    next three of the ring, so every sentence of a chapter with four key words
+    has them (null in a chapter with fewer).  Equal questions of a chapter come
+    once, at their first sentence; sentences without a word give none.  The ring
+    is ordered by a window over one chapter's different key words.
     """
-    found = F.transform("l", lambda x: F.get(F.array_sort(F.transform(
-        F.regexp_extract_all(x, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w, i: F.struct((-F.length(w)).alias("size"), i.alias("i"), w.alias("w")))), F.lit(0))["w"])
-    keyed = chapters.select("chapter_id", "l", found.alias("keys"))
-    rows = keyed.select("chapter_id", F.inline(F.transform("l", lambda x, i: F.struct(
-        i.alias("seq"), x.alias("sentence"), F.get("keys", i).alias("answer"), F.slice("keys", i + 2, OPTION_SPAN).alias("others")))))
-    rows = rows.where("answer is not null")
+    rows = _keyed_sentences(chapters)
+    ring = rows.groupBy("chapter_id", "answer").agg(F.min("seq").alias("at"))
+    chapter = Window.partitionBy("chapter_id")
+    ordered = chapter.orderBy("at")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ring = ring.select("chapter_id", "answer", (F.row_number().over(ordered) - 1).alias("rank"), F.count("*").over(chapter).alias("size"),
+                       F.array(*[F.lead("answer", k).over(ordered) for k in (1, 2, 3)]).alias("next"),
+                       F.array(*[F.nth_value("answer", k).over(whole) for k in (1, 2, 3)]).alias("start"))
+    # what lies behind the end of the ring is at its start
+    nth = [F.when(F.col("rank") + k < F.col("size"), F.col("next")[k - 1]).otherwise(F.get("start", (F.col("rank") + k - F.col("size")).cast("int"))) for k in (1, 2, 3)]
+    ring = ring.select("chapter_id", "answer", F.when(F.col("size") >= 4, F.array("answer", *nth)).alias("options"))
     at = F.instr(F.col("sentence"), F.col("answer"))
     question = F.concat(F.substring("sentence", F.lit(1), at - 1), F.lit("_____"), F.substring("sentence", at + F.length("answer"), F.length("sentence")))
-    choices = F.slice(F.array_distinct(F.concat(F.array("answer"), F.filter("others", lambda w: w.isNotNull()))), 1, 4)
-    made = rows.select("chapter_id", "seq", question.alias("question"), "answer", F.when(F.size(choices) == 4, choices).alias("options"))
-    return (made.groupBy("chapter_id", "question").agg(F.min(F.struct("seq", "answer", "options")).alias("one"))
-            .select("chapter_id", "one.seq", "question", "one.answer", "one.options"))
+    firsts = (rows.select("chapter_id", question.alias("question"), F.struct("seq", "answer").alias("one"))
+              .groupBy("chapter_id", "question").agg(F.min("one").alias("one")).select("chapter_id", "one.seq", "question", "one.answer"))
+    return firsts.join(ring, ["chapter_id", "answer"]).select("chapter_id", "seq", "question", "answer", "options")
+
+
+#: Questions of items cut from several sentences; ``{key}`` is the key word of the first one.
+SHORT_QUESTION = "In a few sentences, what does the text say about {key}?"
+LONG_QUESTION = "Set out the points that the text makes from {key} on."
+
+
+def extractive_open_items(chapters: DataFrame) -> DataFrame:
+    """Short and long items from windows of a chapter's sentences (K6).
+
+    A sentence begins a short item with the 2 to 4 sentences from it on as its
+    reference answer, and a long one with the 3 to 6 sentences from it on as its
+    points (2 + seq % 3 and 3 + seq % 4 of them, fewer at the chapter's end), if
+    there are enough.  Points have fewer than 20 words and differ, else there is
+    no long item.  Equal questions of a type come once, at their first sentence.
+    """
+    from ..functions.text import words
+    windows = F.transform("l", lambda x, i: F.struct(i.alias("seq"), F.slice("l", i + 1, 2 + i % 3).alias("some"), F.slice("l", i + 1, 3 + i % 4).alias("points")))
+    rows = chapters.select("chapter_id", F.inline(windows)).join(_keyed_sentences(chapters).select("chapter_id", "seq", "answer"), ["chapter_id", "seq"])
+    fine = (F.size("points") >= 3) & (F.size(F.array_distinct("points")) == F.size("points")) & F.forall("points", lambda p: F.size(words(p)) < 20)
+    none = F.lit(None).cast("array<string>")
+    short = F.when(F.size("some") >= 2, F.struct(F.lit("short_answer").alias("qtype"), F.replace(F.lit(SHORT_QUESTION), F.lit("{key}"), F.col("answer")).alias("question"),
+                                                 F.array_join("some", " ").alias("reference_answer"), none.alias("reference_points")))
+    long_ = F.when(fine, F.struct(F.lit("long_answer").alias("qtype"), F.replace(F.lit(LONG_QUESTION), F.lit("{key}"), F.col("answer")).alias("question"),
+                                  F.lit("").alias("reference_answer"), F.col("points").alias("reference_points")))
+    made = rows.select("chapter_id", "seq", F.explode(F.array(short, long_)).alias("it")).where("it is not null")
+    return (made.groupBy("chapter_id", "it.qtype", "it.question").agg(F.min(F.struct("seq", "it.reference_answer", "it.reference_points")).alias("one"))
+            .select("chapter_id", "one.seq", "qtype", "question", "one.reference_answer", "one.reference_points"))

@@ -30,7 +30,8 @@ Backend = Callable[[pd.DataFrame, int], list]
 def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
                  validator: Callable[[str], None] | None = None, max_attempts: int = MAX_ATTEMPTS,
                  partitions: int | None = None, keep: list[str] | None = None,
-                 materialize: bool = True, per_task: int = 2000, batch_rows: int = 200) -> DataFrame:
+                 materialize: bool = True, per_task: int = 2000, batch_rows: int = 200,
+                 count: int | None = None) -> DataFrame:
     """Run every request through the backend; returns request_id, the
     ``keep`` columns, attempt_count, raw (last good response) and error
     (last failure).
@@ -41,7 +42,8 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
     model calls.  ``per_task`` requests make one task and ``batch_rows`` one
     backend call, so a task holds few prompts and replies at a time.  A backend
     that raises fails its batch for that attempt; one that returns fewer replies
-    than requests fails those without a reply.
+    than requests fails those without a reply.  ``count`` is the number of
+    requests, if it is known already.
     """
     from ..session import ship_package
     ship_package(requests.sparkSession)
@@ -88,7 +90,7 @@ def run_requests(requests: DataFrame, backend_factory: Callable[[], Backend],
     # Requests are small in bytes but expensive to serve: AQE would coalesce
     # them into a few tasks, so they are dealt by id into tasks of a given
     # number of requests (an explicit count is never coalesced).
-    n = partitions or max(1, -(-requests.count() // per_task))
+    n = partitions or max(1, -(-(requests.count() if count is None else count) // per_task))
     out = requests.repartition(n, "request_id").mapInPandas(run, schema)
     if materialize:
         from ..session import staged

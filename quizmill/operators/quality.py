@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..schemas import BLOOM_KEYWORDS, MAX_POINTS, MIN_POINTS, N_VARIATIONS, REQUIRED_FIELDS
+from ..session import staged
 
 
 def _arr(name: str) -> Column:
@@ -158,8 +159,58 @@ def duplicate_issues(items: DataFrame) -> DataFrame:
                     F.lit("critical").alias("severity")))
 
 
-def all_issues(items: DataFrame) -> DataFrame:
-    return rule_issues(items).unionByName(duplicate_issues(items))
+def near_duplicate_issues(items: DataFrame) -> DataFrame:
+    """Later items of a group of near duplicates of a topic become high duplicate issues.
+
+    Pairs with word sets of similarity 0.8 or more are links; of every connected
+    group the first item stays.  An item that is an exact duplicate already is
+    left to that rule.
+    """
+    from .components import components
+    from .similarity import near_duplicate_items
+    pairs = staged(near_duplicate_items(items), "near-item-pairs")
+    key = lambda seq: F.struct("chapter_id", "topic_pos", F.col(seq).alias("seq"))
+    groups = components(pairs.select(key("seq_a").alias("a"), key("seq_b").alias("b")), "near-items")
+    later = (groups.where("id <> component").select("id.*")
+             .join(duplicate_issues(items).select("chapter_id", "topic_pos", "seq"), ["chapter_id", "topic_pos", "seq"], "left_anti"))
+    return (items.select("chapter_id", "topic_pos", "qtype", "seq").join(later, ["chapter_id", "topic_pos", "seq"], "left_semi")
+            .select("chapter_id", "topic_pos", "qtype", "seq", F.lit("near_duplicate").alias("rule"), F.lit("duplicate").alias("issue_type"),
+                    F.lit("high").alias("severity")))
+
+
+def level_order_issues(items: DataFrame) -> DataFrame:
+    """Items that stand behind an item of a higher level of their section.
+
+    A section's levels are folded in order of position, keeping the highest one
+    so far; the group is one section, i.e. one model call's output.
+    """
+    sections = items.groupBy("chapter_id", "topic_pos", "qtype").agg(F.array_sort(F.collect_list(F.struct("seq", "bloom_ord"))).alias("xs"))
+    kind = {c: items.schema[c].dataType.simpleString() for c in ("seq", "bloom_ord")}
+    none = F.lit(0).cast(kind["bloom_ord"])
+    start = F.struct(none.alias("top"), F.array().cast(f"array<{kind['seq']}>").alias("late"))
+    late = F.aggregate("xs", start, lambda seen, x: F.struct(
+        F.greatest(seen["top"], F.coalesce(x["bloom_ord"], none)).alias("top"),
+        F.when(x["bloom_ord"] < seen["top"], F.concat(seen["late"], F.array(x["seq"]))).otherwise(seen["late"]).alias("late")))
+    return (sections.select("chapter_id", "topic_pos", "qtype", F.explode(late["late"]).alias("seq"))
+            .select("chapter_id", "topic_pos", "qtype", "seq", F.lit("level_out_of_order").alias("rule"), F.lit("poor_quality").alias("issue_type"),
+                    F.lit("low").alias("severity")))
+
+
+#: Columns that the item rules read.
+RULE_COLUMNS = ["chapter_id", "topic_pos", "seq", "qtype", "bloom", "bloom_ord", "question", "options", "answer", "explanation",
+                "reference_answer", "reference_points", "variations", "terms"]
+
+
+def all_issues(items: DataFrame, sections: DataFrame | None = None) -> DataFrame:
+    """Issues of every rule.  The items are written once; rules, duplicates and order read them from there.
+
+    With ``sections`` (of ``corpus.topic_sections``) items that aren't grounded in
+    their section are issues, too.
+    """
+    items = staged(items.select(*RULE_COLUMNS), "ruled-items")
+    issues = (rule_issues(items).unionByName(duplicate_issues(items)).unionByName(near_duplicate_issues(items))
+              .unionByName(level_order_issues(items)))
+    return issues if sections is None else issues.unionByName(grounding_issues(section_grounding(items, sections)))
 
 
 def _lens(col: str) -> Column:
@@ -303,3 +354,56 @@ def grounding(passages: DataFrame, corpus_docs: DataFrame, k: int = 5) -> DataFr
     return j.select("item_id", F.col("n_shingles").cast("bigint"),
                     F.coalesce("n_found", F.lit(0)).cast("bigint").alias("n_found"),
                     F.round(F.coalesce("n_found", F.lit(0)) / F.col("n_shingles"), 6).alias("grounded_share"))
+
+
+#: Shares below which a section counts as unused and an item as not grounded in its section.
+LEAST_COVERED = 0.5
+LEAST_GROUNDED = 0.5
+
+
+def section_coverage(items: DataFrame, sections: DataFrame) -> DataFrame:
+    """For each part of a topic's section: the share of its distinct words that the topic's items use.
+
+    ``sections``: chapter_id, topic_pos, part_pos, section.  An item uses the
+    words of its question, options, answer, reference answer and points.  The
+    index (chapter, topic, part, word) has a row for each different word of a
+    part; the items' words are reduced to different ones of a topic and meet it
+    on the composite key.  ``unused`` marks parts below ``LEAST_COVERED``.
+    """
+    worded = sections.select("chapter_id", "topic_pos", "part_pos", F.array_distinct(tx.words("section")).alias("terms"))
+    index = worded.select("chapter_id", "topic_pos", "part_pos", F.explode("terms").alias("term"))
+    shown = F.flatten(F.array(
+        "terms", *[tx.words(F.coalesce(F.col(c), F.lit(""))) for c in ("answer", "reference_answer")],
+        *[F.flatten(F.transform(_arr(c), tx.words)) for c in ("options", "reference_points")]))
+    used = items.select("chapter_id", "topic_pos", F.explode(F.array_distinct(shown)).alias("term")).distinct()
+    hit = index.join(used, ["chapter_id", "topic_pos", "term"], "left_semi").groupBy("chapter_id", "topic_pos", "part_pos").agg(F.count("*").alias("n_used"))
+    counted = worded.select("chapter_id", "topic_pos", "part_pos", F.size("terms").cast("bigint").alias("n_terms"))
+    share = F.round(F.col("n_used") / F.col("n_terms"), 6)
+    return (counted.where("n_terms > 0").join(hit, ["chapter_id", "topic_pos", "part_pos"], "left").na.fill(0, ["n_used"])
+            .select("chapter_id", "topic_pos", "part_pos", "n_terms", "n_used", share.alias("coverage"), (share < LEAST_COVERED).alias("unused")))
+
+
+def section_grounding(items: DataFrame, sections: DataFrame, k: int = 5) -> DataFrame:
+    """For each item of a topic with a section: the share of its question's k-word runs found in that section.
+
+    The index (chapter, topic, run) has a row for each different run of a
+    section's parts; items meet it on the composite key.  Items without words
+    aren't judged.
+    """
+    from .similarity import shingle_hashes
+    parts = sections.select("chapter_id", "topic_pos", tx.words("section").alias("w")).where(F.size("w") > 0)
+    index = parts.select("chapter_id", "topic_pos", F.explode(shingle_hashes("w", k)).alias("h")).distinct()
+    judged = (items.where(F.size("terms") > 0).join(sections.select("chapter_id", "topic_pos").distinct(), ["chapter_id", "topic_pos"], "left_semi")
+              .select("chapter_id", "topic_pos", "qtype", "seq", shingle_hashes("terms", k).alias("hs")))
+    found = (judged.select("chapter_id", "topic_pos", "seq", F.explode("hs").alias("h")).join(index, ["chapter_id", "topic_pos", "h"], "left_semi")
+             .groupBy("chapter_id", "topic_pos", "seq").agg(F.count("*").alias("n_found")))
+    share = F.round(F.col("n_found") / F.col("n_runs"), 6)
+    return (judged.select("chapter_id", "topic_pos", "qtype", "seq", F.size("hs").cast("bigint").alias("n_runs"))
+            .join(found, ["chapter_id", "topic_pos", "seq"], "left").na.fill(0, ["n_found"])
+            .select("chapter_id", "topic_pos", "qtype", "seq", "n_runs", "n_found", share.alias("grounded_share"), (share < LEAST_GROUNDED).alias("ungrounded")))
+
+
+def grounding_issues(grounded: DataFrame) -> DataFrame:
+    """Items below ``LEAST_GROUNDED`` as issues."""
+    return grounded.where("ungrounded").select("chapter_id", "topic_pos", "qtype", "seq", F.lit("not_grounded").alias("rule"),
+                                               F.lit("incorrect").alias("issue_type"), F.lit("high").alias("severity"))

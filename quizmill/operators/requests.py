@@ -10,24 +10,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import prompts as pr
-from ..schemas import QTYPES, QTYPE_VARIATION_NAME
+from ..schemas import QTYPES, QTYPE_VARIATION_NAME, known_types
 
 
 def _rid(stage: str, *cols) -> F.Column:
     return F.concat_ws(":", F.lit(stage), *[F.col(c).cast("string") for c in cols])
 
 
-def section_requests(sections: DataFrame, meta: DataFrame) -> DataFrame:
-    """Topic part x question type fan-out (4 requests per part of a section).
+def section_requests(sections: DataFrame, meta: DataFrame, qtypes: list[str] = QTYPES) -> DataFrame:
+    """Topic part x question type fan-out (one request per type and part of a section).
 
     The type dimension is a literal array exploded per topic (fixed size,
-    no join); chapter metadata joins 1:N on the chapter key.
+    no join); chapter metadata joins 1:N on the chapter key.  A type without a
+    schema raises ``UnknownQuestionType`` before any row is made.
     """
+    qtypes = known_types(qtypes)
     df = (sections.join(meta, "chapter_id")
-          .withColumn("qtype", F.explode(F.array(*[F.lit(q) for q in QTYPES]))))
+          .withColumn("qtype", F.explode(F.array(*[F.lit(q) for q in qtypes]))))
     n = F.col("questions_per_level")
     prompt = None
-    for q in QTYPES:
+    for q in qtypes:
         user = pr.section_user_prompt(q, F.col("topic"), F.col("section"), F.col("class_name"),
                                       F.col("subject_name"), F.col("chapter_name"), n)
         p = pr.wrap_typed(pr.SYSTEM_GENERATE, user, pr.schema_text(q))

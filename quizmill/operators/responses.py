@@ -119,16 +119,20 @@ def parse_sections(responses: DataFrame, raw: str = "raw") -> DataFrame:
     ``no_json``, ``no_section``, ``wrong_type`` (I10), ``unknown_level`` (I3),
     ``group_count`` (I4), ``empty_group`` (I5), ``required_field`` (I1),
     ``options`` (I2) or ``no_points`` (I9).  Points of long answers are
-    normalised here (H6); a section with a reason counts as a failed call.
+    normalised here (H6); a section with a reason counts as a failed call.  The
+    text is cleaned once and read once as VARIANT and once as typed record, each
+    in a projection of its own.
     """
     from .quality import normalized
-    from .validate import strict_type_violations
-    typed = strict_type_violations(responses.withColumn("_json", F.try_parse_json(tx.clean_response(raw)).isNotNull()), raw)
-    parsed = F.from_json(tx.clean_response(raw), SECTION_ANY)
-    groups = F.when(F.col("qtype") == QTYPES[0], parsed[QTYPES[0]])
+    from .validate import type_errors
+    read = responses.withColumn("_text", tx.clean_response(raw))
+    read = read.withColumn("_variant", F.try_parse_json("_text")).withColumn("_record", F.from_json("_text", SECTION_ANY))
+    record = F.col("_record")
+    groups = F.when(F.col("qtype") == QTYPES[0], record[QTYPES[0]])
     for q in QTYPES[1:]:
-        groups = groups.when(F.col("qtype") == q, parsed[q])
-    df = typed.withColumn("groups", F.when(F.col("_json"), groups))
+        groups = groups.when(F.col("qtype") == q, record[q])
+    df = (read.withColumn("_json", F.col("_variant").isNotNull()).withColumn("type_errors", type_errors(F.col("_variant"), F.col("qtype")))
+          .withColumn("groups", F.when(F.col("_json"), groups)).drop("_text", "_variant", "_record"))
     long_ = F.col("qtype") == "long_answer"
 
     def question(it):

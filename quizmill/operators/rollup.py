@@ -103,24 +103,3 @@ def expected_volume(items: DataFrame) -> DataFrame:
         (n * 24 * F.col("n_topics") * 6).cast("bigint").alias("expected_with_variations"),
         "actual_items")
 
-
-def verification_quality(requests_df: DataFrame, results: DataFrame) -> DataFrame:
-    """Topic verdicts from verification responses.
-
-    A failed call (no response) defaults to quality ``poor``, no duplicates,
-    no entries; entries are counted per topic (D5) and issues summed over
-    the four lists (D6).
-    """
-    from ..functions.text import clean_response
-    from ..schemas import TOPIC_VERIFICATION, VERIFICATION_KEYS
-    v = F.from_json(clean_response(F.col("raw")), TOPIC_VERIFICATION)
-    lists = [F.coalesce(v[k], F.array().cast(TOPIC_VERIFICATION[k].dataType)) for k in VERIFICATION_KEYS.values()]
-    entries = F.concat(*lists)
-    j = requests_df.select("request_id", "chapter_id", "topic_pos").join(results.select("request_id", "raw"),
-                                                                          "request_id", "left")
-    return j.select(
-        "chapter_id", "topic_pos",
-        F.size(entries).cast("bigint").alias("n_entries"),
-        F.aggregate(entries, F.lit(0).cast("bigint"), lambda acc, e: acc + F.size(e["issues"])).alias("n_issues"),
-        F.coalesce(v["overall_quality"], F.lit("poor")).alias("overall_quality"),
-        F.coalesce(v["has_duplicates"], F.lit(False)).alias("has_duplicates"))

@@ -77,17 +77,16 @@ def verdict_enum_violations(verdicts: DataFrame, raw: str = "raw") -> DataFrame:
         (~F.coalesce(v["overall_quality"].isin(*QUALITY_RATINGS), F.lit(False))).alias("bad_quality"))
 
 
-def strict_type_violations(responses: DataFrame, raw: str = "raw") -> DataFrame:
-    """Typed sections whose JSON values have the wrong runtime type.
+def type_errors(json: Column, qtype: Column) -> Column:
+    """Values of a parsed section whose runtime type isn't the declared one (I10): strings must be strings, lists lists of strings.
 
-    ``from_json`` casts a number to a string silently, so the raw text is
-    also parsed to VARIANT and every declared field's runtime type checked:
-    strings must be strings, lists must be lists of strings.
+    ``json`` is a VARIANT column.  The merged schema of the whole section is
+    asked first: where every declared field has its type throughout and every
+    group names its level, there is no error and no value is looked at singly.
     """
-    from ..functions.text import clean_response
     from ..schemas import QTYPES, TYPE_FIELDS
-    v = F.try_parse_json(clean_response(F.col(raw)))
     lists = {"options", "reference_points", "variations"}
+    schema = F.schema_of_variant(json)
 
     def bad_fields(q, qt):
         errs = F.lit(0)
@@ -103,11 +102,25 @@ def strict_type_violations(responses: DataFrame, raw: str = "raw") -> DataFrame:
 
     total = None
     for qt in QTYPES:
-        groups = F.try_variant_get(v, f"$.{qt}", "array<variant>")
-        n = F.aggregate(F.coalesce(groups, F.array().cast("array<variant>")), F.lit(0), lambda acc, g: acc + F.aggregate(
+        groups = F.coalesce(F.try_variant_get(json, f"$.{qt}", "array<variant>"), F.array().cast("array<variant>"))
+        n = F.aggregate(groups, F.lit(0), lambda acc, g: acc + F.aggregate(
             F.coalesce(F.try_variant_get(g, "$.questions", "array<variant>"), F.array().cast("array<variant>")),
             F.lit(0), lambda a2, q: a2 + bad_fields(q, qt)) + F.when(
             F.schema_of_variant(F.try_variant_get(g, "$.bloom_taxonomy", "variant")) == "STRING", 0).otherwise(1))
-        expr = F.when(F.col("qtype") == qt, n)
-        total = expr if total is None else total.when(F.col("qtype") == qt, n)
-    return responses.select("*", total.alias("type_errors"))
+        strings = "|".join(f for f in TYPE_FIELDS[qt] if f not in lists)
+        arrays = "|".join(f for f in TYPE_FIELDS[qt] if f in lists)
+        odd = rf"(?:\b(?:{strings}|bloom_taxonomy): (?!STRING\b))|(?:\b(?:{arrays}): (?!ARRAY<(?:STRING|VOID)>))"
+        plain = ~schema.rlike(odd) & F.forall(groups, lambda g: F.try_variant_get(g, "$.bloom_taxonomy", "string").isNotNull())
+        expr = F.when(plain, 0).otherwise(n)
+        total = F.when(qtype == qt, expr) if total is None else total.when(qtype == qt, expr)
+    return total
+
+
+def strict_type_violations(responses: DataFrame, raw: str = "raw") -> DataFrame:
+    """Typed sections with the number of values of a wrong runtime type.
+
+    ``from_json`` casts a number to a string silently, so the text is read as VARIANT.
+    """
+    from ..functions.text import clean_response
+    read = responses.select("*", F.try_parse_json(clean_response(F.col(raw))).alias("as_json"))
+    return read.select(*responses.columns, type_errors(F.col("as_json"), F.col("qtype")).alias("type_errors"))

@@ -6,7 +6,7 @@ Spark plan is clever) so the driver can compare results value by value.
 
 from __future__ import annotations
 
-from ..schemas import BLOOM_KEYWORDS
+from ..schemas import BLOOM_KEYWORDS, QTYPES
 from .oracle_views import ITEMS, SENT, with_ctes
 
 SEP = "chr(31)"
@@ -136,10 +136,38 @@ DUP_ISSUES = """dup_issues AS (
         FROM (SELECT *, """ + DUP_KEY + """ AS norm FROM items))
   WHERE seq <> first_seq)"""
 
-ISSUES = [ITEMS, FLAGS, RULE_ISSUES, DUP_ISSUES,
-          "issues AS (SELECT * FROM rule_issues UNION ALL SELECT * FROM dup_issues)"]
-
-ORACLE["item_issues"] = with_ctes(*ISSUES) + "SELECT * FROM issues"
+NEAR_PAIRS = """sets AS (SELECT chapter_id, topic_pos, seq, list_sort(list_distinct(CASE WHEN len(terms) > 0 THEN terms ELSE [""" + strip('question') + """] END)) AS st FROM items),
+cls AS (SELECT *, len(st) AS n, min(seq) OVER (PARTITION BY chapter_id, topic_pos, st) AS rep FROM sets),
+ex AS (SELECT chapter_id, topic_pos, seq, n, unnest(st) AS w FROM cls WHERE seq = rep),
+pairs AS (SELECT a.chapter_id, a.topic_pos, a.seq AS seq_a, b.seq AS seq_b, count(*) AS inter,
+                 any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM ex a JOIN ex b ON a.chapter_id = b.chapter_id AND a.topic_pos = b.topic_pos AND a.w = b.w
+                              AND a.seq < b.seq
+          GROUP BY 1, 2, 3, 4)"""
+
+NEAR_ISSUES = """links AS (
+  SELECT chapter_id, topic_pos, seq_a, seq_b FROM pairs WHERE inter * 5 >= (na + nb - inter) * 4
+  UNION ALL SELECT chapter_id, topic_pos, rep, seq FROM cls WHERE seq <> rep),
+both_ways AS (SELECT * FROM links UNION ALL SELECT chapter_id, topic_pos, seq_b, seq_a FROM links),
+reached AS (
+  SELECT DISTINCT chapter_id, topic_pos, seq_a AS seq, seq_a AS low FROM both_ways
+  UNION
+  SELECT r.chapter_id, r.topic_pos, b.seq_b, r.low
+  FROM reached r JOIN both_ways b ON b.chapter_id = r.chapter_id AND b.topic_pos = r.topic_pos AND b.seq_a = r.seq),
+near_issues AS (
+  SELECT i.chapter_id, i.topic_pos, i.qtype, i.seq, 'near_duplicate' AS rule, 'duplicate' AS issue_type, 'high' AS severity
+  FROM items i JOIN (SELECT chapter_id, topic_pos, seq, min(low) AS low FROM reached GROUP BY ALL) r USING (chapter_id, topic_pos, seq)
+  WHERE r.low < i.seq AND NOT EXISTS (SELECT 1 FROM dup_issues d WHERE d.chapter_id = i.chapter_id AND d.seq = i.seq))"""
+
+ORDER_ISSUES = """order_issues AS (
+  SELECT chapter_id, topic_pos, qtype, seq, 'level_out_of_order' AS rule, 'poor_quality' AS issue_type, 'low' AS severity
+  FROM items i WHERE EXISTS (SELECT 1 FROM items j WHERE j.chapter_id = i.chapter_id AND j.topic_pos = i.topic_pos AND j.qtype = i.qtype
+                                                     AND j.seq < i.seq AND j.bloom_ord > i.bloom_ord))"""
+
+ISSUES = [ITEMS, FLAGS, RULE_ISSUES, DUP_ISSUES, NEAR_PAIRS, NEAR_ISSUES, ORDER_ISSUES,
+          "issues AS (SELECT * FROM rule_issues UNION ALL SELECT * FROM dup_issues UNION ALL SELECT * FROM near_issues UNION ALL SELECT * FROM order_issues)"]
+
+ORACLE["item_issues"] = with_ctes(*ISSUES, recursive=True) + "SELECT * FROM issues"
 
 TOPIC_Q = """topic_q AS (
   SELECT t.chapter_id, t.topic_pos, t.n_items, coalesce(i.n_issues, 0) AS n_issues,
@@ -152,9 +180,9 @@ TOPIC_Q = """topic_q AS (
                     bool_or(issue_type = 'duplicate') AS has_dup
              FROM issues GROUP BY ALL) i USING (chapter_id, topic_pos))"""
 
-ORACLE["topic_quality"] = with_ctes(*ISSUES, TOPIC_Q) + "SELECT * FROM topic_q"
+ORACLE["topic_quality"] = with_ctes(*ISSUES, TOPIC_Q, recursive=True) + "SELECT * FROM topic_q"
 
-ORACLE["chapter_quality"] = with_ctes(*ISSUES, TOPIC_Q) + """
+ORACLE["chapter_quality"] = with_ctes(*ISSUES, TOPIC_Q, recursive=True) + """
 SELECT chapter_id, count(*) AS n_topics, CAST(sum(n_issues) AS BIGINT) AS total_issues,
        bool_and(overall_quality NOT IN ('poor', 'fair') AND NOT has_duplicates) AS overall_pass
 FROM topic_q GROUP BY chapter_id"""
@@ -183,7 +211,7 @@ ORACLE["coverage_cube"] = with_ctes(ITEMS) + """
 SELECT chapter_id, qtype, bloom, count(*) AS n_items FROM items
 GROUP BY GROUPING SETS ((chapter_id, qtype, bloom), (chapter_id, qtype), (chapter_id, bloom), (chapter_id))"""
 
-ORACLE["issue_rollup"] = with_ctes(*ISSUES) + """
+ORACLE["issue_rollup"] = with_ctes(*ISSUES, recursive=True) + """
 SELECT severity, issue_type, count(*) AS n_issues, grouping(severity, issue_type) AS gid
 FROM issues GROUP BY ROLLUP (severity, issue_type)"""
 
@@ -519,12 +547,10 @@ SECTIONS = _ts[len("WITH "):_cut] + ",\nsections AS (" + _ts[_cut:] + ")"
 
 
 def _section_prompt_sql(q: str) -> str:
-    label, fields, extra = _pr.SECTION_CONFIG[q]
+    label, fields = _pr.requested(q)
     user = _pr.render_sql(_pr.SECTION_TEMPLATE, n="CAST(qpl AS VARCHAR)", label=_pr._sql_lit(label), topic="topic",
                           class_name="class_name", subject_name="subject_name", chapter_name="chapter_name",
                           content="section", key=_pr._sql_lit(q), fields=_pr._sql_lit(fields))
-    if extra:
-        user = f"{user} || {_pr._sql_lit(_pr.SECTION_EXTRA.format(extra=extra))}"
     return _pr.render_sql(_pr.TYPED_WRAP, system=_pr._sql_lit(_pr.SYSTEM_GENERATE), user=user,
                           schema=_pr._sql_lit(_pr.schema_text(q)))
 
@@ -538,7 +564,7 @@ req AS (
   SELECT s.chapter_id, s.topic_pos, s.part_pos, q.qtype, s.topic, s.section, meta.*
   FROM sections s JOIN meta USING (chapter_id)
   CROSS JOIN (SELECT unnest(['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer']) AS qtype) q),
-rp AS (SELECT *, CASE qtype {" ".join(f"WHEN '{q}' THEN {_section_prompt_sql(q)}" for q in _pr.SECTION_CONFIG)} END AS prompt
+rp AS (SELECT *, CASE qtype {" ".join(f"WHEN '{q}' THEN {_section_prompt_sql(q)}" for q in QTYPES)} END AS prompt
       FROM req)
 SELECT 'generate:' || chapter_id || ':' || topic_pos || ':' || part_pos || ':' || qtype AS request_id, chapter_id, topic_pos, part_pos, qtype,
        length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
@@ -690,15 +716,7 @@ FROM pairs WHERE inter * 5 >= (na + nb - inter) * 4
 UNION ALL
 SELECT rep, doc_id, 'copy', 1.0 FROM cls WHERE doc_id <> rep"""
 
-ORACLE["near_duplicate_items"] = with_ctes(ITEMS) + """
-, sets AS (SELECT chapter_id, topic_pos, seq, list_sort(list_distinct(CASE WHEN len(terms) > 0 THEN terms ELSE [""" + strip('question') + """] END)) AS st FROM items),
-cls AS (SELECT *, len(st) AS n, min(seq) OVER (PARTITION BY chapter_id, topic_pos, st) AS rep FROM sets),
-ex AS (SELECT chapter_id, topic_pos, seq, n, unnest(st) AS w FROM cls WHERE seq = rep),
-pairs AS (SELECT a.chapter_id, a.topic_pos, a.seq AS seq_a, b.seq AS seq_b, count(*) AS inter,
-                 any_value(a.n) AS na, any_value(b.n) AS nb
-          FROM ex a JOIN ex b ON a.chapter_id = b.chapter_id AND a.topic_pos = b.topic_pos AND a.w = b.w
-                              AND a.seq < b.seq
-          GROUP BY 1, 2, 3, 4)
+ORACLE["near_duplicate_items"] = with_ctes(ITEMS, NEAR_PAIRS) + """
 SELECT chapter_id, topic_pos, seq_a, seq_b, 'near' AS kind, round(inter / (na + nb - inter), 6) AS jaccard
 FROM pairs WHERE inter * 5 >= (na + nb - inter) * 4
 UNION ALL
@@ -732,7 +750,7 @@ QINDEX = """qi AS (
 
 ORACLE["question_index"] = with_ctes(ITEMS, QINDEX) + "SELECT * FROM qi"
 
-ORACLE["item_verdicts"] = with_ctes(*ISSUES, QINDEX) + """
+ORACLE["item_verdicts"] = with_ctes(*ISSUES, QINDEX, recursive=True) + """
 SELECT q.chapter_id, q.topic_pos, q.qtype, q.seq, q.question_index, coalesce(a.n, 0) AS n_issues,
        coalesce(a.worst, 0) < 3 AS is_valid
 FROM qi q LEFT JOIN (SELECT chapter_id, seq, count(*) AS n,
@@ -746,19 +764,31 @@ FROM items"""
 
 _KEY = ("list_sort(list_transform(regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}]+'), "
         "lambda w, i: {{'size': -length(w), 'i': i, 'w': w}}))[1].w")
-ORACLE["extractive_items"] = with_ctes(SENT) + f"""
-, k AS (SELECT doc_id AS chapter_id, l, list_transform(l, lambda x: {_KEY.format(x="x")}) AS keys FROM sent),
-r AS (SELECT chapter_id, CAST(p AS INTEGER) AS seq, l[p + 1] AS sentence, keys[p + 1] AS answer,
-             list_filter(list_slice(keys, p + 2, p + 9), lambda w: w IS NOT NULL) AS others
-      FROM (SELECT *, unnest(range(len(l))) AS p FROM k)),
-q AS (SELECT *, substring(sentence, 1, strpos(sentence, answer) - 1) || '_____'
-                || substring(sentence, strpos(sentence, answer) + length(answer)) AS question,
-             list_concat([answer], others) AS c
-      FROM r WHERE answer IS NOT NULL),
-o AS (SELECT *, list_filter(c, lambda w, i: list_position(c, w) = i) AS d FROM q),
-n AS (SELECT *, row_number() OVER (PARTITION BY chapter_id, question ORDER BY seq) AS rn FROM o)
-SELECT chapter_id, seq, question, answer, CASE WHEN len(d) >= 4 THEN array_to_string(list_slice(d, 1, 4), chr(31)) END AS options
-FROM n WHERE rn = 1"""
+KEYED = f"""k AS (
+  SELECT chapter_id, CAST(p AS INTEGER) AS seq, l, l[p + 1] AS sentence, {_KEY.format(x="l[p + 1]")} AS answer
+  FROM (SELECT doc_id AS chapter_id, l, unnest(range(len(l))) AS p FROM sent))"""
+ORACLE["extractive_items"] = with_ctes(SENT, KEYED) + """
+, ring AS (SELECT chapter_id, list(answer ORDER BY first_seq) AS ring FROM (
+             SELECT chapter_id, answer, min(seq) AS first_seq FROM k WHERE answer IS NOT NULL GROUP BY ALL) GROUP BY chapter_id),
+q AS (SELECT k.chapter_id, seq, answer, ring, list_position(ring, answer) - 1 AS r, len(ring) AS n,
+             substring(sentence, 1, strpos(sentence, answer) - 1) || '_____' || substring(sentence, strpos(sentence, answer) + length(answer)) AS question
+      FROM k JOIN ring USING (chapter_id) WHERE answer IS NOT NULL),
+f AS (SELECT *, row_number() OVER (PARTITION BY chapter_id, question ORDER BY seq) AS rn FROM q)
+SELECT chapter_id, seq, question, answer,
+       CASE WHEN n >= 4 THEN array_to_string([answer, ring[(r + 1) % n + 1], ring[(r + 2) % n + 1], ring[(r + 3) % n + 1]], chr(31)) END AS options
+FROM f WHERE rn = 1"""
+
+ORACLE["extractive_open_items"] = with_ctes(SENT, KEYED) + f"""
+, made AS (
+  SELECT chapter_id, seq, 'short_answer' AS qtype, 'In a few sentences, what does the text say about ' || answer || '?' AS question,
+         array_to_string(list_slice(l, seq + 1, seq + 2 + seq % 3), ' ') AS reference_answer, NULL AS reference_points
+  FROM k WHERE answer IS NOT NULL AND len(list_slice(l, seq + 1, seq + 2 + seq % 3)) >= 2
+  UNION ALL
+  SELECT chapter_id, seq, 'long_answer', 'Set out the points that the text makes from ' || answer || ' on.', '', array_to_string(points, chr(31))
+  FROM (SELECT *, list_slice(l, seq + 1, seq + 3 + seq % 4) AS points FROM k WHERE answer IS NOT NULL)
+  WHERE len(points) >= 3 AND len(list_distinct(points)) = len(points) AND len(list_filter(points, lambda y: len({words('y')}) >= 20)) = 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY chapter_id, qtype, question ORDER BY seq) AS rn FROM made)
+SELECT chapter_id, seq, qtype, question, reference_answer, reference_points FROM f WHERE rn = 1"""
 
 _bank = ORACLE["bank_export"]
 ORACLE["snapshot_rows"] = _bank[:_bank.index("\nSELECT chapter_id, class_name, subject_name, length(j)")] + """
@@ -796,6 +826,28 @@ fnd AS (SELECT item_id, count(*) AS n FROM p SEMI JOIN c USING (sh) GROUP BY ite
 SELECT tot.item_id, tot.n AS n_shingles, coalesce(fnd.n, 0) AS n_found, round(coalesce(fnd.n, 0) / tot.n, 6) AS grounded_share
 FROM tot LEFT JOIN fnd USING (item_id)"""
 
+ORACLE["section_coverage"] = "WITH " + SECTIONS + ",\n" + ITEMS + f"""
+, w AS (SELECT chapter_id, topic_pos, part_pos, list_distinct({words('section')}) AS terms FROM sections),
+idx AS (SELECT chapter_id, topic_pos, part_pos, unnest(terms) AS term FROM w),
+used AS (SELECT DISTINCT chapter_id, topic_pos, unnest(list_concat(terms, {words('answer')}, {words('reference_answer')},
+            flatten(list_transform(coalesce(options, []), lambda p: {words('p', 'v')})),
+            flatten(list_transform(coalesce(reference_points, []), lambda p: {words('p', 'v')})))) AS term FROM items),
+hit AS (SELECT chapter_id, topic_pos, part_pos, count(*) AS n FROM idx SEMI JOIN used USING (chapter_id, topic_pos, term) GROUP BY ALL)
+SELECT chapter_id, topic_pos, part_pos, CAST(len(terms) AS BIGINT) AS n_terms, coalesce(n, 0) AS n_used,
+       round(coalesce(n, 0) / len(terms), 6) AS coverage, round(coalesce(n, 0) / len(terms), 6) < 0.5 AS unused
+FROM w LEFT JOIN hit USING (chapter_id, topic_pos, part_pos) WHERE len(terms) > 0"""
+
+ORACLE["section_grounding"] = "WITH " + SECTIONS + ",\n" + ITEMS + f"""
+, idx AS (SELECT DISTINCT chapter_id, topic_pos, unnest({_SH}) AS sh
+          FROM (SELECT chapter_id, topic_pos, {words('section')} AS w FROM sections) WHERE len(w) > 0),
+judged AS (SELECT chapter_id, topic_pos, qtype, seq, {_SH} AS hs
+           FROM (SELECT *, terms AS w FROM items SEMI JOIN sections USING (chapter_id, topic_pos)) WHERE len(w) > 0),
+hit AS (SELECT chapter_id, topic_pos, seq, count(*) AS n FROM (SELECT chapter_id, topic_pos, seq, unnest(hs) AS sh FROM judged)
+        SEMI JOIN idx USING (chapter_id, topic_pos, sh) GROUP BY ALL)
+SELECT chapter_id, topic_pos, qtype, seq, CAST(len(hs) AS BIGINT) AS n_runs, coalesce(n, 0) AS n_found,
+       round(coalesce(n, 0) / len(hs), 6) AS grounded_share, round(coalesce(n, 0) / len(hs), 6) < 0.5 AS ungrounded
+FROM judged LEFT JOIN hit USING (chapter_id, topic_pos, seq)"""
+
 _COMB_BODY = _pr.render_sql(_pr.COMBINED_TEMPLATE, n="'5'", total="'120'", topic="chapter_id || '.' || (topic_pos + 1)",
                             class_name="lang", subject_name="source", chapter_name="'chapter ' || chapter_id",
                             content="content")
@@ -810,3 +862,62 @@ p AS (SELECT *, {_pr.render_sql(_pr.FREE_WRAP, system=_pr._sql_lit(_pr.SYSTEM_GE
 SELECT 'combined:' || chapter_id || ':' || topic_pos AS request_id, chapter_id, topic_pos,
        length(prompt) AS prompt_len, md5(prompt) AS prompt_md5
 FROM p"""
+
+
+# --- ledger and verification report -------------------------------------------
+_verify = ORACLE["verification_requests"]
+ORACLE["pending_requests"] = _verify[:_verify.index("\nSELECT 'verify:'")] + """
+, asked AS (SELECT 'verify:' || chapter_id || ':' || topic_pos AS request_id, (chapter_id + topic_pos) % 5 AS k,
+                   sha256('10:reviewer-1' || prompt) AS prompt_digest FROM p)
+SELECT request_id, prompt_digest, CASE k WHEN 0 THEN 'new' WHEN 2 THEN 'failed' ELSE 'changed' END AS reason
+FROM asked WHERE k IN (0, 2, 3)"""
+
+_KEYS = {"MCQs": "mcq_verifications", "fill_in_the_blanks": "fill_blank_verifications", "short_answer": "short_answer_verifications",
+         "long_answer": "long_answer_verifications"}
+_ENTRY = """{'question_index': question_index, 'is_valid': about = 1,
+   'issues': CASE WHEN about = 0 THEN [{'issue_type': ['duplicate', 'unclear', 'incorrect', 'poor_quality', 'grammatical'][seq % 5 + 1],
+                                        'description': 'item ' || seq, 'severity': ['low', 'medium', 'high', 'critical'][seq % 4 + 1]}] ELSE [] END,
+   'suggestion': CASE WHEN seq % 2 = 1 THEN 'reword' END}"""
+_STRAY = ("{'question_index': 9999, 'is_valid': false, 'issues': [{'issue_type': 'unclear', 'description': 'x', 'severity': 'low'}], "
+          "'suggestion': CAST(NULL AS VARCHAR)}")
+VERDICTS = QINDEX + f""",
+about AS (SELECT *, (seq + chapter_id) % 4 AS about, (chapter_id + 2 * topic_pos) % 8 AS k FROM qi),
+given AS (SELECT *, k IN (0, 1, 2, 5) AS failed, {_ENTRY} AS entry FROM about),
+tv AS (
+  SELECT chapter_id, topic_pos, any_value(k) AS k, any_value(failed) AS failed,
+         CASE any_value(k) WHEN 0 THEN 'no_reply' WHEN 1 THEN 'no_json' WHEN 2 THEN 'bad_topic' WHEN 5 THEN 'bad_entry' END AS failure,
+         {", ".join(f"coalesce(list(entry ORDER BY question_index) FILTER (WHERE NOT failed AND about < 2 AND qtype = '{q}'), []) AS {v}0" for q, v in _KEYS.items())}
+  FROM given GROUP BY chapter_id, topic_pos),
+verdicts AS (
+  SELECT *, chapter_id || '.' || (topic_pos + 1) AS topic,
+         CASE WHEN k = 3 THEN list_append(mcq_verifications0, {_STRAY}) ELSE mcq_verifications0 END AS mcq_verifications,
+         {", ".join(f"{v}0 AS {v}" for v in list(_KEYS.values())[1:])},
+         CASE WHEN failed THEN 'poor' ELSE ['excellent', 'good', 'fair', 'poor'][(chapter_id + topic_pos) % 4 + 1] END AS overall_quality,
+         NOT failed AND (chapter_id * 3 + topic_pos) % 5 = 0 AS has_duplicates
+  FROM tv),
+totals AS (
+  SELECT *, {" + ".join(f"len({v})" for v in _KEYS.values())} AS n_entries,
+         {" + ".join(f"coalesce(list_sum(list_transform({v}, lambda e: len(e.issues))), 0)" for v in _KEYS.values())} AS n_issues
+  FROM verdicts)"""
+
+ORACLE["verification_topics"] = with_ctes(ITEMS, VERDICTS) + """
+SELECT chapter_id, topic_pos, failure, CAST(n_entries AS BIGINT) AS n_entries, CAST(n_issues AS BIGINT) AS n_issues, overall_quality, has_duplicates
+FROM totals"""
+
+ORACLE["verification_entries"] = with_ctes(ITEMS, VERDICTS) + """
+SELECT chapter_id, topic_pos, qtype, question_index, seq, about = 1 AS is_valid, CAST(len(entry.issues) AS BIGINT) AS n_issues,
+       entry.issues[1].severity AS severity, entry.suggestion AS suggestion
+FROM given WHERE NOT failed AND about < 2
+UNION ALL
+SELECT chapter_id, topic_pos, 'MCQs', 9999, NULL, false, 1, 'low', NULL FROM tv WHERE k = 3"""
+
+ORACLE["verification_report"] = with_ctes(ITEMS, VERDICTS) + f"""
+, r AS (
+  SELECT chapter_id, count(*) AS n_topics, count(failure) AS n_failed, CAST(sum(n_issues) AS BIGINT) AS total_issues,
+         bool_and(overall_quality NOT IN ('poor', 'fair') AND NOT has_duplicates) AS overall_pass,
+         list({{'topic': topic, {", ".join(f"'{v}': {v}" for v in _KEYS.values())}, 'overall_quality': overall_quality,
+               'has_duplicates': has_duplicates}} ORDER BY topic_pos) AS ts
+  FROM totals GROUP BY chapter_id),
+j AS (SELECT *, to_json({{'chapter_name': 'chapter ' || chapter_id, 'topic_verifications': ts, 'overall_pass': overall_pass,
+                         'total_issues': total_issues}})::VARCHAR AS report FROM r)
+SELECT chapter_id, n_topics, n_failed, total_issues, overall_pass, length(report) AS json_len, md5(report) AS json_md5 FROM j"""

@@ -21,6 +21,7 @@ sent_rows AS (
   SELECT doc_id, source, lang, l, unnest(range(len(l))) AS p FROM sent),
 sent_rows2 AS (
   SELECT doc_id, source, lang, l, p, l[p + 1] AS q,
+         CASE WHEN (doc_id + p // 24) % 7 = 3 AND (p // 4) % 6 IN (2, 3) THEN 5 - (p // 4) % 6 ELSE (p // 4) % 6 END AS level,
          """ + WORDS.format(x="l[p + 1]") + r""" AS w
   FROM sent_rows),
 items AS (
@@ -28,8 +29,8 @@ items AS (
          CAST(p // 24 AS INTEGER) AS topic_pos,
          CAST(p AS INTEGER) AS seq,
          ['MCQs', 'fill_in_the_blanks', 'short_answer', 'long_answer'][p % 4 + 1] AS qtype,
-         ['remember', 'understand', 'apply', 'analyze', 'evaluate', 'create'][(p // 4) % 6 + 1] AS bloom,
-         CAST((p // 4) % 6 + 1 AS INTEGER) AS bloom_ord,
+         ['remember', 'understand', 'apply', 'analyze', 'evaluate', 'create'][level + 1] AS bloom,
+         CAST(level + 1 AS INTEGER) AS bloom_ord,
          CASE WHEN p % 4 = 1 AND p % 3 <> 0 THEN q || ' _____' ELSE q END AS question,
          CASE WHEN p % 4 = 0 THEN list_slice(w, 1, 4) END AS options,
          CASE WHEN p % 4 = 0 THEN (CASE WHEN p % 7 = 0 THEN 'zz' ELSE w[1] END)
@@ -44,5 +45,5 @@ items AS (
   FROM sent_rows2)"""
 
 
-def with_ctes(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+def with_ctes(*ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"

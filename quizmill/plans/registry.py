@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, rollup
 from ..sources import views
-from ..sources.tables import table
+from ..sources.tables import dealt, table
 
 SEP = "\x1f"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,7 @@ def joined(col: str, alias: str | None = None):
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return dealt(table(spark, sf, "documents"), "text")
 
 
 def _items(spark, sf):
@@ -440,6 +440,14 @@ def q_extractive_items(spark, sf):
     return extractive.extractive_items(chapters).select("chapter_id", "seq", "question", "answer", joined("options"))
 
 
+@register("extractive_open_items")
+def q_extractive_open_items(spark, sf):
+    from ..operators import extractive
+    chapters = views.sentence_lists(_docs(spark, sf)).select(F.col("doc_id").alias("chapter_id"), "l")
+    t = extractive.extractive_open_items(chapters)
+    return t.select("chapter_id", "seq", "qtype", "question", "reference_answer", joined("reference_points"))
+
+
 @register("combined_requests")
 def q_combined_requests(spark, sf):
     """Combined per-topic prompts; topics are the item view's blocks, their
@@ -458,6 +466,58 @@ def q_combined_requests(spark, sf):
     return _prompt_digest(requests.combined_requests(topics, prev), "request_id", "chapter_id", "topic_pos")
 
 
+# --- ledger and verification report -------------------------------------------
+
+MODEL = "reviewer-1"
+
+
+@register("pending_requests")
+def q_pending_requests(spark, sf):
+    """Verification requests still to be asked, given what earlier runs recorded."""
+    from ..operators import ledger, requests
+    from ..session import staged
+    asked = staged(requests.verification_requests(_items(spark, sf)).select("request_id", "chapter_id", "topic_pos", "prompt"), "asked")
+    rows = ledger.best_replies(views.ledger_rows(asked, MODEL))
+    todo = ledger.pending(asked.withColumn("prompt_digest", ledger.prompt_digest(F.col("prompt"), MODEL)), rows)
+    return todo.select("request_id", "prompt_digest", "reason")
+
+
+def _verdicts(spark, sf):
+    """(items, chapters, topic verdicts) of the planted verification replies; the verdicts are written once."""
+    from ..operators import verification
+    from ..session import staged
+    docs = _docs(spark, sf)
+    it = staged(views.items(docs).select("chapter_id", "topic_pos", "topic", "seq", "qtype", "bloom_ord"), "verified-items")
+    topics = it.select("chapter_id", "topic_pos", "topic").distinct().withColumn(
+        "request_id", F.concat_ws(":", F.lit("verify"), F.col("chapter_id").cast("string"), F.col("topic_pos").cast("string")))
+    chapters = views.chapters(docs).select("chapter_id", "class_name", F.col("subject_key").alias("subject_name"), "chapter_name")
+    return it, chapters, staged(verification.topic_verdicts(topics, views.verification_replies(it)), "verdicts")
+
+
+@register("verification_report")
+def q_verification_report(spark, sf):
+    from ..operators import verification
+    _, chapters, verdicts = _verdicts(spark, sf)
+    r = verification.chapter_reports(verdicts, chapters)
+    return r.select("chapter_id", "n_topics", "n_failed", "total_issues", "overall_pass",
+                    F.length("report_json").cast("bigint").alias("json_len"), F.md5("report_json").alias("json_md5"))
+
+
+@register("verification_topics")
+def q_verification_topics(spark, sf):
+    from ..operators import verification
+    return verification.topic_totals(_verdicts(spark, sf)[2])
+
+
+@register("verification_entries")
+def q_verification_entries(spark, sf):
+    from ..operators import verification
+    it, _, verdicts = _verdicts(spark, sf)
+    e = verification.item_entries(verdicts, it)
+    return e.select("chapter_id", "topic_pos", "qtype", "question_index", "seq", "is_valid", F.size("issues").cast("bigint").alias("n_issues"),
+                    F.get("issues", F.lit(0))["severity"].alias("severity"), "suggestion")
+
+
 # --- snapshots ---------------------------------------------------------------
 
 RUN_TS = "2024-01-02 03:04:05"
@@ -485,6 +545,25 @@ def q_content_coverage(spark, sf):
     return quality.content_coverage(_items(spark, sf))
 
 
+def _sections(spark, sf):
+    """(items, sections): the item view and the sections of the headed chapters, both by chapter and topic."""
+    from ..operators import corpus
+    from ..session import staged
+    docs, _, m = _matched(spark, sf)
+    sections = staged(corpus.topic_sections(views.headed_chapters(docs), m).select("chapter_id", "topic_pos", "part_pos", "section"), "sections")
+    return views.items(docs), sections
+
+
+@register("section_coverage")
+def q_section_coverage(spark, sf):
+    return quality.section_coverage(*_sections(spark, sf))
+
+
+@register("section_grounding")
+def q_section_grounding(spark, sf):
+    return quality.section_grounding(*_sections(spark, sf))
+
+
 @register("grounding")
 def q_grounding(spark, sf):
     return quality.grounding(table(spark, sf, "benchmark"), _docs(spark, sf))

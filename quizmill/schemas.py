@@ -11,38 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# ---------------------------------------------------------------------------
-# Fixed values (must equal the behaviour being rebuilt).
-#
-# Question-type keys, in generation order, with the display names used in
-# progress output and the type names used when asking for variations:
-#   MCQs               | MCQ               | MCQ
-#   fill_in_the_blanks | Fill-in-the-Blank | Fill in the Blank
-#   short_answer       | Short Answer      | Short Answer
-#   long_answer        | Long Answer       | Long Answer
-#
-# Cognitive levels, in canonical order:
-#   remember, understand, apply, analyze, evaluate, create
-#
-# Level keywords:
-#   remember:   define, list, identify, name, state, describe, recognize
-#   understand: explain, summarize, paraphrase, classify, compare, interpret
-#   apply:      apply, demonstrate, solve, use, illustrate, calculate
-#   analyze:    analyze, compare, contrast, distinguish, examine, categorize
-#   evaluate:   evaluate, judge, critique, defend, assess, prioritize
-#   create:     create, design, construct, develop, formulate, propose
-#
-# Issue types:  duplicate, unclear, incorrect, poor_quality, grammatical
-# Severities:   low, medium, high, critical
-# Topic ratings: excellent, good, fair, poor
-# Snapshot stages: generated, verified, varied
-# Section cap: 3000 characters; marker appended when cut:
-#   "\n\n[Content truncated for API limits]"
-# Questions per level: 8 when a chapter has fewer than 5 topics, else 5.
-# Variations per question: 5.  Reference points kept: 6.
-# Model-call attempts: 3.
-# ---------------------------------------------------------------------------
-
+# Keys, levels, keywords and limits, as the behaviour being rebuilt has them.
 QTYPES = ["MCQs", "fill_in_the_blanks", "short_answer", "long_answer"]
 QTYPE_VARIATION_NAME = {"MCQs": "MCQ", "fill_in_the_blanks": "Fill in the Blank",
                         "short_answer": "Short Answer", "long_answer": "Long Answer"}
@@ -63,6 +32,9 @@ SECTION_PART = 3000
 N_VARIATIONS = 5
 MIN_POINTS = 3
 MAX_POINTS = 6
+POINT_WORDS = 20
+N_OPTIONS = 4
+BLANK = "_____"
 MAX_ATTEMPTS = 3
 
 
@@ -95,6 +67,21 @@ REQUIRED_FIELDS = {
 }
 
 
+class UnknownQuestionType(ValueError):
+    """A question type that the library has no schema for."""
+
+    def __init__(self, qtypes):
+        super().__init__(f"unknown question type {', '.join(map(repr, qtypes))}; known are {', '.join(QTYPES)}")
+
+
+def known_types(qtypes: list[str]) -> list[str]:
+    """``qtypes``, if all are known."""
+    unknown = [q for q in qtypes if q not in TYPE_FIELDS]
+    if unknown:
+        raise UnknownQuestionType(unknown)
+    return list(qtypes)
+
+
 def item_struct(qtype: str) -> T.StructType:
     wanted = set(TYPE_FIELDS[qtype])
     return T.StructType([f for f in ITEM_FIELDS if f.name in wanted])

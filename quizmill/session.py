@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.quizmill.partBytes", str(4 << 20))
         .config("spark.driver.memory", os.environ.get("QUIZMILL_DRIVER_MEM", "16g"))
         .config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="quizmill-ckpt-"))
     )

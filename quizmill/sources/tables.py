@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -12,3 +13,20 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+PART_BYTES_CONF = "spark.quizmill.partBytes"
+PART_BYTES = 64 << 20
+
+
+def dealt(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` in as many partitions as their texts need at ``spark.quizmill.partBytes`` each (64 MB if unset).
+
+    Row groups can't be split, so a scan may put far more text into one task.
+    The rows are dealt anew only where the scan gives fewer partitions than the
+    bytes ask for, at any size of the table; otherwise nothing moves.
+    """
+    spark = rows.sparkSession
+    part_bytes = int(spark.conf.get(PART_BYTES_CONF, str(PART_BYTES)))
+    wanted = -(-(rows.select(F.sum(F.octet_length(column))).first()[0] or 0) // part_bytes)
+    return rows if rows.select(column).rdd.getNumPartitions() >= wanted else rows.repartition(wanted)

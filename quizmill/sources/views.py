@@ -41,6 +41,8 @@ def items(docs: DataFrame) -> DataFrame:
     before the explode, so a row never carries its whole document.
     """
     s = sentence_lists(docs)
+    # every seventh topic has its third and fourth level exchanged
+    level = f"CAST(CASE WHEN (doc_id + p div {TOPIC_SIZE}) % 7 = 3 AND (p div 4) % 6 IN (2, 3) THEN 5 - (p div 4) % 6 ELSE (p div 4) % 6 END AS INT)"
     per_sentence = F.transform("l", lambda x, i: F.struct(
         i.alias("p"),
         x.alias("q"),
@@ -58,8 +60,8 @@ def items(docs: DataFrame) -> DataFrame:
         f"concat(doc_id, '.', p div {TOPIC_SIZE} + 1) AS topic",
         "p AS seq",
         f"element_at({_sql_list(QTYPES)}, p % 4 + 1) AS qtype",
-        f"element_at({_sql_list(BLOOMS)}, CAST((p div 4) % 6 AS INT) + 1) AS bloom",
-        "CAST((p div 4) % 6 AS INT) + 1 AS bloom_ord",
+        f"element_at({_sql_list(BLOOMS)}, {level} + 1) AS bloom",
+        f"{level} + 1 AS bloom_ord",
         "CASE WHEN p % 4 = 1 AND p % 3 <> 0 THEN concat(q, ' _____') ELSE q END AS question",
         "CASE WHEN p % 4 = 0 THEN slice(w, 1, 4) END AS options",
         "CASE WHEN p % 4 = 0 THEN (CASE WHEN p % 7 = 0 THEN 'zz' ELSE get(w, 0) END)"
@@ -141,6 +143,48 @@ def verdict_responses(items: DataFrame) -> DataFrame:
           ']}], "overall_quality": "', CASE k WHEN 3 THEN 'fine' ELSE 'good' END, '", "has_duplicates": false}') END AS raw""")
 
 
+def verification_replies(items: DataFrame) -> DataFrame:
+    """One verification reply per topic (request_id, raw) whose entries name real items by their index in the section.
+
+    Of items, by ``(seq + chapter) % 4``: 0 has an entry with an issue, 1 an
+    entry without, the others none.  Replies by ``(chapter + 2 * topic) % 8``:
+    none at all (0), cut short (1), an undeclared quality (2), an entry that names
+    no item (3), fenced (4), an undeclared severity (5); the others as they are.
+    """
+    from ..operators.quality import question_index
+    from ..schemas import ISSUE_TYPES, QUALITY_RATINGS, SEVERITIES, VERIFICATION_KEYS
+    indexed = question_index(items).withColumn("about", F.pmod(F.col("seq") + F.col("chapter_id"), F.lit(4)))
+    entry = f"""named_struct('question_index', question_index, 'is_valid', about = 1, 'issues', CASE WHEN about = 0 THEN array(named_struct(
+        'issue_type', element_at({_sql_list(ISSUE_TYPES)}, seq % 5 + 1), 'description', concat('item ', seq),
+        'severity', element_at({_sql_list(SEVERITIES)}, seq % 4 + 1))) ELSE array() END, 'suggestion', CASE WHEN seq % 2 = 1 THEN 'reword' END)"""
+    wrong = """named_struct('question_index', CASE k WHEN 3 THEN 9999 ELSE 0 END, 'is_valid', false, 'issues', array(named_struct(
+        'issue_type', 'unclear', 'description', 'x', 'severity', CASE k WHEN 5 THEN 'dire' ELSE 'low' END)), 'suggestion', CAST(NULL AS STRING))"""
+    lists = [F.array_sort(F.collect_list(F.expr(f"CASE WHEN qtype = '{q}' AND about < 2 THEN {entry} END"))).alias(k) for q, k in VERIFICATION_KEYS.items()]
+    topics = (indexed.groupBy("chapter_id", "topic_pos").agg(*lists)
+              .withColumn("k", F.pmod(F.col("chapter_id") + 2 * F.col("topic_pos"), F.lit(8))))
+    first, *others = VERIFICATION_KEYS.values()
+    body = f"""to_json(named_struct('topic', concat(chapter_id, '.', topic_pos + 1),
+        '{first}', CASE WHEN k IN (3, 5) THEN concat({first}, array({wrong})) ELSE {first} END, {", ".join(f"'{k}', {k}" for k in others)},
+        'overall_quality', CASE k WHEN 2 THEN 'fine' ELSE element_at({_sql_list(QUALITY_RATINGS)}, CAST((chapter_id + topic_pos) % 4 AS INT) + 1) END,
+        'has_duplicates', (chapter_id * 3 + topic_pos) % 5 = 0), map('ignoreNullFields', 'false'))"""
+    return topics.selectExpr("chapter_id", "topic_pos", "k", f"{body} AS body").selectExpr(
+        "concat('verify:', chapter_id, ':', topic_pos) AS request_id", """CASE k WHEN 0 THEN NULL WHEN 1 THEN substring(body, 1, length(body) - 1)
+            WHEN 4 THEN concat('```json', char(10), body, char(10), '```') ELSE body END AS raw""")
+
+
+def ledger_rows(requests: DataFrame, model: str) -> DataFrame:
+    """A ledger as earlier runs of ``model`` would have left it, by ``(chapter + topic) % 5`` of the request: no row (0), a good
+    reply (1), failures only (2), a good reply to another model (3), a failure and then a good reply (4)."""
+    from ..operators.ledger import prompt_digest
+    k = F.pmod(F.col("chapter_id") + F.col("topic_pos"), F.lit(5))
+    digest = F.when(k == 3, prompt_digest(F.col("prompt"), model + "-old")).otherwise(prompt_digest(F.col("prompt"), model))
+    failed = F.struct(F.lit(3).alias("attempt_count"), F.lit(None).cast("string").alias("raw"), F.lit("TimeoutError: ").alias("error"))
+    good = F.struct(F.lit(1).alias("attempt_count"), F.lit("{}").alias("raw"), F.lit(None).cast("string").alias("error"))
+    rows = F.when(k == 0, F.array().cast("array<struct<attempt_count:int,raw:string,error:string>>")).when(k == 2, F.array(failed, failed)) \
+        .when(k == 4, F.array(failed, good)).otherwise(F.array(good))
+    return requests.select("request_id", digest.alias("prompt_digest"), F.explode(rows).alias("r")).select("request_id", "prompt_digest", "r.*")
+
+
 # ---------------------------------------------------------------------------
 # Chapter folders, syllabus entries and headed chapter content.
 # ---------------------------------------------------------------------------

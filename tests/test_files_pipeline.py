@@ -5,6 +5,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 import fakes
@@ -164,3 +165,61 @@ def test_end_to_end_skips_done_chapters(spark):
     out = build_banks(ch, entries, done=done, **BACKENDS)
     names = {json.loads(r["bank_json"])["chapter_name"] for r in out["banks"].collect()}
     assert names == {"chapter 9"}
+
+
+def test_end_to_end_verification_and_resuming(spark):
+    """The model's verdicts come back as one report per chapter; a second run finds every reply in the ledger."""
+    root, where = tempfile.mkdtemp(prefix="qm-verify-"), tempfile.mkdtemp(prefix="qm-ledger-") + "/replies"
+    make_tree(root)
+    ch = chapters_from_files(spark, root)
+    entries = corpus.parse_syllabus_entries(files.read_syllabus_files(spark, root))
+    out = build_banks(ch, entries, **BACKENDS, verify_backend=fakes.verdict_backend, responses_ledger=where)
+    reports = {r["chapter_id"]: r for r in out["reports"].collect()}
+    assert len(reports) == 2 and all(r["n_topics"] == 2 and r["n_failed"] == 0 for r in reports.values())
+    report = json.loads(next(iter(reports.values()))["report_json"])
+    assert report["topic_verifications"][0]["topic"].endswith("What Are Mixtures?")
+    assert out["verdict_entries"].where("seq IS NULL").count() == 0
+    sink = tempfile.mkdtemp(prefix="qm-reports-")
+    writers.write_reports(out["reports"], sink, "20240101")
+    assert writers.read_latest(spark, sink).count() == 2
+
+    def silent():
+        def call(batch, attempt):
+            raise OSError("asked again")
+        return call
+    again = build_banks(ch, entries, generate_backend=silent, vary_backend=silent, verify_backend=silent, responses_ledger=where)
+    assert {r["bank_json"] for r in again["banks"].collect()} == {r["bank_json"] for r in out["banks"].collect()}
+    assert {r["report_json"] for r in again["reports"].collect()} == {r["report_json"] for r in reports.values()}
+
+
+def test_a_run_stopped_between_two_writes_changes_nothing(spark, monkeypatch):
+    """Three snapshots, two bank writes, one mark; readers see the former bank until the mark is there."""
+    root, store = tempfile.mkdtemp(prefix="qm-run-"), tempfile.mkdtemp(prefix="qm-store-")
+    make_tree(root)
+    ch = chapters_from_files(spark, root)
+    entries = corpus.parse_syllabus_entries(files.read_syllabus_files(spark, root))
+    out = build_banks(ch, entries, **BACKENDS, verify_backend=fakes.verdict_backend)
+    at = lambda text: F.to_timestamp(F.lit(text))
+    assert writers.write_run(out, store, at("2024-01-02 03:04:05")) == "20240102_030405"
+    read = lambda part="banks": {r["chapter_id"]: r["bank_json" if part == "banks" else "report_json"] for r in writers.read_finished(spark, store, part).collect()}
+    former = read()
+    assert former == {r["chapter_id"]: r["bank_json"] for r in out["banks"].collect()} and len(read("reports")) == 2
+    snaps = spark.read.parquet(f"{store}/snapshots")
+    assert {(r["stage"], r["run_ts"]): r["count"] for r in snaps.groupBy("stage", "run_ts").count().collect()} == {
+        (s, "20240102_030405"): 2 for s in ("generated", "verified", "varied")}
+
+    changed = {**out, "banks": out["banks"].withColumn("bank_json", F.lit("{}"))}
+    whole = writers.write_snapshots
+
+    def stopped(rows, where, repeated=False):
+        if rows.first()["stage"] == "varied":
+            raise KeyboardInterrupt
+        whole(rows, where, repeated)
+    monkeypatch.setattr(writers, "write_snapshots", stopped)
+    with pytest.raises(KeyboardInterrupt):
+        writers.write_run(changed, store, at("2024-01-03 00:00:00"))
+    assert read() == former
+    monkeypatch.setattr(writers, "write_snapshots", whole)
+    writers.write_run(changed, store, at("2024-01-03 00:00:00"))
+    assert set(read().values()) == {"{}"}
+    assert spark.read.parquet(f"{store}/snapshots").count() == 12
