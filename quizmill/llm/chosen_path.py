@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_frames, slices, staged, table
+from .common import apart, map_frames, slices, staged, table
 from .near_nodes import linked, sig_value
 from .shingles import SIGNATURE, full_sets, shingle_sets, signatures
 
@@ -79,6 +79,7 @@ def classes(docs: DataFrame, width: int, percent: int, **limits) -> DataFrame:
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+@apart("doc_id", "text")
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near copies (the smallest doc_id); same columns.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from ..session import ship_package, staged, work_dir
 from ..sources.tables import table
 
@@ -45,36 +47,24 @@ def map_frames(df: DataFrame, func: Callable[[Iterator[pd.DataFrame]], Iterator[
     return df.mapInPandas(func, schema)
 
 
-def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
-    """(id, component) of the undirected graph ``edges`` (a, b); component is the smallest id reachable.
+def apart(*needed: str):
+    """For a stage (docs, ...) -> docs that reads the columns ``needed``: all others travel in one struct.
 
-    Alternating large-star and small-star steps: every round moves at most
-    four rows per edge and is written to the shared folder.  The loop ends when
-    every id has one edge, to an id that has none: then the edges are stars
-    around the smallest ids.  ``most_rounds`` only guards against a defect.  Ids
-    without an edge are not in the result.
+    So they come back as they were, whatever their names; none can meet a name
+    that the stage uses inside.
     """
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = (e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large
-                else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        out = both.join(lowest, "a")
-        if large:
-            out = out.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = out.select(F.col("b").alias("a"), F.col("m").alias("b")).union(out.select("a", F.col("m").alias("b")))
-        return out.where("a <> b")
-
-    def settled(e: DataFrame) -> bool:
-        ends = e.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(e.select("b", F.lit(0), F.lit(1)))
-        return not ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or out + into > 1").take(1)
-
-    now = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-edges")
-    for _ in range(most_rounds):
-        if settled(now):
-            return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
-        now = staged(star(star(now, True), False).distinct(), f"{name}-stars")
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    def wrapped(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(stage)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+            others = [c for c in docs.columns if c not in needed]
+            if not others:
+                return stage(docs, *args, **options)
+            packed = docs.select(*[c for c in docs.columns if c in needed], F.struct(*map(quoted, others)).alias("others"))
+            out = stage(packed, *args, **options)
+            return out.select(*[F.col("others").getField(c).alias(c) if c in others else F.col(c) for c in docs.columns])
+        return run
+    return wrapped
 
 
 def add_columns(df: DataFrame, columns: list[str], func: Callable[[dict], dict], added: str) -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, staged, table
+from .common import add_columns, apart, staged, table
 
 WINDOW = 10
 #: Words of items in one automaton; more items make more automata, each held by workers alone.
@@ -232,6 +232,7 @@ def without_words(text: str | None, ranges: list) -> str | None:
     return b"".join([*out, raw[at:]]).decode()
 
 
+@apart("doc_id", "text", "n_chars")
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.0) -> DataFrame:
     """``docs`` without test items; same columns.
 

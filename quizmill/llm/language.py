@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, map_frames, table
+from .common import add_columns, apart, map_frames, table
 
 BUCKETS = 1 << 15
 MOST_ROWS = 4000
@@ -160,6 +160,7 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray, penalty: floa
     return add_columns(docs, ["text"], run, "_lang string, _score double, _langs array<string>, _fit double")
 
 
+@apart("doc_id", "text", "lang")
 def keep_identified(docs: DataFrame, least_fit: float = LEAST_FIT) -> DataFrame:
     """The rows of ``docs`` that fit the languages found in them, be it one or several; same columns."""
     langs, model = learn(docs)

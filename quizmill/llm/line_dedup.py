@@ -1,26 +1,24 @@
 """Cross-site boilerplate: lines that many sites show among unrelated contents.
 
 A line (blanks at its ends cut off; empty lines don't count) is boilerplate if
-it stands on at least ``least_sites`` distinct sites (``source``), in documents
-that differ otherwise.  Two rules say what that is.
-
-``widespread`` (the pipeline's): at least ``least_sites`` different contents
-beside lines of many sites.  Exact copies have one content.  Copies that were
-each changed in another line count as different: from eight of them on, on
-eight sites, the lines that they share go.
-
-``boilerplate`` (the query op4, whose SQL fixes it): the distinct pairs of
-neighbouring lines are at least ``least_spread`` of its places.  It misses
-lines between blank lines, the inner lines of blocks, and lines that many
-copies of one document hold, too.
-
-All numbers are estimated by HyperLogLog sketches, one per line hash, which
-merge by aggregation.  Lines whose estimate lies near a threshold get exact
-distinct counts.  Boilerplate goes from every document; other lines stay, in
-order, and so do documents that lose all their lines.
+it stands on at least ``least_sites`` distinct sites (``source``) and beside at
+least as many different contents.  A document's content is the set of its lines
+that stand on fewer sites, so neither blank lines nor whole blocks of boilerplate
+are part of it, wherever they stand.  Both numbers are absolute: copies of a
+document add nothing and take nothing away.  Copies that were each changed in
+another line count as different contents: from eight of them on, on eight sites,
+the lines that they share go.
+
+Numbers are estimated by HyperLogLog sketches, one per line hash, which merge by
+aggregation.  Lines whose estimate lies near the threshold get exact distinct
+counts.  Boilerplate goes from every document; other lines stay, in order, and so
+do documents that lose all their lines.
 
 Nulls: a null text has no line and stays null; a null source is no site.
-Repeated rows count as occurrences each.  An empty table gives no rows.
+Repeated rows are copies.  An empty table gives no rows.  Only line feeds end a
+line: a carriage return before one is part of its line, so a line with one is
+another line than the same without.  Columns of the input with the names used
+inside are left as they are.
 """
 
 from __future__ import annotations
@@ -28,10 +26,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import apart, staged, table
 
 LEAST_SITES = 8
-LEAST_SPREAD = 0.5
 #: 2**12 registers: a relative standard error of 1.6 %.
 SKETCH_BITS = 12
 #: Relative distance from a threshold within which a line is counted exactly: six standard errors.
@@ -42,35 +39,6 @@ def line_hash(line):
     return F.xxhash64(F.trim(line))
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """(line, site, around): the hash of each line that isn't blank, its site, and a hash of its neighbours."""
-    hashed = docs.where(F.col("text").isNotNull()).select(
-        F.col("source").cast("string").alias("site"), F.transform(F.split("text", "\n"), lambda x: F.when(F.trim(x) != "", line_hash(x))).alias("h"))
-    lines = F.transform("h", lambda x, i: F.struct(x.alias("line"), F.xxhash64(F.get("h", i - 1), F.lit(0), F.get("h", i + 1)).alias("around")))
-    return hashed.select("site", F.inline(lines)).where("line is not null")
-
-
-def boilerplate(docs: DataFrame, least_sites: int = LEAST_SITES, least_spread: float = LEAST_SPREAD) -> DataFrame:
-    """(line): the hashes of the lines to remove."""
-    lines = document_lines(docs)
-    # a line on so many sites stands there so many times: a summed count leaves out the rare ones for good
-    frequent = staged(lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= least_sites), "line-counts")
-    seen = staged(lines.join(frequent, "line").select("line", "site", "around", "n"), "frequent-lines")
-    estimate = seen.groupBy("line").agg(
-        F.max("n").alias("n"), F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("sites"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("around", SKETCH_BITS)).alias("arounds"))
-    want = F.ceil(F.col("n") * least_spread)
-    near = lambda c, t: F.abs(c - t) <= F.greatest(F.lit(1.0), t * NEAR)
-    judged = staged(estimate.select(
-        "line", "n", "sites", "arounds", (near(F.col("sites"), F.lit(float(least_sites))) | near(F.col("arounds"), want)).alias("close")), "line-estimates")
-    # exact numbers for lines near a threshold: distinct (line, value) pairs are summed first, so that no line's rows meet in one task
-    close = seen.join(judged.where("close").select("line"), "line", "left_semi")
-    count = lambda c, name: close.where(f"{c} is not null").select("line", c).distinct().groupBy("line").agg(F.count("*").alias(name))
-    exact = count("around", "arounds").join(count("site", "sites"), "line", "left").na.fill(0, ["sites"]).join(judged.select("line", "n"), "line")
-    both = judged.where("not close").select("line", "n", "sites", "arounds").unionByName(exact.select("line", "n", "sites", "arounds"))
-    return both.where((F.col("sites") >= least_sites) & (F.col("arounds") >= want)).select("line")
-
-
 def widespread(docs: DataFrame, least_sites: int = LEAST_SITES) -> DataFrame:
     """(line): the hashes of the lines to remove, decided on distinct sites.
 
@@ -123,6 +91,7 @@ def without_boilerplate(docs: DataFrame, flagged: DataFrame) -> DataFrame:
     return out.drop("_key", "_gone_key", "_gone")
 
 
+@apart("doc_id", "text", "source", "n_chars")
 def remove_boilerplate(docs: DataFrame) -> DataFrame:
     """``docs`` with ``widespread`` lines cut from ``text`` (``n_chars`` follows, where there is one); same columns, same rows."""
     out = without_boilerplate(docs, widespread(docs))
@@ -134,7 +103,7 @@ def remove_boilerplate(docs: DataFrame) -> DataFrame:
 def op4_site_spread_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines that aren't blank, lines removed, and the checksum of the text kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = without_boilerplate(docs, boilerplate(docs))
+    out = without_boilerplate(docs, widespread(docs))
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"),
                       F.sha2(F.coalesce("_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
@@ -142,13 +111,15 @@ def op4_site_spread_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = f"""
 WITH raw AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
 lines AS (
-  SELECT doc_id, source, trim(unnest(parts)) AS line, unnest(parts) AS whole, unnest(generate_series(1, len(parts))) AS pos FROM raw WHERE text IS NOT NULL),
-around AS (
-  SELECT *, coalesce(nullif(lag(line) OVER w, ''), chr(1)) || chr(10) || coalesce(nullif(lead(line) OVER w, ''), chr(1)) AS near
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+  SELECT doc_id, source, text, trim(unnest(parts)) AS line, unnest(parts) AS whole, unnest(generate_series(1, len(parts))) AS pos FROM raw WHERE text IS NOT NULL),
+wide AS (SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= {LEAST_SITES}),
+held AS (SELECT DISTINCT text, line FROM lines WHERE line <> ''),
+beside AS (
+  SELECT text, string_agg(h.line, chr(10) ORDER BY h.line) FILTER (WHERE w.line IS NULL) AS content
+  FROM held h LEFT JOIN wide w ON h.line = w.line GROUP BY text),
 gone AS (
-  SELECT line FROM around WHERE line <> '' GROUP BY line
-  HAVING count(DISTINCT source) >= {LEAST_SITES} AND count(DISTINCT near) >= ceil(count(*) * {LEAST_SPREAD})),
+  SELECT h.line FROM held h JOIN wide w ON h.line = w.line JOIN beside b ON b.text = h.text
+  WHERE b.content IS NOT NULL GROUP BY h.line HAVING count(DISTINCT b.content) >= {LEAST_SITES}),
 marked AS (SELECT l.*, g.line IS NOT NULL AS removed FROM lines l LEFT JOIN gone g ON l.line = g.line AND l.line <> ''),
 kept AS (
   SELECT doc_id, count(*) FILTER (WHERE line <> '') AS n_lines, count(*) FILTER (WHERE removed) AS n_removed,

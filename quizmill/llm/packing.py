@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import table
+from .common import staged, table
 
 SIZES = (1024, 2048, 4096, 8192)
 BLOCK_TOKENS = 2_000_000
@@ -81,7 +81,8 @@ def pack(lengths: np.ndarray, sizes: tuple = SIZES) -> tuple[np.ndarray, np.ndar
 def pack_documents(docs: DataFrame, length=None, sizes: tuple = SIZES, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """One row per piece: doc_id, piece, piece_start, length, sequence_id, sequence_length, sequence_offset."""
     top = max(sizes)
-    lengths = docs.select("doc_id", F.xxhash64("text").alias("h"), (word_tokens() if length is None else length).alias("n"))
+    # written once: the sum of all lengths is needed before any piece can be dealt, and splitting texts is the dear part
+    lengths = staged(docs.select("doc_id", F.xxhash64("text").alias("h"), (word_tokens() if length is None else length).alias("n")), "lengths")
     blocks = max(1, -(-(lengths.select(F.sum("n")).first()[0] or 0) // block_tokens))
     pieces = lengths.select("doc_id", "h", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / top).cast("long"))).alias("piece"))
     pieces = pieces.select("doc_id", "h", "piece", F.least(F.lit(top).cast("long"), F.col("n") - F.col("piece") * top).alias("length"),

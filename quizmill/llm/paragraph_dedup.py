@@ -10,8 +10,11 @@ place in the text); the others are removed with their line ends.
 
 ``without_repeats(.., inside=True)``, as the query op9 has it, goes on to what
 lines of enough words don't show: exact copies (but for the case of A-Z and for
-white space) of shorter lines, and of pieces of ten words or more that begin and
-end at places chosen by content, across lines or inside them (``units``).  The
+white space) of pieces of ten words or more that begin and end at places chosen by
+content, across lines or inside them, and of shorter lines (``units``).  Units
+with a copy that overlap or follow each other make a stretch.  A shorter line goes
+only as part of a stretch of ``PASSAGE`` words or more that holds a piece: alone, or
+among other short lines that stand elsewhere too, it is no passage and stays.  The
 first place that the step above left stays; the others go, so every word that
 goes is still there in a copy.  Any run of ``REACH`` words that two texts share
 holds a whole piece.  A character of a script written without blanks is a word.
@@ -25,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import add_columns, map_frames, slices, staged, table
@@ -43,6 +46,10 @@ WINDOW = 16
 GRAM = 3
 #: Words of a shared run that surely hold a piece: a window, up to its second end a piece and a window, and the last run.
 REACH = 2 * WINDOW + LEAST_WORDS + GRAM
+#: Words of a stretch of repeated units from which on its short lines go, too.
+PASSAGE = 50
+#: Bits of a digest by which units without a copy are told apart before they are sent: a bitmap of 4 MB.
+BITS = 25
 #: First bytes of characters in U+3000 to U+9FFF, and first two bytes of Thai, Lao, Burmese and Khmer.
 _ALONE = np.zeros(256, bool)
 _ALONE[0xE3:0xEA] = True
@@ -134,10 +141,11 @@ def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def units(texts: list[bytes], least_words: int) -> tuple[np.ndarray, ...]:
-    """(text, first byte, byte behind, first line, last line, d1, d2) of the short lines and the pieces of texts.
+    """(text, first byte, byte behind, first line, last line, d1, d2, first word, word behind, is piece) of the short lines and pieces of texts.
 
     A short line has fewer than ``least_words`` words in the sense of
-    ``paragraphs``; its unit takes the line end along.
+    ``paragraphs``; its unit takes the line end along.  Words count from the
+    beginning of the text.
     """
     blob = b"\n".join(texts)
     sizes = np.array([len(t) + 1 for t in texts])
@@ -159,10 +167,10 @@ def units(texts: list[bytes], least_words: int) -> tuple[np.ndarray, ...]:
     short = blanks[b] - blanks[a] < least_words
     a, b = a[short], b[short]
     ends = line_ends[line[a]] + 1
-    lines = [own[a], np.append(-1, line_ends)[line[a]] + 1, ends, line[a], line[a], *digest(a, b, 0)]
+    lines = [own[a], np.append(-1, line_ends)[line[a]] + 1, ends, line[a], line[a], *digest(a, b, 0), a, b, np.zeros(len(a), bool)]
 
     # pieces: from each chosen place to the first one at least so many words on
-    pieces = [np.empty(0, np.int64)] * 7
+    pieces = [np.empty(0, np.int64)] * 9 + [np.empty(0, bool)]
     if n >= WINDOW + GRAM:
         grams = _mix(sum(h[j: n - GRAM + 1 + j] * np.uint64(2 * j + 3) for j in range(GRAM)))
         views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
@@ -172,34 +180,64 @@ def units(texts: list[bytes], least_words: int) -> tuple[np.ndarray, ...]:
         a, b = place[to < len(place)], place[to[to < len(place)]]
         inside = own[a] == own[b]
         a, b = a[inside], b[inside]
-        pieces = [own[a], first[a], behind[b - 1], line[a], line[b - 1], *digest(a, b, 1)]
+        pieces = [own[a], first[a], behind[b - 1], line[a], line[b - 1], *digest(a, b, 1), a, b, np.ones(len(a), bool)]
     out = [np.concatenate(x) for x in zip(lines, pieces)]
     for k in (1, 2):
         out[k] = out[k] - text_at[out[0]]
     out[2] = np.minimum(out[2], sizes[out[0]] - 1)
     before = np.searchsorted(line_ends, text_at)
-    for k in (3, 4):
-        out[k] = out[k] - before[out[0]]
+    first_word = np.searchsorted(own, np.arange(len(texts)))
+    for k, zero in ((3, before), (4, before), (7, first_word), (8, first_word)):
+        out[k] = out[k] - zero[out[0]]
     return tuple(out)
 
 
-def unit_rows(rows: DataFrame, least_words: int, only_digest: bool) -> DataFrame:
-    """d1, d2 of all ``units``, and with it doc_id, th, start, stop (bytes), l0 and l1 (lines)."""
+def digest_bits(digests: DataFrame) -> bytes:
+    """A bit for each value of the last ``BITS`` bits of d1 that a row of ``digests`` has.  Its size is fixed, whatever their number."""
+    low = digests.select(F.expr(f"d1 & {(1 << BITS) - 1}").alias("b"))
+    found = low.groupBy(F.expr("shiftright(b, 6)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 AS int))")).alias("bits")).toArrow()
+    words = np.zeros(1 << (BITS - 6), np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words.tobytes()
+
+
+def unit_rows(rows: DataFrame, least_words: int, bits: bytes | None = None) -> DataFrame:
+    """d1 of all ``units``; with ``bits`` only of those whose bit is set, and d1, d2 with doc_id, th, start, stop (bytes), l0, l1 (lines), w0, w1 (words) and piece."""
     kind = rows.schema["doc_id"].dataType.simpleString()
+    sent = None if bits is None else rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(frames):
         for frame in frames:
             raw = [t.encode() for t in frame["text"]]
             for part in slices([len(t) for t in raw], 1 << 20):
-                text, start, stop, l0, l1, d1, d2 = units(raw[part], least_words)
-                out = pd.DataFrame({"d1": d1, "d2": d2})
-                if not only_digest:
+                found = units(raw[part], least_words)
+                if sent is None:
+                    yield pd.DataFrame({"d1": found[5]})
+                else:
+                    b = found[5] & ((1 << BITS) - 1)
+                    kept = (np.frombuffer(sent.value, np.int64)[b >> 6] >> (b & 63)) & 1 == 1
+                    text, start, stop, l0, l1, d1, d2, w0, w1, piece = (x[kept] for x in found)
+                    out = pd.DataFrame({"d1": d1, "d2": d2})
                     out["doc_id"] = frame["doc_id"][part].astype("Int64").take(text).array
                     out["th"] = frame["th"][part].to_numpy()[text]
                     out["start"], out["stop"], out["l0"], out["l1"] = start, stop, l0, l1
-                yield out
+                    out["w0"], out["w1"], out["piece"] = w0, w1, piece
+                    yield out
+
+    return map_frames(rows, run, "d1 long" if sent is None else
+                      f"d1 long, d2 long, doc_id {kind}, th long, start int, stop int, l0 int, l1 int, w0 int, w1 int, piece boolean")
+
 
-    return map_frames(rows, run, "d1 long, d2 long" + f", doc_id {kind}, th long, start int, stop int, l0 int, l1 int" * (not only_digest))
+def in_passages(places: DataFrame) -> DataFrame:
+    """Of repeated units: all pieces, and the short lines in stretches of ``PASSAGE`` words or more that hold a piece."""
+    text = Window.partitionBy("doc_id", "th")
+    ordered = text.orderBy("w0", "w1")
+    behind = F.max("w1").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    stretched = places.withColumn("new", (F.col("w0") > F.coalesce(behind, F.lit(-1))).cast("int"))
+    stretched = stretched.withColumn("stretch", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = Window.partitionBy("doc_id", "th", "stretch")
+    sized = stretched.withColumn("words", F.max("w1").over(whole) - F.min("w0").over(whole)).withColumn("held", F.max("piece").over(whole))
+    return sized.where(F.col("piece") | (F.col("held") & (F.col("words") >= PASSAGE)))
 
 
 def inner_repeats(rows: DataFrame, found: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -207,15 +245,17 @@ def inner_repeats(rows: DataFrame, found: DataFrame, least_words: int = LEAST_WO
 
     ``found``: _id, _th, _gone (numbers of the lines that go already); units that touch those don't count.
     """
-    often = staged(unit_rows(rows, least_words, True).groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2"), "repeated-digests")
-    # rows with the same id and text are one document
-    places = unit_rows(rows.dropDuplicates(["doc_id", "th"]), least_words, False).join(often, ["d1", "d2"], "left_semi")
+    often = staged(unit_rows(rows, least_words).groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1"), "repeated-digests")
+    # units without a copy stay in their tasks, but for some by chance; rows with the same id and text are one document
+    places = unit_rows(rows, least_words, digest_bits(often))
+    places = places.dropDuplicates(["doc_id", "th", "start", "stop", "d1", "d2"]).join(often, "d1", "left_semi")
     gone = found.where(F.size("_gone") > 0).select("_id", "_th", "_gone")
     left = places.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").where(
-        F.col("_gone").isNull() | ~F.exists("_gone", lambda x: (x >= F.col("l0")) & (x <= F.col("l1")))).select("d1", "d2", "doc_id", "th", "start", "stop")
-    left = staged(left, "unit-places")
+        F.col("_gone").isNull() | ~F.exists("_gone", lambda x: (x >= F.col("l0")) & (x <= F.col("l1"))))
+    left = staged(in_passages(left).select("d1", "d2", "doc_id", "th", "start", "stop"), "unit-places")
     place = F.struct("doc_id", "th", "start")
     groups = left.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last")
+    groups = staged(groups, "unit-groups")  # so that the places of a unit with very many copies can be dealt out in the join
     cut = F.when(place > F.col("first"), F.struct("start", "stop"))
     return left.join(groups, ["d1", "d2"]).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
         F.collect_list(cut).alias("_cuts"), F.count("*").alias("_units"))

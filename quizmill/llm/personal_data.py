@@ -5,9 +5,11 @@ patterns (leftmost, non-overlapping, each kind by itself).  The model segments
 the neighbourhood of digits and address signs: a segment is a run of tokens, at
 most ``MOST_TOKENS`` long, scored as a whole (features of the span, not of its
 tokens) for each kind; a dynamic program over the segment ends chooses
-boundaries and kinds jointly.  Its weights are trained by maximum likelihood on
-a bounded sample of documents, whose labels are the base spans, as they stand
-and in rewritten forms that the patterns miss (no plus sign, "(at)", other
+boundaries and kinds jointly; of equally good segmentations none goes before a
+segment, a longer segment before a shorter, and the kind listed first.  Its weights are trained by maximum
+likelihood on a bounded sample of zones (``training_zones``), some for each kind
+of personal data and some without any, whose labels are the base spans, as they
+stand and in rewritten forms that the patterns miss (no plus sign, "(at)", other
 separators).  Model spans that touch no base span are added; base spans stay.
 
 Nulls: a null text is an empty one; doc_id may be null or repeated, rows are
@@ -19,12 +21,15 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, table
+from .common import add_columns, map_frames, staged, table
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_TOKENS = 18
@@ -225,19 +230,68 @@ def rewritten(text: str, spans: list, r: random.Random) -> tuple[str, list]:
     return "".join(out) + text[at:], moved
 
 
-def train(docs: DataFrame, most_rows: int = 300, rounds: int = 8, seed: int = 10) -> np.ndarray:
-    """Weights (kind x feature) from at most ``most_rows`` documents with digits or address signs, taken by a hash of the text."""
-    some = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") < 20_000)).select("text", F.xxhash64("text").alias("h"))
-    # hashes first: no task sends texts that aren't taken
-    hashes = [r.h for r in some.select("h").distinct().orderBy("h").limit(most_rows).collect()]
-    taken = some.where(F.col("h") <= F.lit(hashes[-1] if hashes else 0)).groupBy("h").agg(F.min("text").alias("text"))
-    rows = [(r.text,) for r in sorted(taken.collect())]
+#: A text that may hold a kind of personal data, for the choice of training texts.
+_MAY_HOLD = {"email": "@", "ip": r"[0-9]+(\.[0-9]+){3}", "card": r"[0-9]([ -]?[0-9]){12}", "phone": r"\+[0-9][ ().0-9-]{7}"}
+#: Training: texts of each kind and of none, zones of a text, and tokens of a zone, at most.
+TEXTS_OF_KIND = 75
+ZONES_OF_TEXT = 20
+ZONE_TOKENS = 200
+
+
+def zone_texts(text: str, kind: str | None) -> list[str]:
+    """The first zones that hold base spans of ``kind`` (``None``: any zones), each as a text of its own, cut at white space."""
+    spans = sorted((a, b) for k, a, b in base_spans(text) if k == kind)
+    ends, out = [b for _, b in spans], []
+    for z in zones(text):
+        for k in range(0, len(z), ZONE_TOKENS):
+            a, b = z[k][0], z[min(len(z), k + ZONE_TOKENS) - 1][1]
+            at = bisect_left(ends, a)
+            if kind is None or (at < len(spans) and spans[at][0] < b):
+                while a > 0 and not text[a - 1].isspace() and z[k][0] - a < 80:
+                    a -= 1
+                while b < len(text) and not text[b].isspace() and b - z[k][0] < 4000:
+                    b += 1
+                out.append(text[max(0, a - 20):b])
+                if len(out) == ZONES_OF_TEXT:
+                    return out
+    return out
+
+
+def training_zones(docs: DataFrame, texts_of_kind: int = TEXTS_OF_KIND) -> list[str]:
+    """A bounded sample for ``train``: of each kind the zones of ``texts_of_kind`` texts that may hold it, and of as many that hold none.
+
+    Texts are taken by the smallest hash, whatever their length; only hashes are
+    compared, and only zones leave the tasks.  At most ``ZONES_OF_TEXT`` zones of a
+    text and ``ZONE_TOKENS`` tokens of a zone are taken, so the sample has at most
+    5 * texts_of_kind * ZONES_OF_TEXT zones, however many and long the texts are.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    may = {k: text.rlike(p) for k, p in _MAY_HOLD.items()}
+    none = text.rlike("[0-9]")
+    for c in may.values():
+        none = none & ~c
+    hashed = staged(docs.select(F.xxhash64("text").alias("h"), *[c.alias(k) for k, c in {**may, "none": none}.items()])
+                    .where(" OR ".join([*KINDS, "none"])).distinct(), "personal-hashes")
+    wanted = {k: {r.h for r in hashed.where(k).select("h").orderBy("h").limit(texts_of_kind).collect()} for k in [*KINDS, "none"]}
+    every = sorted(set().union(*wanted.values()))
+    taken = docs.select("text", F.xxhash64("text").alias("h")).where(F.col("h").isin(every)) if every else docs.select("text", F.lit(0).cast("long").alias("h")).limit(0)
+
+    def run(frames):
+        for frame in frames:
+            found = {z for t, h in zip(frame["text"], frame["h"]) for k in wanted if h in wanted[k] for z in zone_texts(t, None if k == "none" else k)}
+            yield pd.DataFrame({"zone": sorted(found)}, dtype=object)
+
+    return sorted(r.zone for r in map_frames(taken, run, "zone string").distinct().collect())
+
+
+def train(docs: DataFrame, texts_of_kind: int = TEXTS_OF_KIND, rounds: int = 8, seed: int = 10) -> np.ndarray:
+    """Weights (kind x feature), fitted on ``training_zones``: as they stand, and in forms that the patterns miss."""
     r = random.Random(seed)
     examples = []
-    for (text,) in rows:
+    for text in training_zones(docs, texts_of_kind):
         gold = base_spans(text)
         for t, spans in ((text, gold), rewritten(text, gold, r)) if gold else ((text, gold),):
-            examples += [(t, z, {s for s in spans if z[0][0] <= s[1] and s[2] <= z[-1][1]}) for z in zones(t) if len(z) <= 200]
+            examples += [(t, z, {s for s in spans if z[0][0] <= s[1] and s[2] <= z[-1][1]}) for z in zones(t)]
     weights, power = np.zeros((len(KINDS), len(FEATURES))), np.full((len(KINDS), len(FEATURES)), 1e-6)
     weights[:, 0] = -2
     for _ in range(rounds):
@@ -255,10 +309,12 @@ def spans_of(text: str, weights: np.ndarray) -> tuple[list, list]:
     """(base spans, all spans) of one text, each by kind and start."""
     base = base_spans(text)
     taken = sorted((a, b) for _, a, b in base)
+    starts, behind = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     added = []
     for z in zones(text):
         for kind, a, b in decode(text, z, weights):
-            if not any(a < y and x < b for x, y in taken):
+            before = bisect_left(starts, b)  # base spans that begin before b: one reaches over a, if any does
+            if not before or behind[before - 1] <= a:
                 added.append((kind, a, b))
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted(base + added, key=lambda s: (order[s[0]], s[1], s[2]))

@@ -28,6 +28,7 @@ from importlib.metadata import version
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import existing
 from .common import add_columns, staged, table, work_dir
 from .encoding import encoder, read_tokenizer
 
@@ -44,9 +45,8 @@ def tokenizer_digest(path: str) -> str:
 
 
 def cached_counts(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
-    """(digest, n_tokens) of a tokenizer, each digest once; the folder is made if it isn't there."""
-    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").partitionBy("tokenizer").parquet(cache)
-    return (spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer") == tokenizer)
+    """(digest, n_tokens) of a tokenizer, each digest once; a cache that isn't there holds nothing."""
+    return (existing(spark, cache, CACHE_SCHEMA).where(F.col("tokenizer") == tokenizer)
             .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
 
 

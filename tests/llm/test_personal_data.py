@@ -2,7 +2,11 @@ import hashlib
 import random
 import re
 
-from quizmill.llm.personal_data import KINDS, base_spans, luhn, op10_semi_markov_personal_data, rewritten, spans_of, train
+import numpy as np
+
+from quizmill.llm.personal_data import (
+    FEATURES, KINDS, _gradient, base_spans, candidates, decode, features, luhn, op10_semi_markov_personal_data, rewritten, spans_of, train,
+    training_zones, zones)
 
 
 def plain(t):
@@ -49,3 +53,68 @@ def test_query_and_model(spark, tmp_path):
         wanted += len(want)
     assert wanted > 60 and found > 0.9 * wanted
     assert spans_of("in 1999 room 12, 3 of 4; version 2.10.1", weights)[1] == []
+
+
+def segmentations(segments, n):
+    """Every choice of segments with a kind that don't overlap."""
+    def more(at):
+        yield []
+        for k, (i, j) in enumerate(segments):
+            if i >= at:
+                for y in range(len(KINDS)):
+                    for rest in more(j):
+                        yield [(k, y), *rest]
+    return list(more(0))
+
+
+def test_dynamic_program_against_enumeration():
+    """The best segmentation, and the gradient of the log likelihood, as all segmentations of small zones give them."""
+    r, seen = random.Random(11), 0
+    weights = np.random.default_rng(2).normal(0, 1.5, (len(KINDS), len(FEATURES)))
+    while seen < 60:
+        text = "".join(r.choice(["+1 ", "5551234", " ", "a@b.co ", "x", "44-55", " tel ", "(at)", "1234567890", "."]) for _ in range(5))
+        for z in zones(text):
+            segments = candidates(text, z)
+            if not 0 < len(segments) <= 9:
+                continue
+            seen += 1
+            feats = np.array([features(text, z[i][0], z[j - 1][1]) for i, j in segments], float)
+            scores = feats @ weights.T
+            every = segmentations(segments, len(z))
+            values = np.array([sum(scores[k, y] for k, y in way) for way in every])
+            place = {(z[i][0], z[j - 1][1]): k for k, (i, j) in enumerate(segments)}
+            got = [(place[a, b], KINDS.index(kind)) for kind, a, b in decode(text, z, weights)]
+            assert abs(sum(scores[k, y] for k, y in got) - values.max()) < 1e-9
+            chance = np.exp(values - values.max())
+            chance /= chance.sum()
+            share = np.zeros_like(scores)
+            for way, p in zip(every, chance):
+                for k, y in way:
+                    share[k, y] += p
+            gold = {(KINDS[y], z[segments[k][0]][0], z[segments[k][1] - 1][1]) for k, y in every[r.randrange(len(every))]}
+            true = np.array([[(kind, z[i][0], z[j - 1][1]) in gold for kind in KINDS] for i, j in segments], float)
+            assert np.allclose(_gradient(text, z, gold, weights), (true - share).T @ feats, atol=1e-8)
+
+
+def test_training_sample_holds_every_kind_and_is_bounded(spark):
+    """Rare kinds and long texts are in the sample; its size doesn't grow with the texts."""
+    filler = [(f"room {k} was built in {1900 + k % 100} by hand",) for k in range(400)]
+    long_text = "word " * 30_000 + "mail a.b@c-d.example.org now " + "word " * 3000
+    rare = [(long_text,), ("host 10.1.2.3 is up",), ("card 4387513035237269 paid",), ("call +1 (988) 555-1234 today",), (None,), ("",)]
+    docs = spark.createDataFrame(filler + rare, "text string")
+    found = training_zones(docs, 10)
+    kinds = {k for z in found for k, _, _ in base_spans(z)}
+    assert kinds == set(KINDS) and max(map(len, found)) < 5000
+    assert sum(not base_spans(z) for z in found) <= 10
+    many = spark.createDataFrame([(" ".join(f"u{k}@h{n}.org" + " x" * 60 for n in range(100)),) for k in range(30)], "text string")
+    assert len(training_zones(many, 10)) <= 10 * 20
+    assert training_zones(docs.where("text is null"), 10) == []
+
+
+def test_added_spans_touch_no_base_span():
+    text = "call +1 (988) 555-1234 or (988) 555-9876, mail x@y.org or x (at) y.org"
+    weights = np.random.default_rng(0).normal(0, 2, (len(KINDS), len(FEATURES)))
+    for _ in range(40):
+        base, every = spans_of(text, weights + np.random.default_rng(_).normal(0, 2, weights.shape))
+        for s in set(every) - set(base):
+            assert not any(s[1] < b and a < s[2] for _, a, b in base)
