@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: inside lambdas Spark shares nothing between places that name the same expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def trim_ascii(col) -> Column:
     """Strip ASCII whitespace at both ends (the sentence-level trim)."""
     return F.regexp_replace(_c(col), r"^\s+|\s+$", "")

@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import N_VARIATIONS
-from .text import py_strip
+from .text import let, py_strip
 
 TEXT_KEYS = ["question", "variation_text", "variation", "text", "prompt"]
 
@@ -27,29 +27,44 @@ def _type(v: Column) -> Column:
 def py_str(v: Column) -> Column:
     """``str(value)`` of a JSON value: strings as is, None/True/False spelled
     the Python way, containers as compact JSON."""
-    t = _type(v)
-    return (F.when(v.isNull() | (t == "VOID"), F.lit("None"))
-            .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
-            .when(t.startswith("OBJECT") | t.startswith("ARRAY"), F.to_json(v))
-            .otherwise(F.try_variant_get(v, "$", "string")))
+    return let(_type(v), lambda t: F.when(v.isNull() | (t == "VOID"), F.lit("None"))
+                .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
+                .when(t.startswith("OBJECT") | t.startswith("ARRAY"), F.to_json(v))
+                .otherwise(F.try_variant_get(v, "$", "string")))
 
 
-def _field(x: Column, key: str) -> Column:
-    return F.try_variant_get(x, f"$.{key}", "variant")
+def _full(s: Column) -> Column:
+    """A text, or null instead of an empty one."""
+    return let(s, lambda x: F.when(x != "", x))
 
 
 def _str_field(x: Column, key: str) -> Column:
     """Stripped value of ``key`` when it is a non-blank string, else null."""
-    fv = _field(x, key)
-    s = py_strip(F.try_variant_get(fv, "$", "string"))
-    return F.when((_type(fv) == "STRING") & (s != ""), s)
+    return let(F.try_variant_get(x, f"$.{key}", "variant"),
+                lambda fv: F.when(_type(fv) == "STRING", _full(py_strip(F.try_variant_get(fv, "$", "string")))))
 
 
 def _joined_list(x: Column, key: str) -> Column:
     """'; '-joined non-blank entries of a list field, null when absent/empty."""
     arr = F.try_variant_get(x, f"$.{key}", "array<variant>")
-    s = F.array_join(F.filter(F.transform(arr, lambda o: py_strip(py_str(o))), lambda s: s != ""), "; ")
-    return F.when(s != "", s)
+    return _full(F.array_join(F.filter(F.transform(arr, lambda o: py_strip(py_str(o))), lambda s: s != ""), "; "))
+
+
+def _from_object(x: Column, is_mcq: Column) -> Column:
+    text = F.coalesce(*[_str_field(x, k) for k in TEXT_KEYS])
+    head = F.array_join(F.array(
+        text,
+        F.when(is_mcq, F.concat(F.lit("Options: "), _joined_list(x, "options"))),
+        F.when(is_mcq, F.concat(F.lit("Answer: "), _str_field(x, "answer"))),
+        F.concat(F.lit("Key points: "), _joined_list(x, "reference_points"))), " | ")
+    base = let(head, lambda h: let(_str_field(x, "reference_answer"), lambda ref: F.when(ref.isNull(), h).when(h == "", ref)
+                                     .otherwise(F.concat(h, F.lit(" | Reference answer: "), ref))))
+    return let(base, lambda b: F.when(b != "", b).otherwise(F.to_json(x)))
+
+
+def _bundle(obj: Column) -> Column:
+    keys = F.array_sort(F.filter(F.map_keys(obj), lambda k: k.startswith("variation_")))
+    return _full(F.array_join(F.filter(F.transform(keys, lambda k: py_strip(py_str(F.try_element_at(obj, k)))), lambda s: s != ""), " | "))
 
 
 def normalize_item(x: Column, is_mcq: Column) -> Column:
@@ -61,28 +76,9 @@ def normalize_item(x: Column, is_mcq: Column) -> Column:
     `` | ``; a reference answer is appended as ``Reference answer: ...``, or
     stands alone when nothing came before it.
     """
-    obj = F.try_variant_get(x, "$", "map<string,variant>")
-    keys = F.array_sort(F.filter(F.map_keys(obj), lambda k: k.startswith("variation_")))
-    bundle_vals = F.filter(F.transform(keys, lambda k: py_strip(py_str(F.try_element_at(obj, k)))),
-                           lambda s: s != "")
-    bundle = F.when(F.size(bundle_vals) > 0, F.array_join(bundle_vals, " | "))
-
-    text = F.coalesce(*[_str_field(x, k) for k in TEXT_KEYS])
-    opts, answer = _joined_list(x, "options"), _str_field(x, "answer")
-    points, ref = _joined_list(x, "reference_points"), _str_field(x, "reference_answer")
-    head = F.array_join(F.array(
-        text,
-        F.when(is_mcq, F.concat(F.lit("Options: "), opts)),
-        F.when(is_mcq, F.concat(F.lit("Answer: "), answer)),
-        F.concat(F.lit("Key points: "), points)), " | ")
-    base = (F.when(ref.isNull(), head).when(head == "", ref)
-            .otherwise(F.concat(head, F.lit(" | Reference answer: "), ref)))
-    from_object = F.when(base != "", base).otherwise(F.to_json(x))
-
+    of_object = lambda obj: F.when(obj.isNotNull(), F.coalesce(_bundle(obj), _from_object(x, is_mcq))).otherwise(py_strip(py_str(x)))
     return (F.when(_type(x) == "STRING", py_strip(F.try_variant_get(x, "$", "string")))
-            .when(obj.isNotNull() & bundle.isNotNull(), bundle)
-            .when(obj.isNotNull(), from_object)
-            .otherwise(py_strip(py_str(x))))
+            .otherwise(let(F.try_variant_get(x, "$", "map<string,variant>"), of_object)))
 
 
 def unwrap(v: Column) -> Column:

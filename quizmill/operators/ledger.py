@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import existing, staged
 from .infer import Backend, run_requests
 
 KEYS = ["request_id", "prompt_digest"]
@@ -38,8 +38,7 @@ def prompt_digest(prompt: Column, model: str = "") -> Column:
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     """One row per (request, digest): its good reply, else its last failure.  A missing ledger is an empty one."""
-    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(ledger)
-    return best_replies(spark.read.schema(LEDGER_SCHEMA).parquet(ledger))
+    return best_replies(existing(spark, ledger, LEDGER_SCHEMA))
 
 
 def best_replies(rows: DataFrame) -> DataFrame:

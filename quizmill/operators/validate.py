@@ -63,7 +63,9 @@ def verdict_enum_violations(verdicts: DataFrame, raw: str = "raw") -> DataFrame:
     issue type (5), severity (4), overall quality (4)."""
     from ..functions.text import clean_response
     from ..schemas import ISSUE_TYPES, QUALITY_RATINGS, SEVERITIES, TOPIC_VERIFICATION, VERIFICATION_KEYS
-    v = F.from_json(clean_response(F.col(raw)), TOPIC_VERIFICATION)
+    text = clean_response(F.col(raw))
+    verdicts = verdicts.select("request_id", F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, TOPIC_VERIFICATION)).alias("v"))
+    v = F.col("v")
     entries = F.concat(*[F.coalesce(v[k], F.array().cast(TOPIC_VERIFICATION[k].dataType))
                          for k in VERIFICATION_KEYS.values()])
     issues = F.flatten(F.transform(entries, lambda e: F.coalesce(e["issues"], F.array().cast(

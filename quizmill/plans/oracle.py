@@ -623,13 +623,6 @@ sec AS (
 ORACLE["strict_types"] = with_ctes(ITEMS, SECTIONS_FLAT) + """
 SELECT chapter_id, topic_pos, qtype, CAST(CASE WHEN reason = 'wrong_type' THEN 1 ELSE 0 END AS BIGINT) AS type_errors FROM sec"""
 
-ORACLE["verdict_enums"] = with_ctes(ITEMS) + """
-, t AS (SELECT chapter_id, topic_pos, (chapter_id + topic_pos) % 6 AS k FROM items GROUP BY ALL)
-SELECT 'verify:' || chapter_id || ':' || topic_pos AS request_id,
-       CAST(CASE WHEN k IN (1, 5) THEN 1 ELSE 0 END AS BIGINT) AS bad_issue_types,
-       CAST(CASE WHEN k IN (2, 5) THEN 1 ELSE 0 END AS BIGINT) AS bad_severities, k IN (3, 4) AS bad_quality
-FROM t"""
-
 ORACLE["parse_sections"] = with_ctes(ITEMS, SECTIONS_FLAT) + """
 SELECT chapter_id, topic_pos, qtype, n_groups, reason FROM sec"""
 
@@ -882,10 +875,10 @@ _STRAY = ("{'question_index': 9999, 'is_valid': false, 'issues': [{'issue_type':
           "'suggestion': CAST(NULL AS VARCHAR)}")
 VERDICTS = QINDEX + f""",
 about AS (SELECT *, (seq + chapter_id) % 4 AS about, (chapter_id + 2 * topic_pos) % 8 AS k FROM qi),
-given AS (SELECT *, k IN (0, 1, 2, 5) AS failed, {_ENTRY} AS entry FROM about),
+given AS (SELECT *, k IN (0, 1, 2, 5, 7) AS failed, {_ENTRY} AS entry FROM about),
 tv AS (
   SELECT chapter_id, topic_pos, any_value(k) AS k, any_value(failed) AS failed,
-         CASE any_value(k) WHEN 0 THEN 'no_reply' WHEN 1 THEN 'no_json' WHEN 2 THEN 'bad_topic' WHEN 5 THEN 'bad_entry' END AS failure,
+         CASE any_value(k) WHEN 0 THEN 'no_reply' WHEN 1 THEN 'no_json' WHEN 2 THEN 'bad_topic' WHEN 5 THEN 'bad_entry' WHEN 7 THEN 'bad_entry' END AS failure,
          {", ".join(f"coalesce(list(entry ORDER BY question_index) FILTER (WHERE NOT failed AND about < 2 AND qtype = '{q}'), []) AS {v}0" for q, v in _KEYS.items())}
   FROM given GROUP BY chapter_id, topic_pos),
 verdicts AS (
@@ -900,6 +893,11 @@ totals AS (
          {" + ".join(f"coalesce(list_sum(list_transform({v}, lambda e: len(e.issues))), 0)" for v in _KEYS.values())} AS n_issues
   FROM verdicts)"""
 
+ORACLE["verdict_enums"] = with_ctes(ITEMS, VERDICTS) + """
+SELECT 'verify:' || chapter_id || ':' || topic_pos AS request_id, CAST(k = 7 AS BIGINT) AS bad_issue_types,
+       CAST(k = 5 AS BIGINT) AS bad_severities, k IN (0, 1, 2) AS bad_quality
+FROM tv"""
+
 ORACLE["verification_topics"] = with_ctes(ITEMS, VERDICTS) + """
 SELECT chapter_id, topic_pos, failure, CAST(n_entries AS BIGINT) AS n_entries, CAST(n_issues AS BIGINT) AS n_issues, overall_quality, has_duplicates
 FROM totals"""

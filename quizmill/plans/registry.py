@@ -338,7 +338,7 @@ def q_strict_types(spark, sf):
 @register("verdict_enums")
 def q_verdict_enums(spark, sf):
     from ..operators import validate
-    v = validate.verdict_enum_violations(views.verdict_responses(_items(spark, sf)))
+    v = validate.verdict_enum_violations(views.verification_replies(_items(spark, sf)))
     return v.select("request_id", F.col("bad_issue_types").cast("bigint").alias("bad_issue_types"),
                     F.col("bad_severities").cast("bigint").alias("bad_severities"), "bad_quality")
 

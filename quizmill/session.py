@@ -12,6 +12,7 @@ import tempfile
 import uuid
 import zipfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -74,6 +75,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def existing(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> DataFrame:
+    """What is stored at ``path``; no rows where nothing has been written yet."""
+    try:
+        return spark.read.format(kind).schema(schema).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import snapshot_name
 from ..schemas import STAGES
+from ..session import existing
 
 
 def _write_run(rows: DataFrame, out: str, run_id: str) -> None:
@@ -105,8 +106,7 @@ def write_run(parts: dict[str, DataFrame], root: str, run_ts: Column) -> str:
 
 def finished_runs(spark: SparkSession, root: str) -> DataFrame:
     """(run_id): the runs marked as finished."""
-    spark.createDataFrame([], RUN_SCHEMA).write.mode("append").json(f"{root}/runs")
-    return spark.read.schema(RUN_SCHEMA).json(f"{root}/runs").select("run_id").distinct()
+    return existing(spark, f"{root}/runs", RUN_SCHEMA, "json").select("run_id").distinct()
 
 
 def read_finished(spark: SparkSession, root: str, part: str = "banks") -> DataFrame:

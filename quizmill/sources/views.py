@@ -129,27 +129,14 @@ def typed_responses(sections: DataFrame) -> DataFrame:
           ELSE raw END AS raw""")
 
 
-def verdict_responses(items: DataFrame) -> DataFrame:
-    """One verification response per topic, by ``(chapter + topic) % 6``: an
-    undeclared issue type (1), severity (2) or quality (3), no JSON (4), two
-    bad issues in two lists (5), all as declared (0)."""
-    topics = items.groupBy("chapter_id", "topic_pos").agg(F.count("*").alias("n"))
-    return topics.withColumn("k", F.pmod(F.col("chapter_id") + F.col("topic_pos"), F.lit(6))).selectExpr(
-        "concat('verify:', chapter_id, ':', topic_pos) AS request_id", """CASE k WHEN 4 THEN '{"topic": ' ELSE concat(
-          '{"topic": "t", "mcq_verifications": [{"question_index": 0, "is_valid": false, "issues": [{"issue_type": "',
-          CASE WHEN k IN (1, 5) THEN 'typo' ELSE 'duplicate' END, '", "description": "d", "severity": "',
-          CASE k WHEN 2 THEN 'severe' ELSE 'high' END, '"}]}], "long_answer_verifications": [{"question_index": 1, "is_valid": true, "issues": [',
-          CASE k WHEN 5 THEN '{"issue_type": "unclear", "description": "d", "severity": "dire"}' ELSE '' END,
-          ']}], "overall_quality": "', CASE k WHEN 3 THEN 'fine' ELSE 'good' END, '", "has_duplicates": false}') END AS raw""")
-
-
 def verification_replies(items: DataFrame) -> DataFrame:
     """One verification reply per topic (request_id, raw) whose entries name real items by their index in the section.
 
     Of items, by ``(seq + chapter) % 4``: 0 has an entry with an issue, 1 an
     entry without, the others none.  Replies by ``(chapter + 2 * topic) % 8``:
     none at all (0), cut short (1), an undeclared quality (2), an entry that names
-    no item (3), fenced (4), an undeclared severity (5); the others as they are.
+    no item (3), fenced (4), an undeclared severity (5) or issue type (7); the
+    others as they are.
     """
     from ..operators.quality import question_index
     from ..schemas import ISSUE_TYPES, QUALITY_RATINGS, SEVERITIES, VERIFICATION_KEYS
@@ -158,13 +145,13 @@ def verification_replies(items: DataFrame) -> DataFrame:
         'issue_type', element_at({_sql_list(ISSUE_TYPES)}, seq % 5 + 1), 'description', concat('item ', seq),
         'severity', element_at({_sql_list(SEVERITIES)}, seq % 4 + 1))) ELSE array() END, 'suggestion', CASE WHEN seq % 2 = 1 THEN 'reword' END)"""
     wrong = """named_struct('question_index', CASE k WHEN 3 THEN 9999 ELSE 0 END, 'is_valid', false, 'issues', array(named_struct(
-        'issue_type', 'unclear', 'description', 'x', 'severity', CASE k WHEN 5 THEN 'dire' ELSE 'low' END)), 'suggestion', CAST(NULL AS STRING))"""
+        'issue_type', CASE k WHEN 7 THEN 'typo' ELSE 'unclear' END, 'description', 'x', 'severity', CASE k WHEN 5 THEN 'dire' ELSE 'low' END)), 'suggestion', CAST(NULL AS STRING))"""
     lists = [F.array_sort(F.collect_list(F.expr(f"CASE WHEN qtype = '{q}' AND about < 2 THEN {entry} END"))).alias(k) for q, k in VERIFICATION_KEYS.items()]
     topics = (indexed.groupBy("chapter_id", "topic_pos").agg(*lists)
               .withColumn("k", F.pmod(F.col("chapter_id") + 2 * F.col("topic_pos"), F.lit(8))))
     first, *others = VERIFICATION_KEYS.values()
     body = f"""to_json(named_struct('topic', concat(chapter_id, '.', topic_pos + 1),
-        '{first}', CASE WHEN k IN (3, 5) THEN concat({first}, array({wrong})) ELSE {first} END, {", ".join(f"'{k}', {k}" for k in others)},
+        '{first}', CASE WHEN k IN (3, 5, 7) THEN concat({first}, array({wrong})) ELSE {first} END, {", ".join(f"'{k}', {k}" for k in others)},
         'overall_quality', CASE k WHEN 2 THEN 'fine' ELSE element_at({_sql_list(QUALITY_RATINGS)}, CAST((chapter_id + topic_pos) % 4 AS INT) + 1) END,
         'has_duplicates', (chapter_id * 3 + topic_pos) % 5 = 0), map('ignoreNullFields', 'false'))"""
     return topics.selectExpr("chapter_id", "topic_pos", "k", f"{body} AS body").selectExpr(
