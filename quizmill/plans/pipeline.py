@@ -47,7 +47,7 @@ def build_banks(chapters: DataFrame, entries: DataFrame, done: DataFrame | None
     reqs = requests.section_requests(sections, meta)
     res = ask(reqs.select("request_id", "chapter_id", "topic_pos", "part_pos", "prompt", "qtype", "topic", "section", "questions_per_level"),
               generate_backend, keep=["chapter_id", "topic_pos", "part_pos", "qtype"])
-    parsed = responses.parse_sections(res)
+    parsed = staged(responses.parse_sections(res), "parsed")
     topics = responses.combine_sections(parsed)
     good = parsed.join(topics.where("topic_ok").select("chapter_id", "topic_pos"), ["chapter_id", "topic_pos"])
     flat = responses.flatten_sections(good)

@@ -353,9 +353,11 @@ def q_parse_sections(spark, sf):
 @register("flatten_bank")
 def q_flatten_bank(spark, sf):
     from ..operators import responses
+    from ..session import staged
     # sections that are no typed record at all have no items
     typed = F.coalesce("reason", F.lit("")).isin("no_json", "no_section", "wrong_type", "unknown_level")
-    f = responses.flatten_sections(_parsed_sections(spark, sf).where(~typed))
+    # written once: a filter on the reason would be pushed below the parsing and do all of it a second time
+    f = responses.flatten_sections(staged(_parsed_sections(spark, sf), "parsed").where(~typed))
     return f.select("chapter_id", "topic_pos", "qtype", "bloom", "bloom_ord", "group_pos", "q_pos", "question",
                     joined("options"), "answer", "explanation", "reference_answer", joined("reference_points"),
                     joined("variations"), (F.col("group_pos") + 1 == F.col("bloom_ord")).alias("level_order_ok"))
