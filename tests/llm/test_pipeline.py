@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline
 from quizmill.llm.language import keep_identified, learn, identify
-from quizmill.llm.line_dedup import boilerplate, remove_boilerplate
+from quizmill.llm.line_dedup import remove_boilerplate, widespread
 from test_chosen_path import brute as near_brute
 from test_decontaminate import brute as leak_brute
 
@@ -71,7 +71,7 @@ def test_line_dedup_odd_rows(spark):
     got = sorted((tuple(r) for r in remove_boilerplate(docs).collect()), key=str)
     assert got == sorted((tuple(r) for r in docs.collect()), key=str)
     many = spark.createDataFrame([(k, f"head {k}\nterms\ntail {k}", f"s{k}") for k in range(8)] + [(50 + k, "same\ncopied\nend", f"s{k}") for k in range(30)], docs.schema)
-    assert boilerplate(many).count() == 1
+    assert widespread(many).count() == 1
     out = {r.doc_id: r.text for r in remove_boilerplate(many).collect()}
     assert out[3] == "head 3\ntail 3" and out[55] == "same\ncopied\nend"
     assert remove_boilerplate(docs.limit(0)).count() == 0
