@@ -130,3 +130,22 @@ def test_open_items_have_no_structural_violation(spark):
                            "reference_answer", "reference_points", F.lit(None).cast("array<string>").alias("variations")).withColumn("terms", tx.words("question"))
     assert validate.item_violations(as_items).where(F.size("violations") > 0).count() == 0
     assert quality.rule_issues(as_items).where("rule like 'short%' or rule like 'long%' or rule = 'required_field_blank'").count() == 0
+
+
+def test_whole_chapters_are_linked_once(spark):
+    """Topics that aren't found share one copy of their chapter; shares and counts are those of the copied sections."""
+    from quizmill.operators import corpus
+    content = "# 1.1 Cells\nthe cell wall holds water in\n# 1.2 Roots\nroots drink from the ground below"
+    content = spark.createDataFrame([(1, content), (2, "nothing here"), (3, "")], "chapter_id long, content string")
+    matched = spark.createDataFrame([(1, ["1.1 Cells", "gone", "1.2 Roots", "lost", "missing"]), (2, ["here", "away"]), (3, ["x"])], "chapter_id long, topics array<string>")
+    copied, linked = (f(content, matched).cache() for f in (corpus.topic_sections, corpus.linked_sections))
+    whole = linked.where("topic_pos IS NULL")
+    assert copied.where("strategy IS NULL").count() == 5 and sorted(r.chapter_id for r in whole.collect()) == [1, 2, 3]
+    topics, parts = quality.linked(linked)
+    again = topics.join(parts, ["chapter_id", "at"]).select("chapter_id", "topic_pos", "part_pos", "section")
+    assert sorted(again.collect()) == sorted(copied.select("chapter_id", "topic_pos", "part_pos", "section").collect())
+    it = items_of(spark, [(1, 0, 0, "MCQs", 1, "the cell wall holds water"), (1, 1, 1, "MCQs", 1, "roots drink from the ground"), (1, 2, 2, "MCQs", 1, "the cell wall holds water"),
+                          (1, 3, 3, "MCQs", 1, "the cell wall holds dust"), (2, 1, 4, "MCQs", 1, "here"), (3, 0, 5, "MCQs", 1, "x y")])
+    for f in (quality.section_coverage, quality.section_grounding):
+        got = sorted(map(tuple, f(it, linked).collect()))
+        assert got == sorted(map(tuple, f(it, copied).collect())) and got
