@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..schemas import BLOOMS
 
 STEMS = {
@@ -41,10 +42,14 @@ def template_variations(items: DataFrame) -> DataFrame:
 
 def _keyed_sentences(chapters: DataFrame) -> DataFrame:
     """(chapter_id, seq, sentence, answer): every sentence that holds a word, with its longest word, the first of several."""
-    rows = chapters.select("chapter_id", F.posexplode("l").alias("seq", "sentence")).select("*", F.regexp_extract_all(
-        "sentence", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("ws"))
+    rows = chapters.select("chapter_id", F.posexplode("l").alias("seq", "sentence"))
+    return _with_answer(rows).select("chapter_id", "seq", "sentence", "answer").where("answer is not null")
+
+
+def _with_answer(rows: DataFrame) -> DataFrame:
+    """``answer``: the longest word of ``sentence``, the first of several; null without a word."""
     longest = F.array_min(F.transform("ws", lambda w, i: F.struct((-F.length(w)).alias("size"), i.alias("i"), w.alias("w"))))["w"]
-    return rows.select("chapter_id", "seq", "sentence", longest.alias("answer")).where("answer is not null")
+    return rows.withColumn("ws", F.regexp_extract_all("sentence", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).withColumn("answer", longest).drop("ws")
 
 
 def extractive_items(chapters: DataFrame) -> DataFrame:
@@ -89,16 +94,22 @@ def extractive_open_items(chapters: DataFrame) -> DataFrame:
     points (2 + seq % 3 and 3 + seq % 4 of them, fewer at the chapter's end), if
     there are enough.  Points have fewer than 20 words and differ, else there is
     no long item.  Equal questions of a type come once, at their first sentence.
+
+    Windows and key word of a position come from one row.  Where a chapter comes
+    in several rows, the key words of a position meet its least windows: no other
+    can be the first of its question.
     """
-    from ..functions.text import words
-    windows = F.transform("l", lambda x, i: F.struct(i.alias("seq"), F.slice("l", i + 1, 2 + i % 3).alias("some"), F.slice("l", i + 1, 3 + i % 4).alias("points")))
-    rows = chapters.select("chapter_id", F.inline(windows)).join(_keyed_sentences(chapters).select("chapter_id", "seq", "answer"), ["chapter_id", "seq"])
-    fine = (F.size("points") >= 3) & (F.size(F.array_distinct("points")) == F.size("points")) & F.forall("points", lambda p: F.size(words(p)) < 20)
+    windows = F.transform("l", lambda x, i: F.struct(i.alias("seq"), x.alias("sentence"), F.slice("l", i + 1, 2 + i % 3).alias("some"), F.slice("l", i + 1, 3 + i % 4).alias("points")))
+    rows = _with_answer(tx.exploded(chapters.where("chapter_id IS NOT NULL"), windows, "x", "chapter_id").select("chapter_id", "x.*"))
+    fine = (F.size("points") >= 3) & (F.size(F.array_distinct("points")) == F.size("points")) & F.forall("points", lambda p: F.size(tx.words(p)) < 20)
+    rows = (rows.select("chapter_id", "seq", "answer", F.when(F.size("some") >= 2, F.array_join("some", " ")).alias("some"), F.when(fine, F.col("points")).alias("points"))
+            .groupBy("chapter_id", "seq").agg(F.collect_set("answer").alias("answers"), F.min("some").alias("some"), F.min("points").alias("points"))
+            .select("chapter_id", "seq", F.explode("answers").alias("answer"), "some", "points"))
     none = F.lit(None).cast("array<string>")
-    short = F.when(F.size("some") >= 2, F.struct(F.lit("short_answer").alias("qtype"), F.replace(F.lit(SHORT_QUESTION), F.lit("{key}"), F.col("answer")).alias("question"),
-                                                 F.array_join("some", " ").alias("reference_answer"), none.alias("reference_points")))
-    long_ = F.when(fine, F.struct(F.lit("long_answer").alias("qtype"), F.replace(F.lit(LONG_QUESTION), F.lit("{key}"), F.col("answer")).alias("question"),
-                                  F.lit("").alias("reference_answer"), F.col("points").alias("reference_points")))
+    short = F.when(F.col("some").isNotNull(), F.struct(F.lit("short_answer").alias("qtype"), F.replace(F.lit(SHORT_QUESTION), F.lit("{key}"), F.col("answer")).alias("question"),
+                                                              F.col("some").alias("reference_answer"), none.alias("reference_points")))
+    long_ = F.when(F.col("points").isNotNull(), F.struct(F.lit("long_answer").alias("qtype"), F.replace(F.lit(LONG_QUESTION), F.lit("{key}"), F.col("answer")).alias("question"),
+                                                               F.lit("").alias("reference_answer"), F.col("points").alias("reference_points")))
     made = rows.select("chapter_id", "seq", F.explode(F.array(short, long_)).alias("it")).where("it is not null")
     return (made.groupBy("chapter_id", "it.qtype", "it.question").agg(F.min(F.struct("seq", "it.reference_answer", "it.reference_points")).alias("one"))
             .select("chapter_id", "one.seq", "qtype", "question", "one.reference_answer", "one.reference_points"))
