@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, map_frames, staged
+from ..session import ship_package
+from .common import components, staged
 from .shingles import checked, least_agreement
 
 SMALL = 24
@@ -28,6 +29,8 @@ DEPTH = 4
 #: Members, and items of their sets, of one block of a family.
 BLOCK = 1024
 BLOCK_ITEMS = 2_000_000
+#: Pairs of members of small nodes that are compared at a time.
+PAIRS = 1 << 17
 
 
 def sig_value(j):
@@ -37,23 +40,34 @@ def sig_value(j):
 
 def _pairs_in_nodes(nodes: DataFrame, percent: int) -> DataFrame:
     """Likely pairs (a, b) within nodes (members: id, n, sig), all compared with all."""
-    def run(frames):
-        for frame in frames:
+    ship_package(nodes.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column("members")
+            sizes = np.diff(lists.offsets.to_numpy())
+            starts = np.cumsum(sizes) - sizes
+            flat = lists.flatten()
+            ids, n = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("id", "n"))
+            sig = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint32).reshape(len(ids), -1)
             out = [np.empty((2, 0), np.int64)]
-            for members in frame["members"]:
-                ids = np.array([m["id"] for m in members], np.int64)
-                n = np.array([m["n"] for m in members], np.int64)
-                sig = np.frombuffer(b"".join(bytes(m["sig"]) for m in members), np.uint32).reshape(len(ids), -1)
-                i, j = np.triu_indices(len(ids), 1)
-                close = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-                i, j = i[close], j[close]
-                like = ((sig[i] == sig[j]).sum(axis=1) >= least_agreement(percent / 100, sig.shape[1])) & (ids[i] != ids[j])
-                i, j = ids[i[like]], ids[j[like]]
-                out.append(np.array([np.minimum(i, j), np.maximum(i, j)]))
+            for size in np.unique(sizes).tolist():  # nodes of one size together, so many pairs at a time
+                own, (i, j) = starts[sizes == size], np.triu_indices(size, 1)
+                step = max(1, PAIRS // max(1, len(i)))
+                for k in range(0, len(own) if size > 1 else 0, step):
+                    x, y = ((own[k: k + step, None] + at).ravel() for at in (i, j))
+                    close = (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (ids[x] != ids[y])
+                    x, y = x[close], y[close]
+                    like = (sig[x] == sig[y]).sum(axis=1) >= least_agreement(percent / 100, sig.shape[1])
+                    x, y = ids[x[like]], ids[y[like]]
+                    out.append(np.array([np.minimum(x, y), np.maximum(x, y)]))
             a, b = np.unique(np.concatenate(out, axis=1), axis=1)
-            yield pd.DataFrame({"a": a, "b": b})
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return map_frames(nodes, run, "a long, b long").distinct()
+    return nodes.mapInArrow(run, "a long, b long").distinct()
 
 
 def refined(level: DataFrame, members: DataFrame, values: range, small: int, depth: int) -> tuple[DataFrame, DataFrame]:
@@ -66,7 +80,7 @@ def refined(level: DataFrame, members: DataFrame, values: range, small: int, dep
     probes = [values.start + k * len(values) // 4 for k in range(4)]
     for d in range(depth + 1):
         counts = level.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        level = staged(level.join(counts, "key"), f"nodes-{d}")
+        level = staged(level.join(counts.hint("shuffle_hash"), "key"), f"nodes-{d}")
         found = level.where(F.col("size") <= small).select("key", "id")
         nodes = found if nodes is None else nodes.union(found)
         large = level.where(F.col("size") > small).select("key", "id", "size")

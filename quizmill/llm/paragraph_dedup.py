@@ -67,8 +67,8 @@ def paragraphs(text: str, least_words: int) -> list[tuple[int, str]]:
     return [(k, line) for k, line in enumerate(text.split("\n")) if len(line) >= 2 * least_words - 1 and len(line.encode().split()) >= least_words]
 
 
-def described(rows: DataFrame, width: int, least_words: int, with_signature: bool) -> DataFrame:
-    """doc_id, th, pos, d1, d2 of every paragraph (digest of its set), and if asked for n and sig."""
+def described(rows: DataFrame, width: int, least_words: int) -> DataFrame:
+    """doc_id, th, pos, d1, d2 (digest of its set), n and sig of every paragraph."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(frames):
@@ -80,46 +80,44 @@ def described(rows: DataFrame, width: int, least_words: int, with_signature: boo
                     continue
                 sets = shingle_sets([p for *_, p in some], width)
                 digest = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-                out = pd.DataFrame({"doc_id": pd.array([None if pd.isna(d) else d for d, *_ in some], "Int64"), "th": [x[1] for x in some], "pos": [x[2] for x in some],
-                                    "d1": [(d >> 64) - (1 << 63) for d in digest], "d2": [(d & ((1 << 64) - 1)) - (1 << 63) for d in digest]})
-                if with_signature:
-                    out["n"] = [len(s) for s in sets]
-                    out["sig"] = [s.tobytes() for s in signatures(sets, VALUES)]
-                yield out
+                yield pd.DataFrame({"doc_id": pd.array([None if pd.isna(d) else d for d, *_ in some], "Int64"), "th": [x[1] for x in some], "pos": [x[2] for x in some],
+                                    "d1": [(d >> 64) - (1 << 63) for d in digest], "d2": [(d & ((1 << 64) - 1)) - (1 << 63) for d in digest],
+                                    "n": [len(s) for s in sets], "sig": [s.tobytes() for s in signatures(sets, VALUES)]})
 
-    return map_frames(rows, run, f"doc_id {kind}, th long, pos int, d1 long, d2 long" + ", n long, sig binary" * with_signature)
+    return map_frames(rows, run, f"doc_id {kind}, th long, pos int, d1 long, d2 long, n long, sig binary")
 
 
 def repeats(rows: DataFrame, width: int = WIDTH, percent: int = PERCENT, least_words: int = LEAST_WORDS, **limits) -> DataFrame:
     """doc_id, th, pos, component, first of every paragraph of ``keyed`` documents that has a copy or near copy."""
-    place = F.struct("doc_id", "th", "pos")
-    members = described(rows, width, least_words, True).groupBy("d1", "d2").agg(
-        F.min(place).alias("one"), (F.min(place) < F.max(place)).alias("copied"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    members = staged(members.withColumn("id", F.monotonically_increasing_id()), "paragraph-members")
+    places = staged(described(rows, width, least_words).withColumn("id", F.monotonically_increasing_id()), "paragraph-places")
+    # one place stands for all with an equal set
+    members = staged(places.groupBy("d1", "d2").agg(F.min("id").alias("id"), (F.count("*") > 1).alias("again")), "paragraph-members")
     bands, size = tuned(percent / 100)
     keys = F.array(*(F.xxhash64(F.lit(b), F.substring("sig", b * size * 4 + 1, size * 4)) for b in range(bands)))
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        asked = members.join(ids, "id", "left_semi").select(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th"), F.struct("id", "one.pos").alias("w"))
+        asked = places.join(ids, "id", "left_semi").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.struct("id", "pos").alias("w"))
         asked = asked.groupBy("_id", "_th").agg(F.collect_list("w").alias("w"))
-        holders = rows.join(asked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "w")
+        holders = rows.join(asked.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "w")
 
         def run(frames):
             for frame in frames:
-                for text, ws in zip(frame["text"], frame["w"]):
-                    lines = text.split("\n")
-                    sets = shingle_sets([lines[w["pos"]] for w in ws], width)
-                    yield pd.DataFrame({"id": [w["id"] for w in ws], "items": [s.tobytes() for s in sets]})
+                for part in slices(frame["text"].str.len().tolist(), 2 << 20):
+                    cut = ((text.split("\n"), ws) for text, ws in zip(frame["text"][part], frame["w"][part]))
+                    some = [(w["id"], lines[w["pos"]]) for lines, ws in cut for w in ws]
+                    sets = shingle_sets([line for _, line in some], width)
+                    yield pd.DataFrame({"id": [i for i, _ in some], "items": [s.tobytes() for s in sets]})
 
         return map_frames(holders, run, "id long, items binary").dropDuplicates(["id"])
 
-    level = members.select("id", F.explode(keys).alias("key"))
-    near = linked(level, members.select("id", "n", "sig"), sets_of, percent, range(VALUES), **limits)
-    groups = members.join(near, "id", "left").where("copied or component is not null").select("d1", "d2", "one", F.coalesce("component", "id").alias("component"))
-    groups = staged(groups, "paragraph-groups")
-    firsts = groups.groupBy("component").agg(F.min("one").alias("first"))
-    return described(rows, width, least_words, False).join(groups.select("d1", "d2", "component"), ["d1", "d2"]).join(firsts, "component").select(
-        "doc_id", "th", "pos", "component", (place == F.col("first")).alias("first"))
+    level = places.select("id", "sig").join(members.select("id").hint("shuffle_hash"), "id", "left_semi").select("id", F.explode(keys).alias("key"))
+    near = linked(level, places.select("id", "n", "sig"), sets_of, percent, range(VALUES), **limits)
+    groups = members.join(near, "id", "left").where("again or component is not null").select("d1", "d2", F.coalesce("component", "id").alias("component"))
+    found = staged(places.select("doc_id", "th", "pos", "d1", "d2").join(staged(groups, "paragraph-groups"), ["d1", "d2"]).select("doc_id", "th", "pos", "component"), "paragraphs-found")
+    place = F.struct("doc_id", "th", "pos")
+    # repeated rows are one document: what is seen again only there has no copy
+    firsts = staged(found.groupBy("component").agg(F.min(place).alias("one"), F.max(place).alias("last")).where("one < last").drop("last"), "first-paragraphs")
+    return found.join(firsts, "component").select("doc_id", "th", "pos", "component", (place == F.col("one")).alias("first"))
 
 
 def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,7 +200,7 @@ def digest_bits(digests: DataFrame) -> bytes:
 
 
 def unit_rows(rows: DataFrame, least_words: int, bits: bytes | None = None) -> DataFrame:
-    """d1 of all ``units``; with ``bits`` only of those whose bit is set, and d1, d2 with doc_id, th, start, stop (bytes), l0, l1 (lines), w0, w1 (words) and piece."""
+    """d1 of all ``units``; with ``bits`` only of those whose bit is set, and d1, d2 with doc_id, th, start, stop (bytes), l0, l1 (lines), w0, w1 (words), piece, and mixed (a short line of the text is among them)."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     sent = None if bits is None else rows.sparkSession.sparkContext.broadcast(bits)
 
@@ -222,10 +220,11 @@ def unit_rows(rows: DataFrame, least_words: int, bits: bytes | None = None) -> D
                     out["th"] = frame["th"][part].to_numpy()[text]
                     out["start"], out["stop"], out["l0"], out["l1"] = start, stop, l0, l1
                     out["w0"], out["w1"], out["piece"] = w0, w1, piece
+                    out["mixed"] = np.isin(text, text[~piece])
                     yield out
 
     return map_frames(rows, run, "d1 long" if sent is None else
-                      f"d1 long, d2 long, doc_id {kind}, th long, start int, stop int, l0 int, l1 int, w0 int, w1 int, piece boolean")
+                      f"d1 long, d2 long, doc_id {kind}, th long, start int, stop int, l0 int, l1 int, w0 int, w1 int, piece boolean, mixed boolean")
 
 
 def in_passages(places: DataFrame) -> DataFrame:
@@ -241,30 +240,39 @@ def in_passages(places: DataFrame) -> DataFrame:
 
 
 def inner_repeats(rows: DataFrame, found: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """_id, _th, _cuts (start, stop of the bytes to cut) and _units (with a copy) of the documents with repeated ``units``.
+    """_id, _th, _cuts (2**32 * start + stop of the bytes to cut) and _units (with a copy) of the documents with repeated ``units``.
 
     ``found``: _id, _th, _gone (numbers of the lines that go already); units that touch those don't count.
     """
     often = staged(unit_rows(rows, least_words).groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1"), "repeated-digests")
-    # units without a copy stay in their tasks, but for some by chance; rows with the same id and text are one document
-    places = unit_rows(rows, least_words, digest_bits(often))
-    places = places.dropDuplicates(["doc_id", "th", "start", "stop", "d1", "d2"]).join(often, "d1", "left_semi")
-    gone = found.where(F.size("_gone") > 0).select("_id", "_th", "_gone")
-    left = places.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").where(
-        F.col("_gone").isNull() | ~F.exists("_gone", lambda x: (x >= F.col("l0")) & (x <= F.col("l1"))))
-    left = staged(in_passages(left).select("d1", "d2", "doc_id", "th", "start", "stop"), "unit-places")
+    # units without a copy stay in their tasks, but for some by chance
+    places = unit_rows(rows, least_words, digest_bits(often)).join(often.hint("shuffle_hash"), "d1", "left_semi")
+    # dealt once by document; rows with the same id and text are one
+    places = places.withColumn("k", F.xxhash64("doc_id", "th")).repartition("k").dropDuplicates(["k", "doc_id", "th", "start", "stop", "d1", "d2"])
+    gone = found.where(F.size("_gone") > 0).groupBy(F.xxhash64("_id", "_th").alias("k")).agg(F.collect_list(F.struct("_id", "_th", "_gone")).alias("_docs"))
+    touched = F.exists("_docs", lambda x: x["_id"].eqNullSafe(F.col("doc_id")) & (x["_th"] == F.col("th")) & F.exists(x["_gone"], lambda y: (y >= F.col("l0")) & (y <= F.col("l1"))))
+    left = places.join(gone.hint("shuffle_hash"), "k", "left").where(F.col("_docs").isNull() | ~touched)
+    left = staged(left.select("d1", "d2", "doc_id", "th", "start", "stop", "w0", "w1", "piece", "mixed"), "unit-places")
+    # pieces stay in any case, so stretches are needed only where there are short lines
+    lines = staged(in_passages(left.where("mixed")).where("not piece").select("d1", "d2", "doc_id", "th", "start", "stop"), "lines-in-passages")
+    left = left.where("piece").select(lines.columns).union(lines)
     place = F.struct("doc_id", "th", "start")
     groups = left.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last")
     groups = staged(groups, "unit-groups")  # so that the places of a unit with very many copies can be dealt out in the join
-    cut = F.when(place > F.col("first"), F.struct("start", "stop"))
-    return left.join(groups, ["d1", "d2"]).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
+    cut = F.when(place > F.col("first"), F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop"))
+    return left.join(groups.hint("shuffle_hash"), ["d1", "d2"]).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
         F.collect_list(cut).alias("_cuts"), F.count("*").alias("_units"))
 
 
 def spliced(raw: bytes, cuts: list) -> tuple[bytes, int]:
     """``raw`` without the stretches (start, stop), each with the blanks behind it; and how many stretches they make."""
+    return without(raw, [(c["start"], c["stop"]) for c in cuts])
+
+
+def without(raw: bytes, cuts: list[tuple[int, int]]) -> tuple[bytes, int]:
+    """``spliced`` for pairs."""
     out, at, n = [], 0, 0
-    for start, stop in sorted((c["start"], c["stop"]) for c in cuts):
+    for start, stop in sorted(cuts):
         while stop < len(raw) and raw[stop] == 32 and raw[stop - 1] != 10:
             stop += 1
         n += start > at or not n
@@ -292,8 +300,8 @@ def without_repeats(docs: DataFrame, inside: bool = False, **limits) -> DataFram
             F.when(F.col("_th").isNull(), F.col("_id2")).otherwise(F.col("_id")).alias("_id"), F.coalesce("_th", "_th2").alias("_th"), "_gone", "_cuts",
             (F.coalesce("_repeated", F.lit(0)) + F.coalesce("_units", F.lit(0))).cast("long").alias("_repeated")), "repeated-in-all")
     else:
-        found = found.withColumn("_cuts", F.lit(None).cast("array<struct<start: int, stop: int>>"))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select(
+        found = found.withColumn("_cuts", F.lit(None).cast("array<long>"))
+    joined = rows.join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select(
         "doc_id", "text", "_gone", "_cuts", F.coalesce("_repeated", F.lit(0).cast("long")).alias("_repeated"))
 
     def cut(cols):
@@ -303,7 +311,7 @@ def without_repeats(docs: DataFrame, inside: bool = False, **limits) -> DataFram
             spans = len(skip)
             if cuts:
                 at = np.cumsum([0, *(len(line) + 1 for line in raw.split(b"\n"))]).tolist()
-                kept, spans = spliced(raw, cuts + [{"start": at[k], "stop": min(at[k + 1], len(raw))} for k in skip])
+                kept, spans = without(raw, [(c >> 32, c & 0xFFFFFFFF) for c in cuts] + [(at[k], min(at[k + 1], len(raw))) for k in skip])
                 kept = kept.decode()
             else:
                 kept = text if not skip else "\n".join(line for k, line in enumerate(text.split("\n")) if k not in skip)

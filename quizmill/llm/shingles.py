@@ -68,7 +68,10 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     grams = _mix(grams)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= width:
-            out.append(np.unique(grams[a: b - width + 1]))
+            own = grams[a: b - width + 1]
+            own.sort()
+            new = own[1:] != own[:-1]
+            out.append(own if new.all() else own[np.concatenate([[True], new])])
         elif b > a:
             out.append(_mix((words[a:b] * _SEEDS[0, : b - a]).sum(keepdims=True) + np.uint64(b - a)))
         else:

@@ -1,9 +1,12 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
+from quizmill.llm import near_nodes, paragraph_dedup
 from quizmill.llm.paragraph_dedup import op9_banded_paragraph_dedup, tuned, without_repeats
+from quizmill.llm.shingles import least_agreement
 from test_chosen_path import sets_of
 
 
@@ -79,3 +82,35 @@ def test_empty_table(spark, tmp_path):
 def test_bands_are_tuned():
     bands, rows = tuned(0.8)
     assert (1 - 0.8**rows) ** bands <= 1e-5 and bands * rows <= 24
+
+
+def test_paragraphs_are_described_once(spark, monkeypatch):
+    """Texts aren't cut into paragraphs a second time for the places; rows that come twice are one document."""
+    calls, described = [], paragraph_dedup.described
+    monkeypatch.setattr(paragraph_dedup, "described", lambda *a, **k: calls.append(a) or described(*a, **k))
+    line = " ".join(f"word{k}" for k in range(30))
+    other = " ".join(f"else{k}" for k in range(30))
+    docs = [(None, line), (1, line), (1, line), (2, other), (2, other), (3, f"{line}\nend")]
+    got = sorted(((r.doc_id, r._kept, r._spans, r._repeated) for r in without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()), key=str)
+    assert len(calls) == 1
+    assert got == sorted([(None, line, 0, 1), (1, "", 1, 1), (1, "", 1, 1), (2, other, 0, 0), (2, other, 0, 0), (3, "end", 1, 1)], key=str)
+
+
+@pytest.mark.parametrize("at_once", [near_nodes.PAIRS, 7])
+def test_pairs_in_nodes_against_plain_form(spark, monkeypatch, at_once):
+    monkeypatch.setattr(near_nodes, "PAIRS", at_once)
+    r = random.Random(4)
+    bases = [[r.randrange(1 << 32) for _ in range(24)] for _ in range(6)]
+    members = {k: (r.randint(20, 30), [x if r.random() < 0.8 else r.randrange(1 << 32) for x in r.choice(bases)]) for k in range(80)}
+    nodes = [r.choices(range(80), k=r.choice([1, 2, 2, 3, 9, 20])) for _ in range(60)]  # an id may be in a node twice
+    frame = spark.createDataFrame([([(k, members[k][0], np.array(members[k][1], np.uint32).tobytes()) for k in node],) for node in nodes],
+                                  "members array<struct<id: long, n: long, sig: binary>>")
+    got = sorted((x.a, x.b) for x in near_nodes._pairs_in_nodes(frame, 80).collect())
+    wanted = set()
+    for node in nodes:
+        for a in node:
+            for b in node:
+                (n, x), (m, y) = members[a], members[b]
+                if a < b and 100 * min(n, m) >= 80 * max(n, m) and sum(p == q for p, q in zip(x, y)) >= least_agreement(0.8, 24):
+                    wanted.add((a, b))
+    assert got == sorted(wanted) and wanted
