@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import apart, map_frames, slices, staged, table
+from .common import apart, map_frames, slices, staged, table, unsent
 from .near_nodes import linked, sig_value
 from .shingles import SIGNATURE, full_sets, shingle_sets, signatures
 
@@ -70,10 +70,11 @@ def classes(docs: DataFrame, width: int, percent: int, **limits) -> DataFrame:
     equal = rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     # a doc_id with several different sets ties their groups together
     often = rows.where("n > 0").groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1")
-    same = (rows.where("n > 0").join(often, "doc_id", "left_semi").join(equal, ["d1", "d2"])
+    same = (rows.where("n > 0").join(unsent(often), "doc_id", "left_semi").join(unsent(equal), ["d1", "d2"])
             .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct())
     linked = links(docs.select("doc_id", "text"), rows, same, width, percent, **limits)
-    out = (rows.select("doc_id", "n", "d1", "d2").join(equal, ["d1", "d2"], "left").join(linked.withColumnRenamed("id", "rep"), "rep", "left"))
+    out = (rows.select("doc_id", "n", "d1", "d2").join(unsent(equal), ["d1", "d2"], "left")
+           .join(unsent(linked.withColumnRenamed("id", "rep")), "rep", "left"))
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from ..session import ship_package, staged, work_dir
+from ..session import sent_if_few, ship_package, staged, unsent, work_dir
 from ..sources.tables import table
 
-__all__ = ["components", "map_frames", "open_fs", "slices", "staged", "table", "text_bytes", "work_dir"]
+__all__ = ["components", "map_frames", "open_fs", "sent_if_few", "slices", "staged", "table", "text_bytes", "unsent", "work_dir"]
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import components, staged
+from .common import components, staged, unsent
 from .shingles import checked, least_agreement
 
 SMALL = 24
@@ -86,10 +86,10 @@ def refined(level: DataFrame, members: DataFrame, values: range, small: int, dep
         large = level.where(F.col("size") > small).select("key", "id", "size")
         if not large.take(1):
             break
-        large = staged(large.join(members.select("id", "sig"), "id"), f"large-{d}")
+        large = staged(large.join(unsent(members.select("id", "sig")), "id"), f"large-{d}")
         kinds = sum(F.approx_count_distinct(sig_value(j)) for j in probes)
         alike = large.groupBy("key").agg((kinds < 0.5 * len(probes) * F.max("size")).alias("alike"))
-        large = large.join(staged(alike, f"alike-{d}"), "key")
+        large = large.join(unsent(staged(alike, f"alike-{d}")), "key")
         family = (large if d == depth else large.where("alike")).select("key", "id")
         dense = family if dense is None else dense.union(family)
         choice = [F.pmod(F.xxhash64("key", F.lit(c)), F.lit(len(values))) + values.start for c in range(2)]
@@ -137,8 +137,8 @@ def _family_links(families: DataFrame, sets: DataFrame, percent: int, block: int
     """(a, b): spanning forests of the links within families (id, family, n), found on full sets."""
     sizes = families.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / block_items)).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    dealt = families.join(sizes, "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("id", "family", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(sets, "id")
+    dealt = families.join(unsent(sizes), "family").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("id", "family", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(unsent(sets), "id")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         across = frame["i"].iloc[0] != frame["j"].iloc[0]
@@ -157,17 +157,20 @@ def linked(level: DataFrame, members: DataFrame, sets_of: Callable[[DataFrame],
     ``same``: (a, b) that are linked anyway.
     """
     nodes, large = refined(level, members, values, small, depth)
-    grouped = nodes.join(members, "id").groupBy("key").agg(F.collect_list(F.struct("id", "n", "sig")).alias("members"))
+    grouped = nodes.join(unsent(members), "id").groupBy("key").agg(F.collect_list(F.struct("id", "n", "sig")).alias("members"))
     pairs = staged(_pairs_in_nodes(grouped, percent), "likely-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     if large is not None:
-        stars = large.join(large.groupBy("key").agg(F.min("id").alias("b")), "key").select(F.col("id").alias("a"), "b").distinct()
-        families = components(stars, "families").withColumnRenamed("component", "family").join(members.select("id", "n"), "id")
+        # written: a union whose parts are dealt alike is taken for one table dealt so, which its tasks then aren't
+        large = staged(large, "dense-nodes")
+        stars = large.join(unsent(large.groupBy("key").agg(F.min("id").alias("b"))), "key").select(F.col("id").alias("a"), "b").distinct()
+        families = components(stars, "families").withColumnRenamed("component", "family").join(unsent(members.select("id", "n")), "id")
         families = staged(families, "families")
         ids = ids.union(families.select("id"))
         # pairs of one family are compared there
         of = families.select("id", "family")
-        pairs = (pairs.join(of.withColumnsRenamed({"id": "a", "family": "x"}), "a", "left").join(of.withColumnsRenamed({"id": "b", "family": "y"}), "b", "left")
+        pairs = (pairs.join(unsent(of.withColumnsRenamed({"id": "a", "family": "x"})), "a", "left")
+                 .join(unsent(of.withColumnsRenamed({"id": "b", "family": "y"})), "b", "left")
                  .where(F.coalesce(F.col("x") != F.col("y"), F.lit(True))).select("a", "b"))
     sets = staged(sets_of(staged(ids.distinct(), "compared")), "full-sets")
     edges = checked(pairs, sets, percent)

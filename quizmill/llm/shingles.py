@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_frames, slices
+from .common import map_frames, sent_if_few, slices, unsent
 from .suffix_dedup import _VALUES, _powers
 
 SIGNATURE = 48
@@ -100,8 +100,8 @@ def least_agreement(threshold: float, size: int) -> int:
 
 def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets (id, items) have 100 * intersection >= percent * union, on full sets."""
-    left = pairs.join(sets.withColumnsRenamed({"id": "a", "items": "x"}), "a")
-    both = left.join(sets.withColumnsRenamed({"id": "b", "items": "y"}), "b").select("a", "b", "x", "y")
+    left = pairs.join(unsent(sets.withColumnsRenamed({"id": "a", "items": "x"})), "a")
+    both = left.join(unsent(sets.withColumnsRenamed({"id": "b", "items": "y"})), "b").select("a", "b", "x", "y")
 
     def run(frames):
         for frame in frames:
@@ -116,8 +116,8 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, items): the sets of the documents (doc_id, text) in ``ids`` (id)."""
-    some = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
+    """(id, items): the sets of the documents (doc_id, text) in ``ids`` (id; written already)."""
+    some = docs.select(F.col("doc_id").alias("id"), "text").join(sent_if_few(ids), "id", "left_semi")
 
     def run(frames):
         for frame in frames:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import staged, unsent
 
 
 def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
@@ -17,7 +17,8 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     a component's size, and an edge costs a few rows a round.  A round's smallest
     ids are written before they meet the edges again, so that the edges of an id
     with very many can be dealt out in the join.  Ids without an edge aren't in
-    the result.  More than ``most_rounds`` rounds raise an error; that would be a
+    the result.  Nothing of the graph is sent to the
+    driver.  More than ``most_rounds`` rounds raise an error; that would be a
     defect, not a matter of the data.
     """
     def lowest(both: DataFrame) -> DataFrame:
@@ -30,10 +31,10 @@ def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
         if not ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or out + into > 1").take(1):
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = staged(both.join(lowest(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = staged(both.join(unsent(lowest(both)), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                        .where("a <> b").distinct(), f"{name}-large")
         large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        met = large.join(lowest(large), "a")
+        met = large.join(unsent(lowest(large)), "a")
         now = staged(met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(met.select("a", F.col("m").alias("b")))
                      .where("a <> b").distinct(), f"{name}-small")
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
